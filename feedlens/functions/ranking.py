@@ -1,13 +1,19 @@
 """Global ranks and running totals without a single-task window.
 
-A window with an ORDER BY but no PARTITION BY runs in one task.  Here the rows
-are range-partitioned on (keys, order) instead; each range partition sums its
-own rows, the partition totals (one row per partition and key) are turned
-into offsets, and a window inside each partition adds the offset.  Work and
-memory per task are about rows / partitions, whatever the key skew.
+A window with an ORDER BY but no PARTITION BY runs in one task.  Instead:
 
-The range exchange is planned once and reused by both branches (the plan shows
-a ReusedExchange), so the partition a row lands in is the same in both.
+1. each row gets a fine bucket: ``floor((v - min) / (max - min) * n_fine)``
+   over the exact min / max (scalar subqueries);
+2. an exact histogram per (keys, fine bucket) - at most keys x n_fine rows -
+   gives, per fine bucket, the totals of all smaller buckets, and cuts the
+   buckets into chunks of about rows / n_parts rows;
+3. rows join their bucket's chunk and offset, and a window partitioned by
+   (keys, chunk) adds the running total inside the chunk.
+
+Every step is a deterministic function of the data (no sampled range
+bounds), so re-computing any branch after a lost executor gives the same
+chunks.  Work per task is about rows / n_parts unless a single fine bucket
+holds more than that.
 """
 
 from __future__ import annotations
@@ -17,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_PID = "_range_pid"
+N_FINE = 1 << 16
 
 
 def _n_parts(df: DataFrame, n_parts: int | None) -> int:
@@ -32,20 +38,36 @@ def running_totals(
     weights: Sequence[str],
     keys: Sequence[str] = (),
     n_parts: int | None = None,
+    n_fine: int = N_FINE,
 ) -> DataFrame:
     """Add ``<w>_below`` = sum of ``w`` over rows with the same ``keys`` and a
-    strictly smaller ``order_col``.  ``(keys, order_col)`` must be unique, as it
-    is after a ``groupBy(keys, order_col)``.
+    strictly smaller numeric ``order_col``.  ``(keys, order_col)`` must be
+    unique, as it is after a ``groupBy(keys, order_col)``.
     """
     keys = list(keys)
-    ranged = df.repartitionByRange(_n_parts(df, n_parts), *keys, order_col).withColumn(_PID, F.spark_partition_id())
-    totals = ranged.groupBy(_PID, *keys).agg(*[F.sum(w).alias(f"_tot_{w}") for w in weights])
-    before = Window.partitionBy(*keys).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        _PID, *keys, *[F.coalesce(F.sum(f"_tot_{w}").over(before), F.lit(0)).alias(f"_off_{w}") for w in weights]
+    v = F.col(order_col).cast("double")
+    rng = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi"), F.count(F.lit(1)).alias("n"))
+    lo, hi, n = (rng.select(c).scalar() for c in ("lo", "hi", "n"))
+    fine = F.when(hi > lo, F.least(F.floor((v - lo) / (hi - lo) * F.lit(float(n_fine))), F.lit(n_fine - 1)))
+    tagged = df.withColumn("_fine", F.coalesce(fine, F.lit(0)).cast("int"))
+
+    hist = tagged.groupBy(*keys, "_fine").agg(
+        F.count(F.lit(1)).alias("_h_rows"), *[F.sum(w).alias(f"_h_{w}") for w in weights]
+    )
+    before = Window.partitionBy(*keys).orderBy("_fine").rowsBetween(Window.unboundedPreceding, -1)
+    per_chunk = F.greatest(F.ceil(n / F.lit(_n_parts(df, n_parts))), F.lit(1))
+    hist = hist.select(
+        *keys,
+        "_fine",
+        F.floor(F.coalesce(F.sum("_h_rows").over(before), F.lit(0)) / per_chunk).alias("_chunk"),
+        *[F.coalesce(F.sum(f"_h_{w}").over(before), F.lit(0)).alias(f"_cb_{w}") for w in weights],
+    )
+    chunk = Window.partitionBy(*keys, "_chunk")
+    mapping = hist.select(
+        *keys, "_fine", "_chunk", *[F.min(f"_cb_{w}").over(chunk).alias(f"_off_{w}") for w in weights]
     )
-    inside = Window.partitionBy(_PID, *keys).orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
-    out = ranged.join(offsets, [_PID, *keys], "inner")
+    inside = Window.partitionBy(*keys, "_chunk").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+    out = tagged.join(mapping, [*keys, "_fine"], "inner")
     return out.select(
         *df.columns,
         *[(F.col(f"_off_{w}") + F.coalesce(F.sum(w).over(inside), F.lit(0))).alias(f"{w}_below") for w in weights],
