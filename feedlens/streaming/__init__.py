@@ -1,5 +1,37 @@
 """Structured Streaming versions of the 15-minute alert pipeline."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from feedlens.session import shared_dir
+
+
+def _events_glob(sf_dir: str) -> str:
+    # the file stream source takes a directory or a glob, not a single file
+    return f"{sf_dir}/events.parque[t]"
+
+
+def feed_15min_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedlens.streaming.alerts_stream import read_event_stream, start_feed_15min
+
+    base = shared_dir(spark, "feed_15min_stream")
+    q = start_feed_15min(read_event_stream(spark, _events_glob(sf_dir)), f"{base}/out", f"{base}/checkpoint")
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
+def anomaly_alerts_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from feedlens.streaming.alerts_stream import read_event_stream, start_alert_stream
+
+    base = shared_dir(spark, "alerts_stream")
+    q = start_alert_stream(spark, read_event_stream(spark, _events_glob(sf_dir)), base)
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/alerts")
+
 
 def registered() -> dict:
-    return {}
+    return {
+        "feed_15min_stream": feed_15min_stream_query,
+        "anomaly_alerts_stream": anomaly_alerts_stream_query,
+    }
