@@ -39,12 +39,20 @@ def running_totals(
     keys: Sequence[str] = (),
     n_parts: int | None = None,
     n_fine: int = N_FINE,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Add ``<w>_below`` = sum of ``w`` over rows with the same ``keys`` and a
     strictly smaller numeric ``order_col``.  ``(keys, order_col)`` must be
     unique, as it is after a ``groupBy(keys, order_col)``.
+
+    ``max_rows``: the caller guarantees the input has at most this many rows
+    (a bound that follows from its parameters, e.g. one row per bucket or per
+    simulation); then one ordinary window is used.
     """
     keys = list(keys)
+    if max_rows is not None:
+        w = Window.partitionBy(*keys).orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+        return df.select(*df.columns, *[F.coalesce(F.sum(x).over(w), F.lit(0)).alias(f"{x}_below") for x in weights])
     v = F.col(order_col).cast("double")
     rng = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi"), F.count(F.lit(1)).alias("n"))
     lo, hi, n = (rng.select(c).scalar() for c in ("lo", "hi", "n"))
@@ -75,7 +83,12 @@ def running_totals(
 
 
 def exact_quantile(
-    df: DataFrame, value_col: str, p: float, keys: Sequence[str] = (), out_col: str | None = None
+    df: DataFrame,
+    value_col: str,
+    p: float,
+    keys: Sequence[str] = (),
+    out_col: str | None = None,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Exact quantile without interpolation: the element at 0-based index
     ``floor(p * n)`` of the sorted non-null values of each key group.
@@ -87,10 +100,10 @@ def exact_quantile(
     out_col = out_col or f"q_{value_col}"
     if not keys:
         # one group: a constant key keeps every join an equi-join
-        return exact_quantile(df.withColumn("_all", F.lit(0)), value_col, p, ["_all"], out_col).drop("_all")
+        return exact_quantile(df.withColumn("_all", F.lit(0)), value_col, p, ["_all"], out_col, max_rows).drop("_all")
     keys = list(keys)
     counts = df.where(F.col(value_col).isNotNull()).groupBy(*keys, value_col).agg(F.count(F.lit(1)).alias("_cnt"))
-    ranked = running_totals(counts, value_col, ["_cnt"], keys)
+    ranked = running_totals(counts, value_col, ["_cnt"], keys, max_rows=max_rows)
     sizes = counts.groupBy(*keys).agg(F.sum("_cnt").alias("_n"))
     with_n = ranked.join(sizes, keys, "inner")
     target = F.floor(F.col("_n") * F.lit(float(p)))

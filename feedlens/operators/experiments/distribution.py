@@ -40,7 +40,7 @@ def sturges_bins(n: int) -> int:
     return int(math.ceil(math.log2(n) + 1)) if n > 0 else 1
 
 
-def uniform_qq(df: DataFrame, value_col: str) -> DataFrame:
+def uniform_qq(df: DataFrame, value_col: str, max_rows: int | None = None) -> DataFrame:
     """Sorted values against uniform order-statistic medians (Filliben):
     m_1 = 1 - 0.5^(1/n), m_n = 0.5^(1/n), m_i = (i - 0.3175) / (n + 0.365).
 
@@ -49,7 +49,7 @@ def uniform_qq(df: DataFrame, value_col: str) -> DataFrame:
     v = df.where(F.col(value_col).isNotNull())
     counts = v.groupBy(value_col).agg(F.count(F.lit(1)).alias("_c"))
     n = v.agg(F.count(F.lit(1))).scalar()
-    ranked = running_totals(counts, value_col, ["_c"])
+    ranked = running_totals(counts, value_col, ["_c"], max_rows=max_rows)
     pos = ranked.select(
         F.col(value_col).alias("osr"),
         F.explode(F.sequence(F.col("_c_below") + 1, F.col("_c_below") + F.col("_c"))).alias("i"),

@@ -81,12 +81,16 @@ def with_bucket(uc: DataFrame, n_buckets: int = 50, salt: str = "bucket") -> Dat
     return uc.withColumn("bucket", md5_mod(split_key("user_id", salt), n_buckets))
 
 
+def bucket_sums(uc: DataFrame, n_buckets: int = 50, salt: str = "bucket") -> DataFrame:
+    """Per (exp_group, bucket): bucket_ctr = sum(likes) / sum(views)."""
+    return with_bucket(uc, n_buckets, salt).groupBy("exp_group", "bucket").agg(
+        F.try_divide(F.sum("likes"), F.sum("views").cast("double")).alias("bucket_ctr")
+    )
+
+
 def bucket_ctr(uc: DataFrame, n_buckets: int = 50, salt: str = "bucket", q: float = 0.9) -> DataFrame:
     """Per (exp_group, bucket): sum(likes) / sum(views) and the exact 0.9
     quantile (index rule) of the user CTRs in the bucket."""
-    b = with_bucket(uc, n_buckets, salt)
-    sums = b.groupBy("exp_group", "bucket").agg(
-        F.try_divide(F.sum("likes"), F.sum("views").cast("double")).alias("bucket_ctr")
-    )
-    q9 = exact_quantile(b, "ctr", q, ["exp_group", "bucket"], "ctr9")
+    sums = bucket_sums(uc, n_buckets, salt)
+    q9 = exact_quantile(with_bucket(uc, n_buckets, salt), "ctr", q, ["exp_group", "bucket"], "ctr9")
     return sums.join(q9, ["exp_group", "bucket"], "left")

@@ -64,7 +64,9 @@ def welch_ttest(df: DataFrame, group_col: str, value_col: str, a, b, keys: Seque
     )
 
 
-def value_counts(df: DataFrame, group_col: str, value_col: str, a, b, keys: Sequence[str] = ()) -> DataFrame:
+def value_counts(
+    df: DataFrame, group_col: str, value_col: str, a, b, keys: Sequence[str] = (), max_rows: int | None = None
+) -> DataFrame:
     """Per distinct value: how many of group a and of group b have it, and how
     many values of each group lie strictly below (global ranks, no single task)."""
     ga = F.col(group_col) == a
@@ -72,11 +74,14 @@ def value_counts(df: DataFrame, group_col: str, value_col: str, a, b, keys: Sequ
         F.count_if(ga).alias("c_a"), F.count_if(~ga).alias("c_b")
     )
     counts = counts.withColumn("c_t", F.col("c_a") + F.col("c_b"))
-    return running_totals(counts, value_col, ["c_t", "c_b"], keys)
+    return running_totals(counts, value_col, ["c_t", "c_b"], keys, max_rows=max_rows)
 
 
-def mann_whitney(df: DataFrame, group_col: str, value_col: str, a, b, keys: Sequence[str] = ()) -> DataFrame:
-    vc = value_counts(df, group_col, value_col, a, b, keys)
+def mann_whitney(
+    df: DataFrame, group_col: str, value_col: str, a, b, keys: Sequence[str] = (), max_rows: int | None = None
+) -> DataFrame:
+    """``max_rows``: a known bound on the input rows (see ``running_totals``)."""
+    vc = value_counts(df, group_col, value_col, a, b, keys, max_rows)
     midrank = F.col("c_t_below") + (F.col("c_t") + F.lit(1.0)) / 2.0
     s = vc.groupBy(*keys).agg(
         F.sum("c_a").cast("double").alias("_na"),

@@ -94,8 +94,7 @@ def build(p: Params = DEFAULT) -> dict[str, Query]:
     def _(feed, msgs, spark):
         path = shared_dir(spark, "metrics_cube")
         cube = activity.daily_metrics_cube(feed, msgs, y)
-        sink.write_metrics_cube(cube, path)
-        sink.write_metrics_cube(cube, path)  # a retried load replaces, never duplicates
+        sink.write_metrics_cube(cube, path, y)
         return sink.read_metrics_cube(spark, path)
 
     # ---- audience reports ----------------------------------------------------
@@ -210,12 +209,13 @@ def build(p: Params = DEFAULT) -> dict[str, Query]:
 
     @reg("bucket_tests")
     def _(feed, msgs, spark):
-        b = metrics.bucket_ctr(_uc(feed, p, p.ab_groups), p.n_buckets, p.bucket_salt, p.bucket_q)
+        b = metrics.bucket_sums(_uc(feed, p, p.ab_groups), p.n_buckets, p.bucket_salt)
         w = tests.welch_ttest(b, "exp_group", "bucket_ctr", A, B).select(
             F.lit("welch").alias("test"), "group_a", "group_b", "n_a", "n_b",
             F.col("t_stat").alias("statistic"), "p_value",
         )
-        m = tests.mann_whitney(b, "exp_group", "bucket_ctr", A, B).select(
+        # one row per (group, bucket): at most 2 * n_buckets rows
+        m = tests.mann_whitney(b, "exp_group", "bucket_ctr", A, B, max_rows=2 * p.n_buckets).select(
             F.lit("mann_whitney").alias("test"), "group_a", "group_b", "n_a", "n_b",
             F.col("u_stat").alias("statistic"), "p_value",
         )
@@ -258,11 +258,11 @@ def build(p: Params = DEFAULT) -> dict[str, Query]:
 
     @reg("pvalue_qq")
     def _(feed, msgs, spark):
-        return distribution.uniform_qq(_aa(feed), "p_value")
+        return distribution.uniform_qq(_aa(feed), "p_value", max_rows=p.n_sims)
 
     @reg("pvalue_qq_fit")
     def _(feed, msgs, spark):
-        return distribution.qq_fit(distribution.uniform_qq(_aa(feed), "p_value"))
+        return distribution.qq_fit(distribution.uniform_qq(_aa(feed), "p_value", max_rows=p.n_sims))
 
     return q
 

@@ -153,7 +153,11 @@ def start_alert_stream(spark: SparkSession, events: DataFrame, base: str, trigge
     series_path, alerts_path = f"{base}/series", f"{base}/alerts"
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        alert_batch(spark, batch, batch_id, series_path, alerts_path, a, n)
+        batch.persist()  # used by several actions below; a lost cache is recomputed for the same batch id
+        try:
+            alert_batch(spark, batch, batch_id, series_path, alerts_path, a, n)
+        finally:
+            batch.unpersist()
 
     w = bucket_metrics_stream(events).writeStream.outputMode("append").foreachBatch(run)
     w = w.option("checkpointLocation", f"{base}/checkpoint")

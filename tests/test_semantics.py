@@ -132,3 +132,19 @@ def test_cube_dimensions_have_equal_totals(spark):
     tot = cube.groupBy("dimension").agg(*[F.sum(c).alias(c) for c in activity.CUBE_MEASURES]).collect()
     assert len(tot) == 3
     assert len({tuple(r[c] for c in activity.CUBE_MEASURES) for r in tot}) == 1
+
+
+def test_metrics_cube_sink_is_idempotent_and_keeps_other_days(spark, tmp_path):
+    from feedlens.sources import sink
+
+    e = ev.read_events(spark, "/root/testdata/sf0.01")
+    f, m = ev.feed_actions(e), ev.message_actions(e)
+    path = str(tmp_path / "cube")
+    d1, d2 = dt.date(2024, 1, 29), dt.date(2024, 1, 30)
+    c1, c2 = activity.daily_metrics_cube(f, m, d1), activity.daily_metrics_cube(f, m, d2)
+    sink.write_metrics_cube(c1, path, d1)
+    sink.write_metrics_cube(c2, path, d2)
+    sink.write_metrics_cube(c2, path, d2)  # retried load of the same day
+    back = sink.read_metrics_cube(spark, path)
+    assert back.count() == c1.count() + c2.count()
+    assert back.exceptAll(c1.unionByName(c2)).count() == 0
