@@ -110,3 +110,49 @@ def exact_quantile(
     target = F.least(target, F.col("_n") - 1)
     hit = (F.col("_cnt_below") <= target) & (target < F.col("_cnt_below") + F.col("_cnt"))
     return with_n.where(hit).select(*keys, F.col(value_col).alias(out_col))
+
+
+def exact_percentiles_linear(
+    df: DataFrame,
+    value_col: str,
+    ps: Sequence[float],
+    keys: Sequence[str] = (),
+    max_rows: int | None = None,
+) -> DataFrame:
+    """Exact percentiles with linear interpolation between order statistics
+    (numpy's default): h = (n - 1) * p, x[floor h] + frac(h) * (x[floor h + 1] - x[floor h]).
+
+    All ``ps`` come from one ranking pass; columns are named ``p_<i>`` in the
+    order of ``ps``.
+    """
+    if not keys:
+        return exact_percentiles_linear(df.withColumn("_all", F.lit(0)), value_col, ps, ["_all"], max_rows).drop("_all")
+    keys = list(keys)
+    counts = df.where(F.col(value_col).isNotNull()).groupBy(*keys, value_col).agg(F.count(F.lit(1)).alias("_cnt"))
+    ranked = running_totals(counts, value_col, ["_cnt"], keys, max_rows=max_rows)
+    sizes = counts.groupBy(*keys).agg(F.sum("_cnt").alias("_n"))
+    lo, hi = F.col("_cnt_below"), F.col("_cnt_below") + F.col("_cnt")
+    j = ranked.join(sizes, keys, "inner")
+    parts, covers = [], []
+    for i, p in enumerate(ps):
+        h = (F.col("_n") - 1).cast("double") * F.lit(float(p))
+        i0 = F.floor(h)
+        i1 = F.least(i0 + 1, F.col("_n") - 1)
+        c0, c1 = (lo <= i0) & (i0 < hi), (lo <= i1) & (i1 < hi)
+        covers += [c0, c1]
+        parts += [
+            F.max(F.when(c0, F.col(value_col))).alias(f"_x0_{i}"),
+            F.max(F.when(c1, F.col(value_col))).alias(f"_x1_{i}"),
+            F.max(h - i0).alias(f"_f_{i}"),
+        ]
+    hit = covers[0]
+    for c in covers[1:]:
+        hit = hit | c
+    agg = j.where(hit).groupBy(*keys).agg(*parts)
+    return agg.select(
+        *keys,
+        *[
+            (F.col(f"_x0_{i}") + F.col(f"_f_{i}") * (F.col(f"_x1_{i}") - F.col(f"_x0_{i}"))).alias(f"p_{i}")
+            for i in range(len(ps))
+        ],
+    )

@@ -27,6 +27,12 @@ def _day(messages_or_feed: DataFrame, day: dt.date) -> DataFrame:
     return messages_or_feed.where(day_range(messages_or_feed, day, day))
 
 
+def distinct_count(col: str, approx_rsd: float | None = None) -> Column:
+    """Exact distinct count, or HyperLogLog++ with relative error ``approx_rsd``
+    (the fixed-size sketch for the rollups that may use an estimate)."""
+    return F.count_distinct(col) if approx_rsd is None else F.approx_count_distinct(col, approx_rsd)
+
+
 def feed_user_day(feed: DataFrame, day: dt.date | str) -> DataFrame:
     """Likes and views per (user, day, gender, age, os) for one day."""
     d = as_date(day)
@@ -44,7 +50,7 @@ def feed_user_day(feed: DataFrame, day: dt.date | str) -> DataFrame:
     )
 
 
-def messages_sent(messages: DataFrame, day: dt.date | str) -> DataFrame:
+def messages_sent(messages: DataFrame, day: dt.date | str, approx_rsd: float | None = None) -> DataFrame:
     """Per sender and day: messages sent (non-null receivers) and distinct receivers."""
     d = as_date(day)
     return (
@@ -52,12 +58,12 @@ def messages_sent(messages: DataFrame, day: dt.date | str) -> DataFrame:
         .groupBy(F.col("user_id").alias("users"), F.to_date("time").alias("event_date"), *DEMOGRAPHICS)
         .agg(
             F.count("reciever_id").alias("messages_sent"),
-            F.count_distinct("reciever_id").alias("users_sent"),
+            distinct_count("reciever_id", approx_rsd).alias("users_sent"),
         )
     )
 
 
-def messages_received(messages: DataFrame, day: dt.date | str) -> DataFrame:
+def messages_received(messages: DataFrame, day: dt.date | str, approx_rsd: float | None = None) -> DataFrame:
     """Per receiver and day: messages received and distinct senders.
 
     The demographics are the ones on the message row, i.e. the sender's, so a
@@ -70,12 +76,12 @@ def messages_received(messages: DataFrame, day: dt.date | str) -> DataFrame:
         .groupBy(F.col("reciever_id").alias("users"), F.to_date("time").alias("event_date"), *DEMOGRAPHICS)
         .agg(
             F.count("reciever_id").alias("messages_received"),
-            F.count_distinct("user_id").alias("users_received"),
+            distinct_count("user_id", approx_rsd).alias("users_received"),
         )
     )
 
 
-def message_user_day(messages: DataFrame, day: dt.date | str) -> DataFrame:
+def message_user_day(messages: DataFrame, day: dt.date | str, approx_rsd: float | None = None) -> DataFrame:
     """Sent and received rollups joined on the user only (faithful form).
 
     The two sides are joined on ``users`` alone; date and demographics come from
@@ -84,8 +90,8 @@ def message_user_day(messages: DataFrame, day: dt.date | str) -> DataFrame:
     sent measures once per profile.  See ``message_user_day_by_user`` for the form
     keyed on (user, day) with the user's own demographics.
     """
-    t1 = messages_sent(messages, day).alias("t1")
-    t2 = messages_received(messages, day).alias("t2")
+    t1 = messages_sent(messages, day, approx_rsd).alias("t1")
+    t2 = messages_received(messages, day, approx_rsd).alias("t2")
     j = t1.join(t2, F.col("t1.users") == F.col("t2.users"), "full")
     return j.select(
         F.coalesce(F.col("t1.users"), F.col("t2.users")).alias("users"),
@@ -131,10 +137,12 @@ def message_user_day_by_user(messages: DataFrame, day: dt.date | str) -> DataFra
     )
 
 
-def user_activity_day(feed: DataFrame, messages: DataFrame, day: dt.date | str) -> DataFrame:
+def user_activity_day(
+    feed: DataFrame, messages: DataFrame, day: dt.date | str, approx_rsd: float | None = None
+) -> DataFrame:
     """Feed and message measures per (user, day, demographics), missing measures 0."""
     f = feed_user_day(feed, day)
-    m = message_user_day(messages, day)
+    m = message_user_day(messages, day, approx_rsd)
     j = f.join(m, USER_DAY_KEYS, "full")
     zero = F.lit(0).cast("bigint")
     return j.select(
@@ -183,6 +191,8 @@ def dimension_report(activity: DataFrame, dimension: str) -> DataFrame:
     return agg.select("event_date", F.lit(dimension).alias("dimension"), value.alias("dimension_value"), *CUBE_MEASURES)
 
 
-def daily_metrics_cube(feed: DataFrame, messages: DataFrame, day: dt.date | str) -> DataFrame:
+def daily_metrics_cube(
+    feed: DataFrame, messages: DataFrame, day: dt.date | str, approx_rsd: float | None = None
+) -> DataFrame:
     """The daily ETL: activity for ``day`` rolled up into the metric cube."""
-    return metrics_cube(user_activity_day(feed, messages, day))
+    return metrics_cube(user_activity_day(feed, messages, day, approx_rsd))

@@ -54,7 +54,7 @@ def feed_15min(feed: DataFrame, now: dt.datetime | str) -> DataFrame:
         "views",
         "likes",
         F.try_divide(F.col("likes"), F.col("views").cast("double")).alias("CTR"),
-    )
+    ).orderBy("date_time")
 
 
 def messages_15min(messages: DataFrame, now: dt.datetime | str) -> DataFrame:
@@ -64,7 +64,7 @@ def messages_15min(messages: DataFrame, now: dt.datetime | str) -> DataFrame:
     )
     return b.select(
         "date_time", F.to_date("date_time").alias("date"), hhmm("date_time").alias("timeHM"), "users_mes", "messages_cnt"
-    )
+    ).orderBy("date_time")
 
 
 def metric_series(feed: DataFrame, messages: DataFrame, now: dt.datetime | str) -> DataFrame:

@@ -32,6 +32,7 @@ def feed_daily(feed: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
             F.count_if(F.col("action") == "view").alias("views"),
         )
         .withColumn("CTR", F.try_divide(F.col("likes"), F.col("views").cast("double")))
+        .orderBy("date")
     )
 
 
@@ -56,7 +57,7 @@ def dau_total(feed: DataFrame, messages: DataFrame, as_of: dt.date | str, days:
     """
     first, last = report_window(as_of, days)
     both = _user_days(feed, first, last).unionByName(_user_days(messages, first, last))
-    return both.groupBy("date").agg(F.count_distinct("user_id").alias("users"))
+    return both.groupBy("date").agg(F.count_distinct("user_id").alias("users")).orderBy("date")
 
 
 def dau_both(feed: DataFrame, messages: DataFrame, as_of: dt.date | str, days: int = 8) -> DataFrame:
@@ -68,7 +69,7 @@ def dau_both(feed: DataFrame, messages: DataFrame, as_of: dt.date | str, days: i
     first, last = report_window(as_of, days)
     f = _user_days(feed, first, last).distinct()
     m = _user_days(messages, first, last).distinct()
-    return f.join(m, ["user_id", "date"], "left_semi").groupBy("date").agg(F.count(F.lit(1)).alias("DAU"))
+    return f.join(m, ["user_id", "date"], "left_semi").groupBy("date").agg(F.count(F.lit(1)).alias("DAU")).orderBy("date")
 
 
 def report_daily(feed: DataFrame, as_of: dt.date | str, days: int = 8) -> DataFrame:

@@ -8,25 +8,46 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.functions.ranking import running_totals
+from feedlens.functions.ranking import exact_percentiles_linear, running_totals
 
 
-def histogram(df: DataFrame, value_col: str, bins: int = 10, keys: Sequence[str] = ()) -> DataFrame:
+def auto_bins(v: DataFrame, value_col: str):
+    """numpy's "auto" bin count (seaborn's default) as a scalar column: the
+    smaller of the Sturges and Freedman-Diaconis widths, over all groups."""
+    rng = v.agg(F.min(value_col).alias("lo"), F.max(value_col).alias("hi"), F.count(F.lit(1)).alias("n"))
+    lo, hi, n = (rng.select(c).scalar() for c in ("lo", "hi", "n"))
+    quart = exact_percentiles_linear(v, value_col, [0.25, 0.75]).select((F.col("p_1") - F.col("p_0")).alias("iqr"))
+    q = quart.scalar()
+    ptp = hi - lo
+    sturges = ptp / (F.log2(n.cast("double")) + F.lit(1.0))
+    fd = F.lit(2.0) * q * F.pow(n.cast("double"), F.lit(-1.0 / 3.0))
+    width = F.when(fd > 0, F.least(fd, sturges)).otherwise(sturges)
+    return F.when(ptp > 0, F.ceil(ptp / width)).otherwise(F.lit(1)).cast("int")
+
+
+def histogram(df: DataFrame, value_col: str, bins: int | str = 10, keys: Sequence[str] = ()) -> DataFrame:
     """Equal-width bins over the global min..max, shared by all key groups.
 
     bin = min(floor((v - min) * bins / (max - min)), bins - 1); the maximum falls
-    in the last bin.  Returns (keys, bin, bin_lo, bin_hi, count) for non-empty bins.
+    in the last bin.  ``bins="auto"`` picks numpy's automatic bin count.
+    Returns (keys, bin, bin_lo, bin_hi, count) for non-empty bins.
     """
     v = df.where(F.col(value_col).isNotNull())
     rng = v.agg(F.min(value_col).alias("lo"), F.max(value_col).alias("hi"))
     lo = rng.select("lo").scalar()
     hi = rng.select("hi").scalar()
     width = hi - lo
+    if bins == "auto":
+        nb = auto_bins(v, value_col)
+    elif isinstance(bins, int):
+        nb = F.lit(bins)
+    else:
+        raise ValueError(f"bins must be an int or 'auto', not {bins!r}")
     idx = F.when(width == 0, F.lit(0)).otherwise(
-        F.least(F.floor((F.col(value_col) - lo) * F.lit(float(bins)) / width), F.lit(bins - 1))
+        F.least(F.floor((F.col(value_col) - lo) * nb.cast("double") / width), nb - 1)
     )
     counts = v.groupBy(*keys, idx.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    step = width / F.lit(float(bins))
+    step = width / nb.cast("double")
     return counts.select(
         *keys,
         "bin",

@@ -76,21 +76,33 @@ def linearized_likes(uc: DataFrame, control: int) -> DataFrame:
     )
 
 
-def with_bucket(uc: DataFrame, n_buckets: int = 50, salt: str = "bucket") -> DataFrame:
-    """Adds bucket = md5("<user_id>-<salt>") mod n_buckets."""
+def with_bucket(uc: DataFrame, n_buckets: int = 50, salt: str = "bucket", hash_fn: str = "md5") -> DataFrame:
+    """Adds the user's bucket.
+
+    ``hash_fn="md5"``: md5("<user_id>-<salt>") mod n_buckets (re-computable in
+    any SQL engine).  ``hash_fn="xxhash64"``: pmod(xxhash64(user_id), n) - the
+    same role as a 64-bit xxHash bucket, but Spark's xxhash64 is seeded, so the
+    bucket numbers differ from other engines'.
+    """
+    if hash_fn == "xxhash64":
+        return uc.withColumn("bucket", F.pmod(F.xxhash64("user_id"), F.lit(n_buckets)))
+    if hash_fn != "md5":
+        raise ValueError(f"unknown hash_fn {hash_fn!r}")
     return uc.withColumn("bucket", md5_mod(split_key("user_id", salt), n_buckets))
 
 
-def bucket_sums(uc: DataFrame, n_buckets: int = 50, salt: str = "bucket") -> DataFrame:
+def bucket_sums(uc: DataFrame, n_buckets: int = 50, salt: str = "bucket", hash_fn: str = "md5") -> DataFrame:
     """Per (exp_group, bucket): bucket_ctr = sum(likes) / sum(views)."""
-    return with_bucket(uc, n_buckets, salt).groupBy("exp_group", "bucket").agg(
+    return with_bucket(uc, n_buckets, salt, hash_fn).groupBy("exp_group", "bucket").agg(
         F.try_divide(F.sum("likes"), F.sum("views").cast("double")).alias("bucket_ctr")
     )
 
 
-def bucket_ctr(uc: DataFrame, n_buckets: int = 50, salt: str = "bucket", q: float = 0.9) -> DataFrame:
+def bucket_ctr(
+    uc: DataFrame, n_buckets: int = 50, salt: str = "bucket", q: float = 0.9, hash_fn: str = "md5"
+) -> DataFrame:
     """Per (exp_group, bucket): sum(likes) / sum(views) and the exact 0.9
     quantile (index rule) of the user CTRs in the bucket."""
-    sums = bucket_sums(uc, n_buckets, salt)
-    q9 = exact_quantile(with_bucket(uc, n_buckets, salt), "ctr", q, ["exp_group", "bucket"], "ctr9")
+    sums = bucket_sums(uc, n_buckets, salt, hash_fn)
+    q9 = exact_quantile(with_bucket(uc, n_buckets, salt, hash_fn), "ctr", q, ["exp_group", "bucket"], "ctr9")
     return sums.join(q9, ["exp_group", "bucket"], "left")

@@ -53,10 +53,14 @@ def weekly_status(feed: DataFrame, as_of: dt.date | str) -> DataFrame:
     return active.unionByName(lost)
 
 
-def retention(feed: DataFrame, as_of: dt.date | str) -> DataFrame:
-    """Signed user counts per (this_week, prev_week, user_status)."""
+def retention(feed: DataFrame, as_of: dt.date | str, approx_rsd: float | None = None) -> DataFrame:
+    """Signed user counts per (this_week, prev_week, user_status), ordered by week.
+
+    Each (user, week) appears once, so the exact count is a row count;
+    ``approx_rsd`` switches to a HyperLogLog++ estimate.
+    """
     st = weekly_status(feed, as_of)
-    n = F.count(F.lit(1))
+    n = F.count(F.lit(1)) if approx_rsd is None else F.approx_count_distinct("user_id", approx_rsd)
     return st.groupBy("this_week", "prev_week", "user_status").agg(
         F.when(F.col("user_status") == "lost", -n).otherwise(n).cast("bigint").alias("num_users")
-    )
+    ).orderBy("this_week", "user_status")

@@ -252,6 +252,10 @@ def build(p: Params = DEFAULT) -> dict[str, Query]:
     def _(feed, msgs, spark):
         return _aa(feed)
 
+    @reg("pvalue_histogram")
+    def _(feed, msgs, spark):
+        return distribution.histogram(_aa(feed), "p_value", p.pvalue_bins)
+
     @reg("aa_false_positive_rate")
     def _(feed, msgs, spark):
         return resample.aa_false_positive_rate(_aa(feed), p.p_alpha)

@@ -27,7 +27,8 @@ class Params:
     n_buckets: int = 10
     bucket_salt: str = "bucket"
     bucket_q: float = 0.9
-    hist_bins: int = 10
+    hist_bins: str = "auto"  # seaborn histplot default
+    pvalue_bins: int = 10  # pandas Series.hist default
     alert_a: float = 5.0
     alert_n: int = 5
     p_alpha: float = 0.05

@@ -72,12 +72,19 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def read_feed_actions(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return check_columns(spark.read.format(fmt).load(path), FEED_SCHEMA, "feed_actions")
+def _load(spark: SparkSession, path: str | None, fmt: str, options: dict) -> DataFrame:
+    r = spark.read.format(fmt).options(**options)
+    return r.load(path) if path is not None else r.load()
 
 
-def read_message_actions(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return check_columns(spark.read.format(fmt).load(path), MESSAGE_SCHEMA, "message_actions")
+def read_feed_actions(spark: SparkSession, path: str | None = None, fmt: str = "parquet", **options) -> DataFrame:
+    """Load feed_actions from any Spark source (parquet, orc, a table over JDBC
+    with ``fmt="jdbc", url=..., dbtable=...``) and check its columns."""
+    return check_columns(_load(spark, path, fmt, options), FEED_SCHEMA, "feed_actions")
+
+
+def read_message_actions(spark: SparkSession, path: str | None = None, fmt: str = "parquet", **options) -> DataFrame:
+    return check_columns(_load(spark, path, fmt, options), MESSAGE_SCHEMA, "message_actions")
 
 
 def _os(user_id: Column) -> Column:
