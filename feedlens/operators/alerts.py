@@ -22,6 +22,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedlens.functions.numeric import round_half_up
 from feedlens.functions.time import as_datetime, floor_15min, floor_15min_py, hhmm, time_range
 
 FEED_METRICS = ["users_feed", "views", "likes", "CTR"]
@@ -132,8 +133,8 @@ def anomaly_alerts(feed: DataFrame, messages: DataFrame, now: dt.datetime | str,
         F.format_string(
             "ALERT: metric %s has an abnormal value: current %.2f, deviation %s",
             F.col("metric"),
-            F.col("value"),
-            F.coalesce(F.format_string("%.2f%%", F.col("deviation") * 100.0), F.lit("n/a")),
+            round_half_up(F.col("value"), 2),
+            F.coalesce(F.format_string("%.2f%%", round_half_up(F.col("deviation") * 100.0, 2)), F.lit("n/a")),
         ),
     )
     return out.withColumn("msg", msg)

@@ -13,6 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedlens.functions.numeric import round_half_up
 from feedlens.functions.time import as_date, day_range
 
 
@@ -97,25 +98,25 @@ def report_daily(feed: DataFrame, as_of: dt.date | str, days: int = 8) -> DataFr
         "dau",
         "views",
         "likes",
-        F.coalesce(F.col("ctr"), F.lit(0.0)),
+        round_half_up(F.coalesce(F.col("ctr"), F.lit(0.0)), 2),
         "dau_window",
         "views_window",
         "likes_window",
-        F.coalesce(F.col("ctr_window"), F.lit(0.0)),
+        round_half_up(F.coalesce(F.col("ctr_window"), F.lit(0.0)), 2),
     )
     return row.select(F.lit(y).alias("report_date"), "*", msg.alias("msg"))
 
 
 def week_over_week(series: DataFrame, name: str, date_col: str, value_col: str) -> DataFrame:
     """First and last value of a daily series and the change in percent,
-    rounded to 2 places: round((last - first) / first * 100, 2)."""
+    rounded half up to 2 places: (last - first) / first * 100."""
     agg = series.agg(
         F.min(date_col).alias("first_date"),
         F.max(date_col).alias("last_date"),
         F.min_by(value_col, date_col).cast("bigint").alias("first_value"),
         F.max_by(value_col, date_col).cast("bigint").alias("last_value"),
     )
-    pct = F.round(
+    pct = round_half_up(
         F.try_divide((F.col("last_value") - F.col("first_value")).cast("double"), F.col("first_value")) * 100.0, 2
     )
     return agg.select(F.lit(name).alias("series"), "*", pct.alias("pct_change"))

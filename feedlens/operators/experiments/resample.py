@@ -16,6 +16,11 @@ from feedlens.functions.hashing import md5_u32, poisson1_weight
 from feedlens.operators.experiments.tests import welch_ttest
 
 
+def _ids(n: int):
+    """0 .. n-1 as BIGINT, one row per id after explode."""
+    return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
+
+
 def _draw_key(rep_col: str, salt: str):
     return F.concat_ws("-", F.col("user_id").cast("string"), F.col(rep_col).cast("string"), F.lit(salt))
 
@@ -28,7 +33,7 @@ def aa_samples(uc: DataFrame, a: int, b: int, n_sims: int, k: int, salt: str = "
     WindowGroupLimit before the shuffle).
     """
     users = uc.where(F.col("exp_group").isin(a, b) & F.col("ctr").isNotNull()).select("exp_group", "user_id", "ctr")
-    sims = users.withColumn("sim_id", F.explode(F.sequence(F.lit(0), F.lit(n_sims - 1))))
+    sims = users.withColumn("sim_id", _ids(n_sims))
     sims = sims.withColumn("_rk", F.md5(_draw_key("sim_id", salt)))
     w = Window.partitionBy("sim_id", "exp_group").orderBy("_rk", "user_id")
     return sims.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn", "_rk")
@@ -59,7 +64,7 @@ def aa_false_positive_rate(aa: DataFrame, alpha: float = 0.05) -> DataFrame:
 def poisson_bootstrap(uc: DataFrame, a: int, b: int, n_bootstrap: int = 2000, salt: str = "boot") -> DataFrame:
     """Global CTR of each group in each Poisson(1)-weighted replicate."""
     users = uc.where(F.col("exp_group").isin(a, b)).select("exp_group", "user_id", "likes", "views")
-    reps = users.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(n_bootstrap - 1))))
+    reps = users.withColumn("replicate", _ids(n_bootstrap))
     w = poisson1_weight(md5_u32(_draw_key("replicate", salt)))
     reps = reps.withColumn("_w", w)
     return reps.groupBy("replicate", "exp_group").agg(

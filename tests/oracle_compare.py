@@ -55,6 +55,22 @@ def canon(df: pd.DataFrame) -> list[tuple]:
     return sorted(rows, key=lambda r: tuple((x is None, str(type(x)), x if x is not None else 0) for x in r))
 
 
+SPARK_TO_DUCK = {
+    "IntegerType()": "INTEGER",
+    "LongType()": "BIGINT",
+    "DoubleType()": "DOUBLE",
+    "StringType()": "VARCHAR",
+    "DateType()": "DATE",
+    "TimestampNTZType()": "TIMESTAMP",
+}
+
+
+def type_mismatches(spark_schema, duck_rel) -> dict:
+    s = {f.name: SPARK_TO_DUCK.get(str(f.dataType), str(f.dataType)) for f in spark_schema.fields}
+    d = {c: str(t) for c, t in zip(duck_rel.columns, duck_rel.types)}
+    return {c: (s.get(c), d.get(c)) for c in set(s) | set(d) if s.get(c) != d.get(c)}
+
+
 def compare(spark_df: pd.DataFrame, oracle_df: pd.DataFrame) -> tuple[bool, str]:
     if sorted(spark_df.columns) != sorted(oracle_df.columns):
         return False, f"columns differ: {sorted(spark_df.columns)} vs {sorted(oracle_df.columns)}"
@@ -79,7 +95,8 @@ def run(sf_dir: str, names: list[str] | None = None) -> dict[str, tuple[bool, st
     for name in names or sorted(qs):
         t0 = time.time()
         try:
-            sdf = qs[name](spark, sf_dir).toPandas()
+            sq = qs[name](spark, sf_dir)
+            sdf = sq.toPandas()
         except Exception as e:  # noqa: BLE001
             out[name] = (False, f"spark error: {str(e)[:400]}")
             print(name, out[name], flush=True)
@@ -91,6 +108,9 @@ def run(sf_dir: str, names: list[str] | None = None) -> dict[str, tuple[bool, st
             try:
                 odf = con.execute(sql[name]).df()
                 out[name] = compare(sdf, odf)
+                bad_types = type_mismatches(sq.schema, con.sql(sql[name]))
+                if out[name][0] and bad_types:
+                    out[name] = (False, f"types differ: {bad_types}")
             except Exception as e:  # noqa: BLE001
                 out[name] = (False, f"oracle error: {str(e)[:400]}")
         print(f"{name:28s} {'OK ' if out[name][0] else 'BAD'} spark {t1 - t0:5.2f}s  {out[name][1]}", flush=True)

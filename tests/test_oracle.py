@@ -2,7 +2,7 @@
 
 import pytest
 
-from tests.oracle_compare import compare, duck
+from tests.oracle_compare import compare, duck, type_mismatches
 
 SF = "/root/testdata/sf0.01"
 
@@ -28,10 +28,12 @@ def _names():
 @pytest.mark.parametrize("name", _names())
 def test_query_matches_oracle(spark, registry, con, name):
     qs, sql = registry
-    got = qs[name](spark, SF).toPandas()
+    df = qs[name](spark, SF)
+    got = df.toPandas()
     want = con.execute(sql[name]).df()
     ok, why = compare(got, want)
     assert ok, why
+    assert not type_mismatches(df.schema, con.sql(sql[name]))
 
 
 def test_every_query_runs_and_entry(spark, registry):
