@@ -131,3 +131,23 @@ def test_exact_quantile_index_rule(spark):
     for g in range(3):
         vals = sorted(float(v) for v in range(g * 7 + 3))
         assert got[g] == vals[int(math.floor(len(vals) * 0.5))]
+
+
+def test_oracle_t_integral_agrees_with_udf_tail():
+    import duckdb
+
+    from feedlens.plans.oracle import normal_pvalue_cte, t_pvalue_cte
+
+    rng = np.random.default_rng(0)
+    ts = np.concatenate([rng.normal(0, 3, 300), [0.0, 5.0, 30.0, -12.0]])
+    vs = np.concatenate([rng.uniform(1.0, 3.0, 100), rng.uniform(3, 60, 100), rng.uniform(60, 5000, 100), [1.0, 2.0, 4.5, 1000.0]])
+    con = duckdb.connect()
+    con.execute(
+        "CREATE TABLE src AS SELECT * FROM (SELECT unnest(?) AS t_stat, unnest(?) AS dof, unnest(?) AS z, unnest(range(?)) AS k)",
+        [ts.tolist(), vs.tolist(), ts.tolist(), len(ts)],
+    )
+    got = np.array([r[1] for r in con.execute("WITH " + t_pvalue_cte("tp", "src", ["k"]) + " SELECT k, p_value FROM tp ORDER BY k").fetchall()])
+    assert np.abs(got - stats.t_sf2(ts, vs)).max() < 1e-9
+    got = np.array([r[1] for r in con.execute("WITH " + normal_pvalue_cte("np", "src", ["k"]) + " SELECT k, p_value FROM np ORDER BY k").fetchall()])
+    want = np.minimum(1.0, stats.normal_sf2(ts))
+    assert np.abs(got - want).max() < 1e-9
