@@ -42,8 +42,9 @@ def running_totals(
     max_rows: int | None = None,
 ) -> DataFrame:
     """Add ``<w>_below`` = sum of ``w`` over rows with the same ``keys`` and a
-    strictly smaller numeric ``order_col``.  ``(keys, order_col)`` must be
-    unique, as it is after a ``groupBy(keys, order_col)``.
+    strictly smaller numeric ``order_col``, and ``<w>_total`` = sum of ``w``
+    over the key.  ``(keys, order_col)`` must be unique, as it is after a
+    ``groupBy(keys, order_col)``.
 
     ``max_rows``: the caller guarantees the input has at most this many rows
     (a bound that follows from its parameters, e.g. one row per bucket or per
@@ -52,33 +53,46 @@ def running_totals(
     keys = list(keys)
     if max_rows is not None:
         w = Window.partitionBy(*keys).orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
-        return df.select(*df.columns, *[F.coalesce(F.sum(x).over(w), F.lit(0)).alias(f"{x}_below") for x in weights])
+        whole = Window.partitionBy(*keys)
+        return df.select(
+            *df.columns,
+            *[F.coalesce(F.sum(x).over(w), F.lit(0)).alias(f"{x}_below") for x in weights],
+            *[F.sum(x).over(whole).alias(f"{x}_total") for x in weights],
+        )
     v = F.col(order_col).cast("double")
-    rng = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi"), F.count(F.lit(1)).alias("n"))
-    lo, hi, n = (rng.select(c).scalar() for c in ("lo", "hi", "n"))
+    rng = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi"))
+    lo, hi = rng.select("lo").scalar(), rng.select("hi").scalar()
     fine = F.when(hi > lo, F.least(F.floor((v - lo) / (hi - lo) * F.lit(float(n_fine))), F.lit(n_fine - 1)))
     tagged = df.withColumn("_fine", F.coalesce(fine, F.lit(0)).cast("int"))
 
     hist = tagged.groupBy(*keys, "_fine").agg(
         F.count(F.lit(1)).alias("_h_rows"), *[F.sum(w).alias(f"_h_{w}") for w in weights]
     )
+    # at most n_fine rows per key: ordered windows over the histogram are cheap
     before = Window.partitionBy(*keys).orderBy("_fine").rowsBetween(Window.unboundedPreceding, -1)
-    per_chunk = F.greatest(F.ceil(n / F.lit(_n_parts(df, n_parts))), F.lit(1))
+    whole = Window.partitionBy(*keys)
+    per_chunk = F.greatest(F.ceil(F.sum("_h_rows").over(whole) / F.lit(_n_parts(df, n_parts))), F.lit(1))
     hist = hist.select(
         *keys,
         "_fine",
         F.floor(F.coalesce(F.sum("_h_rows").over(before), F.lit(0)) / per_chunk).alias("_chunk"),
         *[F.coalesce(F.sum(f"_h_{w}").over(before), F.lit(0)).alias(f"_cb_{w}") for w in weights],
+        *[F.sum(f"_h_{w}").over(whole).alias(f"{w}_total") for w in weights],
     )
     chunk = Window.partitionBy(*keys, "_chunk")
     mapping = hist.select(
-        *keys, "_fine", "_chunk", *[F.min(f"_cb_{w}").over(chunk).alias(f"_off_{w}") for w in weights]
+        *keys,
+        "_fine",
+        "_chunk",
+        *[F.min(f"_cb_{w}").over(chunk).alias(f"_off_{w}") for w in weights],
+        *[f"{w}_total" for w in weights],
     )
     inside = Window.partitionBy(*keys, "_chunk").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
     out = tagged.join(mapping, [*keys, "_fine"], "inner")
     return out.select(
         *df.columns,
         *[(F.col(f"_off_{w}") + F.coalesce(F.sum(w).over(inside), F.lit(0))).alias(f"{w}_below") for w in weights],
+        *[f"{w}_total" for w in weights],
     )
 
 
@@ -103,9 +117,7 @@ def exact_quantile(
         return exact_quantile(df.withColumn("_all", F.lit(0)), value_col, p, ["_all"], out_col, max_rows).drop("_all")
     keys = list(keys)
     counts = df.where(F.col(value_col).isNotNull()).groupBy(*keys, value_col).agg(F.count(F.lit(1)).alias("_cnt"))
-    ranked = running_totals(counts, value_col, ["_cnt"], keys, max_rows=max_rows)
-    sizes = counts.groupBy(*keys).agg(F.sum("_cnt").alias("_n"))
-    with_n = ranked.join(sizes, keys, "inner")
+    with_n = running_totals(counts, value_col, ["_cnt"], keys, max_rows=max_rows).withColumnRenamed("_cnt_total", "_n")
     target = F.floor(F.col("_n") * F.lit(float(p)))
     target = F.least(target, F.col("_n") - 1)
     hit = (F.col("_cnt_below") <= target) & (target < F.col("_cnt_below") + F.col("_cnt"))
@@ -129,10 +141,8 @@ def exact_percentiles_linear(
         return exact_percentiles_linear(df.withColumn("_all", F.lit(0)), value_col, ps, ["_all"], max_rows).drop("_all")
     keys = list(keys)
     counts = df.where(F.col(value_col).isNotNull()).groupBy(*keys, value_col).agg(F.count(F.lit(1)).alias("_cnt"))
-    ranked = running_totals(counts, value_col, ["_cnt"], keys, max_rows=max_rows)
-    sizes = counts.groupBy(*keys).agg(F.sum("_cnt").alias("_n"))
+    j = running_totals(counts, value_col, ["_cnt"], keys, max_rows=max_rows).withColumnRenamed("_cnt_total", "_n")
     lo, hi = F.col("_cnt_below"), F.col("_cnt_below") + F.col("_cnt")
-    j = ranked.join(sizes, keys, "inner")
     parts, covers = [], []
     for i, p in enumerate(ps):
         h = (F.col("_n") - 1).cast("double") * F.lit(float(p))

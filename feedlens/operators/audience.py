@@ -46,31 +46,41 @@ def dau_feed(feed: DataFrame, as_of: dt.date | str, days: int = 8) -> DataFrame:
     return feed_daily(feed, *report_window(as_of, days))
 
 
-def _user_days(df: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
-    return df.where(day_range(df, first, last)).select("user_id", F.to_date("time").alias("date"))
+def daily_audience(feed: DataFrame, messages: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
+    """Per day, in one pass: users active anywhere, in the feed, and in both tables.
 
+    Both tables are reduced to (day, user) with an "in feed" and an "in
+    messenger" flag; the partial aggregate removes duplicate user-days before
+    the shuffle, and a second aggregate counts per day.  Each scan gets the
+    date range pushed down.
+    """
+    f = feed.where(day_range(feed, first, last)).select(
+        F.to_date("time").alias("date"), "user_id", F.lit(1).alias("in_feed"), F.lit(0).alias("in_msg")
+    )
+    m = messages.where(day_range(messages, first, last)).select(
+        F.to_date("time").alias("date"), "user_id", F.lit(0).alias("in_feed"), F.lit(1).alias("in_msg")
+    )
+    user_days = f.unionByName(m).groupBy("date", "user_id").agg(
+        F.max("in_feed").alias("in_feed"), F.max("in_msg").alias("in_msg")
+    )
+    return user_days.groupBy("date").agg(
+        F.count(F.lit(1)).alias("users"),
+        F.count_if(F.col("in_feed") == 1).alias("feed_users"),
+        F.count_if((F.col("in_feed") == 1) & (F.col("in_msg") == 1)).alias("both_users"),
+    )
 
-def dau_total(feed: DataFrame, messages: DataFrame, as_of: dt.date | str, days: int = 8) -> DataFrame:
-    """Per day: distinct users active in the feed or the messenger.
 
-    The date filter is applied to both scans (it reaches each parquet scan); the
-    distinct count is planned as a partial (user, date) dedup before the shuffle.
-    """
-    first, last = report_window(as_of, days)
-    both = _user_days(feed, first, last).unionByName(_user_days(messages, first, last))
-    return both.groupBy("date").agg(F.count_distinct("user_id").alias("users")).orderBy("date")
+def dau_total(feed: DataFrame, messages: DataFrame, as_of: dt.date | str, days: int = 8) -> DataFrame:
+    """Per day: distinct users active in the feed or the messenger."""
+    aud = daily_audience(feed, messages, *report_window(as_of, days))
+    return aud.select("date", "users").orderBy("date")
 
 
 def dau_both(feed: DataFrame, messages: DataFrame, as_of: dt.date | str, days: int = 8) -> DataFrame:
-    """Per day: users active in both the feed and the messenger that day.
-
-    Each side is reduced to distinct (user, date) first, then intersected
-    (a semi join on both columns) - no many-to-many join of raw events.
-    """
-    first, last = report_window(as_of, days)
-    f = _user_days(feed, first, last).distinct()
-    m = _user_days(messages, first, last).distinct()
-    return f.join(m, ["user_id", "date"], "left_semi").groupBy("date").agg(F.count(F.lit(1)).alias("DAU")).orderBy("date")
+    """Per day: users active in both the feed and the messenger that day
+    (days without such a user are absent, as with an inner join)."""
+    aud = daily_audience(feed, messages, *report_window(as_of, days))
+    return aud.where(F.col("both_users") > 0).select("date", F.col("both_users").alias("DAU")).orderBy("date")
 
 
 def report_daily(feed: DataFrame, as_of: dt.date | str, days: int = 8) -> DataFrame:
@@ -107,10 +117,10 @@ def report_daily(feed: DataFrame, as_of: dt.date | str, days: int = 8) -> DataFr
     return row.select(F.lit(y).alias("report_date"), "*", msg.alias("msg"))
 
 
-def week_over_week(series: DataFrame, name: str, date_col: str, value_col: str) -> DataFrame:
-    """First and last value of a daily series and the change in percent,
+def week_over_week(series: DataFrame, keys: list[str], date_col: str, value_col: str) -> DataFrame:
+    """First and last value of each daily series and the change in percent,
     rounded half up to 2 places: (last - first) / first * 100."""
-    agg = series.agg(
+    agg = series.groupBy(*keys).agg(
         F.min(date_col).alias("first_date"),
         F.max(date_col).alias("last_date"),
         F.min_by(value_col, date_col).cast("bigint").alias("first_value"),
@@ -119,16 +129,19 @@ def week_over_week(series: DataFrame, name: str, date_col: str, value_col: str)
     pct = round_half_up(
         F.try_divide((F.col("last_value") - F.col("first_value")).cast("double"), F.col("first_value")) * 100.0, 2
     )
-    return agg.select(F.lit(name).alias("series"), "*", pct.alias("pct_change"))
+    return agg.select("*", pct.alias("pct_change"))
 
 
 def report_week_over_week(feed: DataFrame, messages: DataFrame, as_of: dt.date | str, days: int = 8) -> DataFrame:
-    """Week-over-week change of total DAU, feed DAU and both-table DAU."""
-    return (
-        week_over_week(dau_total(feed, messages, as_of, days), "total", "date", "users")
-        .unionByName(week_over_week(dau_feed(feed, as_of, days), "feed", "date", "DAU"))
-        .unionByName(week_over_week(dau_both(feed, messages, as_of, days), "both", "date", "DAU"))
-    )
+    """Week-over-week change of total DAU, feed DAU and both-table DAU.
+
+    The three series come from one ``daily_audience`` pass; a day where a
+    series has no user is not part of that series.
+    """
+    aud = daily_audience(feed, messages, *report_window(as_of, days))
+    long = aud.unpivot("date", ["users", "feed_users", "both_users"], "_col", "value").where(F.col("value") > 0)
+    name = F.when(F.col("_col") == "users", "total").when(F.col("_col") == "feed_users", "feed").otherwise("both")
+    return week_over_week(long.withColumn("series", name), ["series"], "date", "value")
 
 
 def approx_uniques(feed: DataFrame, as_of: dt.date | str, days: int = 8, rsd: float = 0.05) -> DataFrame:

@@ -11,11 +11,15 @@ from pyspark.sql import functions as F
 from feedlens.functions.ranking import exact_percentiles_linear, running_totals
 
 
-def auto_bins(v: DataFrame, value_col: str):
+def _range(v: DataFrame, value_col: str):
+    rng = v.agg(F.min(value_col).alias("lo"), F.max(value_col).alias("hi"), F.count(F.lit(1)).alias("n"))
+    return tuple(rng.select(c).scalar() for c in ("lo", "hi", "n"))
+
+
+def auto_bins(v: DataFrame, value_col: str, stats=None):
     """numpy's "auto" bin count (seaborn's default) as a scalar column: the
     smaller of the Sturges and Freedman-Diaconis widths, over all groups."""
-    rng = v.agg(F.min(value_col).alias("lo"), F.max(value_col).alias("hi"), F.count(F.lit(1)).alias("n"))
-    lo, hi, n = (rng.select(c).scalar() for c in ("lo", "hi", "n"))
+    lo, hi, n = stats or _range(v, value_col)
     quart = exact_percentiles_linear(v, value_col, [0.25, 0.75]).select((F.col("p_1") - F.col("p_0")).alias("iqr"))
     q = quart.scalar()
     ptp = hi - lo
@@ -33,12 +37,11 @@ def histogram(df: DataFrame, value_col: str, bins: int | str = 10, keys: Sequenc
     Returns (keys, bin, bin_lo, bin_hi, count) for non-empty bins.
     """
     v = df.where(F.col(value_col).isNotNull())
-    rng = v.agg(F.min(value_col).alias("lo"), F.max(value_col).alias("hi"))
-    lo = rng.select("lo").scalar()
-    hi = rng.select("hi").scalar()
+    stats = _range(v, value_col)
+    lo, hi, _ = stats
     width = hi - lo
     if bins == "auto":
-        nb = auto_bins(v, value_col)
+        nb = auto_bins(v, value_col, stats)
     elif isinstance(bins, int):
         nb = F.lit(bins)
     else:
