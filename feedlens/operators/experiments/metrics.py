@@ -106,3 +106,21 @@ def bucket_ctr(
     sums = bucket_sums(uc, n_buckets, salt, hash_fn)
     q9 = exact_quantile(with_bucket(uc, n_buckets, salt, hash_fn), "ctr", q, ["exp_group", "bucket"], "ctr9")
     return sums.join(q9, ["exp_group", "bucket"], "left")
+
+
+def group_moments(uc: DataFrame) -> DataFrame:
+    """Per experiment group, everything the CTR and linearized-likes tests need
+    (one aggregate; one row per group)."""
+    return uc.groupBy("exp_group").agg(
+        F.count("ctr").alias("n_ctr"),
+        F.avg("ctr").alias("mean_ctr"),
+        F.var_samp("ctr").alias("var_ctr"),
+        F.count(F.lit(1)).alias("n"),
+        F.sum("likes").alias("sum_likes"),
+        F.sum("views").alias("sum_views"),
+        F.avg("likes").alias("mean_likes"),
+        F.avg("views").alias("mean_views"),
+        F.var_samp("likes").alias("var_likes"),
+        F.var_samp("views").alias("var_views"),
+        F.covar_samp("likes", "views").alias("cov_lv"),
+    )

@@ -123,3 +123,57 @@ def prob_a_gt_b(df: DataFrame, group_col: str, value_col: str, a, b, keys: Seque
         "n_b",
         F.try_divide(F.col("_wins"), (F.col("n_a") * F.col("n_b")).cast("double")).alias("prob_a_gt_b"),
     )
+
+
+def linearized_ttests(uc: DataFrame, pairs: Sequence[tuple[int, int]]) -> DataFrame:
+    """Welch tests of CTR and of linearized likes for each (control, test) pair.
+
+    linearized_likes = likes - CTR_control * views, CTR_control = the control
+    group's sum(likes) / sum(views).  Its mean and variance per group follow
+    from the group moments of likes and views:
+    mean = mean_l - c mean_v, var = var_l + c^2 var_v - 2 c cov(l, v),
+    so all tests come from one aggregate over the per-user table.
+    """
+    from feedlens.operators.experiments.metrics import group_moments
+
+    mom = group_moments(uc)
+    cols = [c for c in mom.columns if c != "exp_group"]
+    groups = sorted({g for pair in pairs for g in pair})
+    # one row: every group's moments side by side (the moments have one row per group)
+    wide = mom.where(F.col("exp_group").isin(groups)).agg(
+        *[F.max(F.when(F.col("exp_group") == g, F.col(c))).alias(f"g{g}_{c}") for g in groups for c in cols]
+    )
+
+    def col(g: int, name: str):
+        return F.col(f"g{g}_{name}")
+
+    rows = []
+    for ctrl, test in pairs:
+        c = F.try_divide(col(ctrl, "sum_likes"), col(ctrl, "sum_views").cast("double"))
+
+        def lin(g: int):
+            m = col(g, "mean_likes") - c * col(g, "mean_views")
+            v = col(g, "var_likes") + c * c * col(g, "var_views") - F.lit(2.0) * c * col(g, "cov_lv")
+            return m, v
+
+        for metric in ("ctr", "linearized_likes"):
+            if metric == "ctr":
+                na, nb = col(ctrl, "n_ctr"), col(test, "n_ctr")
+                (ma, va), (mb, vb) = (col(ctrl, "mean_ctr"), col(ctrl, "var_ctr")), (col(test, "mean_ctr"), col(test, "var_ctr"))
+            else:
+                na, nb = col(ctrl, "n"), col(test, "n")
+                (ma, va), (mb, vb) = lin(ctrl), lin(test)
+            t, dof = welch_from_moments(na.cast("double"), ma, va, nb.cast("double"), mb, vb)
+            rows.append(
+                F.struct(
+                    F.lit(metric).alias("metric"),
+                    F.lit(ctrl).alias("group_a"),
+                    F.lit(test).alias("group_b"),
+                    na.alias("n_a"),
+                    nb.alias("n_b"),
+                    t.alias("t_stat"),
+                    dof.alias("dof"),
+                )
+            )
+    out = wide.select(F.inline(F.array(*rows)))
+    return out.withColumn("p_value", t_two_sided_p(F.col("t_stat"), F.col("dof")))

@@ -234,15 +234,8 @@ def build(p: Params = DEFAULT) -> dict[str, Query]:
 
     @reg("linearized_ttest")
     def _(feed, msgs, spark):
-        out = None
-        for ctrl, test in p.lin_pairs:
-            lin = metrics.linearized_likes(_uc(feed, p, (ctrl, test)), ctrl)
-            for metric in ("ctr", "linearized_likes"):
-                t = tests.welch_ttest(lin, "exp_group", metric, ctrl, test).select(
-                    F.lit(metric).alias("metric"), "group_a", "group_b", "n_a", "n_b", "t_stat", "dof", "p_value"
-                )
-                out = t if out is None else out.unionByName(t)
-        return out
+        groups = sorted({g for pair in p.lin_pairs for g in pair})
+        return tests.linearized_ttests(_uc(feed, p, groups), p.lin_pairs)
 
     @reg("ctr_histogram")
     def _(feed, msgs, spark):
