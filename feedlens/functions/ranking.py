@@ -26,6 +26,15 @@ from pyspark.sql import functions as F
 N_FINE = 1 << 16
 
 
+def with_stats(df: DataFrame, stats: DataFrame, name: str) -> DataFrame:
+    """Attach a one-row aggregate to every row as a struct column.
+
+    The aggregate is a single scalar subquery (run once, its value shipped to
+    the tasks); later expressions read plain fields of ``name``.
+    """
+    return df.select("*", stats.select(F.struct(*stats.columns)).scalar().alias(name))
+
+
 def _n_parts(df: DataFrame, n_parts: int | None) -> int:
     if n_parts:
         return n_parts
@@ -61,9 +70,9 @@ def running_totals(
         )
     v = F.col(order_col).cast("double")
     rng = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi"))
-    lo, hi = rng.select("lo").scalar(), rng.select("hi").scalar()
+    lo, hi = F.col("_rng.lo"), F.col("_rng.hi")
     fine = F.when(hi > lo, F.least(F.floor((v - lo) / (hi - lo) * F.lit(float(n_fine))), F.lit(n_fine - 1)))
-    tagged = df.withColumn("_fine", F.coalesce(fine, F.lit(0)).cast("int"))
+    tagged = with_stats(df, rng, "_rng").select(*df.columns, F.coalesce(fine, F.lit(0)).cast("int").alias("_fine"))
 
     hist = tagged.groupBy(*keys, "_fine").agg(
         F.count(F.lit(1)).alias("_h_rows"), *[F.sum(w).alias(f"_h_{w}") for w in weights]
@@ -130,15 +139,18 @@ def exact_percentiles_linear(
     ps: Sequence[float],
     keys: Sequence[str] = (),
     max_rows: int | None = None,
+    with_range: bool = False,
 ) -> DataFrame:
     """Exact percentiles with linear interpolation between order statistics
     (numpy's default): h = (n - 1) * p, x[floor h] + frac(h) * (x[floor h + 1] - x[floor h]).
 
     All ``ps`` come from one ranking pass; columns are named ``p_<i>`` in the
-    order of ``ps``.
+    order of ``ps``.  ``with_range`` adds the key's ``lo``, ``hi`` and ``n``.
     """
     if not keys:
-        return exact_percentiles_linear(df.withColumn("_all", F.lit(0)), value_col, ps, ["_all"], max_rows).drop("_all")
+        return exact_percentiles_linear(
+            df.withColumn("_all", F.lit(0)), value_col, ps, ["_all"], max_rows, with_range
+        ).drop("_all")
     keys = list(keys)
     counts = df.where(F.col(value_col).isNotNull()).groupBy(*keys, value_col).agg(F.count(F.lit(1)).alias("_cnt"))
     j = running_totals(counts, value_col, ["_cnt"], keys, max_rows=max_rows).withColumnRenamed("_cnt_total", "_n")
@@ -158,11 +170,16 @@ def exact_percentiles_linear(
     hit = covers[0]
     for c in covers[1:]:
         hit = hit | c
-    agg = j.where(hit).groupBy(*keys).agg(*parts)
+    extra = []
+    if with_range:
+        hit = hit | (F.col("_cnt_below") == 0) | (F.col("_cnt_below") + F.col("_cnt") == F.col("_n"))
+        extra = [F.min(value_col).alias("lo"), F.max(value_col).alias("hi"), F.max("_n").alias("n")]
+    agg = j.where(hit).groupBy(*keys).agg(*parts, *extra)
     return agg.select(
         *keys,
         *[
             (F.col(f"_x0_{i}") + F.col(f"_f_{i}") * (F.col(f"_x1_{i}") - F.col(f"_x0_{i}"))).alias(f"p_{i}")
             for i in range(len(ps))
         ],
+        *(["lo", "hi", "n"] if with_range else []),
     )

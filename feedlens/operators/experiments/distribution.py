@@ -8,56 +8,51 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.functions.ranking import exact_percentiles_linear, running_totals
+from feedlens.functions.ranking import exact_percentiles_linear, running_totals, with_stats
 
 
-def _range(v: DataFrame, value_col: str):
-    rng = v.agg(F.min(value_col).alias("lo"), F.max(value_col).alias("hi"), F.count(F.lit(1)).alias("n"))
-    return tuple(rng.select(c).scalar() for c in ("lo", "hi", "n"))
-
-
-def auto_bins(v: DataFrame, value_col: str, stats=None):
-    """numpy's "auto" bin count (seaborn's default) as a scalar column: the
-    smaller of the Sturges and Freedman-Diaconis widths, over all groups."""
-    lo, hi, n = stats or _range(v, value_col)
-    quart = exact_percentiles_linear(v, value_col, [0.25, 0.75]).select((F.col("p_1") - F.col("p_0")).alias("iqr"))
-    q = quart.scalar()
+def _stats(v: DataFrame, value_col: str, bins: int | str, max_rows: int | None) -> DataFrame:
+    """One row: lo, hi and the bin count nb (numpy's "auto" rule when asked:
+    the smaller of the Sturges and Freedman-Diaconis widths)."""
+    if isinstance(bins, int):
+        return v.agg(F.min(value_col).alias("lo"), F.max(value_col).alias("hi"), F.lit(bins).alias("nb"))
+    if bins != "auto":
+        raise ValueError(f"bins must be an int or 'auto', not {bins!r}")
+    st = exact_percentiles_linear(v, value_col, [0.25, 0.75], max_rows=max_rows, with_range=True)
+    lo, hi, n = F.col("lo"), F.col("hi"), F.col("n").cast("double")
     ptp = hi - lo
-    sturges = ptp / (F.log2(n.cast("double")) + F.lit(1.0))
-    fd = F.lit(2.0) * q * F.pow(n.cast("double"), F.lit(-1.0 / 3.0))
+    sturges = ptp / (F.log2(n) + F.lit(1.0))
+    fd = F.lit(2.0) * (F.col("p_1") - F.col("p_0")) * F.pow(n, F.lit(-1.0 / 3.0))
     width = F.when(fd > 0, F.least(fd, sturges)).otherwise(sturges)
-    return F.when(ptp > 0, F.ceil(ptp / width)).otherwise(F.lit(1)).cast("int")
+    nb = F.when(ptp > 0, F.ceil(ptp / width)).otherwise(F.lit(1)).cast("int")
+    return st.select("lo", "hi", nb.alias("nb"))
 
 
-def histogram(df: DataFrame, value_col: str, bins: int | str = 10, keys: Sequence[str] = ()) -> DataFrame:
+def histogram(
+    df: DataFrame, value_col: str, bins: int | str = 10, keys: Sequence[str] = (), max_rows: int | None = None
+) -> DataFrame:
     """Equal-width bins over the global min..max, shared by all key groups.
 
     bin = min(floor((v - min) * bins / (max - min)), bins - 1); the maximum falls
-    in the last bin.  ``bins="auto"`` picks numpy's automatic bin count.
+    in the last bin.  ``bins="auto"`` picks numpy's automatic bin count;
+    ``max_rows`` is a known bound on the input (see ``running_totals``).
     Returns (keys, bin, bin_lo, bin_hi, count) for non-empty bins.
     """
     v = df.where(F.col(value_col).isNotNull())
-    stats = _range(v, value_col)
-    lo, hi, _ = stats
+    tagged = with_stats(v, _stats(v, value_col, bins, max_rows), "_h")
+    lo, hi, nb = F.col("_h.lo"), F.col("_h.hi"), F.col("_h.nb")
     width = hi - lo
-    if bins == "auto":
-        nb = auto_bins(v, value_col, stats)
-    elif isinstance(bins, int):
-        nb = F.lit(bins)
-    else:
-        raise ValueError(f"bins must be an int or 'auto', not {bins!r}")
     idx = F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col(value_col) - lo) * nb.cast("double") / width), nb - 1)
-    )
-    counts = v.groupBy(*keys, idx.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    ).cast("int")
     step = width / nb.cast("double")
-    return counts.select(
+    binned = tagged.select(
         *keys,
-        "bin",
-        (lo + F.col("bin") * step).alias("bin_lo"),
-        (lo + (F.col("bin") + 1) * step).alias("bin_hi"),
-        "count",
+        idx.alias("bin"),
+        (lo + idx * step).alias("bin_lo"),
+        (lo + (idx + 1) * step).alias("bin_hi"),
     )
+    return binned.groupBy(*keys, "bin", "bin_lo", "bin_hi").agg(F.count(F.lit(1)).alias("count"))
 
 
 def sturges_bins(n: int) -> int:
@@ -72,9 +67,10 @@ def uniform_qq(df: DataFrame, value_col: str, max_rows: int | None = None) -> Da
     """
     v = df.where(F.col(value_col).isNotNull())
     counts = v.groupBy(value_col).agg(F.count(F.lit(1)).alias("_c"))
-    n = v.agg(F.count(F.lit(1))).scalar()
     ranked = running_totals(counts, value_col, ["_c"], max_rows=max_rows)
+    n = F.col("_c_total")
     pos = ranked.select(
+        "_c_total",
         F.col(value_col).alias("osr"),
         F.explode(F.sequence(F.col("_c_below") + 1, F.col("_c_below") + F.col("_c"))).alias("i"),
     )

@@ -36,8 +36,16 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     )
 
 
+_EVENTS: dict[tuple[int, str], DataFrame] = {}
+
+
 def _tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    e = ev.read_events(spark, sf_dir)
+    """The two views over ``events``; the scan relation is built once per
+    session and directory (file listing and footer read happen once)."""
+    key = (id(spark), sf_dir)
+    e = _EVENTS.get(key)
+    if e is None or e.sparkSession is not spark:
+        e = _EVENTS[key] = ev.read_events(spark, sf_dir)
     return ev.feed_actions(e), ev.message_actions(e)
 
 
@@ -241,6 +249,18 @@ def build(p: Params = DEFAULT) -> dict[str, Query]:
     def _(feed, msgs, spark):
         return distribution.histogram(_uc(feed, p, p.ab_groups), "ctr", p.hist_bins, ["exp_group"])
 
+    @reg("bootstrap_diff_histogram")
+    def _(feed, msgs, spark):
+        boot = resample.poisson_bootstrap(_uc(feed, p, p.ab_groups), A, B, p.n_bootstrap, p.boot_salt)
+        # one row per replicate
+        return distribution.histogram(resample.bootstrap_diff(boot, A, B), "diff", p.hist_bins, max_rows=p.n_bootstrap)
+
+    @reg("bucket_ctr_histogram")
+    def _(feed, msgs, spark):
+        b = metrics.bucket_sums(_uc(feed, p, p.ab_groups), p.n_buckets, p.bucket_salt)
+        # one row per (group, bucket)
+        return distribution.histogram(b, "bucket_ctr", p.hist_bins, ["exp_group"], max_rows=2 * p.n_buckets)
+
     def _aa(feed):
         return resample.aa_test(_uc(feed, p, p.aa_groups), AA, AB, p.n_sims, p.k, p.aa_salt)
 
@@ -250,7 +270,7 @@ def build(p: Params = DEFAULT) -> dict[str, Query]:
 
     @reg("pvalue_histogram")
     def _(feed, msgs, spark):
-        return distribution.histogram(_aa(feed), "p_value", p.pvalue_bins)
+        return distribution.histogram(_aa(feed), "p_value", p.pvalue_bins, max_rows=p.n_sims)
 
     @reg("aa_false_positive_rate")
     def _(feed, msgs, spark):
