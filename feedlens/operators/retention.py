@@ -18,7 +18,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedlens.functions.time import as_date, monday_py, to_monday
+from feedlens.functions.time import as_date, day_range, monday_py, to_monday
 
 
 def user_weeks(feed: DataFrame) -> DataFrame:
@@ -28,8 +28,12 @@ def user_weeks(feed: DataFrame) -> DataFrame:
 
 def weekly_status(feed: DataFrame, as_of: dt.date | str) -> DataFrame:
     """One row per (user, this_week) with prev_week and user_status."""
+    return weekly_status_from_weeks(user_weeks(feed), as_of)
+
+
+def weekly_status_from_weeks(uw: DataFrame, as_of: dt.date | str) -> DataFrame:
+    """``weekly_status`` from distinct (user_id, week) rows."""
     next_week = monday_py(as_date(as_of)) + dt.timedelta(days=7)
-    uw = user_weeks(feed)
     w = Window.partitionBy("user_id").orderBy("week")
     seq = uw.select(
         "user_id",
@@ -59,7 +63,42 @@ def retention(feed: DataFrame, as_of: dt.date | str, approx_rsd: float | None =
     Each (user, week) appears once, so the exact count is a row count;
     ``approx_rsd`` switches to a HyperLogLog++ estimate.
     """
-    st = weekly_status(feed, as_of)
+    return _count_status(weekly_status(feed, as_of), approx_rsd)
+
+
+# ---- incremental form -------------------------------------------------------------
+#
+# Retention needs every user's active weeks over the whole history.  Instead of
+# rescanning all raw events each day, keep a compact table of distinct
+# (user_id, event_date) - one row per active user and day - partitioned by day.
+# A daily load adds (or, when retried, replaces) one partition.
+
+
+def write_user_days(feed: DataFrame, path: str, first: dt.date | str | None = None, last: dt.date | str | None = None) -> None:
+    """Write distinct (user_id, event_date) for the days in [first, last] (all
+    days when not given), replacing exactly those day partitions."""
+    f = feed if first is None else feed.where(day_range(feed, first, last if last is not None else first))
+    days = f.select("user_id", F.to_date("time").alias("event_date")).distinct()
+    (
+        days.repartition("event_date")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("event_date")
+        .parquet(path)
+    )
+
+
+def read_user_days(spark, path: str) -> DataFrame:
+    return spark.read.schema("user_id long, event_date date").parquet(path)
+
+
+def retention_from_user_days(user_days: DataFrame, as_of: dt.date | str, approx_rsd: float | None = None) -> DataFrame:
+    """``retention`` computed from the (user_id, event_date) table."""
+    uw = user_days.select("user_id", to_monday("event_date").alias("week")).distinct()
+    return _count_status(weekly_status_from_weeks(uw, as_of), approx_rsd)
+
+
+def _count_status(st: DataFrame, approx_rsd: float | None) -> DataFrame:
     n = F.count(F.lit(1)) if approx_rsd is None else F.approx_count_distinct("user_id", approx_rsd)
     return st.groupBy("this_week", "prev_week", "user_status").agg(
         F.when(F.col("user_status") == "lost", -n).otherwise(n).cast("bigint").alias("num_users")

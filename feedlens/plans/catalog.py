@@ -141,6 +141,13 @@ def build(p: Params = DEFAULT) -> dict[str, Query]:
     def _(feed, msgs, spark):
         return retention.retention(feed, p.as_of)
 
+    @reg("retention_incremental")
+    def _(feed, msgs, spark):
+        # backfill the (user, day) store in one job, then compute retention from it
+        path = shared_dir(spark, "user_days")
+        retention.write_user_days(feed, path)
+        return retention.retention_from_user_days(retention.read_user_days(spark, path), p.as_of)
+
     # ---- alerts ----------------------------------------------------------------
     @reg("feed_15min")
     def _(feed, msgs, spark):

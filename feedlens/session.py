@@ -54,3 +54,22 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder (for written tables)."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "feedlens", *parts, uuid.uuid4().hex)
+
+
+def cluster_settings(largest_shuffle_bytes: int, total_cores: int, target_partition_bytes: int = 200 << 20) -> dict[str, str]:
+    """Suggested settings for a large cluster (apply with ``spark.conf.set``).
+
+    Shuffle partitions are sized so the largest shuffle gives partitions of
+    about ``target_partition_bytes`` (never fewer than two waves of tasks);
+    AQE then coalesces small partitions and splits skewed ones at run time.
+    """
+    parts = max(2 * total_cores, -(-largest_shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.session.timeZone": "UTC",
+    }

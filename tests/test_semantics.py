@@ -148,3 +148,16 @@ def test_metrics_cube_sink_is_idempotent_and_keeps_other_days(spark, tmp_path):
     back = sink.read_metrics_cube(spark, path)
     assert back.count() == c1.count() + c2.count()
     assert back.exceptAll(c1.unionByName(c2)).count() == 0
+
+
+def test_incremental_user_days_give_the_same_retention(spark, tmp_path):
+    e = ev.read_events(spark, "/root/testdata/sf0.01")
+    feed = ev.feed_actions(e)
+    path = str(tmp_path / "user_days")
+    # day by day, with one day loaded twice (retry)
+    for d in range(1, 31):
+        retention.write_user_days(feed, path, dt.date(2024, 1, d))
+    retention.write_user_days(feed, path, dt.date(2024, 1, 15))
+    inc = retention.retention_from_user_days(retention.read_user_days(spark, path), dt.date(2024, 1, 31))
+    full = retention.retention(feed, dt.date(2024, 1, 31))
+    assert sorted(inc.collect()) == sorted(full.collect())
