@@ -47,6 +47,11 @@ def ab_split(id_col: str | Column, salt: str = "exp_mess_1", n_groups: int = 5)
     return md5_mod(split_key(id_col, salt), n_groups)
 
 
+def md5_chunks(hexdigest: Column) -> list[Column]:
+    """The four 32-bit chunks of an md5 hex digest, each a uniform in [0, 2^32)."""
+    return [_chunk(hexdigest, i) for i in range(4)]
+
+
 def md5_u32(key: Column) -> Column:
     """First 32 bits of md5(key) as a BIGINT in [0, 2^32): a uniform draw."""
     return _chunk(F.md5(key), 0)

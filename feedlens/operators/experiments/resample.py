@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedlens.functions.hashing import md5_u32, poisson1_weight
+from feedlens.functions.hashing import md5_chunks, poisson1_weight
 from feedlens.operators.experiments.tests import welch_ttest
 
 
@@ -61,12 +61,34 @@ def aa_false_positive_rate(aa: DataFrame, alpha: float = 0.05) -> DataFrame:
     )
 
 
+DRAWS_PER_DIGEST = 4  # an md5 digest holds four independent 32-bit uniforms
+
+
 def poisson_bootstrap(uc: DataFrame, a: int, b: int, n_bootstrap: int = 2000, salt: str = "boot") -> DataFrame:
-    """Global CTR of each group in each Poisson(1)-weighted replicate."""
+    """Global CTR of each group in each Poisson(1)-weighted replicate.
+
+    The weight of (user, replicate r) is the Poisson(1) inverse CDF of 32-bit
+    chunk r mod 4 of md5("<user>-<r div 4>-<salt>"): one digest per user and
+    block of four replicates.
+    """
     users = uc.where(F.col("exp_group").isin(a, b)).select("exp_group", "user_id", "likes", "views")
-    reps = users.withColumn("replicate", _ids(n_bootstrap))
-    w = poisson1_weight(md5_u32(_draw_key("replicate", salt)))
-    reps = reps.withColumn("_w", w)
+    n_blocks = -(-n_bootstrap // DRAWS_PER_DIGEST)
+    blocks = users.withColumn("_blk", _ids(n_blocks)).withColumn("_h", F.md5(_draw_key("_blk", salt)))
+    draws = blocks.select(
+        "exp_group",
+        "user_id",
+        "likes",
+        "views",
+        "_blk",
+        F.posexplode(F.array(*md5_chunks(F.col("_h")))).alias("_j", "_u32"),
+    )
+    reps = draws.select(
+        "exp_group",
+        "likes",
+        "views",
+        (F.col("_blk") * DRAWS_PER_DIGEST + F.col("_j")).alias("replicate"),
+        poisson1_weight(F.col("_u32")).alias("_w"),
+    ).where(F.col("replicate") < n_bootstrap)
     return reps.groupBy("replicate", "exp_group").agg(
         F.try_divide(F.sum(F.col("_w") * F.col("likes")), F.sum(F.col("_w") * F.col("views")).cast("double")).alias(
             "ctr"
