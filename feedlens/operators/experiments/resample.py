@@ -1,21 +1,26 @@
 """Resampling: A/A simulation and Poisson bootstrap.
 
-Random draws come from md5 of "<user>-<replicate>-<salt>", so each draw is a
-pure function of its key: repeatable, independent of partitioning and retries.
-Replicates are generated per user with ``explode(sequence(...))`` and reduced
-by partial (map-side) aggregation, so the shuffle carries one row per
-(replicate, group) per task, never users x replicates.
+Random draws come from md5 of "<user>-<block>-<salt>": the four 32-bit chunks
+of one digest are the draws of ids 4*block .. 4*block+3.  Each draw is a pure
+function of its key: repeatable, independent of partitioning and retries.
+Ids are generated per user with ``explode(sequence(...))``; the bootstrap is
+reduced by partial (map-side) aggregation, so the shuffle carries one row per
+(replicate, group) per task, never users x replicates; the A/A sampler keeps
+only draws below a per-group threshold (see ``aa_samples``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedlens.functions.hashing import md5_chunks, poisson1_weight
+from feedlens.functions.hashing import TWO_32, md5_chunks, poisson1_weight
 from feedlens.operators.experiments.tests import welch_ttest
 
 
+DRAWS_PER_DIGEST = 4  # an md5 digest holds four independent 32-bit uniforms
+
+
 def _ids(n: int):
     """0 .. n-1 as BIGINT, one row per id after explode."""
     return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
@@ -25,18 +30,62 @@ def _draw_key(rep_col: str, salt: str):
     return F.concat_ws("-", F.col("user_id").cast("string"), F.col(rep_col).cast("string"), F.lit(salt))
 
 
-def aa_samples(uc: DataFrame, a: int, b: int, n_sims: int, k: int, salt: str = "aa") -> DataFrame:
-    """For each simulation, k users per group drawn without replacement.
-
-    The draw ranks the group's users by md5("<user>-<sim>-<salt>") and keeps
-    the first k (a per-(sim, group) top-k: the plan has a partial
-    WindowGroupLimit before the shuffle).
+def _u32_for(id_col: str, salt: str) -> Column:
+    """Draw of (user, id): chunk (id mod 4) of md5("<user>-<id div 4>-<salt>")."""
+    blk = F.floor(F.col(id_col) / DRAWS_PER_DIGEST)
+    h = F.md5(F.concat_ws("-", F.col("user_id").cast("string"), blk.cast("string"), F.lit(salt)))
+    pos = (F.col(id_col) % DRAWS_PER_DIGEST) * 8 + 1
+    return F.conv(F.substr(h, pos.cast("int"), F.lit(8)), 16, 10).cast("bigint")
+
+
+def _draws(df: DataFrame, n: int, id_col: str, salt: str) -> DataFrame:
+    """Every row of ``df`` times ids 0..n-1, with its 32-bit draw ``_u32``:
+    one md5 digest per row and block of four ids."""
+    n_blocks = -(-n // DRAWS_PER_DIGEST)
+    blocks = df.withColumn("_blk", _ids(n_blocks)).withColumn("_h", F.md5(_draw_key("_blk", salt)))
+    cols = [c for c in df.columns]
+    d = blocks.select(*cols, "_blk", F.posexplode(F.array(*md5_chunks(F.col("_h")))).alias("_j", "_u32"))
+    d = d.select(*cols, (F.col("_blk") * DRAWS_PER_DIGEST + F.col("_j")).alias(id_col), "_u32")
+    return d.where(F.col(id_col) < n)
+
+
+def aa_samples(
+    uc: DataFrame, a: int, b: int, n_sims: int, k: int, salt: str = "aa", expected_candidates: float | None = None
+) -> DataFrame:
+    """For each simulation, k users per group drawn without replacement: the k
+    users with the smallest draw (ties by user id).
+
+    Only draws below a per-group threshold are kept as candidates (about
+    2k + 8 sqrt(k) + 16 expected per simulation and group, however large the
+    group), so the shuffle carries O(n_sims * k) rows, not O(tasks * n_sims * k).
+    When a (sim, group) gets k or more candidates its k smallest are the
+    overall k smallest; the rare (sim, group) with fewer is ranked again over
+    all of its users.  The result is exact either way.
     """
     users = uc.where(F.col("exp_group").isin(a, b) & F.col("ctr").isNotNull()).select("exp_group", "user_id", "ctr")
-    sims = users.withColumn("sim_id", _ids(n_sims))
-    sims = sims.withColumn("_rk", F.md5(_draw_key("sim_id", salt)))
-    w = Window.partitionBy("sim_id", "exp_group").orderBy("_rk", "user_id")
-    return sims.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn", "_rk")
+    # one row per group: broadcast is bounded by the two groups
+    sizes = users.groupBy("exp_group").agg(F.count(F.lit(1)).alias("_ng"))
+    expect = expected_candidates if expected_candidates is not None else 2.0 * k + 8.0 * k**0.5 + 16.0
+    tau = F.least(F.lit(TWO_32), F.ceil(F.lit(expect) / F.col("_ng") * F.lit(float(TWO_32)))).cast("bigint")
+    sized = users.join(F.broadcast(sizes.select("exp_group", "_ng", tau.alias("_tau"))), "exp_group")
+
+    cand = _draws(sized, n_sims, "sim_id", salt).where(F.col("_u32") < F.col("_tau"))
+    per = Window.partitionBy("sim_id", "exp_group")
+    ranked = cand.select(
+        "*",
+        F.row_number().over(per.orderBy("_u32", "user_id")).alias("_rn"),
+        F.count(F.lit(1)).over(per).alias("_nc"),
+    )
+    enough = F.col("_nc") >= F.lit(k)
+    picked = ranked.where(enough & (F.col("_rn") <= k)).select("exp_group", "user_id", "ctr", "sim_id")
+
+    # exact fallback for (sim, group) pairs with too few candidates
+    short = ranked.where(~enough & (F.col("_rn") == 1)).select("sim_id", "exp_group")
+    redo = users.join(short, "exp_group").withColumn("_u32", _u32_for("sim_id", salt))
+    w = per.orderBy("_u32", "user_id")
+    refill = redo.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
+    refill = refill.select("exp_group", "user_id", "ctr", "sim_id")
+    return picked.unionByName(refill)
 
 
 def aa_test(uc: DataFrame, a: int, b: int, n_sims: int = 10000, k: int = 500, salt: str = "aa") -> DataFrame:
@@ -61,9 +110,6 @@ def aa_false_positive_rate(aa: DataFrame, alpha: float = 0.05) -> DataFrame:
     )
 
 
-DRAWS_PER_DIGEST = 4  # an md5 digest holds four independent 32-bit uniforms
-
-
 def poisson_bootstrap(uc: DataFrame, a: int, b: int, n_bootstrap: int = 2000, salt: str = "boot") -> DataFrame:
     """Global CTR of each group in each Poisson(1)-weighted replicate.
 
@@ -72,23 +118,9 @@ def poisson_bootstrap(uc: DataFrame, a: int, b: int, n_bootstrap: int = 2000, sa
     block of four replicates.
     """
     users = uc.where(F.col("exp_group").isin(a, b)).select("exp_group", "user_id", "likes", "views")
-    n_blocks = -(-n_bootstrap // DRAWS_PER_DIGEST)
-    blocks = users.withColumn("_blk", _ids(n_blocks)).withColumn("_h", F.md5(_draw_key("_blk", salt)))
-    draws = blocks.select(
-        "exp_group",
-        "user_id",
-        "likes",
-        "views",
-        "_blk",
-        F.posexplode(F.array(*md5_chunks(F.col("_h")))).alias("_j", "_u32"),
+    reps = _draws(users, n_bootstrap, "replicate", salt).select(
+        "exp_group", "likes", "views", "replicate", poisson1_weight(F.col("_u32")).alias("_w")
     )
-    reps = draws.select(
-        "exp_group",
-        "likes",
-        "views",
-        (F.col("_blk") * DRAWS_PER_DIGEST + F.col("_j")).alias("replicate"),
-        poisson1_weight(F.col("_u32")).alias("_w"),
-    ).where(F.col("replicate") < n_bootstrap)
     return reps.groupBy("replicate", "exp_group").agg(
         F.try_divide(F.sum(F.col("_w") * F.col("likes")), F.sum(F.col("_w") * F.col("views")).cast("double")).alias(
             "ctr"

@@ -110,3 +110,25 @@ def test_exact_quantile_index_rule_matches_sorted_list(spark, xs, p):
     got = exact_quantile(df, "x", p).first()[0]
     s = sorted(float(x) for x in xs)
     assert got == s[min(int(len(s) * p), len(s) - 1)]
+
+
+def test_aa_sampler_threshold_and_fallback_are_exact(spark, feed):
+    import hashlib
+
+    uc = metrics.user_ctr(feed, dt.date(2024, 1, 8), dt.date(2024, 1, 14), (2, 3))
+    users = uc.where("ctr IS NOT NULL").select("exp_group", "user_id").toPandas()
+    n_sims, k = 12, 15
+
+    def u32(user, sim):
+        h = hashlib.md5(f"{user}-{sim // 4}-aa".encode()).hexdigest()
+        return int(h[8 * (sim % 4): 8 * (sim % 4) + 8], 16)
+
+    want = set()
+    for g, grp in users.groupby("exp_group"):
+        for sim in range(n_sims):
+            ranked = sorted(grp.user_id, key=lambda u: (u32(u, sim), u))
+            want |= {(sim, g, u) for u in ranked[:k]}
+    # tiny candidate budget: most (sim, group) pairs go through the exact fallback
+    for expect in (k / 2, 3.0 * k, None):
+        got = resample.aa_samples(uc, 2, 3, n_sims, k, expected_candidates=expect).select("sim_id", "exp_group", "user_id")
+        assert {tuple(r) for r in got.collect()} == want
