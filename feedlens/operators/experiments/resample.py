@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from feedlens.functions.hashing import TWO_32, md5_chunks, poisson1_weight
 from feedlens.operators.experiments.tests import welch_ttest
+from feedlens.session import ensure_checkpoint_dir
 
 
 DRAWS_PER_DIGEST = 4  # an md5 digest holds four independent 32-bit uniforms
@@ -60,7 +61,8 @@ def aa_samples(
     group), so the shuffle carries O(n_sims * k) rows, not O(tasks * n_sims * k).
     When a (sim, group) gets k or more candidates its k smallest are the
     overall k smallest; the rare (sim, group) with fewer is ranked again over
-    all of its users.  The result is exact either way.
+    all of its users.  The result is exact either way.  The candidate table
+    is checkpointed (eagerly, in ``spark.checkpoint.dir``).
     """
     users = uc.where(F.col("exp_group").isin(a, b) & F.col("ctr").isNotNull()).select("exp_group", "user_id", "ctr")
     # one row per group: broadcast is bounded by the two groups
@@ -72,10 +74,17 @@ def aa_samples(
     cand = _draws(sized, n_sims, "sim_id", salt).where(F.col("_u32") < F.col("_tau"))
     per = Window.partitionBy("sim_id", "exp_group")
     ranked = cand.select(
-        "*",
+        "exp_group",
+        "user_id",
+        "ctr",
+        "sim_id",
         F.row_number().over(per.orderBy("_u32", "user_id")).alias("_rn"),
         F.count(F.lit(1)).over(per).alias("_nc"),
     )
+    # The candidates (O(n_sims * k) rows) feed two branches; a reliable
+    # checkpoint in the shared folder makes the hashing run once.
+    ensure_checkpoint_dir(uc.sparkSession)
+    ranked = ranked.checkpoint(eager=True)
     enough = F.col("_nc") >= F.lit(k)
     picked = ranked.where(enough & (F.col("_rn") <= k)).select("exp_group", "user_id", "ctr", "sim_id")
 
