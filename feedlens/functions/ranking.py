@@ -2,8 +2,10 @@
 
 A window with an ORDER BY but no PARTITION BY runs in one task.  Instead:
 
-1. each row gets a fine bucket: ``floor((v - min) / (max - min) * n_fine)``
-   over the exact min / max (scalar subqueries);
+1. each row gets a fine bucket: ``floor((t - min) / (max - min) * n_fine)``
+   with t = sign(v) log(1 + |v|) (monotone, so buckets keep the order, and a
+   heavy tail does not crowd the bulk into a few buckets) over the exact
+   min / max of t (one scalar subquery);
 2. an exact histogram per (keys, fine bucket) - at most keys x n_fine rows -
    gives, per fine bucket, the totals of all smaller buckets, and cuts the
    buckets into chunks of about rows / n_parts rows;
@@ -68,7 +70,10 @@ def running_totals(
             *[F.coalesce(F.sum(x).over(w), F.lit(0)).alias(f"{x}_below") for x in weights],
             *[F.sum(x).over(whole).alias(f"{x}_total") for x in weights],
         )
-    v = F.col(order_col).cast("double")
+    x = F.col(order_col).cast("double")
+    # order-preserving compression of heavy tails: one outlier does not squeeze
+    # the bulk of the values into a few fine buckets
+    v = F.signum(x) * F.log1p(F.abs(x))
     rng = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi"))
     lo, hi = F.col("_rng.lo"), F.col("_rng.hi")
     fine = F.when(hi > lo, F.least(F.floor((v - lo) / (hi - lo) * F.lit(float(n_fine))), F.lit(n_fine - 1)))
