@@ -31,7 +31,7 @@ from feedlens.sources.events import EVENTS_SCHEMA, feed_actions, message_actions
 
 BUCKET = "15 minutes"
 
-SERIES_SCHEMA = "metric string, date_time timestamp_ntz, value double, batch_id long"
+SERIES_SCHEMA = "metric string, date_time timestamp_ntz, value double, date date, batch_id long"
 
 
 def read_event_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -109,10 +109,13 @@ def _metric_rows(buckets: DataFrame) -> DataFrame:
 
 
 def _write_batch(df: DataFrame, path: str) -> None:
+    """Partitions (date, batch_id): a replayed batch replaces exactly its own
+    rows, and readers of recent days prune by date."""
     (
-        df.write.mode("overwrite")
+        df.withColumn("date", F.to_date("date_time"))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
+        .partitionBy("date", "batch_id")
         .parquet(path)
     )
 
@@ -125,8 +128,14 @@ def alert_batch(spark: SparkSession, buckets: DataFrame, batch_id: int, series_p
         return
     new = _metric_rows(buckets)
     _write_batch(new.withColumn("batch_id", F.lit(batch_id)), series_path)
-    stored = spark.read.schema(SERIES_SCHEMA).parquet(series_path).where(F.col("batch_id") <= batch_id)
     latest = new.groupBy("metric").agg(F.max("date_time").alias("latest"))
+    # days that can hold the history of this batch's buckets (partition pruning)
+    first_day = new.agg(F.date_sub(F.to_date(F.min("date_time")), history.days)).scalar()
+    stored = (
+        spark.read.schema(SERIES_SCHEMA)
+        .parquet(series_path)
+        .where((F.col("date") >= first_day) & (F.col("batch_id") <= batch_id))
+    )
     # history of the metrics updated in this batch: the last two days up to their latest bucket
     hist = stored.join(F.broadcast(latest), "metric").where(
         (F.col("date_time") <= F.col("latest"))

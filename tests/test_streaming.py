@@ -32,3 +32,21 @@ def test_alert_stream_writes_one_row_per_metric_and_batch(spark):
         per_batch.setdefault(r.batch_id, set()).add(r.metric)
     for metrics in per_batch.values():
         assert metrics <= set(alerts.FEED_METRICS + alerts.MESSAGE_METRICS)
+
+
+def test_replayed_batch_is_idempotent(spark, tmp_path):
+    from feedlens.streaming.alerts_stream import SERIES_SCHEMA, alert_batch
+
+    rows = [
+        ("feed", dt.datetime(2024, 1, 30, 0, 0) + dt.timedelta(minutes=15 * i), 10 + i % 3, 5, 9, 9)
+        for i in range(12)
+    ] + [("messages", dt.datetime(2024, 1, 30, 0, 0) + dt.timedelta(minutes=15 * i), 4, 0, 0, 7) for i in range(12)]
+    buckets = spark.createDataFrame(
+        rows, "source string, date_time timestamp_ntz, users long, likes long, views long, n long"
+    )
+    series, out = str(tmp_path / "series"), str(tmp_path / "alerts")
+    alert_batch(spark, buckets, 0, series, out)
+    first = (spark.read.schema(SERIES_SCHEMA).parquet(series).count(), spark.read.parquet(out).count())
+    alert_batch(spark, buckets, 0, series, out)  # replay after a failure
+    again = (spark.read.schema(SERIES_SCHEMA).parquet(series).count(), spark.read.parquet(out).count())
+    assert first == again == (12 * 6, 6)
