@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlens.functions.time import as_date, day_range
@@ -81,6 +81,26 @@ def messages_received(messages: DataFrame, day: dt.date | str, approx_rsd: float
     )
 
 
+def _message_roles(messages: DataFrame, day: dt.date, approx_rsd: float | None) -> DataFrame:
+    """Both rollups from one scan: every message counts once for its sender
+    (role "sent", other party = receiver) and once for its receiver (role
+    "recv", other party = sender); demographics are the row's (the sender's)."""
+    m = _day(messages, day)
+    role = F.explode(
+        F.array(
+            F.struct(F.lit("sent").alias("role"), F.col("user_id").alias("users"), F.col("reciever_id").alias("other")),
+            F.struct(F.lit("recv").alias("role"), F.col("reciever_id").alias("users"), F.col("user_id").alias("other")),
+        )
+    )
+    rows = m.select(F.to_date("time").alias("event_date"), *DEMOGRAPHICS, "reciever_id", role.alias("r"))
+    rows = rows.select("r.role", "r.users", "event_date", *DEMOGRAPHICS, "reciever_id", "r.other")
+    # a NULL receiver is counted by neither side (count(reciever_id) skips it)
+    rows = rows.where(F.col("users").isNotNull() & F.col("reciever_id").isNotNull())
+    return rows.groupBy("role", "users", "event_date", *DEMOGRAPHICS).agg(
+        F.count("reciever_id").alias("messages"), distinct_count("other", approx_rsd).alias("partners")
+    )
+
+
 def message_user_day(messages: DataFrame, day: dt.date | str, approx_rsd: float | None = None) -> DataFrame:
     """Sent and received rollups joined on the user only (faithful form).
 
@@ -89,21 +109,50 @@ def message_user_day(messages: DataFrame, day: dt.date | str, approx_rsd: float
     (1970-01-01, 0, 0, '').  A receiver with several sender profiles repeats the
     sent measures once per profile.  See ``message_user_day_by_user`` for the form
     keyed on (user, day) with the user's own demographics.
+
+    One scan and one aggregation serve both sides: per user, a window says
+    whether each role is present; users with one role pass straight through,
+    users with both pair their sent and received rows by a join whose two sides
+    come from the same user-partitioned data.
     """
-    t1 = messages_sent(messages, day, approx_rsd).alias("t1")
-    t2 = messages_received(messages, day, approx_rsd).alias("t2")
-    j = t1.join(t2, F.col("t1.users") == F.col("t2.users"), "full")
-    return j.select(
-        F.coalesce(F.col("t1.users"), F.col("t2.users")).alias("users"),
-        F.coalesce(F.col("t1.event_date"), F.lit(dt.date(1970, 1, 1))).alias("event_date"),
-        F.coalesce(F.col("t1.gender"), F.lit(0).cast("bigint")).alias("gender"),
-        F.coalesce(F.col("t1.age"), F.lit(0).cast("bigint")).alias("age"),
-        F.coalesce(F.col("t1.os"), F.lit("")).alias("os"),
-        F.coalesce(F.col("t2.messages_received"), F.lit(0).cast("bigint")).alias("messages_received"),
-        F.coalesce(F.col("t1.messages_sent"), F.lit(0).cast("bigint")).alias("messages_sent"),
-        F.coalesce(F.col("t2.users_received"), F.lit(0).cast("bigint")).alias("users_received"),
-        F.coalesce(F.col("t1.users_sent"), F.lit(0).cast("bigint")).alias("users_sent"),
+    d = as_date(day)
+    roles = _message_roles(messages, d, approx_rsd)
+    per_user = Window.partitionBy("users")
+    flagged = roles.select(
+        "*",
+        F.max((F.col("role") == "sent").cast("int")).over(per_user).alias("_has_sent"),
+        F.max((F.col("role") == "recv").cast("int")).over(per_user).alias("_has_recv"),
+    )
+    zero = F.lit(0).cast("bigint")
+    sent = flagged.where(F.col("role") == "sent")
+    recv = flagged.where(F.col("role") == "recv")
+    sent_only = sent.where(F.col("_has_recv") == 0).select(
+        "users", "event_date", *DEMOGRAPHICS,
+        zero.alias("messages_received"), F.col("messages").alias("messages_sent"),
+        zero.alias("users_received"), F.col("partners").alias("users_sent"),
+    )
+    recv_only = recv.where(F.col("_has_sent") == 0).select(
+        "users",
+        F.lit(dt.date(1970, 1, 1)).alias("event_date"),
+        zero.alias("gender"),
+        zero.alias("age"),
+        F.lit("").alias("os"),
+        F.col("messages").alias("messages_received"),
+        zero.alias("messages_sent"),
+        F.col("partners").alias("users_received"),
+        zero.alias("users_sent"),
+    )
+    s = sent.where(F.col("_has_recv") == 1).alias("s")
+    r = recv.where(F.col("_has_sent") == 1).alias("r")
+    both = s.join(r, F.col("s.users") == F.col("r.users"), "inner").select(
+        F.col("s.users").alias("users"),
+        *[F.col(f"s.{c}").alias(c) for c in ["event_date", *DEMOGRAPHICS]],
+        F.col("r.messages").alias("messages_received"),
+        F.col("s.messages").alias("messages_sent"),
+        F.col("r.partners").alias("users_received"),
+        F.col("s.partners").alias("users_sent"),
     )
+    return sent_only.unionByName(recv_only).unionByName(both)
 
 
 def message_user_day_by_user(messages: DataFrame, day: dt.date | str) -> DataFrame:
