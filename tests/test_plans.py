@@ -73,3 +73,8 @@ def test_bootstrap_aggregates_map_side(spark, qs):
 def test_daily_audience_scans_each_table_once(spark, qs):
     plan = _plan(spark, qs["report_week_over_week"](spark, SF))
     assert len(re.findall(r"FileScan parquet", plan)) == 2
+
+
+def test_cube_reads_each_table_once(spark, qs):
+    plan = _plan(spark, qs["metrics_cube"](spark, SF))
+    assert len(re.findall(r"FileScan parquet", plan)) == 2  # feed rows and message rows of one day
