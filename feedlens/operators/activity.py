@@ -155,34 +155,47 @@ def message_user_day(messages: DataFrame, day: dt.date | str, approx_rsd: float
     return sent_only.unionByName(recv_only).unionByName(both)
 
 
-def message_user_day_by_user(messages: DataFrame, day: dt.date | str) -> DataFrame:
+def message_user_day_by_user(messages: DataFrame, day: dt.date | str, approx_rsd: float | None = None) -> DataFrame:
     """Sent and received measures per (user, day), demographics from the user's
-    own sent rows (NULL for a user who only received).  No fan-out."""
+    own sent rows (NULL for a user who only received).  No fan-out.
+
+    One scan: each message counts for its sender and its receiver; both role
+    rollups come from one aggregate keyed by (role, user, day), then one
+    conditional aggregation per (user, day) puts them side by side.
+    """
     d = as_date(day)
-    m = _day(messages, d)
-    sent = m.groupBy(F.col("user_id").alias("users"), F.to_date("time").alias("event_date")).agg(
-        F.count("reciever_id").alias("messages_sent"),
-        F.count_distinct("reciever_id").alias("users_sent"),
-        F.min_by(F.struct(*DEMOGRAPHICS), F.col("time")).alias("demo"),
-    )
-    recv = (
-        m.where(F.col("reciever_id").isNotNull())
-        .groupBy(F.col("reciever_id").alias("users"), F.to_date("time").alias("event_date"))
-        .agg(
-            F.count("reciever_id").alias("messages_received"),
-            F.count_distinct("user_id").alias("users_received"),
+    m = _day(messages, d).where(F.col("reciever_id").isNotNull())
+    role = F.explode(
+        F.array(
+            F.struct(F.lit("sent").alias("role"), F.col("user_id").alias("users"), F.col("reciever_id").alias("other")),
+            F.struct(F.lit("recv").alias("role"), F.col("reciever_id").alias("users"), F.col("user_id").alias("other")),
         )
     )
-    j = sent.join(recv, ["users", "event_date"], "full")
+    rows = m.select(F.to_date("time").alias("event_date"), "time", F.struct(*DEMOGRAPHICS).alias("demo"), role.alias("r"))
+    agg = rows.groupBy("r.role", "r.users", "event_date").agg(
+        F.count(F.lit(1)).alias("messages"),
+        distinct_count("r.other", approx_rsd).alias("partners"),
+        F.min_by("demo", "time").alias("demo"),
+    )
+    # at most one sent and one received row per (user, day): a pivot on the
+    # role (conditional aggregation) is the full outer join, without a join
+    is_sent, is_recv = F.col("role") == "sent", F.col("role") == "recv"
     zero = F.lit(0).cast("bigint")
-    return j.select(
+    out = agg.groupBy("users", "event_date").agg(
+        F.max(F.when(is_sent, F.col("demo"))).alias("demo"),
+        F.coalesce(F.max(F.when(is_recv, F.col("messages"))), zero).alias("messages_received"),
+        F.coalesce(F.max(F.when(is_sent, F.col("messages"))), zero).alias("messages_sent"),
+        F.coalesce(F.max(F.when(is_recv, F.col("partners"))), zero).alias("users_received"),
+        F.coalesce(F.max(F.when(is_sent, F.col("partners"))), zero).alias("users_sent"),
+    )
+    return out.select(
         "users",
         "event_date",
         *[F.col(f"demo.{c}").alias(c) for c in DEMOGRAPHICS],
-        F.coalesce("messages_received", zero).alias("messages_received"),
-        F.coalesce("messages_sent", zero).alias("messages_sent"),
-        F.coalesce("users_received", zero).alias("users_received"),
-        F.coalesce("users_sent", zero).alias("users_sent"),
+        "messages_received",
+        "messages_sent",
+        "users_received",
+        "users_sent",
     )
 
 
