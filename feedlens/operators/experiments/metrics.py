@@ -76,6 +76,27 @@ def linearized_likes(uc: DataFrame, control: int) -> DataFrame:
     )
 
 
+def linearized_likes_pairs(uc: DataFrame, pairs) -> DataFrame:
+    """``linearized_likes`` for several (control, test) pairs in one pass.
+
+    Each user row is tagged with the control group of every pair its group
+    belongs to; the per-group CTR table (one row per group, broadcast) supplies
+    CTR_control.  Output adds ``control``.
+    """
+    tags = [F.when(F.col("exp_group").isin(c, t), F.lit(c)) for c, t in pairs]
+    tagged = uc.withColumn("control", F.explode(F.array(*tags))).where(F.col("control").isNotNull())
+    ctl = F.broadcast(global_ctr(uc).select(F.col("exp_group").alias("control"), F.col("global_ctr").alias("_c")))
+    return tagged.join(ctl, "control").select(
+        "exp_group",
+        "user_id",
+        "likes",
+        "views",
+        "ctr",
+        (F.col("likes") - F.col("_c") * F.col("views")).alias("linearized_likes"),
+        F.col("control").cast("int").alias("control"),
+    )
+
+
 def with_bucket(uc: DataFrame, n_buckets: int = 50, salt: str = "bucket", hash_fn: str = "md5") -> DataFrame:
     """Adds the user's bucket.
 

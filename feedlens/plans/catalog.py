@@ -241,11 +241,8 @@ def build(p: Params = DEFAULT) -> dict[str, Query]:
 
     @reg("linearized_likes")
     def _(feed, msgs, spark):
-        out = None
-        for ctrl, test in p.lin_pairs:
-            lin = metrics.linearized_likes(_uc(feed, p, (ctrl, test)), ctrl).withColumn("control", F.lit(ctrl))
-            out = lin if out is None else out.unionByName(lin)
-        return out
+        groups = sorted({g for pair in p.lin_pairs for g in pair})
+        return metrics.linearized_likes_pairs(_uc(feed, p, groups), p.lin_pairs)
 
     @reg("linearized_ttest")
     def _(feed, msgs, spark):
