@@ -94,8 +94,9 @@ def _message_roles(messages: DataFrame, day: dt.date, approx_rsd: float | None)
     )
     rows = m.select(F.to_date("time").alias("event_date"), *DEMOGRAPHICS, "reciever_id", role.alias("r"))
     rows = rows.select("r.role", "r.users", "event_date", *DEMOGRAPHICS, "reciever_id", "r.other")
-    # a NULL receiver is counted by neither side (count(reciever_id) skips it)
-    rows = rows.where(F.col("users").isNotNull() & F.col("reciever_id").isNotNull())
+    # a message without a receiver still makes its sender a row (with 0 messages:
+    # count(reciever_id) skips it); it has no receiver-side row
+    rows = rows.where(F.col("users").isNotNull())
     return rows.groupBy("role", "users", "event_date", *DEMOGRAPHICS).agg(
         F.count("reciever_id").alias("messages"), distinct_count("other", approx_rsd).alias("partners")
     )
@@ -164,16 +165,18 @@ def message_user_day_by_user(messages: DataFrame, day: dt.date | str, approx_rsd
     conditional aggregation per (user, day) puts them side by side.
     """
     d = as_date(day)
-    m = _day(messages, d).where(F.col("reciever_id").isNotNull())
+    m = _day(messages, d)
     role = F.explode(
         F.array(
             F.struct(F.lit("sent").alias("role"), F.col("user_id").alias("users"), F.col("reciever_id").alias("other")),
             F.struct(F.lit("recv").alias("role"), F.col("reciever_id").alias("users"), F.col("user_id").alias("other")),
         )
     )
-    rows = m.select(F.to_date("time").alias("event_date"), "time", F.struct(*DEMOGRAPHICS).alias("demo"), role.alias("r"))
+    rows = m.select(
+        F.to_date("time").alias("event_date"), "time", "reciever_id", F.struct(*DEMOGRAPHICS).alias("demo"), role.alias("r")
+    ).where(F.col("r.users").isNotNull())
     agg = rows.groupBy("r.role", "r.users", "event_date").agg(
-        F.count(F.lit(1)).alias("messages"),
+        F.count("reciever_id").alias("messages"),
         distinct_count("r.other", approx_rsd).alias("partners"),
         F.min_by("demo", "time").alias("demo"),
     )

@@ -161,3 +161,16 @@ def test_incremental_user_days_give_the_same_retention(spark, tmp_path):
     inc = retention.retention_from_user_days(retention.read_user_days(spark, path), dt.date(2024, 1, 31))
     full = retention.retention(feed, dt.date(2024, 1, 31))
     assert sorted(inc.collect()) == sorted(full.collect())
+
+
+def test_sender_without_receiver_keeps_a_zero_row(spark):
+    t = dt.datetime(2024, 1, 30, 12)
+    msgs = spark.createDataFrame([(1, None, t, 1, 30, "iOS"), (2, 3, t, 0, 20, "Android")], MSG)
+    day = dt.date(2024, 1, 30)
+    sent = {r.users: r for r in activity.messages_sent(msgs, day).collect()}
+    assert sent[1].messages_sent == 0 and sent[1].users_sent == 0
+    faithful = {r.users: r for r in activity.message_user_day(msgs, day).collect()}
+    assert set(faithful) == {1, 2, 3}
+    assert faithful[1].messages_sent == 0 and faithful[1].gender == 1 and faithful[1].event_date == day
+    clean = {r.users: r for r in activity.message_user_day_by_user(msgs, day).collect()}
+    assert set(clean) == {1, 2, 3} and clean[1].messages_sent == 0 and clean[1].users_sent == 0
