@@ -107,12 +107,11 @@ def _is_alert() -> F.Column:
     return F.coalesce(out, F.lit(False)).cast("int")
 
 
-def anomaly_alerts(feed: DataFrame, messages: DataFrame, now: dt.datetime | str, a: float = 5.0, n: int = 5) -> DataFrame:
-    """One row per metric: the latest bucket, its band, alert flag and text.
+def judge_latest(bands: DataFrame) -> DataFrame:
+    """One row per metric: the latest bucket of ``bands``, its alert flag and text.
 
     deviation = 1 - current / previous (positive means a drop).
     """
-    bands = anomaly_bands(feed, messages, now, a, n)
     order = Window.partitionBy("metric").orderBy("date_time")
     last = Window.partitionBy("metric").orderBy(F.col("date_time").desc())
     ranked = bands.select("*", F.lag("value").over(order).alias("prev_value"), F.row_number().over(last).alias("_rn"))
@@ -140,6 +139,11 @@ def anomaly_alerts(feed: DataFrame, messages: DataFrame, now: dt.datetime | str,
     return out.withColumn("msg", msg)
 
 
+def anomaly_alerts(feed: DataFrame, messages: DataFrame, now: dt.datetime | str, a: float = 5.0, n: int = 5) -> DataFrame:
+    """One row per metric: the latest bucket, its band, alert flag and text."""
+    return judge_latest(anomaly_bands(feed, messages, now, a, n))
+
+
 def anomaly_backtest(feed: DataFrame, messages: DataFrame, now: dt.datetime | str, a: float = 5.0, n: int = 5) -> DataFrame:
     """Every bucket judged as if it were the latest (trailing smoothing frame)."""
     bands = iqr_bands(metric_series(feed, messages, now), a, n, centred=False)

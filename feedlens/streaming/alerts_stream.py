@@ -142,18 +142,7 @@ def alert_batch(spark: SparkSession, buckets: DataFrame, batch_id: int, series_p
         & (F.col("date_time") > F.col("latest") - F.make_dt_interval(F.lit(history.days)))
     ).select("metric", "date_time", "value")
     bands = alerts.iqr_bands(hist, a, n, centred=True)
-    last = bands.join(F.broadcast(latest), "metric").where(F.col("date_time") == F.col("latest"))
-    out = last.select(
-        "metric",
-        "date_time",
-        "value",
-        "upper_limit",
-        "lower_limit",
-        F.coalesce((F.col("value") < F.col("lower_limit")) | (F.col("value") > F.col("upper_limit")), F.lit(False))
-        .cast("int")
-        .alias("alert"),
-        F.lit(batch_id).alias("batch_id"),
-    )
+    out = alerts.judge_latest(bands).withColumn("batch_id", F.lit(batch_id))
     _write_batch(out, alerts_path)
 
 
