@@ -45,12 +45,18 @@ def global_ctr(uc: DataFrame) -> DataFrame:
     )
 
 
-def smoothed_ctr(uc: DataFrame, alpha: float = 5.0) -> DataFrame:
+def smoothed_ctr(uc: DataFrame, alpha: float = 5.0, groups: Sequence[int] | None = None) -> DataFrame:
     """(likes + alpha * g) / (views + alpha), g = the user's group global CTR.
 
-    The group table has one row per experiment group, so it is broadcast.
+    With ``groups`` the per-group table is limited to them (at most
+    ``len(groups)`` rows) and broadcast; without, the join strategy is left to
+    the optimizer's size check.
     """
-    g = F.broadcast(global_ctr(uc).select("exp_group", "global_ctr"))
+    if groups is not None:
+        uc = uc.where(F.col("exp_group").isin(list(groups)))
+    g = global_ctr(uc).select("exp_group", "global_ctr")
+    if groups is not None:
+        g = F.broadcast(g)
     a = F.lit(float(alpha))
     return uc.join(g, "exp_group").select(
         "exp_group",
@@ -80,12 +86,18 @@ def linearized_likes_pairs(uc: DataFrame, pairs) -> DataFrame:
     """``linearized_likes`` for several (control, test) pairs in one pass.
 
     Each user row is tagged with the control group of every pair its group
-    belongs to; the per-group CTR table (one row per group, broadcast) supplies
-    CTR_control.  Output adds ``control``.
+    belongs to; the control groups' CTR table (at most one row per pair,
+    broadcast) supplies CTR_control.  Output adds ``control``.
     """
     tags = [F.when(F.col("exp_group").isin(c, t), F.lit(c)) for c, t in pairs]
     tagged = uc.withColumn("control", F.explode(F.array(*tags))).where(F.col("control").isNotNull())
-    ctl = F.broadcast(global_ctr(uc).select(F.col("exp_group").alias("control"), F.col("global_ctr").alias("_c")))
+    controls = sorted({c for c, _ in pairs})
+    # one row per control group: at most len(pairs) rows
+    ctl = F.broadcast(
+        global_ctr(uc.where(F.col("exp_group").isin(controls))).select(
+            F.col("exp_group").alias("control"), F.col("global_ctr").alias("_c")
+        )
+    )
     return tagged.join(ctl, "control").select(
         "exp_group",
         "user_id",

@@ -205,11 +205,11 @@ def build(p: Params = DEFAULT) -> dict[str, Query]:
 
     @reg("smoothed_ctr")
     def _(feed, msgs, spark):
-        return metrics.smoothed_ctr(_uc(feed, p, p.ab_groups), p.alpha_smooth)
+        return metrics.smoothed_ctr(_uc(feed, p, p.ab_groups), p.alpha_smooth, p.ab_groups)
 
     @reg("smoothed_ctr_ttest")
     def _(feed, msgs, spark):
-        sm = metrics.smoothed_ctr(_uc(feed, p, p.ab_groups), p.alpha_smooth)
+        sm = metrics.smoothed_ctr(_uc(feed, p, p.ab_groups), p.alpha_smooth, p.ab_groups)
         return tests.welch_ttest(sm, "exp_group", "smoothed_ctr", A, B)
 
     @reg("poisson_bootstrap")
