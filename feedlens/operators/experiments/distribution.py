@@ -11,35 +11,49 @@ from pyspark.sql import functions as F
 from feedlens.functions.ranking import exact_percentiles_linear, running_totals, with_stats
 
 
-def _stats(v: DataFrame, value_col: str, bins: int | str, max_rows: int | None) -> DataFrame:
-    """One row: lo, hi and the bin count nb (numpy's "auto" rule when asked:
-    the smaller of the Sturges and Freedman-Diaconis widths)."""
+def _stats(v: DataFrame, value_col: str, bins: int | str, max_rows: int | None, keys: Sequence[str] = ()) -> DataFrame:
+    """One row per key group (one row overall without keys): lo, hi and the bin
+    count nb (numpy's "auto" rule when asked: the smaller of the Sturges and
+    Freedman-Diaconis widths)."""
+    keys = list(keys)
     if isinstance(bins, int):
-        return v.agg(F.min(value_col).alias("lo"), F.max(value_col).alias("hi"), F.lit(bins).alias("nb"))
+        return v.groupBy(*keys).agg(F.min(value_col).alias("lo"), F.max(value_col).alias("hi"), F.lit(bins).alias("nb"))
     if bins != "auto":
         raise ValueError(f"bins must be an int or 'auto', not {bins!r}")
-    st = exact_percentiles_linear(v, value_col, [0.25, 0.75], max_rows=max_rows, with_range=True)
+    st = exact_percentiles_linear(v, value_col, [0.25, 0.75], keys, max_rows=max_rows, with_range=True)
     lo, hi, n = F.col("lo"), F.col("hi"), F.col("n").cast("double")
     ptp = hi - lo
     sturges = ptp / (F.log2(n) + F.lit(1.0))
     fd = F.lit(2.0) * (F.col("p_1") - F.col("p_0")) * F.pow(n, F.lit(-1.0 / 3.0))
     width = F.when(fd > 0, F.least(fd, sturges)).otherwise(sturges)
     nb = F.when(ptp > 0, F.ceil(ptp / width)).otherwise(F.lit(1)).cast("int")
-    return st.select("lo", "hi", nb.alias("nb"))
+    return st.select(*keys, "lo", "hi", nb.alias("nb"))
 
 
 def histogram(
-    df: DataFrame, value_col: str, bins: int | str = 10, keys: Sequence[str] = (), max_rows: int | None = None
+    df: DataFrame,
+    value_col: str,
+    bins: int | str = 10,
+    keys: Sequence[str] = (),
+    max_rows: int | None = None,
+    shared_edges: bool = True,
 ) -> DataFrame:
-    """Equal-width bins over the global min..max, shared by all key groups.
+    """Equal-width bins over min..max.
 
     bin = min(floor((v - min) * bins / (max - min)), bins - 1); the maximum falls
     in the last bin.  ``bins="auto"`` picks numpy's automatic bin count;
     ``max_rows`` is a known bound on the input (see ``running_totals``).
-    Returns (keys, bin, bin_lo, bin_hi, count) for non-empty bins.
+    ``shared_edges``: one set of edges for all key groups (a histogram with a
+    hue); otherwise each key group gets its own range and bin count (joined back
+    on the keys: one row per group).  Returns (keys, bin, bin_lo, bin_hi, count)
+    for non-empty bins.
     """
     v = df.where(F.col(value_col).isNotNull())
-    tagged = with_stats(v, _stats(v, value_col, bins, max_rows), "_h")
+    if shared_edges or not keys:
+        tagged = with_stats(v, _stats(v, value_col, bins, max_rows), "_h")
+    else:
+        st = _stats(v, value_col, bins, max_rows, keys)
+        tagged = v.join(st.select(*keys, F.struct("lo", "hi", "nb").alias("_h")), list(keys))
     lo, hi, nb = F.col("_h.lo"), F.col("_h.hi"), F.col("_h.nb")
     width = hi - lo
     idx = F.when(width == 0, F.lit(0)).otherwise(

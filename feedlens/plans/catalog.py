@@ -259,6 +259,20 @@ def build(p: Params = DEFAULT) -> dict[str, Query]:
         # one row per replicate
         return distribution.histogram(resample.bootstrap_diff(boot, A, B), "diff", p.hist_bins, max_rows=p.n_bootstrap)
 
+    @reg("smoothed_ctr_histogram")
+    def _(feed, msgs, spark):
+        sm = metrics.smoothed_ctr(_uc(feed, p, p.ab_groups), p.alpha_smooth, p.ab_groups)
+        # one histogram per group, each with its own edges
+        return distribution.histogram(sm, "smoothed_ctr", p.hist_bins, ["exp_group"], shared_edges=False)
+
+    @reg("bootstrap_ctr_histogram")
+    def _(feed, msgs, spark):
+        boot = resample.poisson_bootstrap(_uc(feed, p, p.ab_groups), A, B, p.n_bootstrap, p.boot_salt)
+        # one row per (replicate, group); one histogram per group
+        return distribution.histogram(
+            boot, "ctr", p.hist_bins, ["exp_group"], max_rows=2 * p.n_bootstrap, shared_edges=False
+        )
+
     @reg("bucket_ctr_histogram")
     def _(feed, msgs, spark):
         b = metrics.bucket_sums(_uc(feed, p, p.ab_groups), p.n_buckets, p.bucket_salt)
