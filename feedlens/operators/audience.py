@@ -129,7 +129,17 @@ def week_over_week(series: DataFrame, keys: list[str], date_col: str, value_col:
     pct = round_half_up(
         F.try_divide((F.col("last_value") - F.col("first_value")).cast("double"), F.col("first_value")) * 100.0, 2
     )
-    return agg.select("*", pct.alias("pct_change"))
+    out = agg.select("*", pct.alias("pct_change"))
+    msg = F.format_string(
+        "%s DAU: %d on %s, %d on %s (%s)",
+        F.col(keys[0]) if keys else F.lit(value_col),
+        F.col("last_value"),
+        F.date_format("last_date", "dd/MM/yyyy"),
+        F.col("first_value"),
+        F.date_format("first_date", "dd/MM/yyyy"),
+        F.coalesce(F.format_string("%.2f%%", F.col("pct_change")), F.lit("n/a")),
+    )
+    return out.withColumn("msg", msg)
 
 
 def report_week_over_week(feed: DataFrame, messages: DataFrame, as_of: dt.date | str, days: int = 8) -> DataFrame:
