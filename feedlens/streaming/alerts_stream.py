@@ -9,7 +9,9 @@ late rows.
 Exact distinct users per bucket without ``count_distinct`` (not supported on
 streams): a first event-time aggregation per (bucket, source, user), then a
 second per (bucket, source) counts its rows.  State is one row per active
-user and open bucket, cleared by the watermark.
+user and open bucket, cleared by the watermark.  Every emitted bucket equals
+the batch result; a bounded run (``availableNow``) can end with the last
+closed bucket still in the second operator's state - the next run emits it.
 
 ``start_alert_stream`` evaluates the interquartile-range rule in
 ``foreachBatch`` on the latest closed bucket of each metric; every output is
