@@ -42,6 +42,16 @@ def _bucketed(df: DataFrame, now) -> DataFrame:
 
 
 def feed_15min(feed: DataFrame, now: dt.datetime | str) -> DataFrame:
+    """Closed 15-minute buckets of the feed, ordered by time (report output)."""
+    return _feed_15min(feed, now).orderBy("date_time")
+
+
+def messages_15min(messages: DataFrame, now: dt.datetime | str) -> DataFrame:
+    """Closed 15-minute buckets of the messenger, ordered by time (report output)."""
+    return _messages_15min(messages, now).orderBy("date_time")
+
+
+def _feed_15min(feed: DataFrame, now: dt.datetime | str) -> DataFrame:
     b = _bucketed(feed, now).groupBy("date_time").agg(
         F.count_distinct("user_id").alias("users_feed"),
         F.count_if(F.col("user_id").isNotNull() & (F.col("action") == "view")).alias("views"),
@@ -55,23 +65,23 @@ def feed_15min(feed: DataFrame, now: dt.datetime | str) -> DataFrame:
         "views",
         "likes",
         F.try_divide(F.col("likes"), F.col("views").cast("double")).alias("CTR"),
-    ).orderBy("date_time")
+    )
 
 
-def messages_15min(messages: DataFrame, now: dt.datetime | str) -> DataFrame:
+def _messages_15min(messages: DataFrame, now: dt.datetime | str) -> DataFrame:
     b = _bucketed(messages, now).groupBy("date_time").agg(
         F.count_distinct("user_id").alias("users_mes"),
         F.count("user_id").alias("messages_cnt"),
     )
     return b.select(
         "date_time", F.to_date("date_time").alias("date"), hhmm("date_time").alias("timeHM"), "users_mes", "messages_cnt"
-    ).orderBy("date_time")
+    )
 
 
 def metric_series(feed: DataFrame, messages: DataFrame, now: dt.datetime | str) -> DataFrame:
     """All six metrics as long rows (metric, date_time, value DOUBLE)."""
-    f = feed_15min(feed, now).select("date_time", *[F.col(m).cast("double").alias(m) for m in FEED_METRICS])
-    m = messages_15min(messages, now).select("date_time", *[F.col(c).cast("double").alias(c) for c in MESSAGE_METRICS])
+    f = _feed_15min(feed, now).select("date_time", *[F.col(m).cast("double").alias(m) for m in FEED_METRICS])
+    m = _messages_15min(messages, now).select("date_time", *[F.col(c).cast("double").alias(c) for c in MESSAGE_METRICS])
     return f.unpivot("date_time", FEED_METRICS, "metric", "value").unionByName(
         m.unpivot("date_time", MESSAGE_METRICS, "metric", "value")
     )

@@ -23,7 +23,12 @@ def report_window(as_of: dt.date | str, days: int = 8) -> tuple[dt.date, dt.date
 
 
 def feed_daily(feed: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
-    """Per day: DAU (exact distinct users), likes, views, CTR = likes / views."""
+    """Per day: DAU (exact distinct users), likes, views, CTR = likes / views;
+    ordered by day."""
+    return _feed_daily(feed, first, last).orderBy("date")
+
+
+def _feed_daily(feed: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
     return (
         feed.where(day_range(feed, first, last))
         .groupBy(F.to_date("time").alias("date"))
@@ -33,7 +38,6 @@ def feed_daily(feed: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
             F.count_if(F.col("action") == "view").alias("views"),
         )
         .withColumn("CTR", F.try_divide(F.col("likes"), F.col("views").cast("double")))
-        .orderBy("date")
     )
 
 
@@ -91,7 +95,7 @@ def report_daily(feed: DataFrame, as_of: dt.date | str, days: int = 8) -> DataFr
     """
     d = as_date(as_of)
     y = d - dt.timedelta(days=1)
-    daily = dau_feed(feed, d, days)
+    daily = _feed_daily(feed, *report_window(d, days))
     is_y = F.col("date") == F.lit(y)
     row = daily.agg(
         F.coalesce(F.sum(F.when(is_y, F.col("DAU"))), F.lit(0)).cast("bigint").alias("dau"),
