@@ -15,3 +15,13 @@ def round_half_up(c: Column, digits: int) -> Column:
     """
     scale = float(10**digits)
     return F.floor(c * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+
+
+def count_where(cond: Column) -> Column:
+    """Number of rows where ``cond`` is true (NULL counts as false).
+
+    Same result as ``count_if``; written as ``count(CASE WHEN cond THEN 1 END)``
+    so that identical aggregations in two branches of a plan stay identical
+    after optimisation and Spark can reuse their shuffle.
+    """
+    return F.count(F.when(cond, F.lit(1)))

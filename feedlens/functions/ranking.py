@@ -2,13 +2,14 @@
 
 A window with an ORDER BY but no PARTITION BY runs in one task.  Instead:
 
-1. each row gets a fine bucket: ``floor((t - min) / (max - min) * n_fine)``
-   with t = sign(v) log(1 + |v|) (monotone, so buckets keep the order, and a
-   heavy tail does not crowd the bulk into a few buckets) over the exact
-   min / max of t (one scalar subquery);
-2. an exact histogram per (keys, fine bucket) - at most keys x n_fine rows -
-   gives, per fine bucket, the totals of all smaller buckets, and cuts the
-   buckets into chunks of about rows / n_parts rows;
+1. each row gets a fine bucket ``floor(t * FINE_PER_UNIT)`` of the compressed
+   value t = sign(v) log(1 + |v|): monotone (buckets keep the order), needs no
+   pass over the data, resolves about 1/4096 relative everywhere, and a heavy
+   tail does not crowd the bulk into a few buckets;
+2. an exact histogram per (keys, fine bucket) - at most ~6 million buckets for
+   any doubles, usually a few thousand - gives, per fine bucket, the totals of
+   all smaller buckets, and cuts the buckets into chunks of about
+   rows / partitions;
 3. rows join their bucket's chunk and offset, and a window partitioned by
    (keys, chunk) adds the running total inside the chunk.
 
@@ -25,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-N_FINE = 1 << 16
+FINE_PER_UNIT = 4096
 
 
 def with_stats(df: DataFrame, stats: DataFrame, name: str) -> DataFrame:
@@ -49,7 +50,7 @@ def running_totals(
     weights: Sequence[str],
     keys: Sequence[str] = (),
     n_parts: int | None = None,
-    n_fine: int = N_FINE,
+    fine_per_unit: int = FINE_PER_UNIT,
     max_rows: int | None = None,
 ) -> DataFrame:
     """Add ``<w>_below`` = sum of ``w`` over rows with the same ``keys`` and a
@@ -71,18 +72,14 @@ def running_totals(
             *[F.sum(x).over(whole).alias(f"{x}_total") for x in weights],
         )
     x = F.col(order_col).cast("double")
-    # order-preserving compression of heavy tails: one outlier does not squeeze
-    # the bulk of the values into a few fine buckets
-    v = F.signum(x) * F.log1p(F.abs(x))
-    rng = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi"))
-    lo, hi = F.col("_rng.lo"), F.col("_rng.hi")
-    fine = F.when(hi > lo, F.least(F.floor((v - lo) / (hi - lo) * F.lit(float(n_fine))), F.lit(n_fine - 1)))
-    tagged = with_stats(df, rng, "_rng").select(*df.columns, F.coalesce(fine, F.lit(0)).cast("int").alias("_fine"))
+    t = F.signum(x) * F.log1p(F.abs(x))
+    fine = F.floor(t * F.lit(float(fine_per_unit))).cast("int")
+    tagged = df.select(*df.columns, F.coalesce(fine, F.lit(0)).alias("_fine"))
 
     hist = tagged.groupBy(*keys, "_fine").agg(
         F.count(F.lit(1)).alias("_h_rows"), *[F.sum(w).alias(f"_h_{w}") for w in weights]
     )
-    # at most n_fine rows per key: ordered windows over the histogram are cheap
+    # one row per non-empty fine bucket: ordered windows over the histogram are cheap
     before = Window.partitionBy(*keys).orderBy("_fine").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)
     per_chunk = F.greatest(F.ceil(F.sum("_h_rows").over(whole) / F.lit(_n_parts(df, n_parts))), F.lit(1))

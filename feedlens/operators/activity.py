@@ -14,6 +14,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedlens.functions.numeric import count_where
 from feedlens.functions.time import as_date, day_range
 
 DEMOGRAPHICS = ["gender", "age", "os"]
@@ -44,8 +45,8 @@ def feed_user_day(feed: DataFrame, day: dt.date | str) -> DataFrame:
             *DEMOGRAPHICS,
         )
         .agg(
-            F.count_if(F.col("action") == "like").alias("likes"),
-            F.count_if(F.col("action") == "view").alias("views"),
+            count_where(F.col("action") == "like").alias("likes"),
+            count_where(F.col("action") == "view").alias("views"),
         )
     )
 

@@ -22,7 +22,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedlens.functions.numeric import round_half_up
+from feedlens.functions.numeric import count_where, round_half_up
 from feedlens.functions.time import as_datetime, floor_15min, floor_15min_py, hhmm, time_range
 
 FEED_METRICS = ["users_feed", "views", "likes", "CTR"]
@@ -54,8 +54,8 @@ def messages_15min(messages: DataFrame, now: dt.datetime | str) -> DataFrame:
 def _feed_15min(feed: DataFrame, now: dt.datetime | str) -> DataFrame:
     b = _bucketed(feed, now).groupBy("date_time").agg(
         F.count_distinct("user_id").alias("users_feed"),
-        F.count_if(F.col("user_id").isNotNull() & (F.col("action") == "view")).alias("views"),
-        F.count_if(F.col("user_id").isNotNull() & (F.col("action") == "like")).alias("likes"),
+        count_where(F.col("user_id").isNotNull() & (F.col("action") == "view")).alias("views"),
+        count_where(F.col("user_id").isNotNull() & (F.col("action") == "like")).alias("likes"),
     )
     return b.select(
         "date_time",

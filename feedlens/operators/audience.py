@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.functions.numeric import round_half_up
+from feedlens.functions.numeric import count_where, round_half_up
 from feedlens.functions.time import as_date, day_range
 
 
@@ -34,8 +34,8 @@ def _feed_daily(feed: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
         .groupBy(F.to_date("time").alias("date"))
         .agg(
             F.count_distinct("user_id").alias("DAU"),
-            F.count_if(F.col("action") == "like").alias("likes"),
-            F.count_if(F.col("action") == "view").alias("views"),
+            count_where(F.col("action") == "like").alias("likes"),
+            count_where(F.col("action") == "view").alias("views"),
         )
         .withColumn("CTR", F.try_divide(F.col("likes"), F.col("views").cast("double")))
     )
@@ -69,8 +69,8 @@ def daily_audience(feed: DataFrame, messages: DataFrame, first: dt.date, last: d
     )
     return user_days.groupBy("date").agg(
         F.count(F.lit(1)).alias("users"),
-        F.count_if(F.col("in_feed") == 1).alias("feed_users"),
-        F.count_if((F.col("in_feed") == 1) & (F.col("in_msg") == 1)).alias("both_users"),
+        count_where(F.col("in_feed") == 1).alias("feed_users"),
+        count_where((F.col("in_feed") == 1) & (F.col("in_msg") == 1)).alias("both_users"),
     )
 
 

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.functions.hashing import md5_mod, split_key
-from feedlens.functions.ranking import exact_quantile
+from feedlens.functions.numeric import count_where
+from feedlens.functions.ranking import running_totals
 from feedlens.functions.time import day_range
 
 
@@ -18,13 +19,12 @@ def user_ctr(feed: DataFrame, first: dt.date | str, last: dt.date | str, groups:
     the user has no views; such users are left out of every test)."""
     f = feed.where(day_range(feed, first, last))
     if groups is not None:
-        f = f.where(F.col("exp_group").isin(list(groups)))
+        # (the NOT NULL is implied; stating it keeps plans that join on the
+        # group identical to those that do not, so their shuffles are shared)
+        f = f.where(F.col("exp_group").isNotNull() & F.col("exp_group").isin(list(groups)))
     return (
         f.groupBy("exp_group", "user_id")
-        .agg(
-            F.count_if(F.col("action") == "like").alias("likes"),
-            F.count_if(F.col("action") == "view").alias("views"),
-        )
+        .agg(count_where(F.col("action") == "like").alias("likes"), count_where(F.col("action") == "view").alias("views"))
         .withColumn("ctr", F.try_divide(F.col("likes"), F.col("views").cast("double")))
     )
 
@@ -86,18 +86,15 @@ def linearized_likes_pairs(uc: DataFrame, pairs) -> DataFrame:
     """``linearized_likes`` for several (control, test) pairs in one pass.
 
     Each user row is tagged with the control group of every pair its group
-    belongs to; the control groups' CTR table (at most one row per pair,
-    broadcast) supplies CTR_control.  Output adds ``control``.
+    belongs to; the per-group CTR table of the pairs' groups (broadcast, at
+    most two rows per pair) supplies CTR_control.  Output adds ``control``.
     """
     tags = [F.when(F.col("exp_group").isin(c, t), F.lit(c)) for c, t in pairs]
     tagged = uc.withColumn("control", F.explode(F.array(*tags))).where(F.col("control").isNotNull())
-    controls = sorted({c for c, _ in pairs})
-    # one row per control group: at most len(pairs) rows
-    ctl = F.broadcast(
-        global_ctr(uc.where(F.col("exp_group").isin(controls))).select(
-            F.col("exp_group").alias("control"), F.col("global_ctr").alias("_c")
-        )
-    )
+    groups = sorted({g for pair in pairs for g in pair})
+    uc = uc.where(F.col("exp_group").isin(groups))
+    # one row per group of the pairs (the same user table feeds both sides)
+    ctl = F.broadcast(global_ctr(uc).select(F.col("exp_group").alias("control"), F.col("global_ctr").alias("_c")))
     return tagged.join(ctl, "control").select(
         "exp_group",
         "user_id",
@@ -135,11 +132,25 @@ def bucket_ctr(
     uc: DataFrame, n_buckets: int = 50, salt: str = "bucket", q: float = 0.9, hash_fn: str = "md5"
 ) -> DataFrame:
     """Per (exp_group, bucket): sum(likes) / sum(views) and the exact 0.9
-    quantile (index rule) of the user CTRs in the bucket."""
-    sums = bucket_sums(uc, n_buckets, salt, hash_fn)
-    q9 = exact_quantile(with_bucket(uc, n_buckets, salt, hash_fn), "ctr", q, ["exp_group", "bucket"], "ctr9")
-    return sums.join(q9, ["exp_group", "bucket"], "left")
+    quantile (index rule) of the user CTRs in the bucket.
 
+    One pass: users are counted per (group, bucket, ctr) together with their
+    likes and views; the ranking pass gives both the bucket totals and the
+    quantile.  Users with an undefined CTR count in the sums, not in the
+    quantile (rank weight 0).
+    """
+    keys = ["exp_group", "bucket"]
+    counts = with_bucket(uc, n_buckets, salt, hash_fn).groupBy(*keys, "ctr").agg(
+        F.count("ctr").alias("_cnt"), F.sum("likes").alias("_l"), F.sum("views").alias("_v")
+    )
+    ranked = running_totals(counts, "ctr", ["_cnt", "_l", "_v"], keys)
+    n = F.col("_cnt_total")
+    target = F.least(F.floor(n * F.lit(float(q))), n - 1)
+    hit = (F.col("_cnt") > 0) & (F.col("_cnt_below") <= target) & (target < F.col("_cnt_below") + F.col("_cnt"))
+    return ranked.groupBy(*keys).agg(
+        F.try_divide(F.max("_l_total"), F.max("_v_total").cast("double")).alias("bucket_ctr"),
+        F.max(F.when(hit, F.col("ctr"))).alias("ctr9"),
+    )
 
 def group_moments(uc: DataFrame) -> DataFrame:
     """Per experiment group, everything the CTR and linearized-likes tests need

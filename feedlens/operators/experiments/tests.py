@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedlens.functions.numeric import count_where
 from feedlens.functions.ranking import running_totals
 from feedlens.functions.stats import normal_two_sided_p, t_two_sided_p
 
@@ -38,8 +39,8 @@ def welch_ttest(df: DataFrame, group_col: str, value_col: str, a, b, keys: Seque
     gb = F.col(group_col) == b
     v = F.col(value_col)
     mom = _pair(df, group_col, value_col, a, b).groupBy(*keys).agg(
-        F.count_if(ga).alias("n_a"),
-        F.count_if(gb).alias("n_b"),
+        count_where(ga).alias("n_a"),
+        count_where(gb).alias("n_b"),
         F.avg(F.when(ga, v)).alias("mean_a"),
         F.avg(F.when(gb, v)).alias("mean_b"),
         F.var_samp(F.when(ga, v)).alias("_var_a"),
@@ -71,7 +72,7 @@ def value_counts(
     many values of each group lie strictly below (global ranks, no single task)."""
     ga = F.col(group_col) == a
     counts = _pair(df, group_col, value_col, a, b).groupBy(*keys, value_col).agg(
-        F.count_if(ga).alias("c_a"), F.count_if(~ga).alias("c_b")
+        count_where(ga).alias("c_a"), count_where(~ga).alias("c_b")
     )
     counts = counts.withColumn("c_t", F.col("c_a") + F.col("c_b"))
     return running_totals(counts, value_col, ["c_t", "c_b"], keys, max_rows=max_rows)

@@ -94,7 +94,8 @@ def test_bootstrap_replicates_center_on_the_global_ctr(feed):
 )
 def test_running_totals_match_pandas(spark, rows, parts):
     df = spark.createDataFrame(rows, "k int, v double, w long")
-    got = running_totals(df, "v", ["w"], ["k"], n_parts=parts, n_fine=64).toPandas()
+    # a coarse grid: many values share a fine bucket and a chunk
+    got = running_totals(df, "v", ["w"], ["k"], n_parts=parts, fine_per_unit=2).toPandas()
     pdf = pd.DataFrame(rows, columns=["k", "v", "w"]).sort_values(["k", "v"])
     pdf["want"] = pdf.groupby("k")["w"].cumsum() - pdf["w"]
     pdf["tot"] = pdf.groupby("k")["w"].transform("sum")
