@@ -115,6 +115,7 @@ def _write_batch(df: DataFrame, path: str) -> None:
     rows, and readers of recent days prune by date."""
     (
         df.withColumn("date", F.to_date("date_time"))
+        .repartition("date", "batch_id")  # one file per partition, not one per task and partition
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("date", "batch_id")
