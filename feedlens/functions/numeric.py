@@ -11,10 +11,11 @@ def round_half_up(c: Column, digits: int) -> Column:
 
     Plain IEEE arithmetic, so every engine (and every Spark version) gets the
     same bits; ``round`` differs between engines at decimal ties such as
-    0.0015625.  Valid for |x| * 10^d below 2^63.
+    0.0015625.  Values with |x| * 10^d of 9e18 or more (beyond a BIGINT floor)
+    are returned unchanged.
     """
-    scale = float(10**digits)
-    return F.floor(c * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    scale = F.lit(float(10**digits))
+    return F.when(F.abs(c) * scale < F.lit(9.0e18), F.floor(c * scale + F.lit(0.5)) / scale).otherwise(c)
 
 
 def count_where(cond: Column) -> Column:

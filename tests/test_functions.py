@@ -164,3 +164,11 @@ def test_running_totals_heavy_tail_spreads_over_chunks(spark):
     v = np.array([r[0] for r in rows[:-1]])
     b = np.floor(np.sign(v) * np.log1p(np.abs(v)) * FINE_PER_UNIT)
     assert len(np.unique(b)) > 2000
+
+
+def test_round_half_up_is_safe_for_huge_values(spark):
+    from feedlens.functions.numeric import round_half_up
+
+    rows = spark.createDataFrame([(0.0015625,), (2.675,), (-1.005,), (5e15,), (1e300,), (None,)], "x double")
+    got = [r[0] for r in rows.select(round_half_up(F.col("x"), 6)).collect()]
+    assert got[:2] == [0.001563, 2.675] and got[3:5] == [5e15, 1e300] and got[5] is None
