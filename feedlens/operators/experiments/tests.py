@@ -88,7 +88,8 @@ def mann_whitney(
         F.sum("c_a").cast("double").alias("_na"),
         F.sum("c_b").cast("double").alias("_nb"),
         F.sum(F.col("c_a") * midrank).alias("_r1"),
-        F.sum((F.col("c_t") * F.col("c_t") * F.col("c_t") - F.col("c_t")).cast("double")).alias("_ties"),
+        # tie term in double: a value shared by millions of users overflows t^3 in BIGINT
+        F.sum(F.pow(F.col("c_t").cast("double"), F.lit(3.0)) - F.col("c_t").cast("double")).alias("_ties"),
     )
     na, nb = F.col("_na"), F.col("_nb")
     n = na + nb
@@ -112,7 +113,7 @@ def prob_a_gt_b(df: DataFrame, group_col: str, value_col: str, a, b, keys: Seque
     """P(X > Y) for X drawn from group a and Y from group b (strict)."""
     vc = value_counts(df, group_col, value_col, a, b, keys)
     s = vc.groupBy(*keys).agg(
-        F.sum(F.col("c_a") * F.col("c_b_below")).cast("double").alias("_wins"),
+        F.sum(F.col("c_a").cast("double") * F.col("c_b_below").cast("double")).alias("_wins"),
         F.sum("c_a").alias("n_a"),
         F.sum("c_b").alias("n_b"),
     )
@@ -122,7 +123,7 @@ def prob_a_gt_b(df: DataFrame, group_col: str, value_col: str, a, b, keys: Seque
         F.lit(b).alias("group_b"),
         "n_a",
         "n_b",
-        F.try_divide(F.col("_wins"), (F.col("n_a") * F.col("n_b")).cast("double")).alias("prob_a_gt_b"),
+        F.try_divide(F.col("_wins"), F.col("n_a").cast("double") * F.col("n_b").cast("double")).alias("prob_a_gt_b"),
     )
 
 

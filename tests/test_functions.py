@@ -172,3 +172,13 @@ def test_round_half_up_is_safe_for_huge_values(spark):
     rows = spark.createDataFrame([(0.0015625,), (2.675,), (-1.005,), (5e15,), (1e300,), (None,)], "x double")
     got = [r[0] for r in rows.select(round_half_up(F.col("x"), 6)).collect()]
     assert got[:2] == [0.001563, 2.675] and got[3:5] == [5e15, 1e300] and got[5] is None
+
+
+def test_mann_whitney_with_a_hugely_tied_value(spark):
+    # 3,000,000 users share one value: the tie term t^3 does not fit a BIGINT
+    a = spark.range(3_000_000).select(F.lit(1).alias("g"), F.lit(0.0).alias("v"))
+    b = spark.range(1000).select(F.lit(2).alias("g"), (F.col("id") / 1000.0).alias("v"))
+    r = T.mann_whitney(a.unionByName(b), "g", "v", 1, 2).first()
+    # all of A ties with B's single 0.0 and is below the rest: U1 = 3e6 * 0.5
+    assert r.u_stat == 3_000_000 * 0.5
+    assert r.p_value is not None and 0 <= r.p_value <= 1
