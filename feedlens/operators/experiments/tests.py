@@ -35,6 +35,9 @@ def welch_from_moments(n_a: Column, m_a: Column, v_a: Column, n_b: Column, m_b:
 
 
 def welch_ttest(df: DataFrame, group_col: str, value_col: str, a, b, keys: Sequence[str] = ()) -> DataFrame:
+    """Welch's t-test of ``value_col`` between groups ``a`` and ``b`` (NULL values
+    left out): one conditional aggregate per key, then t, the Welch-Satterthwaite
+    degrees of freedom and the two-sided p-value."""
     ga = F.col(group_col) == a
     gb = F.col(group_col) == b
     v = F.col(value_col)
@@ -81,7 +84,10 @@ def value_counts(
 def mann_whitney(
     df: DataFrame, group_col: str, value_col: str, a, b, keys: Sequence[str] = (), max_rows: int | None = None
 ) -> DataFrame:
-    """``max_rows``: a known bound on the input rows (see ``running_totals``)."""
+    """Mann-Whitney U of group ``a`` against ``b``: U1 = R1 - n1 (n1 + 1) / 2 from
+    midranks, p from the normal approximation with tie and continuity
+    corrections (two-sided, as ``max(U1, U2)``).  ``max_rows``: a known bound on
+    the input rows (see ``running_totals``)."""
     vc = value_counts(df, group_col, value_col, a, b, keys, max_rows)
     midrank = F.col("c_t_below") + (F.col("c_t") + F.lit(1.0)) / 2.0
     s = vc.groupBy(*keys).agg(
