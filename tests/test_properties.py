@@ -6,7 +6,6 @@ import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from feedlens.functions.ranking import exact_quantile, running_totals
 from feedlens.operators import retention
