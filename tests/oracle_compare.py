@@ -34,9 +34,8 @@ def _norm(v):
     if v is None or v is pd.NA or v is pd.NaT:
         return None
     if isinstance(v, float):
-        if math.isnan(v):
-            return None
-        return round(v, 9)
+        # exact: both sides round their doubles with the same IEEE formula
+        return None if math.isnan(v) else v
     if hasattr(v, "isoformat"):
         return pd.Timestamp(v).isoformat()
     try:
