@@ -36,11 +36,15 @@ BUCKET = "15 minutes"
 SERIES_SCHEMA = "metric string, date_time timestamp_ntz, value double, date date, batch_id long"
 
 
-def read_event_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    r = spark.readStream.schema(EVENTS_SCHEMA)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(path)
+def read_event_stream(
+    spark: SparkSession, path: str | None = None, fmt: str = "parquet", schema=EVENTS_SCHEMA, **options
+) -> DataFrame:
+    """A stream of event rows from any streaming source (files need a declared
+    schema; e.g. ``fmt="kafka"`` with its options and a parsing projection)."""
+    r = spark.readStream.format(fmt).options(**options)
+    if schema is not None and fmt != "kafka":
+        r = r.schema(schema)
+    return r.load(path) if path is not None else r.load()
 
 
 def _tagged(feed: DataFrame, messages: DataFrame) -> DataFrame:
@@ -56,8 +60,14 @@ def _tagged(feed: DataFrame, messages: DataFrame) -> DataFrame:
 
 
 def bucket_metrics_stream(events: DataFrame, watermark: str = BUCKET) -> DataFrame:
-    """Closed 15-minute buckets per source: users, likes, views, rows."""
-    rows = _tagged(feed_actions(events), message_actions(events)).where(F.col("user_id").isNotNull())
+    """Closed 15-minute buckets per source from a stream of generic events."""
+    return bucket_metrics_from(feed_actions(events), message_actions(events), watermark)
+
+
+def bucket_metrics_from(feed: DataFrame, messages: DataFrame, watermark: str = BUCKET) -> DataFrame:
+    """Closed 15-minute buckets per source ("feed", "messages") from the two
+    streams: users (exact distinct), likes, views and rows."""
+    rows = _tagged(feed, messages).where(F.col("user_id").isNotNull())
     rows = rows.withColumn("et", F.col("time").cast("timestamp")).withWatermark("et", watermark)
     per_user = rows.groupBy(F.window("et", BUCKET).alias("w"), "source", "user_id").agg(
         F.sum("is_like").alias("likes"), F.sum("is_view").alias("views"), F.count(F.lit(1)).alias("n")
