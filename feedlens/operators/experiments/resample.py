@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlens.functions.hashing import TWO_32, md5_chunks, poisson1_weight
-from feedlens.operators.experiments.tests import welch_ttest
+from feedlens.operators.experiments.twosample import welch_ttest
 from feedlens.session import ensure_checkpoint_dir
 
 

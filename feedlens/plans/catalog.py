@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from feedlens.functions.numeric import round_half_up
 from feedlens.operators import activity, alerts, audience, retention
-from feedlens.operators.experiments import distribution, metrics, resample, split, tests
+from feedlens.operators.experiments import distribution, metrics, resample, split, twosample
 from feedlens.plans.params import DEFAULT, DIGITS, Params
 from feedlens.session import shared_dir
 from feedlens.sources import events as ev
@@ -193,15 +193,15 @@ def build(p: Params = DEFAULT) -> dict[str, Query]:
 
     @reg("welch_ttest")
     def _(feed, msgs, spark):
-        return tests.welch_ttest(_uc(feed, p, p.ab_groups), "exp_group", "ctr", A, B)
+        return twosample.welch_ttest(_uc(feed, p, p.ab_groups), "exp_group", "ctr", A, B)
 
     @reg("mann_whitney")
     def _(feed, msgs, spark):
-        return tests.mann_whitney(_uc(feed, p, p.ab_groups), "exp_group", "ctr", A, B)
+        return twosample.mann_whitney(_uc(feed, p, p.ab_groups), "exp_group", "ctr", A, B)
 
     @reg("prob_a_gt_b")
     def _(feed, msgs, spark):
-        return tests.prob_a_gt_b(_uc(feed, p, p.ab_groups), "exp_group", "ctr", A, B)
+        return twosample.prob_a_gt_b(_uc(feed, p, p.ab_groups), "exp_group", "ctr", A, B)
 
     @reg("smoothed_ctr")
     def _(feed, msgs, spark):
@@ -210,7 +210,7 @@ def build(p: Params = DEFAULT) -> dict[str, Query]:
     @reg("smoothed_ctr_ttest")
     def _(feed, msgs, spark):
         sm = metrics.smoothed_ctr(_uc(feed, p, p.ab_groups), p.alpha_smooth, p.ab_groups)
-        return tests.welch_ttest(sm, "exp_group", "smoothed_ctr", A, B)
+        return twosample.welch_ttest(sm, "exp_group", "smoothed_ctr", A, B)
 
     @reg("poisson_bootstrap")
     def _(feed, msgs, spark):
@@ -228,12 +228,12 @@ def build(p: Params = DEFAULT) -> dict[str, Query]:
     @reg("bucket_tests")
     def _(feed, msgs, spark):
         b = metrics.bucket_sums(_uc(feed, p, p.ab_groups), p.n_buckets, p.bucket_salt)
-        w = tests.welch_ttest(b, "exp_group", "bucket_ctr", A, B).select(
+        w = twosample.welch_ttest(b, "exp_group", "bucket_ctr", A, B).select(
             F.lit("welch").alias("test"), "group_a", "group_b", "n_a", "n_b",
             F.col("t_stat").alias("statistic"), "p_value",
         )
         # one row per (group, bucket): at most 2 * n_buckets rows
-        m = tests.mann_whitney(b, "exp_group", "bucket_ctr", A, B, max_rows=2 * p.n_buckets).select(
+        m = twosample.mann_whitney(b, "exp_group", "bucket_ctr", A, B, max_rows=2 * p.n_buckets).select(
             F.lit("mann_whitney").alias("test"), "group_a", "group_b", "n_a", "n_b",
             F.col("u_stat").alias("statistic"), "p_value",
         )
@@ -247,7 +247,7 @@ def build(p: Params = DEFAULT) -> dict[str, Query]:
     @reg("linearized_ttest")
     def _(feed, msgs, spark):
         groups = sorted({g for pair in p.lin_pairs for g in pair})
-        return tests.linearized_ttests(_uc(feed, p, groups), p.lin_pairs)
+        return twosample.linearized_ttests(_uc(feed, p, groups), p.lin_pairs)
 
     @reg("ctr_histogram")
     def _(feed, msgs, spark):

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedlens.operators import activity
-from feedlens.operators.experiments import metrics, tests
+from feedlens.operators.experiments import metrics, twosample
 from feedlens.sources import events as ev
 from feedlens.sources import read_feed_actions, read_message_actions, sink
 
@@ -29,7 +29,7 @@ def test_tables_from_files_give_the_same_cube(spark, tmp_path):
     sink.write_metrics_cube(a, str(tmp_path / "cube"), load_date=day)
     assert sink.read_metrics_cube(spark, str(tmp_path / "cube")).count() == b.count()
     uc = metrics.user_ctr(f2, "2024-01-08", "2024-01-14", groups=(1, 2))
-    r = tests.welch_ttest(uc, "exp_group", "ctr", 1, 2).first()
+    r = twosample.welch_ttest(uc, "exp_group", "ctr", 1, 2).first()
     assert r.n_a > 0 and r.n_b > 0 and 0 <= r.p_value <= 1
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from feedlens.functions import hashing, stats
 from feedlens.functions.ranking import exact_quantile, running_totals
-from feedlens.operators.experiments import tests as T
+from feedlens.operators.experiments import twosample as T
 
 
 def test_md5_split_matches_python_integer_arithmetic(spark):
