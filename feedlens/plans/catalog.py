@@ -36,17 +36,18 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     )
 
 
-_EVENTS: dict[tuple[int, str], DataFrame] = {}
+_VIEWS: dict[tuple[int, str], tuple[DataFrame, DataFrame]] = {}
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The two views over ``events``; the scan relation is built once per
-    session and directory (file listing and footer read happen once)."""
+    """The two views over ``events``, built once per session and directory
+    (file listing, footer read and analysis happen once)."""
     key = (id(spark), sf_dir)
-    e = _EVENTS.get(key)
-    if e is None or e.sparkSession is not spark:
-        e = _EVENTS[key] = ev.read_events(spark, sf_dir)
-    return ev.feed_actions(e), ev.message_actions(e)
+    views = _VIEWS.get(key)
+    if views is None or views[0].sparkSession is not spark:
+        e = ev.read_events(spark, sf_dir)
+        views = _VIEWS[key] = (ev.feed_actions(e), ev.message_actions(e))
+    return views
 
 
 def _uc(feed: DataFrame, p: Params, groups) -> DataFrame:
