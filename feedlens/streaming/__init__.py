@@ -16,9 +16,11 @@ def feed_15min_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     from feedlens.streaming.alerts_stream import read_event_stream, start_feed_15min
 
     base = shared_dir(spark, "feed_15min_stream")
+    from feedlens.plans.catalog import rounded
+
     q = start_feed_15min(read_event_stream(spark, _events_glob(sf_dir)), f"{base}/out", f"{base}/checkpoint")
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/out")
+    return rounded(spark.read.parquet(f"{base}/out").drop("batch_id"))
 
 
 def anomaly_alerts_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:

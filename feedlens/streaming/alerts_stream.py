@@ -7,11 +7,12 @@ the batch alert instead re-reads the last two days on each run, so it absorbs
 late rows.
 
 Exact distinct users per bucket without ``count_distinct`` (not supported on
-streams): a first event-time aggregation per (bucket, source, user), then a
-second per (bucket, source) counts its rows.  State is one row per active
-user and open bucket, cleared by the watermark.  Every emitted bucket equals
-the batch result; a bounded run (``availableNow``) can end with the last
-closed bucket still in the second operator's state - the next run emits it.
+streams): the one stateful operator aggregates per (bucket, source, user) and
+emits a bucket's rows together once the watermark passes its end; each
+micro-batch then counts them per bucket in ``foreachBatch`` (a plain batch
+aggregation).  State is one row per active user and open bucket, cleared by
+the watermark.  The output is exactly the batch result for every bucket that
+ends at or before the final watermark (max event time - 15 minutes).
 
 ``start_alert_stream`` evaluates the interquartile-range rule in
 ``foreachBatch`` on the latest closed bucket of each metric; every output is
@@ -59,33 +60,37 @@ def _tagged(feed: DataFrame, messages: DataFrame) -> DataFrame:
     return f.unionByName(m)
 
 
-def bucket_metrics_stream(events: DataFrame, watermark: str = BUCKET) -> DataFrame:
-    """Closed 15-minute buckets per source from a stream of generic events."""
-    return bucket_metrics_from(feed_actions(events), message_actions(events), watermark)
+def bucket_user_stream(events: DataFrame, watermark: str = BUCKET) -> DataFrame:
+    """Closed 15-minute buckets per (source, user) from a stream of generic events."""
+    return bucket_user_from(feed_actions(events), message_actions(events), watermark)
 
 
-def bucket_metrics_from(feed: DataFrame, messages: DataFrame, watermark: str = BUCKET) -> DataFrame:
-    """Closed 15-minute buckets per source ("feed", "messages") from the two
-    streams: users (exact distinct), likes, views and rows."""
+def bucket_user_from(feed: DataFrame, messages: DataFrame, watermark: str = BUCKET) -> DataFrame:
+    """The stateful step: one row per (bucket, source, user) with the user's
+    likes, views and rows, emitted once the watermark passes the bucket's end.
+    All users of a bucket are emitted in the same micro-batch."""
     rows = _tagged(feed, messages).where(F.col("user_id").isNotNull())
     rows = rows.withColumn("et", F.col("time").cast("timestamp")).withWatermark("et", watermark)
     per_user = rows.groupBy(F.window("et", BUCKET).alias("w"), "source", "user_id").agg(
         F.sum("is_like").alias("likes"), F.sum("is_view").alias("views"), F.count(F.lit(1)).alias("n")
     )
-    per_bucket = per_user.groupBy(F.window(F.window_time("w"), BUCKET).alias("b"), "source").agg(
+    return per_user.select(F.col("w.start").cast("timestamp_ntz").alias("date_time"), "source", "user_id", "likes", "views", "n")
+
+
+def closed_buckets(per_user: DataFrame) -> DataFrame:
+    """Batch step (inside ``foreachBatch``): per (bucket, source) the exact
+    distinct users, likes, views and rows."""
+    return per_user.groupBy("date_time", "source").agg(
         F.count(F.lit(1)).alias("users"),
         F.sum("likes").alias("likes"),
         F.sum("views").alias("views"),
         F.sum("n").alias("n"),
     )
-    return per_bucket.select(
-        "source", F.col("b.start").cast("timestamp_ntz").alias("date_time"), "users", "likes", "views", "n"
-    )
 
 
-def feed_15min_stream(events: DataFrame, watermark: str = BUCKET) -> DataFrame:
-    """Streaming form of ``alerts.feed_15min`` (one row per closed bucket)."""
-    b = bucket_metrics_stream(events, watermark).where(F.col("source") == "feed")
+def feed_15min_rows(buckets: DataFrame) -> DataFrame:
+    """``alerts.feed_15min`` columns from closed buckets."""
+    b = buckets.where(F.col("source") == "feed")
     return b.select(
         "date_time",
         F.to_date("date_time").alias("date"),
@@ -98,8 +103,21 @@ def feed_15min_stream(events: DataFrame, watermark: str = BUCKET) -> DataFrame:
 
 
 def start_feed_15min(events: DataFrame, out_path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    w = feed_15min_stream(events).writeStream.outputMode("append").format("parquet")
-    w = w.option("path", out_path).option("checkpointLocation", checkpoint)
+    """Streaming form of ``alerts.feed_15min``: one row per closed bucket,
+    written per batch id (a replayed batch replaces its own rows)."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        rows = feed_15min_rows(closed_buckets(batch)).withColumn("batch_id", F.lit(batch_id))
+        (
+            rows.repartition("batch_id")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch_id")
+            .parquet(out_path)
+        )
+
+    w = bucket_user_stream(events).writeStream.outputMode("append").foreachBatch(run)
+    w = w.option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
@@ -133,13 +151,13 @@ def _write_batch(df: DataFrame, path: str) -> None:
     )
 
 
-def alert_batch(spark: SparkSession, buckets: DataFrame, batch_id: int, series_path: str, alerts_path: str,
+def alert_batch(spark: SparkSession, per_user: DataFrame, batch_id: int, series_path: str, alerts_path: str,
                 a: float = 5.0, n: int = 5, history: dt.timedelta = dt.timedelta(days=2)) -> None:
     """foreachBatch body: store the new closed buckets, then judge the latest
     bucket of each metric against the band built from the stored history."""
-    if buckets.isEmpty():
+    if per_user.isEmpty():
         return
-    new = _metric_rows(buckets)
+    new = _metric_rows(closed_buckets(per_user))
     _write_batch(new.withColumn("batch_id", F.lit(batch_id)), series_path)
     latest = new.groupBy("metric").agg(F.max("date_time").alias("latest"))
     # days that can hold the history of this batch's buckets (partition pruning)
@@ -170,6 +188,6 @@ def start_alert_stream(spark: SparkSession, events: DataFrame, base: str, trigge
         finally:
             batch.unpersist()
 
-    w = bucket_metrics_stream(events).writeStream.outputMode("append").foreachBatch(run)
+    w = bucket_user_stream(events).writeStream.outputMode("append").foreachBatch(run)
     w = w.option("checkpointLocation", f"{base}/checkpoint")
     return w.trigger(**(trigger or {"availableNow": True})).start()
