@@ -27,9 +27,11 @@ def anomaly_alerts_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     from feedlens.streaming.alerts_stream import read_event_stream, start_alert_stream
 
     base = shared_dir(spark, "alerts_stream")
+    from feedlens.plans.catalog import rounded
+
     q = start_alert_stream(spark, read_event_stream(spark, _events_glob(sf_dir)), base)
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/alerts")
+    return rounded(spark.read.parquet(f"{base}/alerts").drop("batch_id", "date"))
 
 
 def registered() -> dict:
