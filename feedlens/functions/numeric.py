@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def round_half_up(c: Column, digits: int) -> Column:
@@ -26,3 +27,13 @@ def count_where(cond: Column) -> Column:
     after optimisation and Spark can reuse their shuffle.
     """
     return F.count(F.when(cond, F.lit(1)))
+
+
+def round_doubles(df: DataFrame, digits: int) -> DataFrame:
+    """``round_half_up`` applied to every DOUBLE column (other columns as is)."""
+    return df.select(
+        *[
+            round_half_up(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
+            for f in df.schema.fields
+        ]
+    )

@@ -12,9 +12,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from feedlens.functions.numeric import round_half_up
+from feedlens.functions.numeric import round_doubles
 from feedlens.operators import activity, alerts, audience, retention
 from feedlens.operators.experiments import distribution, metrics, resample, split, twosample
 from feedlens.plans.params import DEFAULT, DIGITS, Params
@@ -26,14 +25,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    return df.select(
-        *[
-            round_half_up(F.col(f.name), digits).alias(f.name)
-            if isinstance(f.dataType, T.DoubleType)
-            else F.col(f.name)
-            for f in df.schema.fields
-        ]
-    )
+    return round_doubles(df, digits)
 
 
 _VIEWS: dict[tuple[int, str], tuple[DataFrame, DataFrame]] = {}

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from feedlens.functions.numeric import round_doubles
+from feedlens.plans.params import DIGITS
 from feedlens.session import shared_dir
 
 
@@ -16,22 +18,18 @@ def feed_15min_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     from feedlens.streaming.alerts_stream import read_event_stream, start_feed_15min
 
     base = shared_dir(spark, "feed_15min_stream")
-    from feedlens.plans.catalog import rounded
-
     q = start_feed_15min(read_event_stream(spark, _events_glob(sf_dir)), f"{base}/out", f"{base}/checkpoint")
     q.awaitTermination()
-    return rounded(spark.read.parquet(f"{base}/out").drop("batch_id"))
+    return round_doubles(spark.read.parquet(f"{base}/out").drop("batch_id"), DIGITS)
 
 
 def anomaly_alerts_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     from feedlens.streaming.alerts_stream import read_event_stream, start_alert_stream
 
     base = shared_dir(spark, "alerts_stream")
-    from feedlens.plans.catalog import rounded
-
     q = start_alert_stream(spark, read_event_stream(spark, _events_glob(sf_dir)), base)
     q.awaitTermination()
-    return rounded(spark.read.parquet(f"{base}/alerts").drop("batch_id", "date"))
+    return round_doubles(spark.read.parquet(f"{base}/alerts").drop("batch_id", "date"), DIGITS)
 
 
 def registered() -> dict:
