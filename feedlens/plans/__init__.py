@@ -1,0 +1 @@
+"""The registered queries (catalog), their DuckDB oracle SQL and parameters."""
