@@ -38,3 +38,13 @@ def test_missing_column_is_reported(spark, tmp_path):
     ev.feed_actions(e).drop("os").write.parquet(str(tmp_path / "feed"))
     with pytest.raises(ValueError, match="os"):
         read_feed_actions(spark, str(tmp_path / "feed"))
+
+
+def test_cluster_settings_size_shuffle_partitions():
+    from feedlens.session import cluster_settings
+
+    big = cluster_settings(largest_shuffle_bytes=50 << 40, total_cores=4000)  # 50 TiB shuffle
+    assert int(big["spark.sql.shuffle.partitions"]) == -(-(50 << 40) // (200 << 20))
+    small = cluster_settings(largest_shuffle_bytes=1 << 30, total_cores=4000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 8000  # at least two waves of tasks
+    assert big["spark.sql.adaptive.enabled"] == "true" and big["spark.sql.session.timeZone"] == "UTC"
