@@ -154,7 +154,9 @@ def _write_batch(df: DataFrame, path: str) -> None:
 def alert_batch(spark: SparkSession, per_user: DataFrame, batch_id: int, series_path: str, alerts_path: str,
                 a: float = 5.0, n: int = 5, history: dt.timedelta = dt.timedelta(days=2)) -> None:
     """foreachBatch body: store the new closed buckets, then judge the latest
-    bucket of each metric against the band built from the stored history."""
+    bucket of each metric against the band built from the stored history.
+    It runs several actions on ``per_user``: persist the batch around the
+    call (``start_alert_stream`` does)."""
     if per_user.isEmpty():
         return
     new = _metric_rows(closed_buckets(per_user))
