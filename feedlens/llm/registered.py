@@ -6,21 +6,39 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedlens.llm import ngram_join
+from feedlens.llm import ngram_join, packing, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """The file of a public tokenizer as installed on every node."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(_table(spark, sf_dir, "pages"))
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+QUERIES = (op1_warc_revisits, op4_ngram_jaccard_join, op6_packing)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_ngram_jaccard_join,)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
