@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedlens.llm import ngram_join, packing, warc
+from feedlens.llm import chat_format, ngram_join, packing, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,7 +34,13 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = (op1_warc_revisits, op4_ngram_jaccard_join, op6_packing)
+def op8_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extra = spark.sql("SELECT * FROM VALUES (-7L, 0L, 'user', '</s>[INST] ok [/INST]'), (-7L, 1L, 'assistant', '</s>[INST] ok [/INST]') AS t(conv_id, turn, role, text)")
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat_format.digests(chat_format.read_chat(chat_format.format_chat(turns)))
+
+
+QUERIES = (op1_warc_revisits, op4_ngram_jaccard_join, op6_packing, op8_chat_windows)
 
 
 def queries() -> dict[str, Query]:
@@ -42,4 +48,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_chat_windows": chat_format.ORACLE}
