@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedlens.llm import chat_format, ngram_join, packing, warc
+from feedlens.llm import chat_format, decontaminate, ngram_join, packing, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,11 @@ def op1_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived_pages(_table(spark, sf_dir, "pages"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return decontaminate.digests(found)
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -40,7 +45,7 @@ def op8_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.read_chat(chat_format.format_chat(turns)))
 
 
-QUERIES = (op1_warc_revisits, op4_ngram_jaccard_join, op6_packing, op8_chat_windows)
+QUERIES = (op1_warc_revisits, op3_decontamination, op4_ngram_jaccard_join, op6_packing, op8_chat_windows)
 
 
 def queries() -> dict[str, Query]:
@@ -48,4 +53,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_chat_windows": chat_format.ORACLE}
+    return {"op3_decontamination": decontaminate.ORACLE, "op8_chat_windows": chat_format.ORACLE}
