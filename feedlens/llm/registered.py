@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from feedlens.llm import chat_format, decontaminate, ngram_join, packing, warc
+from feedlens.llm import ann, chat_format, decontaminate, ngram_join, packing, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,7 +46,11 @@ def op8_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.read_chat(chat_format.format_chat(turns)))
 
 
-QUERIES = (op1_warc_revisits, op3_decontamination, op4_ngram_jaccard_join, op6_packing, op8_chat_windows)
+def op9_one_bit_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+QUERIES = (op1_warc_revisits, op3_decontamination, op4_ngram_jaccard_join, op6_packing, op8_chat_windows, op9_one_bit_codes)
 
 
 def queries() -> dict[str, Query]:
