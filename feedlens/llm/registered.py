@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.llm import ann, chat_format, decontaminate, ngram_join, packing, warc
+from feedlens.llm import ann, chat_format, decontaminate, ngram_join, packing, ppm, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,6 +40,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op7_ppm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    return ppm.score_documents(_table(spark, sf_dir, "documents"), held_out)
+
+
 def op8_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.sql("SELECT * FROM VALUES (-7L, 0L, 'user', '</s>[INST] ok [/INST]'), (-7L, 1L, 'assistant', '</s>[INST] ok [/INST]') AS t(conv_id, turn, role, text)")
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
@@ -50,7 +55,7 @@ def op9_one_bit_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
-QUERIES = (op1_warc_revisits, op3_decontamination, op4_ngram_jaccard_join, op6_packing, op8_chat_windows, op9_one_bit_codes)
+QUERIES = (op1_warc_revisits, op3_decontamination, op4_ngram_jaccard_join, op6_packing, op7_ppm_scoring, op8_chat_windows, op9_one_bit_codes)
 
 
 def queries() -> dict[str, Query]:
