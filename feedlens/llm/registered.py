@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.llm import ann, chat_format, decontaminate, ngram_join, packing, ppm, warc
+from feedlens.llm import ann, chat_format, decontaminate, line_dedup, ngram_join, packing, ppm, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,7 +55,11 @@ def op9_one_bit_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
-QUERIES = (op1_warc_revisits, op3_decontamination, op4_ngram_jaccard_join, op6_packing, op7_ppm_scoring, op8_chat_windows, op9_one_bit_codes)
+def op10_line_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digests(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = (op1_warc_revisits, op3_decontamination, op4_ngram_jaccard_join, op6_packing, op7_ppm_scoring, op8_chat_windows, op9_one_bit_codes, op10_line_alignment)
 
 
 def queries() -> dict[str, Query]:
