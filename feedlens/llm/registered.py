@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.llm import ann, chat_format, decontaminate, line_dedup, ngram_join, packing, ppm, warc
+from feedlens.llm import ann, chat_format, decontaminate, line_dedup, ngram_join, packing, ppm, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +36,11 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    return toxicity.score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), held_out)
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -59,7 +64,7 @@ def op10_line_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digests(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = (op1_warc_revisits, op3_decontamination, op4_ngram_jaccard_join, op6_packing, op7_ppm_scoring, op8_chat_windows, op9_one_bit_codes, op10_line_alignment)
+QUERIES = (op1_warc_revisits, op3_decontamination, op4_ngram_jaccard_join, op5_toxicity_grammar, op6_packing, op7_ppm_scoring, op8_chat_windows, op9_one_bit_codes, op10_line_alignment)
 
 
 def queries() -> dict[str, Query]:
