@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.llm import ann, chat_format, decontaminate, line_dedup, ngram_join, packing, ppm, toxicity, warc
+from feedlens.llm import ann, chat_format, decontaminate, language, line_dedup, ngram_join, packing, ppm, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,10 @@ def op1_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived_pages(_table(spark, sf_dir, "pages"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify_documents(_table(spark, sf_dir, "documents")).drop("text_key")
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return decontaminate.digests(found)
@@ -64,7 +68,7 @@ def op10_line_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digests(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = (op1_warc_revisits, op3_decontamination, op4_ngram_jaccard_join, op5_toxicity_grammar, op6_packing, op7_ppm_scoring, op8_chat_windows, op9_one_bit_codes, op10_line_alignment)
+QUERIES = (op1_warc_revisits, op2_language_id, op3_decontamination, op4_ngram_jaccard_join, op5_toxicity_grammar, op6_packing, op7_ppm_scoring, op8_chat_windows, op9_one_bit_codes, op10_line_alignment)
 
 
 def queries() -> dict[str, Query]:
