@@ -38,18 +38,20 @@ from feedlens.llm.storage import only, partitions, stored
 
 #: ranges of the hash space whose counts bound a symmetric difference from below
 SUFFIX_RANGES = 16
-#: the exact rest is compared once it costs at most this many pairs a row of the groups concerned
-REST_FACTOR = 4
+#: the exact rest is compared once it has at most this many pairs a row of the groups concerned, before any filter
+REST_FACTOR = 100
+#: a bucket's shingles are sorted in a Python worker's memory, this many slices one after another
+SLICES = 4
 #: shingles gathered by a task before it writes its runs
-FLUSH_SHINGLES = 3_000_000
+FLUSH_SHINGLES = 1_000_000
 
-_RUNS = "part int, docs array<bigint>, keys array<bigint>, counts array<int>, hashes binary, freqs binary"
+_RUNS = "part int, docs array<bigint>, refs array<bigint>, keys array<bigint>, counts array<int>, hashes binary, freqs binary"
 _RUNS_ARROW = pa.schema(
-    [("part", pa.int32()), ("docs", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32())), ("hashes", pa.binary()), ("freqs", pa.binary())]
+    [("part", pa.int32()), ("docs", pa.list_(pa.int64())), ("refs", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32())), ("hashes", pa.binary()), ("freqs", pa.binary())]
 )
-_SETS = "kind int, doc_id bigint, key bigint, n int, prefix int, unshared int, shared array<bigint>, ranges array<int>"
+_SETS = "kind int, doc_id bigint, ref bigint, key bigint, n int, prefix int, unshared int, shared array<bigint>, ranges array<int>"
 _SETS_ARROW = pa.schema(
-    [("kind", pa.int32()), ("doc_id", pa.int64()), ("key", pa.int64()), ("n", pa.int32()), ("prefix", pa.int32()), ("unshared", pa.int32()), ("shared", pa.list_(pa.int64())), ("ranges", pa.list_(pa.int32()))]
+    [("kind", pa.int32()), ("doc_id", pa.int64()), ("ref", pa.int64()), ("key", pa.int64()), ("n", pa.int32()), ("prefix", pa.int32()), ("unshared", pa.int32()), ("shared", pa.list_(pa.int64())), ("ranges", pa.list_(pa.int32()))]
 )
 
 
@@ -98,20 +100,20 @@ def _shingle_runs(width: int, parts: int):
                     at = order[bounds[p] : bounds[p + 1]]
                     if len(at):
                         k, c = _key_runs(key[at])
-                        rows.append((p, None, k.view(np.int64), c.astype(np.int32), _pack(h[at]), None))
+                        rows.append((p, None, None, k.view(np.int64), c.astype(np.int32), _pack(h[at]), None))
             if heads:
-                doc_ids, keys, sizes, ranges = (list(x) for x in zip(*heads, strict=True))
+                doc_ids, refs, keys, sizes, ranges = (list(x) for x in zip(*heads, strict=True))
                 part = _bucket(np.array(keys, np.uint64), parts)
                 for p in np.unique(part):
                     at = np.flatnonzero(part == p)
-                    rows.append((parts + int(p), [doc_ids[i] for i in at], np.array([keys[i] for i in at], np.uint64).view(np.int64), np.array([sizes[i] for i in at], np.int32), b"".join(ranges[i] for i in at), None))
+                    rows.append((parts + int(p), [doc_ids[i] for i in at], [refs[i] for i in at], np.array([keys[i] for i in at], np.uint64).view(np.int64), np.array([sizes[i] for i in at], np.int32), b"".join(ranges[i] for i in at), None))
             held.clear()
             heads.clear()
             return _rows(rows)
 
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            for first, data, offsets in text_blocks(batch.column(1)):
+            ids, refs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for first, data, offsets in text_blocks(batch.column(2)):
                 doc, h, sizes = shingle_sets(data, offsets, width)
                 ends = np.cumsum(sizes)
                 some = np.flatnonzero(sizes)
@@ -124,7 +126,7 @@ def _shingle_runs(width: int, parts: int):
                 new = np.zeros(len(sizes), dtype=bool)
                 for d in range(len(sizes)):
                     k = int(keys[d])
-                    heads.append((ids[first + d], k, int(sizes[d]), spans[d].astype("<u4").tobytes()))
+                    heads.append((ids[first + d], refs[first + d], k, int(sizes[d]), spans[d].astype("<u4").tobytes()))
                     if sizes[d] and k not in seen:
                         seen.add(k)
                         new[d] = True
@@ -140,6 +142,33 @@ def _shingle_runs(width: int, parts: int):
     return run
 
 
+def _several(runs: list[tuple[np.ndarray, np.ndarray, bytes]], low: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, class, number of classes) of the shingles of one slice of a bucket that several classes hold."""
+    owners, hashes = [], []
+    for keys, counts, blob in runs:
+        h = _unpack(blob)
+        at = np.flatnonzero(h % np.uint64(SLICES) == low)
+        owners.append(np.repeat(keys, counts)[at])
+        hashes.append(h[at])
+    h, owner = np.concatenate(hashes), np.concatenate(owners)
+    order = np.argsort(h)
+    h, owner = h[order], owner[order]
+    several = np.zeros(len(h), dtype=bool)
+    equal = h[1:] == h[:-1]
+    several[1:] |= equal
+    several[:-1] |= equal
+    h, owner = h[several], owner[several]
+    order = np.lexsort((owner, h))
+    h, owner = h[order], owner[order]
+    first = np.ones(len(h), dtype=bool)  # a class can come from several tasks
+    first[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
+    h, owner = h[first], owner[first]
+    _, size = _key_runs(h)
+    freq = np.repeat(size, size)
+    keep = freq > 1
+    return h[keep], owner[keep].view(np.uint64), np.minimum(freq[keep], 65535)
+
+
 def _share(parts: int):
     """Of one bucket: the shingles that several classes hold, sent on by class."""
 
@@ -147,24 +176,9 @@ def _share(parts: int):
         part = key[0].as_py()
         if part >= parts:  # which documents belong to which class: on to the class's bucket
             return table.set_column(0, "part", pa.array(np.full(len(table), part - parts, np.int32)))
-        owner = np.concatenate([np.repeat(np.array(k, np.int64), c) for k, c in zip(table["keys"].to_pylist(), table["counts"].to_pylist(), strict=True)])
-        h = np.concatenate([_unpack(b) for b in table["hashes"].to_pylist()])
-        order = np.argsort(h)
-        h, owner = h[order], owner[order]
-        several = np.zeros(len(h), dtype=bool)
-        equal = h[1:] == h[:-1]
-        several[1:] |= equal
-        several[:-1] |= equal
-        h, owner = h[several], owner[several]
-        order = np.lexsort((owner, h))
-        h, owner = h[order], owner[order]
-        first = np.ones(len(h), dtype=bool)  # a class can come from several tasks
-        first[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
-        h, owner = h[first], owner[first]
-        _, runs = _key_runs(h)
-        freq = np.repeat(runs, runs)
-        keep = freq > 1
-        h, owner, freq = h[keep], owner[keep].view(np.uint64), np.minimum(freq[keep], 65535)
+        runs = [(np.array(k, np.int64), np.array(c), b) for k, c, b in zip(*(table[x].to_pylist() for x in ("keys", "counts", "hashes")), strict=True)]
+        found = [_several(runs, low) for low in range(SLICES)]
+        h, owner, freq = (np.concatenate(x) for x in zip(*found, strict=True))
         order = np.argsort(owner, kind="stable")
         h, owner, freq = h[order], owner[order], freq[order]
         to = _bucket(owner, parts)
@@ -172,7 +186,7 @@ def _share(parts: int):
         for p in np.unique(to):
             lo, hi = np.searchsorted(to, (p, p + 1))
             k, c = _key_runs(owner[lo:hi])
-            rows.append((int(p), None, k.view(np.int64), c.astype(np.int32), _pack(h[lo:hi]), freq[lo:hi].astype("<u2").tobytes()))
+            rows.append((int(p), None, None, k.view(np.int64), c.astype(np.int32), _pack(h[lo:hi]), freq[lo:hi].astype("<u2").tobytes()))
         return pa.Table.from_batches([_rows(rows)])
 
     return run
@@ -182,11 +196,12 @@ def _order(num: int, den: int):
     """Of one bucket of classes: their documents, and the classes whose rare-first prefix holds a shared shingle."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        docs, owners, sizes, spans = [], [], [], []
+        docs, refs, owners, sizes, spans = [], [], [], [], []
         ent_key, ent_h, ent_f = [], [], []
-        for d, k, c, h, f in zip(*(table[x].to_pylist() for x in ("docs", "keys", "counts", "hashes", "freqs")), strict=True):
+        for d, r, k, c, h, f in zip(*(table[x].to_pylist() for x in ("docs", "refs", "keys", "counts", "hashes", "freqs")), strict=True):
             if d is not None:
                 docs += d
+                refs += r
                 owners.append(np.array(k, np.int64))
                 sizes.append(np.array(c, np.int64))
                 spans.append(np.frombuffer(h, "<u4").reshape(-1, SUFFIX_RANGES))
@@ -196,7 +211,7 @@ def _order(num: int, den: int):
                 ent_f.append(np.frombuffer(f, "<u2"))
         none = np.zeros(0, np.int64)
         owner, n = (np.concatenate(x) if x else none for x in (owners, sizes))
-        out = [_sets(len(docs), kind=np.zeros(len(docs), np.int32), doc_id=docs, key=owner, n=n)]
+        out = [_sets(len(docs), kind=np.zeros(len(docs), np.int32), doc_id=docs, ref=refs, key=owner, n=n)]
         if ent_key:
             cls, at = np.unique(owner, return_index=True)
             cls_n, cls_span = n[at], np.concatenate(spans)[at]
@@ -241,47 +256,46 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     )
 
 
-def _candidates(joined: DataFrame, num: int, den: int) -> DataFrame:
-    """Distinct (a, b) of joined token rows (key, n, pos, key_2, n_2, pos_2) after length and positional filters."""
-    a_first = F.col("key") < F.col("key_2")
-    pairs = (
-        joined.where((den * F.least("n", "n_2") >= num * F.greatest("n", "n_2")) & (F.col("key") != F.col("key_2")))
-        .select(
-            F.when(a_first, F.col("key")).otherwise(F.col("key_2")).alias("a"),
-            F.when(a_first, F.col("key_2")).otherwise(F.col("key")).alias("b"),
-            F.least(F.col("n") - F.col("pos"), F.col("n_2") - F.col("pos_2")).alias("rest"),
-            (F.col("n") + F.col("n_2")).alias("both"),
-        )
-        .groupBy("a", "b")
-        # both orders are the same, so the first shared shingle leaves the most: the rest after it bounds the overlap
-        .agg(F.max("rest").alias("rest"), F.first("both").alias("both"))
-    )
-    return pairs.where(F.col("rest") * (num + den) >= num * F.col("both")).select("a", "b")
+def _candidates(members: DataFrame, others: DataFrame, num: int, den: int) -> DataFrame:
+    """Distinct (a, b) of members and others (columns with _2) that share a token and are in different components.
+
+    Length and positional filters are part of the join: at the first shingle two classes share in the common
+    order, what is left of the shorter rest bounds their overlap, so every linking pair passes there.
+    """
+    bound = F.least(F.col("n") - F.col("pos"), F.col("n_2") - F.col("pos_2")) * (num + den) >= num * (F.col("n") + F.col("n_2"))
+    sizes = den * F.least("n", "n_2") >= num * F.greatest("n", "n_2")
+    met = members.join(others, (members["token"] == others["token_2"]) & (F.col("comp") != F.col("comp_2")) & (F.col("key") != F.col("key_2")) & sizes & bound)
+    return met.select(F.least("key", "key_2").alias("a"), F.greatest("key", "key_2").alias("b")).distinct()
 
 
 def link_classes(sets: DataFrame, num: int, den: int, rounds: int = 4) -> DataFrame:
     """(node, component) over the class keys in ``sets`` that have a link."""
-    index = sets.select("key", "n", F.col("unshared").alias("u"), F.posexplode(F.expr("slice(shared, 1, prefix - unshared)")).alias("j", "token")).select("key", "n", (F.col("u") + F.col("j")).alias("pos"), "token")
+    index = sets.select("key", "n", F.col("unshared").alias("u"), F.posexplode(F.expr("slice(shared, 1, prefix - unshared)")).alias("j", "token")).select("key", "n", "u", (F.col("u") + F.col("j")).alias("pos"), "token")
     held = index.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
     index = stored(index.join(stored(held, "tokens"), "token"), "index")
     labels = links = None
     for r in range(rounds + 1):
         comp = F.col("key") if labels is None else F.coalesce("component", "key")
         now = index if labels is None else index.join(labels.withColumnRenamed("node", "key"), "key", "left")
-        now = stored(now.withColumn("comp", comp).select("key", "n", "pos", "token", "comp"), "index")
+        now = stored(now.withColumn("comp", comp).select("key", "n", "u", "pos", "token", "comp"), "index")
         mains = now.groupBy("token", "comp").agg(F.count("*").alias("c")).groupBy("token").agg(F.max(F.struct("c", "comp")).alias("m"), F.sum("c").alias("g"), F.count("*").alias("comps")).where("comps > 1")
         mains = stored(mains.select("token", F.col("m.comp").alias("main"), "g", (F.col("g") - F.col("m.c")).alias("minor")), "mains")
         cost, size = mains.agg(F.sum(F.col("minor").cast("double") * F.col("g")), F.sum("g")).first()
         if r == rounds or (cost or 0) <= REST_FACTOR * (size or 0):
             break
-        pivots = now.groupBy("token").agg(F.min(F.struct(F.xxhash64("key", F.lit(r)).alias("h"), "key", "n", "pos", "comp")).alias("p"))
-        pivots = stored(pivots.join(mains, "token", "left_semi").select("token", *[F.col(f"p.{c}").alias(f"{c}_2") for c in ("key", "n", "pos", "comp")]), "pivots")
-        near = stored(_verified(_candidates(now.join(pivots, "token").where("comp <> comp_2"), num, den), sets, num, den), "links")
+        # pivots: the members with the fewest unshared shingles, as they are nearest to what the group has in common
+        near_common = F.struct("u", F.xxhash64("key", F.lit(r)).alias("h"), "key", "n", "pos", "comp")
+        pool = now.join(mains.select("token", "main"), "token")
+        if r:
+            pool = pool.where("comp <> main")
+        pivots = pool.groupBy("token").agg(F.min(near_common).alias("p"))
+        pivots = stored(pivots.select(F.col("token").alias("token_2"), *[F.col(f"p.{c}").alias(f"{c}_2") for c in ("key", "n", "pos", "comp")]), "pivots")
+        near = stored(_verified(_candidates(now, pivots, num, den), sets, num, den), "links")
         links = near if links is None else links.unionByName(near)
         labels = components(links)
     # the exact rest: members outside their group's largest component, against the group's other components
-    minor = now.join(mains, "token").where("comp <> main").select("token", *[F.col(c).alias(f"{c}_2") for c in ("key", "n", "pos", "comp")])
-    rest = _verified(_candidates(now.join(stored(minor, "minor"), "token").where("comp <> comp_2"), num, den), sets, num, den)
+    minor = now.join(mains, "token").where("comp <> main").select(F.col("token").alias("token_2"), *[F.col(c).alias(f"{c}_2") for c in ("key", "n", "pos", "comp")])
+    rest = _verified(_candidates(now, stored(minor, "minor"), num, den), sets, num, den)
     return components(rest if links is None else links.unionByName(rest))
 
 
@@ -299,20 +313,42 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     has a null id).  Columns other than the two named play no part.  An empty table
     gives no rows.
     """
+    return document_groups(docs, id_col=id_col, text_col=text_col, width=width, threshold=threshold).select("doc_id", "n_shingles", "component_id")
+
+
+def document_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: tuple[int, int] = (80, 100)) -> DataFrame:
+    """``near_duplicates`` with two more columns: ref, xxhash64 of the row's text, and group, a number that the
+    documents of one component share (null for texts without shingles)."""
     spark = docs.sparkSession
     num, den = threshold
     parts = partitions(spark)
-    rows = only(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+    rows = only(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("ref"), F.col("text").cast("string"))
     runs = rows.mapInArrow(_shingle_runs(width, parts), _RUNS)
     shared = runs.groupBy("part").applyInArrow(_share(parts), _RUNS)
     table = stored(shared.groupBy("part").applyInArrow(_order(num, den), _SETS), "sets")
-    owned = table.where("kind = 0").select("doc_id", "key", "n")
-    sets = table.where("kind = 1").drop("kind", "doc_id")
+    owned = table.where("kind = 0").select("doc_id", "ref", "key", "n")
+    sets = table.where("kind = 1").drop("kind", "doc_id", "ref")
 
     linked = link_classes(sets, num, den).withColumnRenamed("node", "key")
     least = stored(owned.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("least")), "least")
     members = stored(linked.join(least, "key"), "members")
     ids = stored(members.groupBy("component").agg(F.min("least").alias("id")), "ids")
-    classes = least.join(members.join(ids, "component").select("key", "id"), "key", "left").select("key", F.coalesce("id", "least").alias("id"))
-    classes = stored(classes, "classes")
-    return owned.join(classes, "key", "left").select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), F.when(F.col("n") > 0, F.col("id")).otherwise(F.col("doc_id")).alias("component_id"))
+    classes = least.join(members.join(ids, "component").select("key", "component", "id"), "key", "left")
+    classes = stored(classes.select("key", F.coalesce("component", "key").alias("group"), F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("id")).alias("id")), "classes")
+    found = owned.join(classes, "key", "left")
+    return found.select("doc_id", "ref", F.col("n").cast("bigint").alias("n_shingles"), F.when(F.col("n") > 0, F.col("id")).otherwise(F.col("doc_id")).alias("component_id"), "group")
+
+
+def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs``, all columns, with one row of every group of near duplicates.
+
+    The row with the smallest id stays (null last; then the smallest text hash; of rows equal in id and text any one).
+    Texts without shingles all stay.
+    """
+    groups = stored(document_groups(docs, id_col=id_col, text_col=text_col, **options), "groups")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "ref")).alias("first")
+    stay = groups.where("n_shingles > 0").groupBy("group").agg(first).select(F.col("first.doc_id").alias("_stay_id"), F.col("first.ref").alias("_stay_ref"))
+    kept = docs.withColumn("_ref", F.xxhash64(docs[text_col])).withColumn("_words", F.btrim(F.coalesce(docs[text_col].cast("string"), F.lit("")), F.lit(" \t\n\x0b\f\r")) != "")
+    same = kept[id_col].cast("bigint").eqNullSafe(F.col("_stay_id")) & (F.col("_ref") == F.col("_stay_ref"))
+    worded = kept.where("_words").join(stay, same, "left_semi").dropDuplicates([id_col, "_ref"])
+    return worded.unionByName(kept.where("NOT _words")).select(*docs.columns)
