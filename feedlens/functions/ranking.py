@@ -3,20 +3,21 @@
 A window with an ORDER BY but no PARTITION BY runs in one task.  Instead:
 
 1. each row gets a fine bucket ``floor(t * FINE_PER_UNIT)`` of the compressed
-   value t = sign(v) log(1 + |v|): monotone (buckets keep the order), needs no
-   pass over the data, resolves about 1/4096 relative everywhere, and a heavy
-   tail does not crowd the bulk into a few buckets;
-2. an exact histogram per (keys, fine bucket) - at most ~6 million buckets for
-   any doubles, usually a few thousand - gives, per fine bucket, the totals of
-   all smaller buckets, and cuts the buckets into chunks of about
-   rows / partitions;
-3. rows join their bucket's chunk and offset, and a window partitioned by
+   value t = sign(v) log(1 + |v|): monotone (buckets keep the order), resolves about
+   1/4096 relative everywhere, and a heavy tail does not crowd the bulk into a few
+   buckets.  -Inf, +Inf and NaN have end buckets in Spark's order (NaN largest);
+2. an exact histogram per (keys, fine bucket) with each bucket's smallest and largest
+   value; a bucket that holds more than a chunk's share is cut evenly between those
+   two, so values that lie close together are spread as well;
+3. a second exact histogram, per (keys, fine bucket, cut), gives the totals of all
+   smaller cuts and gathers the cuts into chunks of about rows / partitions;
+4. rows join their cut's chunk and offset, and a window partitioned by
    (keys, chunk) adds the running total inside the chunk.
 
 Every step is a deterministic function of the data (no sampled range
 bounds), so re-computing any branch after a lost executor gives the same
-chunks.  Work per task is about rows / n_parts unless a single fine bucket
-holds more than that.
+chunks.  Work per task is about rows / n_parts unless values crowd at two
+scales at once within one fine bucket.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 FINE_PER_UNIT = 4096
+#: beyond the fine bucket of any finite double
+LAST = 1 << 30
 
 
 def with_stats(df: DataFrame, stats: DataFrame, name: str) -> DataFrame:
@@ -51,41 +54,43 @@ def running_totals(
     keys: Sequence[str] = (),
     n_parts: int | None = None,
     fine_per_unit: int = FINE_PER_UNIT,
-    max_rows: int | None = None,
 ) -> DataFrame:
     """Add ``<w>_below`` = sum of ``w`` over rows with the same ``keys`` and a
     strictly smaller numeric ``order_col``, and ``<w>_total`` = sum of ``w``
     over the key.  ``(keys, order_col)`` must be unique, as it is after a
-    ``groupBy(keys, order_col)``.
-
-    ``max_rows``: the caller guarantees the input has at most this many rows
-    (a bound that follows from its parameters, e.g. one row per bucket or per
-    simulation); then one ordinary window is used.
+    ``groupBy(keys, order_col)``.  NULL is smallest, NaN largest.
     """
     keys = list(keys)
-    if max_rows is not None:
-        w = Window.partitionBy(*keys).orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
-        whole = Window.partitionBy(*keys)
-        return df.select(
-            *df.columns,
-            *[F.coalesce(F.sum(x).over(w), F.lit(0)).alias(f"{x}_below") for x in weights],
-            *[F.sum(x).over(whole).alias(f"{x}_total") for x in weights],
-        )
+    parts = _n_parts(df, n_parts)
     x = F.col(order_col).cast("double")
-    t = F.signum(x) * F.log1p(F.abs(x))
-    fine = F.floor(t * F.lit(float(fine_per_unit))).cast("int")
-    tagged = df.select(*df.columns, F.coalesce(fine, F.lit(0)).alias("_fine"))
+    inf = F.lit(float("inf"))
+    fine = (
+        F.when(x.isNull(), -LAST)
+        .when(x == -inf, 1 - LAST)
+        .when(F.isnan(x), LAST)
+        .when(x == inf, LAST - 1)
+        .otherwise(F.floor(F.signum(x) * F.log1p(F.abs(x)) * F.lit(float(fine_per_unit))).cast("int"))
+    )
+    tagged = df.select(*df.columns, x.alias("_x"), fine.alias("_fine"))
+
+    share = F.greatest(F.ceil(F.sum("_n").over(Window.partitionBy(*keys)) / F.lit(parts)), F.lit(1))
+    cuts = tagged.groupBy(*keys, "_fine").agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+    cuts = cuts.select(*keys, "_fine", "_lo", (F.col("_hi") - F.col("_lo")).alias("_span"), F.when(F.col("_n") > share, F.ceil(4 * F.col("_n") / share)).otherwise(1).alias("_m"))
+    cut = F.least(F.floor((F.col("_x") - F.col("_lo")) / F.col("_span") * F.col("_m")), F.col("_m") - 1).cast("int")
+    placed = tagged.join(cuts, [*keys, "_fine"], "inner")
+    placed = placed.select(*df.columns, "_fine", F.when((F.col("_m") > 1) & (F.col("_span") > 0), cut).otherwise(0).alias("_cut"))
 
-    hist = tagged.groupBy(*keys, "_fine").agg(
+    hist = placed.groupBy(*keys, "_fine", "_cut").agg(
         F.count(F.lit(1)).alias("_h_rows"), *[F.sum(w).alias(f"_h_{w}") for w in weights]
     )
-    # one row per non-empty fine bucket: ordered windows over the histogram are cheap
-    before = Window.partitionBy(*keys).orderBy("_fine").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per non-empty cut: ordered windows over the histogram are cheap
+    before = Window.partitionBy(*keys).orderBy("_fine", "_cut").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)
-    per_chunk = F.greatest(F.ceil(F.sum("_h_rows").over(whole) / F.lit(_n_parts(df, n_parts))), F.lit(1))
+    per_chunk = F.greatest(F.ceil(F.sum("_h_rows").over(whole) / F.lit(parts)), F.lit(1))
     hist = hist.select(
         *keys,
         "_fine",
+        "_cut",
         F.floor(F.coalesce(F.sum("_h_rows").over(before), F.lit(0)) / per_chunk).alias("_chunk"),
         *[F.coalesce(F.sum(f"_h_{w}").over(before), F.lit(0)).alias(f"_cb_{w}") for w in weights],
         *[F.sum(f"_h_{w}").over(whole).alias(f"{w}_total") for w in weights],
@@ -94,12 +99,13 @@ def running_totals(
     mapping = hist.select(
         *keys,
         "_fine",
+        "_cut",
         "_chunk",
         *[F.min(f"_cb_{w}").over(chunk).alias(f"_off_{w}") for w in weights],
         *[f"{w}_total" for w in weights],
     )
     inside = Window.partitionBy(*keys, "_chunk").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
-    out = tagged.join(mapping, [*keys, "_fine"], "inner")
+    out = placed.join(mapping, [*keys, "_fine", "_cut"], "inner")
     return out.select(
         *df.columns,
         *[(F.col(f"_off_{w}") + F.coalesce(F.sum(w).over(inside), F.lit(0))).alias(f"{w}_below") for w in weights],
@@ -113,7 +119,6 @@ def exact_quantile(
     p: float,
     keys: Sequence[str] = (),
     out_col: str | None = None,
-    max_rows: int | None = None,
 ) -> DataFrame:
     """Exact quantile without interpolation: the element at 0-based index
     ``floor(p * n)`` of the sorted non-null values of each key group.
@@ -125,10 +130,10 @@ def exact_quantile(
     out_col = out_col or f"q_{value_col}"
     if not keys:
         # one group: a constant key keeps every join an equi-join
-        return exact_quantile(df.withColumn("_all", F.lit(0)), value_col, p, ["_all"], out_col, max_rows).drop("_all")
+        return exact_quantile(df.withColumn("_all", F.lit(0)), value_col, p, ["_all"], out_col).drop("_all")
     keys = list(keys)
     counts = df.where(F.col(value_col).isNotNull()).groupBy(*keys, value_col).agg(F.count(F.lit(1)).alias("_cnt"))
-    with_n = running_totals(counts, value_col, ["_cnt"], keys, max_rows=max_rows).withColumnRenamed("_cnt_total", "_n")
+    with_n = running_totals(counts, value_col, ["_cnt"], keys).withColumnRenamed("_cnt_total", "_n")
     target = F.floor(F.col("_n") * F.lit(float(p)))
     target = F.least(target, F.col("_n") - 1)
     hit = (F.col("_cnt_below") <= target) & (target < F.col("_cnt_below") + F.col("_cnt"))
@@ -140,7 +145,6 @@ def exact_percentiles_linear(
     value_col: str,
     ps: Sequence[float],
     keys: Sequence[str] = (),
-    max_rows: int | None = None,
     with_range: bool = False,
 ) -> DataFrame:
     """Exact percentiles with linear interpolation between order statistics
@@ -151,11 +155,11 @@ def exact_percentiles_linear(
     """
     if not keys:
         return exact_percentiles_linear(
-            df.withColumn("_all", F.lit(0)), value_col, ps, ["_all"], max_rows, with_range
+            df.withColumn("_all", F.lit(0)), value_col, ps, ["_all"], with_range
         ).drop("_all")
     keys = list(keys)
     counts = df.where(F.col(value_col).isNotNull()).groupBy(*keys, value_col).agg(F.count(F.lit(1)).alias("_cnt"))
-    j = running_totals(counts, value_col, ["_cnt"], keys, max_rows=max_rows).withColumnRenamed("_cnt_total", "_n")
+    j = running_totals(counts, value_col, ["_cnt"], keys).withColumnRenamed("_cnt_total", "_n")
     lo, hi = F.col("_cnt_below"), F.col("_cnt_below") + F.col("_cnt")
     parts, covers = [], []
     for i, p in enumerate(ps):

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 _TINY = 1e-300
 
 
-def _betacf(a: np.ndarray, b: np.ndarray, x: np.ndarray, max_iter: int = 20000, eps: float = 1e-15) -> np.ndarray:
+def _betacf(a: np.ndarray, b: np.ndarray, x: np.ndarray, max_iter: int = 20000, eps: float = 4e-16 * 4) -> np.ndarray:
     """Continued fraction of the incomplete beta (modified Lentz), vectorised."""
     qab, qap, qam = a + b, a + 1.0, a - 1.0
     c = np.ones_like(x)
@@ -44,8 +44,8 @@ def _betacf(a: np.ndarray, b: np.ndarray, x: np.ndarray, max_iter: int = 20000,
         delta = d * c
         h = h * delta
         if np.all(np.abs(delta - 1.0) < eps):
-            break
-    return h
+            return h
+    raise ArithmeticError(f"incomplete beta: no convergence after {max_iter} terms")
 
 
 def _lgamma(v: np.ndarray) -> np.ndarray:
@@ -75,13 +75,35 @@ def betainc_reg(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
     return out
 
 
+#: from here on the normal expansion of the t tail is exact to double precision
+LARGE_DOF = 1e4
+
+
+def _t_sf2_large(t: np.ndarray, nu: np.ndarray) -> np.ndarray:
+    """Two-sided t tail for many degrees of freedom: the normal tail at a corrected point.
+
+    z0 = sqrt((nu - 1/2) log(1 + t^2 / nu)) and the first two terms of its expansion in
+    1 / (48 (nu - 1/2)^2); what is left out is of the order nu^-6 relative.
+    """
+    a = nu - 0.5
+    b = 48.0 * a * a
+    z = np.sqrt(a * np.log1p(t * t / nu))
+    z2 = z * z
+    z = z + z * (z2 + 3.0) / b - z * (((4.0 * z2 + 33.0) * z2 + 240.0) * z2 + 855.0) / (10.0 * b * (b + 0.8 * z2 * z2 + 100.0))
+    return normal_sf2(z)
+
+
 def t_sf2(t: np.ndarray, nu: np.ndarray) -> np.ndarray:
     """Two-sided tail P(|T_nu| >= |t|) = I_{nu/(nu+t^2)}(nu/2, 1/2)."""
-    t, nu = np.asarray(t, dtype=float), np.asarray(nu, dtype=float)
+    t, nu = np.abs(np.asarray(t, dtype=float)), np.asarray(nu, dtype=float)
     with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
         x = nu / (nu + t * t)
         x = np.where(np.isinf(t) & np.isfinite(nu), 0.0, x)
-    return betainc_reg(nu / 2.0, np.full_like(nu, 0.5), x)
+    large = np.isfinite(nu) & np.isfinite(t) & (nu >= LARGE_DOF)
+    out = betainc_reg(np.where(large, 1.0, nu) / 2.0, np.full_like(nu, 0.5), x)
+    if large.any():
+        out[large] = _t_sf2_large(t[large], nu[large])
+    return out
 
 
 def normal_sf2(z: np.ndarray) -> np.ndarray:

@@ -28,12 +28,6 @@ def _day(messages_or_feed: DataFrame, day: dt.date) -> DataFrame:
     return messages_or_feed.where(day_range(messages_or_feed, day, day))
 
 
-def distinct_count(col: str, approx_rsd: float | None = None) -> Column:
-    """Exact distinct count, or HyperLogLog++ with relative error ``approx_rsd``
-    (the fixed-size sketch for the rollups that may use an estimate)."""
-    return F.count_distinct(col) if approx_rsd is None else F.approx_count_distinct(col, approx_rsd)
-
-
 def feed_user_day(feed: DataFrame, day: dt.date | str) -> DataFrame:
     """Likes and views per (user, day, gender, age, os) for one day."""
     d = as_date(day)
@@ -51,7 +45,7 @@ def feed_user_day(feed: DataFrame, day: dt.date | str) -> DataFrame:
     )
 
 
-def messages_sent(messages: DataFrame, day: dt.date | str, approx_rsd: float | None = None) -> DataFrame:
+def messages_sent(messages: DataFrame, day: dt.date | str) -> DataFrame:
     """Per sender and day: messages sent (non-null receivers) and distinct receivers."""
     d = as_date(day)
     return (
@@ -59,12 +53,12 @@ def messages_sent(messages: DataFrame, day: dt.date | str, approx_rsd: float | N
         .groupBy(F.col("user_id").alias("users"), F.to_date("time").alias("event_date"), *DEMOGRAPHICS)
         .agg(
             F.count("reciever_id").alias("messages_sent"),
-            distinct_count("reciever_id", approx_rsd).alias("users_sent"),
+            F.count_distinct("reciever_id").alias("users_sent"),
         )
     )
 
 
-def messages_received(messages: DataFrame, day: dt.date | str, approx_rsd: float | None = None) -> DataFrame:
+def messages_received(messages: DataFrame, day: dt.date | str) -> DataFrame:
     """Per receiver and day: messages received and distinct senders.
 
     The demographics are the ones on the message row, i.e. the sender's, so a
@@ -77,12 +71,12 @@ def messages_received(messages: DataFrame, day: dt.date | str, approx_rsd: float
         .groupBy(F.col("reciever_id").alias("users"), F.to_date("time").alias("event_date"), *DEMOGRAPHICS)
         .agg(
             F.count("reciever_id").alias("messages_received"),
-            distinct_count("user_id", approx_rsd).alias("users_received"),
+            F.count_distinct("user_id").alias("users_received"),
         )
     )
 
 
-def _message_roles(messages: DataFrame, day: dt.date, approx_rsd: float | None) -> DataFrame:
+def _message_roles(messages: DataFrame, day: dt.date) -> DataFrame:
     """Both rollups from one scan: every message counts once for its sender
     (role "sent", other party = receiver) and once for its receiver (role
     "recv", other party = sender); demographics are the row's (the sender's)."""
@@ -99,11 +93,11 @@ def _message_roles(messages: DataFrame, day: dt.date, approx_rsd: float | None)
     # count(reciever_id) skips it); it has no receiver-side row
     rows = rows.where(F.col("users").isNotNull())
     return rows.groupBy("role", "users", "event_date", *DEMOGRAPHICS).agg(
-        F.count("reciever_id").alias("messages"), distinct_count("other", approx_rsd).alias("partners")
+        F.count("reciever_id").alias("messages"), F.count_distinct("other").alias("partners")
     )
 
 
-def message_user_day(messages: DataFrame, day: dt.date | str, approx_rsd: float | None = None) -> DataFrame:
+def message_user_day(messages: DataFrame, day: dt.date | str) -> DataFrame:
     """Sent and received rollups joined on the user only (faithful form).
 
     The two sides are joined on ``users`` alone; date and demographics come from
@@ -118,7 +112,7 @@ def message_user_day(messages: DataFrame, day: dt.date | str, approx_rsd: float
     come from the same user-partitioned data.
     """
     d = as_date(day)
-    roles = _message_roles(messages, d, approx_rsd)
+    roles = _message_roles(messages, d)
     per_user = Window.partitionBy("users")
     flagged = roles.select(
         "*",
@@ -157,7 +151,7 @@ def message_user_day(messages: DataFrame, day: dt.date | str, approx_rsd: float
     return sent_only.unionByName(recv_only).unionByName(both)
 
 
-def message_user_day_by_user(messages: DataFrame, day: dt.date | str, approx_rsd: float | None = None) -> DataFrame:
+def message_user_day_by_user(messages: DataFrame, day: dt.date | str) -> DataFrame:
     """Sent and received measures per (user, day), demographics from the user's
     own sent rows (NULL for a user who only received).  No fan-out.
 
@@ -178,15 +172,15 @@ def message_user_day_by_user(messages: DataFrame, day: dt.date | str, approx_rsd
     ).where(F.col("r.users").isNotNull())
     agg = rows.groupBy("r.role", "r.users", "event_date").agg(
         F.count("reciever_id").alias("messages"),
-        distinct_count("r.other", approx_rsd).alias("partners"),
-        F.min_by("demo", "time").alias("demo"),
+        F.count_distinct("r.other").alias("partners"),
+        F.min(F.struct("time", "demo")).alias("first"),  # equal times: the smallest profile
     )
     # at most one sent and one received row per (user, day): a pivot on the
     # role (conditional aggregation) is the full outer join, without a join
     is_sent, is_recv = F.col("role") == "sent", F.col("role") == "recv"
     zero = F.lit(0).cast("bigint")
     out = agg.groupBy("users", "event_date").agg(
-        F.max(F.when(is_sent, F.col("demo"))).alias("demo"),
+        F.max(F.when(is_sent, F.col("first.demo"))).alias("demo"),
         F.coalesce(F.max(F.when(is_recv, F.col("messages"))), zero).alias("messages_received"),
         F.coalesce(F.max(F.when(is_sent, F.col("messages"))), zero).alias("messages_sent"),
         F.coalesce(F.max(F.when(is_recv, F.col("partners"))), zero).alias("users_received"),
@@ -204,11 +198,11 @@ def message_user_day_by_user(messages: DataFrame, day: dt.date | str, approx_rsd
 
 
 def user_activity_day(
-    feed: DataFrame, messages: DataFrame, day: dt.date | str, approx_rsd: float | None = None
+    feed: DataFrame, messages: DataFrame, day: dt.date | str
 ) -> DataFrame:
     """Feed and message measures per (user, day, demographics), missing measures 0."""
     f = feed_user_day(feed, day)
-    m = message_user_day(messages, day, approx_rsd)
+    m = message_user_day(messages, day)
     j = f.join(m, USER_DAY_KEYS, "full")
     zero = F.lit(0).cast("bigint")
     return j.select(
@@ -258,7 +252,7 @@ def dimension_report(activity: DataFrame, dimension: str) -> DataFrame:
 
 
 def daily_metrics_cube(
-    feed: DataFrame, messages: DataFrame, day: dt.date | str, approx_rsd: float | None = None
+    feed: DataFrame, messages: DataFrame, day: dt.date | str
 ) -> DataFrame:
     """The daily ETL: activity for ``day`` rolled up into the metric cube."""
-    return metrics_cube(user_activity_day(feed, messages, day, approx_rsd))
+    return metrics_cube(user_activity_day(feed, messages, day))

@@ -18,6 +18,7 @@ All metrics are evaluated in one pass: the series are unpivoted to
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -87,8 +88,8 @@ def metric_series(feed: DataFrame, messages: DataFrame, now: dt.datetime | str)
     )
 
 
-def iqr_bands(series: DataFrame, a: float = 5.0, n: int = 5, centred: bool = True) -> DataFrame:
-    """Add quantile25, quantile75, iqr, upper_limit, lower_limit per metric row."""
+def iqr_bands(series: DataFrame, a: float = 5.0, n: int = 5, centred: bool = True, keep: Sequence[str] = ()) -> DataFrame:
+    """Add quantile25, quantile75, iqr, upper_limit, lower_limit per metric row (``keep``: further columns)."""
     order = Window.partitionBy("metric").orderBy("date_time")
     prev_n = order.rowsBetween(-n, -1)
     full = F.count("value").over(prev_n) == n
@@ -96,7 +97,7 @@ def iqr_bands(series: DataFrame, a: float = 5.0, n: int = 5, centred: bool = Tru
     q75 = F.when(full, F.percentile("value", F.lit(0.75)).over(prev_n))
     half = n // 2
     smooth = order.rowsBetween(-half, half) if centred else order.rowsBetween(-half, 0)
-    with_q = series.select("metric", "date_time", "value", q25.alias("quantile25"), q75.alias("quantile75"))
+    with_q = series.select("metric", "date_time", "value", *keep, q25.alias("quantile25"), q75.alias("quantile75"))
     with_q = with_q.withColumn("iqr", F.col("quantile75") - F.col("quantile25"))
     up = F.col("quantile75") + F.lit(float(a)) * F.col("iqr")
     lo = F.col("quantile25") - F.lit(float(a)) * F.col("iqr")
@@ -118,14 +119,19 @@ def _is_alert() -> F.Column:
 
 
 def judge_latest(bands: DataFrame) -> DataFrame:
-    """One row per metric: the latest bucket of ``bands``, its alert flag and text.
+    """One row per metric: the latest bucket of ``bands``, judged (see ``judge``)."""
+    last = Window.partitionBy("metric").orderBy(F.col("date_time").desc())
+    judged = judge(bands.withColumn("_rn", F.row_number().over(last)), keep=["_rn"])
+    return judged.where(F.col("_rn") == 1).drop("_rn")
+
+
+def judge(bands: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Every bucket of ``bands`` with its previous value, alert flag and text (and the ``keep`` columns).
 
     deviation = 1 - current / previous (positive means a drop).
     """
     order = Window.partitionBy("metric").orderBy("date_time")
-    last = Window.partitionBy("metric").orderBy(F.col("date_time").desc())
-    ranked = bands.select("*", F.lag("value").over(order).alias("prev_value"), F.row_number().over(last).alias("_rn"))
-    latest = ranked.where(F.col("_rn") == 1).drop("_rn")
+    latest = bands.withColumn("prev_value", F.lag("value").over(order))
     deviation = F.lit(1.0) - F.try_divide(F.col("value"), F.col("prev_value"))
     out = latest.select(
         "metric",
@@ -136,6 +142,7 @@ def judge_latest(bands: DataFrame) -> DataFrame:
         "lower_limit",
         _is_alert().alias("alert"),
         deviation.alias("deviation"),
+        *keep,
     )
     msg = F.when(
         F.col("alert") == 1,
@@ -143,7 +150,7 @@ def judge_latest(bands: DataFrame) -> DataFrame:
             "ALERT: metric %s has an abnormal value: current %.2f, deviation %s",
             F.col("metric"),
             round_half_up(F.col("value"), 2),
-            F.coalesce(F.format_string("%.2f%%", round_half_up(F.col("deviation") * 100.0, 2)), F.lit("n/a")),
+            F.when(F.col("deviation").isNotNull(), F.format_string("%.2f%%", round_half_up(F.col("deviation") * 100.0, 2))).otherwise("n/a"),
         ),
     )
     return out.withColumn("msg", msg)

@@ -24,7 +24,7 @@ def report_window(as_of: dt.date | str, days: int = 8) -> tuple[dt.date, dt.date
 
 def feed_daily(feed: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
     """Per day: DAU (exact distinct users), likes, views, CTR = likes / views;
-    ordered by day."""
+    ordered by day.  Likes and views count all rows, those without a user too."""
     return _feed_daily(feed, first, last).orderBy("date")
 
 
@@ -47,7 +47,9 @@ def feed_yesterday(feed: DataFrame, as_of: dt.date | str) -> DataFrame:
 
 
 def dau_feed(feed: DataFrame, as_of: dt.date | str, days: int = 8) -> DataFrame:
-    return feed_daily(feed, *report_window(as_of, days))
+    """Per day of the window: DAU, likes, views, CTR of the rows that have a user (this
+    report's counts are of users' rows; ``report_daily`` counts all rows)."""
+    return feed_daily(feed.where(F.col("user_id").isNotNull()), *report_window(as_of, days))
 
 
 def daily_audience(feed: DataFrame, messages: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
@@ -56,12 +58,13 @@ def daily_audience(feed: DataFrame, messages: DataFrame, first: dt.date, last: d
     Both tables are reduced to (day, user) with an "in feed" and an "in
     messenger" flag; the partial aggregate removes duplicate user-days before
     the shuffle, and a second aggregate counts per day.  Each scan gets the
-    date range pushed down.
+    date range pushed down.  Rows without a user id are nobody's activity.
     """
-    f = feed.where(day_range(feed, first, last)).select(
+    known = F.col("user_id").isNotNull()
+    f = feed.where(day_range(feed, first, last) & known).select(
         F.to_date("time").alias("date"), "user_id", F.lit(1).alias("in_feed"), F.lit(0).alias("in_msg")
     )
-    m = messages.where(day_range(messages, first, last)).select(
+    m = messages.where(day_range(messages, first, last) & known).select(
         F.to_date("time").alias("date"), "user_id", F.lit(0).alias("in_feed"), F.lit(1).alias("in_msg")
     )
     user_days = f.unionByName(m).groupBy("date", "user_id").agg(
@@ -141,7 +144,7 @@ def week_over_week(series: DataFrame, keys: list[str], date_col: str, value_col:
         F.date_format("last_date", "dd/MM/yyyy"),
         F.col("first_value"),
         F.date_format("first_date", "dd/MM/yyyy"),
-        F.coalesce(F.format_string("%.2f%%", F.col("pct_change")), F.lit("n/a")),
+        F.when(F.col("pct_change").isNotNull(), F.format_string("%.2f%%", F.col("pct_change"))).otherwise("n/a"),
     )
     return out.withColumn("msg", msg)
 
@@ -159,17 +162,22 @@ def report_week_over_week(feed: DataFrame, messages: DataFrame, as_of: dt.date |
 
 
 def approx_uniques(feed: DataFrame, as_of: dt.date | str, days: int = 8, rsd: float = 0.05) -> DataFrame:
-    """Per day: exact and HyperLogLog++ distinct users side by side.
+    """Per day: exact distinct users, and whether the HyperLogLog++ estimate lies within
+    three standard errors of them.
 
-    ``approx_count_distinct`` keeps a fixed-size sketch per group, so it is the
-    switch for very large audiences; the exact count is the default elsewhere.
+    The sketch has an aggregate of its own: planned together with an exact distinct
+    count it would be carried per (day, user) through the first shuffle; alone it is one
+    fixed-size buffer per day and task.  The two one-row-per-day results are joined.
     """
     first, last = report_window(as_of, days)
-    return (
-        feed.where(day_range(feed, first, last))
-        .groupBy(F.to_date("time").alias("date"))
-        .agg(
-            F.count_distinct("user_id").alias("users_exact"),
-            F.approx_count_distinct("user_id", rsd).alias("users_approx"),
-        )
-    )
+    rows = feed.where(day_range(feed, first, last)).select(F.to_date("time").alias("date"), "user_id")
+    exact = rows.groupBy("date").agg(F.count_distinct("user_id").alias("users_exact"))
+    sketch = approx_daily_users(feed, first, last, rsd)
+    near = F.abs(F.col("users_approx") - F.col("users_exact")) <= 3 * rsd * F.col("users_exact")
+    return exact.join(sketch, "date").select("date", "users_exact", near.alias("within_3_sigma"))
+
+
+def approx_daily_users(feed: DataFrame, first: dt.date, last: dt.date, rsd: float = 0.05) -> DataFrame:
+    """Per day: the estimated number of distinct users (relative standard error ``rsd``)."""
+    rows = feed.where(day_range(feed, first, last))
+    return rows.groupBy(F.to_date("time").alias("date")).agg(F.approx_count_distinct("user_id", rsd).alias("users_approx"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 from feedlens.functions.ranking import exact_percentiles_linear, running_totals, with_stats
 
 
-def _stats(v: DataFrame, value_col: str, bins: int | str, max_rows: int | None, keys: Sequence[str] = ()) -> DataFrame:
+def _stats(v: DataFrame, value_col: str, bins: int | str, keys: Sequence[str] = ()) -> DataFrame:
     """One row per key group (one row overall without keys): lo, hi and the bin
     count nb (numpy's "auto" rule when asked: the smaller of the Sturges and
     Freedman-Diaconis widths)."""
@@ -20,7 +19,7 @@ def _stats(v: DataFrame, value_col: str, bins: int | str, max_rows: int | None,
         return v.groupBy(*keys).agg(F.min(value_col).alias("lo"), F.max(value_col).alias("hi"), F.lit(bins).alias("nb"))
     if bins != "auto":
         raise ValueError(f"bins must be an int or 'auto', not {bins!r}")
-    st = exact_percentiles_linear(v, value_col, [0.25, 0.75], keys, max_rows=max_rows, with_range=True)
+    st = exact_percentiles_linear(v, value_col, [0.25, 0.75], keys, with_range=True)
     lo, hi, n = F.col("lo"), F.col("hi"), F.col("n").cast("double")
     ptp = hi - lo
     sturges = ptp / (F.log2(n) + F.lit(1.0))
@@ -35,25 +34,29 @@ def histogram(
     value_col: str,
     bins: int | str = 10,
     keys: Sequence[str] = (),
-    max_rows: int | None = None,
     shared_edges: bool = True,
+    groups: Sequence[int] | None = None,
 ) -> DataFrame:
     """Equal-width bins over min..max.
 
     bin = min(floor((v - min) * bins / (max - min)), bins - 1); the maximum falls
-    in the last bin.  ``bins="auto"`` picks numpy's automatic bin count;
-    ``max_rows`` is a known bound on the input (see ``running_totals``).
+    in the last bin.  ``bins="auto"`` picks numpy's automatic bin count.
     ``shared_edges``: one set of edges for all key groups (a histogram with a
     hue); otherwise each key group gets its own range and bin count (joined back
-    on the keys: one row per group).  Returns (keys, bin, bin_lo, bin_hi, count)
+    on the keys: one row per group).  ``groups`` limits the first key to these values;
+    the per-group table is then at most one row per value (single key) and is broadcast, so
+    no value row is shuffled on a key of a few values.  Returns (keys, bin, bin_lo, bin_hi, count)
     for non-empty bins.
     """
     v = df.where(F.col(value_col).isNotNull())
+    if groups is not None:
+        v = v.where(F.col(keys[0]).isin(list(groups)))
     if shared_edges or not keys:
-        tagged = with_stats(v, _stats(v, value_col, bins, max_rows), "_h")
+        tagged = with_stats(v, _stats(v, value_col, bins), "_h")
     else:
-        st = _stats(v, value_col, bins, max_rows, keys)
-        tagged = v.join(st.select(*keys, F.struct("lo", "hi", "nb").alias("_h")), list(keys))
+        st = _stats(v, value_col, bins, keys)
+        st = st.select(*keys, F.struct("lo", "hi", "nb").alias("_h"))
+        tagged = v.join(F.broadcast(st) if groups is not None and len(keys) == 1 else st, list(keys))
     lo, hi, nb = F.col("_h.lo"), F.col("_h.hi"), F.col("_h.nb")
     width = hi - lo
     idx = F.when(width == 0, F.lit(0)).otherwise(
@@ -69,11 +72,7 @@ def histogram(
     return binned.groupBy(*keys, "bin", "bin_lo", "bin_hi").agg(F.count(F.lit(1)).alias("count"))
 
 
-def sturges_bins(n: int) -> int:
-    return int(math.ceil(math.log2(n) + 1)) if n > 0 else 1
-
-
-def uniform_qq(df: DataFrame, value_col: str, max_rows: int | None = None) -> DataFrame:
+def uniform_qq(df: DataFrame, value_col: str) -> DataFrame:
     """Sorted values against uniform order-statistic medians (Filliben):
     m_1 = 1 - 0.5^(1/n), m_n = 0.5^(1/n), m_i = (i - 0.3175) / (n + 0.365).
 
@@ -81,7 +80,7 @@ def uniform_qq(df: DataFrame, value_col: str, max_rows: int | None = None) -> Da
     """
     v = df.where(F.col(value_col).isNotNull())
     counts = v.groupBy(value_col).agg(F.count(F.lit(1)).alias("_c"))
-    ranked = running_totals(counts, value_col, ["_c"], max_rows=max_rows)
+    ranked = running_totals(counts, value_col, ["_c"])
     n = F.col("_c_total")
     pos = ranked.select(
         "_c_total",

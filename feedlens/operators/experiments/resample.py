@@ -5,19 +5,19 @@ of one digest are the draws of ids 4*block .. 4*block+3.  Each draw is a pure
 function of its key: repeatable, independent of partitioning and retries.
 Ids are generated per user with ``explode(sequence(...))``; the bootstrap is
 reduced by partial (map-side) aggregation, so the shuffle carries one row per
-(replicate, group) per task, never users x replicates; the A/A sampler keeps
-only draws below a per-group threshold (see ``aa_samples``).
+(replicate, group) per task, never users x replicates.  The A/A sampler draws
+places in a numbered list of users (see ``aa_samples``): its work follows the samples,
+not the users times the simulations.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.functions.hashing import TWO_32, md5_chunks, poisson1_weight
+from feedlens.functions.hashing import md5_chunks, poisson1_weight
+from feedlens.functions.ranking import running_totals
 from feedlens.operators.experiments.twosample import welch_ttest
-from feedlens.session import ensure_checkpoint_dir
-
 
 DRAWS_PER_DIGEST = 4  # an md5 digest holds four independent 32-bit uniforms
 
@@ -31,14 +31,6 @@ def _draw_key(rep_col: str, salt: str):
     return F.concat_ws("-", F.col("user_id").cast("string"), F.col(rep_col).cast("string"), F.lit(salt))
 
 
-def _u32_for(id_col: str, salt: str) -> Column:
-    """Draw of (user, id): chunk (id mod 4) of md5("<user>-<id div 4>-<salt>")."""
-    blk = F.floor(F.col(id_col) / DRAWS_PER_DIGEST)
-    h = F.md5(F.concat_ws("-", F.col("user_id").cast("string"), blk.cast("string"), F.lit(salt)))
-    pos = (F.col(id_col) % DRAWS_PER_DIGEST) * 8 + 1
-    return F.conv(F.substr(h, pos.cast("int"), F.lit(8)), 16, 10).cast("bigint")
-
-
 def _draws(df: DataFrame, n: int, id_col: str, salt: str) -> DataFrame:
     """Every row of ``df`` times ids 0..n-1, with its 32-bit draw ``_u32``:
     one md5 digest per row and block of four ids."""
@@ -50,51 +42,41 @@ def _draws(df: DataFrame, n: int, id_col: str, salt: str) -> DataFrame:
     return d.where(F.col(id_col) < n)
 
 
-def aa_samples(
-    uc: DataFrame, a: int, b: int, n_sims: int, k: int, salt: str = "aa", expected_candidates: float | None = None
-) -> DataFrame:
-    """For each simulation, k users per group drawn without replacement: the k
-    users with the smallest draw (ties by user id).
+def aa_samples(uc: DataFrame, a: int, b: int, n_sims: int, k: int, salt: str = "aa") -> DataFrame:
+    """For each simulation, k users per group drawn without replacement: (exp_group, user_id, ctr, sim_id).
 
-    Only draws below a per-group threshold are kept as candidates (about
-    2k + 8 sqrt(k) + 16 expected per simulation and group, however large the
-    group), so the shuffle carries O(n_sims * k) rows, not O(tasks * n_sims * k).
-    When a (sim, group) gets k or more candidates its k smallest are the
-    overall k smallest; the rare (sim, group) with fewer is ranked again over
-    all of its users.  The result is exact either way.  The candidate table
-    is checkpointed (eagerly, in ``spark.checkpoint.dir``).
+    The users of a group with a defined CTR are numbered 0 .. n - 1 by user id (distributed
+    running totals).  Each (simulation, group) draws k distinct numbers by Floyd's method: for
+    i = 0 .. k - 1 with j = n - k + i, the number is 60 bits of
+    md5("<sim>-<group>-<i>-<salt>") mod (j + 1), or j if that was drawn before; every
+    k-subset is equally likely.  The numbers are joined to the numbered users, so n_sims * k rows per
+    group move, however many users there are.  A group with fewer than k users fails the query.
     """
     users = uc.where(F.col("exp_group").isin(a, b) & F.col("ctr").isNotNull()).select("exp_group", "user_id", "ctr")
-    # one row per group: broadcast is bounded by the two groups
-    sizes = users.groupBy("exp_group").agg(F.count(F.lit(1)).alias("_ng"))
-    expect = expected_candidates if expected_candidates is not None else 2.0 * k + 8.0 * k**0.5 + 16.0
-    tau = F.least(F.lit(TWO_32), F.ceil(F.lit(expect) / F.col("_ng") * F.lit(float(TWO_32)))).cast("bigint")
-    sized = users.join(F.broadcast(sizes.select("exp_group", "_ng", tau.alias("_tau"))), "exp_group")
-
-    cand = _draws(sized, n_sims, "sim_id", salt).where(F.col("_u32") < F.col("_tau"))
-    per = Window.partitionBy("sim_id", "exp_group")
-    ranked = cand.select(
-        "exp_group",
-        "user_id",
-        "ctr",
-        "sim_id",
-        F.row_number().over(per.orderBy("_u32", "user_id")).alias("_rn"),
-        F.count(F.lit(1)).over(per).alias("_nc"),
+    numbered = running_totals(users.withColumn("_one", F.lit(1).cast("bigint")), "user_id", ["_one"], ["exp_group"])
+    numbered = numbered.select("exp_group", "user_id", "ctr", F.col("_one_below").cast("bigint").alias("_at"))
+    # one row per group: the broadcast is bounded by the two groups
+    sizes = users.groupBy("exp_group").agg(F.count(F.lit(1)).alias("_n"))
+    sims = uc.sparkSession.range(n_sims).select(F.col("id").alias("sim_id"), F.explode(F.array(F.lit(a), F.lit(b))).alias("exp_group"))
+    sims = sims.withColumn("exp_group", F.col("exp_group").cast(users.schema["exp_group"].dataType))
+    sims = sims.join(F.broadcast(sizes), "exp_group", "left")
+    short = F.raise_error(F.concat(F.lit(f"aa_samples: a group has fewer than {k} users: "), F.col("exp_group").cast("string")))
+    sims = sims.withColumn("_n", F.when(F.coalesce(F.col("_n"), F.lit(0)) < k, short.cast("bigint")).otherwise(F.col("_n")))
+    key = F.concat_ws("-", F.col("sim_id").cast("string"), F.col("exp_group").cast("string"))
+
+    def draw(i: Column) -> Column:
+        j = F.col("_n") - F.lit(k) + i
+        u = F.conv(F.substring(F.md5(F.concat(key, F.lit("-"), i.cast("string"), F.lit(f"-{salt}"))), 1, 15), 16, 10).cast("bigint")
+        return F.struct(j.alias("j"), (u % (j + 1)).alias("t"))
+
+    drawn = F.aggregate(
+        F.transform(F.sequence(F.lit(0).cast("bigint"), F.lit(k - 1).cast("bigint")), draw),
+        F.array().cast("array<bigint>"),
+        lambda s, d: F.array_append(s, F.when(F.array_contains(s, d["t"]), d["j"]).otherwise(d["t"])),
     )
-    # The candidates (O(n_sims * k) rows) feed two branches; a reliable
-    # checkpoint in the shared folder makes the hashing run once.
-    ensure_checkpoint_dir(uc.sparkSession)
-    ranked = ranked.checkpoint(eager=True)
-    enough = F.col("_nc") >= F.lit(k)
-    picked = ranked.where(enough & (F.col("_rn") <= k)).select("exp_group", "user_id", "ctr", "sim_id")
-
-    # exact fallback for (sim, group) pairs with too few candidates
-    short = ranked.where(~enough & (F.col("_rn") == 1)).select("sim_id", "exp_group")
-    redo = users.join(short, "exp_group").withColumn("_u32", _u32_for("sim_id", salt))
-    w = per.orderBy("_u32", "user_id")
-    refill = redo.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
-    refill = refill.select("exp_group", "user_id", "ctr", "sim_id")
-    return picked.unionByName(refill)
+    picks = sims.select("sim_id", "exp_group", F.explode(drawn).alias("_at"))
+    # every number has its user; the left join keeps the draws, and their check, whatever the users
+    return picks.join(numbered, ["exp_group", "_at"], "left").select("exp_group", "user_id", "ctr", "sim_id")
 
 
 def aa_test(uc: DataFrame, a: int, b: int, n_sims: int = 10000, k: int = 500, salt: str = "aa") -> DataFrame:
@@ -104,7 +86,8 @@ def aa_test(uc: DataFrame, a: int, b: int, n_sims: int = 10000, k: int = 500, sa
     fewer than k users with a defined CTR.
     """
     res = welch_ttest(aa_samples(uc, a, b, n_sims, k, salt), "exp_group", "ctr", a, b, ["sim_id"])
-    short = (F.col("n_a") < k) | (F.col("n_b") < k)
+    res = uc.sparkSession.range(n_sims).select(F.col("id").alias("sim_id")).join(res, "sim_id", "left")
+    short = (F.col("n_a") < k) | (F.col("n_b") < k) | F.col("n_a").isNull() | F.col("n_b").isNull()
     guard = F.when(short, F.raise_error(F.lit(f"aa_test: a group has fewer than {k} users")))
     return res.select(
         "sim_id", "n_a", "n_b", "t_stat", "dof", F.coalesce(guard.cast("double"), F.col("p_value")).alias("p_value")
@@ -112,10 +95,11 @@ def aa_test(uc: DataFrame, a: int, b: int, n_sims: int = 10000, k: int = 500, sa
 
 
 def aa_false_positive_rate(aa: DataFrame, alpha: float = 0.05) -> DataFrame:
-    """Share of simulations with p < alpha (about alpha when the split is sound)."""
+    """Share of simulations with p < alpha (about alpha when the split is sound); a
+    simulation whose p is undefined (no variance) counts as one that is not below alpha."""
     return aa.agg(
         F.count(F.lit(1)).alias("n_sims"),
-        F.avg((F.col("p_value") < alpha).cast("int")).alias("false_positive_rate"),
+        F.avg(F.coalesce(F.col("p_value") < alpha, F.lit(False)).cast("int")).alias("false_positive_rate"),
     )
 
 

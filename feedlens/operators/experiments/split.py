@@ -21,4 +21,5 @@ def assign_groups(users: DataFrame, salt: str = "exp_mess_1", n_groups: int = 5)
 
 
 def split_balance(assigned: DataFrame) -> DataFrame:
-    return assigned.groupBy("hash_group").agg(F.count_distinct("user_id").alias("users"))
+    """Users per group of ``assign_groups`` (its users are distinct already, so rows are counted)."""
+    return assigned.groupBy("hash_group").agg(F.count("user_id").alias("users"))

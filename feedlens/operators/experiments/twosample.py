@@ -69,7 +69,7 @@ def welch_ttest(df: DataFrame, group_col: str, value_col: str, a, b, keys: Seque
 
 
 def value_counts(
-    df: DataFrame, group_col: str, value_col: str, a, b, keys: Sequence[str] = (), max_rows: int | None = None
+    df: DataFrame, group_col: str, value_col: str, a, b, keys: Sequence[str] = ()
 ) -> DataFrame:
     """Per distinct value: how many of group a and of group b have it, and how
     many values of each group lie strictly below (global ranks, no single task)."""
@@ -78,17 +78,16 @@ def value_counts(
         count_where(ga).alias("c_a"), count_where(~ga).alias("c_b")
     )
     counts = counts.withColumn("c_t", F.col("c_a") + F.col("c_b"))
-    return running_totals(counts, value_col, ["c_t", "c_b"], keys, max_rows=max_rows)
+    return running_totals(counts, value_col, ["c_t", "c_b"], keys)
 
 
 def mann_whitney(
-    df: DataFrame, group_col: str, value_col: str, a, b, keys: Sequence[str] = (), max_rows: int | None = None
+    df: DataFrame, group_col: str, value_col: str, a, b, keys: Sequence[str] = ()
 ) -> DataFrame:
     """Mann-Whitney U of group ``a`` against ``b``: U1 = R1 - n1 (n1 + 1) / 2 from
     midranks, p from the normal approximation with tie and continuity
-    corrections (two-sided, as ``max(U1, U2)``).  ``max_rows``: a known bound on
-    the input rows (see ``running_totals``)."""
-    vc = value_counts(df, group_col, value_col, a, b, keys, max_rows)
+    corrections (two-sided, as ``max(U1, U2)``)."""
+    vc = value_counts(df, group_col, value_col, a, b, keys)
     midrank = F.col("c_t_below") + (F.col("c_t") + F.lit(1.0)) / 2.0
     s = vc.groupBy(*keys).agg(
         F.sum("c_a").cast("double").alias("_na"),

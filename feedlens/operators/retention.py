@@ -22,8 +22,8 @@ from feedlens.functions.time import as_date, day_range, monday_py, to_monday
 
 
 def user_weeks(feed: DataFrame) -> DataFrame:
-    """Distinct (user_id, week) over the whole history."""
-    return feed.select("user_id", to_monday("time").alias("week")).distinct()
+    """Distinct (user_id, week) over the whole history; rows without a user are left out."""
+    return feed.where(F.col("user_id").isNotNull()).select("user_id", to_monday("time").alias("week")).distinct()
 
 
 def weekly_status(feed: DataFrame, as_of: dt.date | str) -> DataFrame:
@@ -57,13 +57,12 @@ def weekly_status_from_weeks(uw: DataFrame, as_of: dt.date | str) -> DataFrame:
     return active.unionByName(lost)
 
 
-def retention(feed: DataFrame, as_of: dt.date | str, approx_rsd: float | None = None) -> DataFrame:
+def retention(feed: DataFrame, as_of: dt.date | str) -> DataFrame:
     """Signed user counts per (this_week, prev_week, user_status), ordered by week.
 
-    Each (user, week) appears once, so the exact count is a row count;
-    ``approx_rsd`` switches to a HyperLogLog++ estimate.
+    Each (user, week) appears once, so the exact count is a row count.
     """
-    return _count_status(weekly_status(feed, as_of), approx_rsd)
+    return _count_status(weekly_status(feed, as_of))
 
 
 # ---- incremental form -------------------------------------------------------------
@@ -78,7 +77,7 @@ def write_user_days(feed: DataFrame, path: str, first: dt.date | str | None = No
     """Write distinct (user_id, event_date) for the days in [first, last] (all
     days when not given), replacing exactly those day partitions."""
     f = feed if first is None else feed.where(day_range(feed, first, last if last is not None else first))
-    days = f.select("user_id", F.to_date("time").alias("event_date")).distinct()
+    days = f.where(F.col("user_id").isNotNull()).select("user_id", F.to_date("time").alias("event_date")).distinct()
     # the distinct is already spread over (user, day): every task writes its
     # share of each day (no single task per day); sorting by day keeps one
     # open file per task during a backfill
@@ -95,14 +94,14 @@ def read_user_days(spark, path: str) -> DataFrame:
     return spark.read.schema("user_id long, event_date date").parquet(path)
 
 
-def retention_from_user_days(user_days: DataFrame, as_of: dt.date | str, approx_rsd: float | None = None) -> DataFrame:
+def retention_from_user_days(user_days: DataFrame, as_of: dt.date | str) -> DataFrame:
     """``retention`` computed from the (user_id, event_date) table."""
-    uw = user_days.select("user_id", to_monday("event_date").alias("week")).distinct()
-    return _count_status(weekly_status_from_weeks(uw, as_of), approx_rsd)
+    uw = user_days.where(F.col("user_id").isNotNull()).select("user_id", to_monday("event_date").alias("week")).distinct()
+    return _count_status(weekly_status_from_weeks(uw, as_of))
 
 
-def _count_status(st: DataFrame, approx_rsd: float | None) -> DataFrame:
-    n = F.count(F.lit(1)) if approx_rsd is None else F.approx_count_distinct("user_id", approx_rsd)
+def _count_status(st: DataFrame) -> DataFrame:
+    n = F.count(F.lit(1))
     return st.groupBy("this_week", "prev_week", "user_status").agg(
         F.when(F.col("user_status") == "lost", -n).otherwise(n).cast("bigint").alias("num_users")
     ).orderBy("this_week", "user_status")

@@ -28,18 +28,10 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     return round_doubles(df, digits)
 
 
-_VIEWS: dict[tuple[int, str], tuple[DataFrame, DataFrame]] = {}
-
-
 def _tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The two views over ``events``, built once per session and directory
-    (file listing, footer read and analysis happen once)."""
-    key = (id(spark), sf_dir)
-    views = _VIEWS.get(key)
-    if views is None or views[0].sparkSession is not spark:
-        e = ev.read_events(spark, sf_dir)
-        views = _VIEWS[key] = (ev.feed_actions(e), ev.message_actions(e))
-    return views
+    """The two views over ``events``, built anew for each query: files added since are seen."""
+    e = ev.read_events(spark, sf_dir)
+    return ev.feed_actions(e), ev.message_actions(e)
 
 
 def _uc(feed: DataFrame, p: Params, groups) -> DataFrame:
@@ -225,8 +217,7 @@ def build(p: Params = DEFAULT) -> dict[str, Query]:
             F.lit("welch").alias("test"), "group_a", "group_b", "n_a", "n_b",
             F.col("t_stat").alias("statistic"), "p_value",
         )
-        # one row per (group, bucket): at most 2 * n_buckets rows
-        m = twosample.mann_whitney(b, "exp_group", "bucket_ctr", A, B, max_rows=2 * p.n_buckets).select(
+        m = twosample.mann_whitney(b, "exp_group", "bucket_ctr", A, B).select(
             F.lit("mann_whitney").alias("test"), "group_a", "group_b", "n_a", "n_b",
             F.col("u_stat").alias("statistic"), "p_value",
         )
@@ -246,42 +237,48 @@ def build(p: Params = DEFAULT) -> dict[str, Query]:
     def _(feed, msgs, spark):
         return distribution.histogram(_uc(feed, p, p.ab_groups), "ctr", p.hist_bins, ["exp_group"])
 
+    @reg("ctr_group_histogram")
+    def _(feed, msgs, spark):
+        # raw CTR, one histogram per group with its own edges
+        return distribution.histogram(_uc(feed, p, p.ab_groups), "ctr", p.hist_bins, ["exp_group"], shared_edges=False, groups=p.ab_groups)
+
     @reg("bootstrap_diff_histogram")
     def _(feed, msgs, spark):
         boot = resample.poisson_bootstrap(_uc(feed, p, p.ab_groups), A, B, p.n_bootstrap, p.boot_salt)
-        # one row per replicate
-        return distribution.histogram(resample.bootstrap_diff(boot, A, B), "diff", p.hist_bins, max_rows=p.n_bootstrap)
+        return distribution.histogram(resample.bootstrap_diff(boot, A, B), "diff", p.hist_bins)
 
     @reg("smoothed_ctr_histogram")
     def _(feed, msgs, spark):
         sm = metrics.smoothed_ctr(_uc(feed, p, p.ab_groups), p.alpha_smooth, p.ab_groups)
         # one histogram per group, each with its own edges
-        return distribution.histogram(sm, "smoothed_ctr", p.hist_bins, ["exp_group"], shared_edges=False)
+        return distribution.histogram(sm, "smoothed_ctr", p.hist_bins, ["exp_group"], shared_edges=False, groups=p.ab_groups)
 
     @reg("bootstrap_ctr_histogram")
     def _(feed, msgs, spark):
         boot = resample.poisson_bootstrap(_uc(feed, p, p.ab_groups), A, B, p.n_bootstrap, p.boot_salt)
-        # one row per (replicate, group); one histogram per group
-        return distribution.histogram(
-            boot, "ctr", p.hist_bins, ["exp_group"], max_rows=2 * p.n_bootstrap, shared_edges=False
-        )
+        return distribution.histogram(boot, "ctr", p.hist_bins, ["exp_group"], shared_edges=False, groups=p.ab_groups)
 
     @reg("bucket_ctr_histogram")
     def _(feed, msgs, spark):
         b = metrics.bucket_sums(_uc(feed, p, p.ab_groups), p.n_buckets, p.bucket_salt)
-        # one row per (group, bucket)
-        return distribution.histogram(b, "bucket_ctr", p.hist_bins, ["exp_group"], max_rows=2 * p.n_buckets)
+        return distribution.histogram(b, "bucket_ctr", p.hist_bins, ["exp_group"])
 
     def _aa(feed):
         return resample.aa_test(_uc(feed, p, p.aa_groups), AA, AB, p.n_sims, p.k, p.aa_salt)
 
+    def _p_values(feed, spark):
+        """The p-values of the A/A test, one row per simulation, computed once: what follows reads them several times."""
+        path = shared_dir(spark, "aa_p_values")
+        _aa(feed).select("p_value").write.parquet(path)
+        return spark.read.schema("p_value double").parquet(path)
+
     @reg("aa_test")
     def _(feed, msgs, spark):
         return _aa(feed)
 
     @reg("pvalue_histogram")
     def _(feed, msgs, spark):
-        return distribution.histogram(_aa(feed), "p_value", p.pvalue_bins, max_rows=p.n_sims)
+        return distribution.histogram(_p_values(feed, spark), "p_value", p.pvalue_bins)
 
     @reg("aa_false_positive_rate")
     def _(feed, msgs, spark):
@@ -289,11 +286,11 @@ def build(p: Params = DEFAULT) -> dict[str, Query]:
 
     @reg("pvalue_qq")
     def _(feed, msgs, spark):
-        return distribution.uniform_qq(_aa(feed), "p_value", max_rows=p.n_sims)
+        return distribution.uniform_qq(_p_values(feed, spark), "p_value")
 
     @reg("pvalue_qq_fit")
     def _(feed, msgs, spark):
-        return distribution.qq_fit(distribution.uniform_qq(_aa(feed), "p_value", max_rows=p.n_sims))
+        return distribution.qq_fit(distribution.uniform_qq(_p_values(feed, spark), "p_value"))
 
     return q
 

@@ -36,13 +36,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is only read.  When it
-    is unset (a local test run) a fresh folder is made and registered.
+    On a cluster this setting points at shared storage and is only read; without it
+    this raises, since a folder of the driver's machine would not be seen by the
+    executors.  With a local master (a test run) a fresh folder is made and registered.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder when the master is {master}")
         path = tempfile.mkdtemp(prefix="feedlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -11,11 +11,12 @@ streams): the one stateful operator aggregates per (bucket, source, user) and
 emits a bucket's rows together once the watermark passes its end; each
 micro-batch then counts them per bucket in ``foreachBatch`` (a plain batch
 aggregation).  State is one row per active user and open bucket, cleared by
-the watermark.  The output is exactly the batch result for every bucket that
-ends at or before the final watermark (max event time - 15 minutes).
+the watermark.  The output is the batch result over the rows that were not late, for
+every bucket that ends at or before the final watermark (max event time - 15 minutes);
+rows that arrive later than the watermark are missing from it.
 
 ``start_alert_stream`` evaluates the interquartile-range rule in
-``foreachBatch`` on the latest closed bucket of each metric; every output is
+``foreachBatch`` on every newly closed bucket of each metric; every output is
 written per batch id with dynamic partition overwrite, so a replayed batch
 replaces its own rows.
 """
@@ -153,30 +154,29 @@ def _write_batch(df: DataFrame, path: str) -> None:
 
 def alert_batch(spark: SparkSession, per_user: DataFrame, batch_id: int, series_path: str, alerts_path: str,
                 a: float = 5.0, n: int = 5, history: dt.timedelta = dt.timedelta(days=2)) -> None:
-    """foreachBatch body: store the new closed buckets, then judge the latest
-    bucket of each metric against the band built from the stored history.
-    It runs several actions on ``per_user``: persist the batch around the
-    call (``start_alert_stream`` does)."""
+    """foreachBatch body: store the new closed buckets, then judge each of them.
+
+    Every (metric, new bucket) is judged as if it were the latest: quartiles and smoothing
+    look back only (``iqr_bands(centred=False)``), over the stored buckets of ``history``
+    before the batch's first bucket and the batch itself.  So buckets that close together, after
+    a pause or in one ``availableNow`` run, give the same rows as if they had closed one by one.
+    It runs several actions on ``per_user``: persist the batch around the call
+    (``start_alert_stream`` does)."""
     if per_user.isEmpty():
         return
     new = _metric_rows(closed_buckets(per_user))
     _write_batch(new.withColumn("batch_id", F.lit(batch_id)), series_path)
-    latest = new.groupBy("metric").agg(F.max("date_time").alias("latest"))
     # days that can hold the history of this batch's buckets (partition pruning)
-    first_day = new.agg(F.date_sub(F.to_date(F.min("date_time")), history.days)).scalar()
+    first = new.agg(F.min("date_time").alias("t")).select(F.col("t"), F.date_sub(F.to_date("t"), history.days).alias("d")).first()
     stored = (
         spark.read.schema(SERIES_SCHEMA)
         .parquet(series_path)
-        .where((F.col("date") >= first_day) & (F.col("batch_id") <= batch_id))
+        .where((F.col("date") >= F.lit(first["d"])) & (F.col("batch_id") <= batch_id))
     )
-    # history of the metrics updated in this batch: the last two days up to their latest bucket
-    hist = stored.join(F.broadcast(latest), "metric").where(
-        (F.col("date_time") <= F.col("latest"))
-        & (F.col("date_time") > F.col("latest") - F.make_dt_interval(F.lit(history.days)))
-    ).select("metric", "date_time", "value")
-    bands = alerts.iqr_bands(hist, a, n, centred=True)
-    out = alerts.judge_latest(bands).withColumn("batch_id", F.lit(batch_id))
-    _write_batch(out, alerts_path)
+    since = F.lit(first["t"] - history).cast("timestamp_ntz")
+    bands = alerts.iqr_bands(stored.where(F.col("date_time") > since), a, n, centred=False, keep=["batch_id"])
+    judged = alerts.judge(bands, keep=["batch_id"]).where(F.col("batch_id") == batch_id)
+    _write_batch(judged, alerts_path)
 
 
 def start_alert_stream(spark: SparkSession, events: DataFrame, base: str, trigger: dict | None = None,

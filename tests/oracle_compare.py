@@ -56,6 +56,7 @@ def canon(df: pd.DataFrame) -> list[tuple]:
 
 SPARK_TO_DUCK = {
     "IntegerType()": "INTEGER",
+    "BooleanType()": "BOOLEAN",
     "LongType()": "BIGINT",
     "DoubleType()": "DOUBLE",
     "StringType()": "VARCHAR",

@@ -4,6 +4,7 @@ import datetime as dt
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -112,26 +113,37 @@ def test_exact_quantile_index_rule_matches_sorted_list(spark, xs, p):
     assert got == s[min(int(len(s) * p), len(s) - 1)]
 
 
-def test_aa_sampler_threshold_and_fallback_are_exact(spark, feed):
+def test_aa_sampler_is_floyds_method(spark, feed):
     import hashlib
 
     uc = metrics.user_ctr(feed, dt.date(2024, 1, 8), dt.date(2024, 1, 14), (2, 3))
     users = uc.where("ctr IS NOT NULL").select("exp_group", "user_id").toPandas()
     n_sims, k = 12, 15
 
-    def u32(user, sim):
-        h = hashlib.md5(f"{user}-{sim // 4}-aa".encode()).hexdigest()
-        return int(h[8 * (sim % 4): 8 * (sim % 4) + 8], 16)
-
     want = set()
     for g, grp in users.groupby("exp_group"):
+        ids = sorted(grp.user_id)
         for sim in range(n_sims):
-            ranked = sorted(grp.user_id, key=lambda u: (u32(u, sim), u))
-            want |= {(sim, g, u) for u in ranked[:k]}
-    # tiny candidate budget: most (sim, group) pairs go through the exact fallback
-    for expect in (k / 2, 3.0 * k, None):
-        got = resample.aa_samples(uc, 2, 3, n_sims, k, expected_candidates=expect).select("sim_id", "exp_group", "user_id")
-        assert {tuple(r) for r in got.collect()} == want
+            drawn: set[int] = set()
+            for i in range(k):
+                j = len(ids) - k + i
+                t = int(hashlib.md5(f"{sim}-{g}-{i}-aa".encode()).hexdigest()[:15], 16) % (j + 1)
+                drawn.add(j if t in drawn else t)
+            want |= {(sim, g, ids[x]) for x in drawn}
+    got = resample.aa_samples(uc, 2, 3, n_sims, k).select("sim_id", "exp_group", "user_id").collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(want) == n_sims * 2 * k
+
+
+def test_aa_sampler_takes_all_users_or_fails(spark):
+    uc = spark.createDataFrame([(g, 10 * g + i, 0.1 * i) for g in (2, 3) for i in range(6)], "exp_group int, user_id long, ctr double")
+    for k in (1, 5, 6):
+        got = resample.aa_samples(uc, 2, 3, 40, k).groupBy("sim_id", "exp_group").agg(F.count_distinct("user_id").alias("n")).collect()
+        assert len(got) == 80 and {r.n for r in got} == {k}
+    with pytest.raises(Exception, match="fewer than 7 users"):
+        resample.aa_samples(uc, 2, 3, 5, 7).collect()
+    for empty in ("exp_group = 2", "false"):
+        with pytest.raises(Exception, match="fewer than"):
+            resample.aa_test(uc.where(empty), 2, 3, 5, 3).collect()
 
 
 @pytest.mark.parametrize("name", ["aa_test", "poisson_bootstrap", "mann_whitney", "bucket_ctr", "pvalue_qq"])
