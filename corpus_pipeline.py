@@ -22,13 +22,15 @@ from pyspark.sql import functions as F
 
 from feedlens.llm import decontaminate, language, line_dedup, ngram_join, packing
 from feedlens.llm.registered import tokenizer_path
-from feedlens.llm.storage import stored
+from feedlens.llm.storage import scratch, stored
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified, unchanged."""
-    found = language.identify_documents(docs).where(~F.col("kept"))
-    rejected = found.select(F.col("doc_id").alias("_rejected_id"), F.col("text_key").alias("_rejected_key")).distinct()
+    with scratch(spark):
+        found = language.identify_documents(docs).where(~F.col("kept"))
+        rejected = found.select(F.col("doc_id").alias("_rejected_id"), F.col("text_key").alias("_rejected_key")).distinct()
+        rejected = stored(rejected, "rejected", keep=True)
     same = docs["doc_id"].eqNullSafe(F.col("_rejected_id")) & (F.xxhash64(docs["text"]) == F.col("_rejected_key"))
     return docs.join(rejected, same, "left_anti")
 

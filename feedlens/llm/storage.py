@@ -2,24 +2,62 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from feedlens.session import shared_dir
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+#: narrow rows that one task writes
+ROWS_PER_TASK = 50_000
+
+
+#: the tables written since each open ``scratch``
+_OPEN: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes the tables stored inside, but for those stored with ``keep``, when it ends.
+
+    What outlives it must not read a removed table: store it with ``keep`` first.
+    """
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for path in _OPEN.pop():
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def stored(df: DataFrame, name: str, rows: int | None = None, keep: bool = False) -> DataFrame:
     """Write ``df`` under ``spark.checkpoint.dir`` and read it back.
 
     The copy survives lost executors, and a join on it starts from a plain
-    exchange, which adaptive execution can split when a key is hot.
+    exchange, which adaptive execution can split when a key is hot.  ``rows`` is a bound
+    on the rows, if one is known: few rows are then written by few tasks.
     """
     spark = df.sparkSession
     path = shared_dir(spark, "llm", name)
+    for scope in _OPEN[-2:-1] if keep else _OPEN[-1:]:  # what is kept belongs to the scratch around this one
+        scope.append(path)
+    if rows is not None:
+        df = df.coalesce(min(partitions(spark), rows // ROWS_PER_TASK + 1))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_rows(df: DataFrame, name: str, rows: int | None = None, keep: bool = False) -> tuple[DataFrame, int]:
+    """``stored``, and the number of rows (counted while they are written)."""
+    seen = Observation()
+    out = stored(df.observe(seen, F.count(F.lit(1)).alias("n")), name, rows, keep)
+    return out, int(seen.get["n"])
+
+
 def partitions(spark: SparkSession) -> int:
     """The session's number of shuffle partitions (the unit the bucketed steps scale with)."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
