@@ -34,12 +34,12 @@ from pyspark.sql import functions as F
 
 from feedlens.llm.bytetext import mix, shingle_sets, text_blocks
 from feedlens.llm.components import components
-from feedlens.llm.storage import only, partitions, stored
+from feedlens.llm.storage import only, partitions, scratch, stored, stored_rows
 
 #: ranges of the hash space whose counts bound a symmetric difference from below
 SUFFIX_RANGES = 16
 #: the exact rest is compared once it has at most this many pairs a row of the groups concerned, before any filter
-REST_FACTOR = 100
+REST_FACTOR = 200
 #: a bucket's shingles are sorted in a Python worker's memory, this many slices one after another
 SLICES = 4
 #: shingles gathered by a task before it writes its runs
@@ -268,18 +268,21 @@ def _candidates(members: DataFrame, others: DataFrame, num: int, den: int) -> Da
     return met.select(F.least("key", "key_2").alias("a"), F.greatest("key", "key_2").alias("b")).distinct()
 
 
-def link_classes(sets: DataFrame, num: int, den: int, rounds: int = 4) -> DataFrame:
+def link_classes(sets: DataFrame, num: int, den: int, rounds: int = 2) -> DataFrame:
     """(node, component) over the class keys in ``sets`` that have a link."""
-    index = sets.select("key", "n", F.col("unshared").alias("u"), F.posexplode(F.expr("slice(shared, 1, prefix - unshared)")).alias("j", "token")).select("key", "n", "u", (F.col("u") + F.col("j")).alias("pos"), "token")
-    held = index.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
-    index = stored(index.join(stored(held, "tokens"), "token"), "index")
+    index = sets.select("key", "n", F.col("unshared").alias("u"), F.posexplode(F.expr("slice(shared, 1, prefix - unshared)")).alias("j", "token")).select("key", "n", "u", (F.col("u") + F.col("j")).alias("pos"), "token", F.col("key").alias("comp"))
+    now, rows = stored_rows(index, "index")
     labels = links = None
     for r in range(rounds + 1):
-        comp = F.col("key") if labels is None else F.coalesce("component", "key")
-        now = index if labels is None else index.join(labels.withColumnRenamed("node", "key"), "key", "left")
-        now = stored(now.withColumn("comp", comp).select("key", "n", "u", "pos", "token", "comp"), "index")
-        mains = now.groupBy("token", "comp").agg(F.count("*").alias("c")).groupBy("token").agg(F.max(F.struct("c", "comp")).alias("m"), F.sum("c").alias("g"), F.count("*").alias("comps")).where("comps > 1")
-        mains = stored(mains.select("token", F.col("m.comp").alias("main"), "g", (F.col("g") - F.col("m.c")).alias("minor")), "mains")
+        if labels is not None:
+            named = labels.withColumnRenamed("node", "key")
+            now = stored(now.drop("comp").join(named, "key", "left").withColumn("comp", F.coalesce("component", "key")).drop("component"), "index", rows)
+        # per token: the largest component and what is outside it
+        sizes = now.groupBy("token").agg(F.count("*").alias("g"), F.max(F.struct(F.lit(1).cast("bigint").alias("c"), "comp")).alias("m"), F.lit(2).alias("comps")) if labels is None else (
+            now.groupBy("token", "comp").agg(F.count("*").alias("c")).groupBy("token").agg(F.sum("c").alias("g"), F.max(F.struct("c", "comp")).alias("m"), F.count("*").alias("comps"))
+        )
+        sizes = sizes.where("comps > 1 AND g > 1").select("token", F.col("m.comp").alias("main"), "g", (F.col("g") - F.col("m.c")).alias("minor"))
+        mains = stored(sizes, "mains", rows)
         cost, size = mains.agg(F.sum(F.col("minor").cast("double") * F.col("g")), F.sum("g")).first()
         if r == rounds or (cost or 0) <= REST_FACTOR * (size or 0):
             break
@@ -289,13 +292,13 @@ def link_classes(sets: DataFrame, num: int, den: int, rounds: int = 4) -> DataFr
         if r:
             pool = pool.where("comp <> main")
         pivots = pool.groupBy("token").agg(F.min(near_common).alias("p"))
-        pivots = stored(pivots.select(F.col("token").alias("token_2"), *[F.col(f"p.{c}").alias(f"{c}_2") for c in ("key", "n", "pos", "comp")]), "pivots")
-        near = stored(_verified(_candidates(now, pivots, num, den), sets, num, den), "links")
+        pivots = stored(pivots.select(F.col("token").alias("token_2"), *[F.col(f"p.{c}").alias(f"{c}_2") for c in ("key", "n", "pos", "comp")]), "pivots", rows)
+        near = stored(_verified(_candidates(now, pivots, num, den), sets, num, den), "links", rows)
         links = near if links is None else links.unionByName(near)
         labels = components(links)
     # the exact rest: members outside their group's largest component, against the group's other components
     minor = now.join(mains, "token").where("comp <> main").select(F.col("token").alias("token_2"), *[F.col(c).alias(f"{c}_2") for c in ("key", "n", "pos", "comp")])
-    rest = _verified(_candidates(now, stored(minor, "minor"), num, den), sets, num, den)
+    rest = _verified(_candidates(now, stored(minor, "minor", rows), num, den), sets, num, den)
     return components(rest if links is None else links.unionByName(rest))
 
 
@@ -322,19 +325,20 @@ def document_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     num, den = threshold
     parts = partitions(spark)
-    rows = only(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("ref"), F.col("text").cast("string"))
-    runs = rows.mapInArrow(_shingle_runs(width, parts), _RUNS)
-    shared = runs.groupBy("part").applyInArrow(_share(parts), _RUNS)
-    table = stored(shared.groupBy("part").applyInArrow(_order(num, den), _SETS), "sets")
-    owned = table.where("kind = 0").select("doc_id", "ref", "key", "n")
-    sets = table.where("kind = 1").drop("kind", "doc_id", "ref")
-
-    linked = link_classes(sets, num, den).withColumnRenamed("node", "key")
-    least = stored(owned.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("least")), "least")
-    members = stored(linked.join(least, "key"), "members")
-    ids = stored(members.groupBy("component").agg(F.min("least").alias("id")), "ids")
-    classes = least.join(members.join(ids, "component").select("key", "component", "id"), "key", "left")
-    classes = stored(classes.select("key", F.coalesce("component", "key").alias("group"), F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("id")).alias("id")), "classes")
+    texts = only(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("ref"), F.col("text").cast("string"))
+    runs = texts.mapInArrow(_shingle_runs(width, parts), _RUNS)
+    with scratch(spark):
+        shared = runs.groupBy("part").applyInArrow(_share(parts), _RUNS)
+        table, rows = stored_rows(shared.groupBy("part").applyInArrow(_order(num, den), _SETS), "sets", keep=True)
+        owned = table.where("kind = 0").select("doc_id", "ref", "key", "n")
+        sets = table.where("kind = 1").drop("kind", "doc_id", "ref")
+
+        linked = link_classes(sets, num, den).withColumnRenamed("node", "key")
+        least = stored(owned.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("least")), "least", rows)
+        members = stored(linked.join(least, "key"), "members", rows)
+        ids = stored(members.groupBy("component").agg(F.min("least").alias("id")), "ids", rows)
+        classes = least.join(members.join(ids, "component").select("key", "component", "id"), "key", "left")
+        classes = stored(classes.select("key", F.coalesce("component", "key").alias("group"), F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("id")).alias("id")), "classes", rows, keep=True)
     found = owned.join(classes, "key", "left")
     return found.select("doc_id", "ref", F.col("n").cast("bigint").alias("n_shingles"), F.when(F.col("n") > 0, F.col("id")).otherwise(F.col("doc_id")).alias("component_id"), "group")
 
@@ -345,10 +349,31 @@ def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     The row with the smallest id stays (null last; then the smallest text hash; of rows equal in id and text any one).
     Texts without shingles all stay.
     """
-    groups = stored(document_groups(docs, id_col=id_col, text_col=text_col, **options), "groups")
+    with scratch(docs.sparkSession):
+        groups = stored(document_groups(docs, id_col=id_col, text_col=text_col, **options), "groups", keep=True)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "ref")).alias("first")
     stay = groups.where("n_shingles > 0").groupBy("group").agg(first).select(F.col("first.doc_id").alias("_stay_id"), F.col("first.ref").alias("_stay_ref"))
     kept = docs.withColumn("_ref", F.xxhash64(docs[text_col])).withColumn("_words", F.btrim(F.coalesce(docs[text_col].cast("string"), F.lit("")), F.lit(" \t\n\x0b\f\r")) != "")
     same = kept[id_col].cast("bigint").eqNullSafe(F.col("_stay_id")) & (F.col("_ref") == F.col("_stay_ref"))
     worded = kept.where("_words").join(stay, same, "left_semi").dropDuplicates([id_col, "_ref"])
     return worded.unionByName(kept.where("NOT _words")).select(*docs.columns)
+
+
+#: DuckDB SQL of the registered query, from the definition (for small tables: it compares all pairs that share a shingle)
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce("text", ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 5, 0) + 2)) AS i FROM w WHERE len(w) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), e AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)
+), r AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.other = e.a
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(other) AS component_id FROM r GROUP BY doc_id) USING (doc_id)
+"""
