@@ -25,7 +25,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedlens.llm.storage import only, stored
+from feedlens.llm.storage import only, scratch, stored
+
+#: documents and lines in a broadcast list of lost lines (about 16 bytes each); a longer list is joined by a shuffle
+MAX_BROADCAST = 1_000_000
 
 BLANKS = " \t\r\f\x0b"
 
@@ -146,7 +149,11 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     all its lines becomes empty.  ``removed_col`` names an extra column with the positions of the lost lines
     (an empty array for none).
     """
-    lost = stored(repeated_lines(docs, id_col=id_col, text_col=text_col, min_block_words=min_block_words), "lost")
+    with scratch(docs.sparkSession):
+        lost = stored(repeated_lines(docs, id_col=id_col, text_col=text_col, min_block_words=min_block_words), "lost", keep=True)
+    size = lost.agg(F.count("*") + F.coalesce(F.sum(F.size("removed")), F.lit(0))).first()[0]
+    if size <= MAX_BROADCAST:  # else the texts are shuffled to the lost lines
+        lost = F.broadcast(lost)
     lost = lost.select(F.col("key").alias("_lost_key"), F.col("removed").alias("_lost"))
     joined = docs.join(lost, F.xxhash64(docs[id_col], docs[text_col]) == F.col("_lost_key"), "left")
     kept = F.array_join(F.filter(F.split(docs[text_col].cast("string"), "\n"), lambda x, i: ~F.array_contains("_lost", i)), "\n")
