@@ -76,4 +76,10 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontamination": decontaminate.ORACLE, "op8_chat_windows": chat_format.ORACLE}
+    return {
+        "op1_warc_revisits": warc.ORACLE,
+        "op3_decontamination": decontaminate.ORACLE,
+        "op4_ngram_jaccard_join": ngram_join.ORACLE,
+        "op8_chat_windows": chat_format.ORACLE,
+        "op9_one_bit_codes": ann.ORACLE,
+    }

@@ -184,6 +184,19 @@ def followed(records: DataFrame) -> DataFrame:
     return response.unionByName(revisit)
 
 
+#: DuckDB SQL of the registered query, from the definition
+ORACLE = f"""
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+d AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first_id,
+  array_to_string(list_transform(range(0, 32), lambda k: substr('{BASE32}',
+    CAST(((CAST('0x' || substr(h, CAST(k // 4 * 5 + 1 AS INTEGER), 5) AS BIGINT) >> CAST(15 - 5 * (k % 4) AS INTEGER)) & 31) + 1 AS INTEGER), 1)), '') AS digest FROM p)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, digest AS payload_digest,
+  CASE WHEN first_id IS NULL OR page_id IS NOT DISTINCT FROM first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN first_id IS NULL OR page_id IS NOT DISTINCT FROM first_id THEN NULL ELSE first_id END AS refers_to, url
+FROM d
+"""
+
+
 def archived_pages(pages: DataFrame, **names: str) -> DataFrame:
     """Write ``pages`` as deduplicated archives to the shared folder, read them back, resolve the revisits.
 
