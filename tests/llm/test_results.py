@@ -96,10 +96,12 @@ def test_op2_held_out(spark):
 
 
 def test_op2_evidence_decides_a_short_text(spark):
-    rows = [(i, "en", "h1", "the and of with from that this " * 20) for i in range(30)] + [(100 + i, "de", "h2", "der und die das nicht von mit auf " * 20) for i in range(30)]
-    rows += [(200, None, "h1", "in an"), (201, None, "h2", "in an"), (202, "de", None, "in an"), (203, "en", None, "in an"), (204, "en", "h1", "漢字仮名交じり文" * 30)]
+    rows = [(i, "en", "h1", "the and of with from that this " * (20 + i)) for i in range(30)] + [(100 + i, "de", "h2", "der und die das nicht von mit auf " * (20 + i)) for i in range(30)]
+    rows += [(200, None, "h1", "q z"), (201, None, "h2", "q z"), (202, "de", None, "q z"), (203, "en", None, "q z"), (204, "en", "h1", "漢字仮名交じり文" * 30)]
     docs = spark.createDataFrame(rows, "doc_id long, lang string, source string, text string")
-    got = {r.doc_id: r for r in language.identify_documents(docs).collect()}
+    model = language.learn_text_model(docs.where("doc_id < 200"))
+    found = language.identify(docs, model, text=F.col("text"), declared=F.col("lang"), host=F.col("source"))
+    got = {r.doc_id: r for r in found.collect()}
     assert [got[i].language for i in (200, 201, 202, 203)] == ["en", "de", "de", "en"] and not got[204].kept
 
 
