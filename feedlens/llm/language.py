@@ -89,12 +89,16 @@ class TextModel:
 
 
 def learn_text_model(labelled: DataFrame, *, text_col: str = "text", language_col: str = "lang", sample_rows: int = 8000, min_share: float = 0.005) -> TextModel:
-    """Trigram model from at most ``sample_rows`` rows with a declared language and a text (those of smallest text hash).
+    """Trigram model from at most ``sample_rows`` distinct texts with a declared language (those of smallest hash).
 
     Languages: declared values with at least ``min_share`` of the sample.
     """
     rows = labelled.select(F.lower(F.btrim(F.col(f"`{language_col}`").cast("string"))).alias("language"), F.col(f"`{text_col}`").cast("string").alias("text")).where("text <> '' AND language <> ''")
-    sample = stored(rows.orderBy(F.xxhash64("text"), "language").limit(sample_rows), "sample")
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    # only hashes are ranked; copies of a text count once, so the texts taken are at most ``sample_rows``
+    cut = rows.select("h").distinct().orderBy("h").limit(sample_rows).agg(F.max("h")).first()[0]
+    sample = rows.where(F.col("h") <= F.lit(cut)) if cut is not None else rows.limit(0)
+    sample = stored(sample.groupBy("h").agg(F.min(F.struct("language", "text")).alias("one")).select("one.language", "one.text"), "sample")
     sizes = {r["language"]: r["n"] for r in sample.groupBy("language").agg(F.count("*").alias("n")).collect()}  # at most sample_rows
     languages = sorted(x for x, n in sizes.items() if n >= min_share * sum(sizes.values()) and x != UNKNOWN)
     counted = sample.where(F.col("language").isin(languages)).mapInArrow(_count(languages), "language int, gram int, n bigint") if languages else None
