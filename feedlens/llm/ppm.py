@@ -11,8 +11,12 @@ from, so the totals after exclusion are one number per context and scoring is ta
 * ``train``: each task counts (context, symbol) grams of the highest order and words of its
   texts and merges them before the shuffle; Spark sums them over all training texts.
   Lower orders are marginal sums.
-* The trie goes to the scoring tasks as arrays.  Its size is checked: the order used is the
-  highest, up to ``max_order``, whose grams number at most ``max_grams``.
+* The order is the same at every size.  The most frequent grams of the highest order, at most
+  ``max_grams``, travel with their code lengths; all other grams of a document go to hash buckets,
+  where they meet the training occurrences of the same contexts and escape as in the whole trie.
+* A bucket holds whole contexts: a gram goes by the shortest end of its context that is not heavy
+  (has under 1 / 4096 of the training symbols).  The symbols of heavy contexts (at most 4096 of
+  each length) travel too, so a bucket knows every context that its grams can escape to.
 * Word counts of unbounded vocabularies stay distributed: words with at least 1 / 65536 of
   all tokens (so at most 65536) travel with the model; all other words of a document go
   to hash buckets, where they meet the training occurrences of the same word.
@@ -31,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.bytetext import Words, text_blocks
+from feedlens.llm.bytetext import Words, mix, text_blocks
 from feedlens.llm.storage import only, partitions, stored
 
 #: bytes that UTF-8 never uses: the context before a text, and the symbol after it
@@ -40,6 +44,8 @@ START, END = 0xFF, 0xFE
 ALPHABET = 255
 #: words with a smaller share of the tokens stay distributed
 FREQUENT_SHARE = 1 / 65536
+#: contexts with a smaller share of the symbols are kept whole in one bucket
+HEAVY_SHARE = 1 / 4096
 BUCKETS_PER_PARTITION = 2
 
 
@@ -175,9 +181,13 @@ class Table:
 
 
 class Model:
-    """The trie as arrays per order, made from the grams of the highest order and their counts."""
+    """The trie as arrays per order, made from the grams of the highest order and their counts.
 
-    def __init__(self, key: np.ndarray, n: np.ndarray, order: int) -> None:
+    ``heavy`` has, for each lower order, contexts and all their grams and counts: these replace
+    what ``key`` and ``n``, a part of the grams, say of those contexts.
+    """
+
+    def __init__(self, key: np.ndarray, n: np.ndarray, order: int, heavy: list[tuple[np.ndarray, np.ndarray, np.ndarray]] | None = None) -> None:
         self.order = order
         self.grams: list[np.ndarray] = []
         self.counts: list[np.ndarray] = []
@@ -187,8 +197,15 @@ class Model:
             cut, c = cut[by], n[by]
             at = np.flatnonzero(np.concatenate(([True], cut[1:] != cut[:-1]))) if len(cut) else np.zeros(0, np.int64)
             key, n = cut[at], (np.add.reduceat(c, at) if len(at) else c[:0])
-            self.grams.insert(0, key)
-            self.counts.insert(0, n)
+            held, times = key, n
+            if heavy and k < order:
+                contexts, more, counts = heavy[k]
+                own = ~np.isin(key >> np.uint64(8), contexts)
+                held, times = np.concatenate((key[own], more)), np.concatenate((n[own], counts))
+                by = np.argsort(held)
+                held, times = held[by], times[by]
+            self.grams.insert(0, held)
+            self.counts.insert(0, times)
         self.prepared = False
 
     def prepare(self) -> Model:
@@ -251,22 +268,93 @@ class Model:
         return out
 
 
-def _model(counts: DataFrame, max_order: int, max_grams: int) -> Model:
-    """The trie of the highest order whose grams number at most ``max_grams``; that bounds what the driver holds."""
-    top = counts.where("kind = 0")
-    order = max_order
-    while order > 1:
-        mask = (1 << (8 * (order + 1))) - 1
-        cut = top.groupBy(F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(F.sum("n").alias("n"))
-        if cut.count() <= max_grams:
+def _ends(contexts: np.ndarray, length: int) -> np.ndarray:
+    """The last ``length`` bytes of each context."""
+    return contexts & np.uint64((1 << (8 * length)) - 1)
+
+
+class Spread:
+    """What travels of a trie whose grams are spread over buckets: frequent grams and the symbols of heavy contexts."""
+
+    def __init__(self, order: int, parts: int, heavy: list[tuple[np.ndarray, np.ndarray]], frequent: tuple[np.ndarray, np.ndarray, np.ndarray]) -> None:
+        self.order, self.parts = order, parts
+        self.heavy = heavy  # per order below the highest: grams sorted, counts
+        self.contexts = [np.unique(g >> np.uint64(8)) for g, _ in heavy]
+        key, n, total = frequent
+        part = self.part(key)
+        by = np.argsort(part, kind="stable")
+        self.key, self.n, self.logs = key[by], n[by], np.log10((2 * n - 1) / (2 * total))[by]
+        self.bounds = np.searchsorted(part[by], np.arange(parts + 1))
+
+    def prepare(self) -> Spread:
+        """The look-up table of the frequent grams (made once by each Python worker)."""
+        if not hasattr(self, "table"):
+            self.table = Table(self.key)
+        return self
+
+    def part(self, key: np.ndarray) -> np.ndarray:
+        """The bucket of each gram: that of the shortest end of its context that is not heavy."""
+        context = key >> np.uint64(8)
+        length = np.ones(len(key), np.uint64)
+        left = np.arange(len(key))
+        for k in range(1, self.order):
+            left = left[np.isin(_ends(context[left], k), self.contexts[k])]
+            length[left] = k + 1
+        end = context & ((np.uint64(1) << (np.uint64(8) * length)) - np.uint64(1))
+        return _bucket(mix(end + mix(length)), self.parts)
+
+    def model(self, part: int, key: np.ndarray, n: np.ndarray, wanted: np.ndarray) -> Model:
+        """The trie of one bucket, whose other trained grams are ``key``: exact for the grams ``wanted``."""
+        a, b = self.bounds[part : part + 2]
+        key, n = np.concatenate((self.key[a:b], key)), np.concatenate((self.n[a:b], n))
+        context = np.unique(np.concatenate((key, wanted)) >> np.uint64(8))
+        heavy = []
+        for k, (grams_, counts) in enumerate(self.heavy):
+            here = np.intersect1d(_ends(context, k), self.contexts[k])
+            at = np.isin(grams_ >> np.uint64(8), here)
+            heavy.append((here, grams_[at], counts[at]))
+        return Model(key, n, self.order, heavy).prepare()
+
+
+def _spread(counts: DataFrame, order: int, max_grams: int, parts: int) -> Spread:
+    """At most ``max_grams`` grams and 4096 contexts of each length reach the driver, whatever the size of the trie."""
+    spark = counts.sparkSession
+    top = counts.where("kind = 0").select("gram", "n")
+
+    def low(bytes_: int) -> Column:
+        return F.col("gram").bitwiseAND(F.lit((1 << (8 * bytes_)) - 1))
+
+    total = top.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    ends = [F.struct(F.lit(k).alias("k"), F.shiftrightunsigned(low(k + 1), 8).alias("context"), low(k + 1).alias("gram")) for k in range(order)]
+    each = top.select(F.explode(F.array(*ends)).alias("e"), "n").select("e.k", "e.context", "e.gram", "n")
+    contexts = each.groupBy("k", "context").agg(F.sum("n").alias("n")).where((F.col("n") >= total * HEAVY_SHARE) | (F.col("k") == 0)).select("k", "context").collect()
+    heavy = spark.createDataFrame([(r["k"], r["context"]) for r in contexts], "k int, context bigint")
+    held = each.join(F.broadcast(heavy), ["k", "context"], "left_semi").groupBy("k", "gram").agg(F.sum("n").alias("n")).toArrow()
+    k, gram, n = held["k"].to_numpy(), held["gram"].to_numpy().view(np.uint64), held["n"].to_numpy()
+    per_order = []
+    for i in range(order):
+        at = np.flatnonzero(k == i)
+        at = at[np.argsort(gram[at])]
+        per_order.append((gram[at], n[at]))
+    # counts up to 1024 each, then 64 levels for each power of two: the lowest level from which on all grams travel
+    level = (F.least("n", F.lit(1024)) + F.floor(F.log2(F.greatest("n", F.lit(1024)).cast("double")) * 64)).cast("bigint")
+    sizes = sorted(((r["level"], r["grams"]) for r in top.groupBy(level.alias("level")).agg(F.count("*").alias("grams")).collect()), reverse=True)
+    least, room = None, max_grams
+    for at, grams_ in sizes:
+        room -= grams_
+        if room < 0:
             break
-        order -= 1
-    mask = (1 << (8 * (order + 1))) - 1
-    table = top.groupBy(F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(F.sum("n").alias("n")).toArrow()
-    return Model(table["gram"].to_numpy().view(np.uint64), table["n"].to_numpy(), order)
+        least = at
+    if least is None:
+        frequent = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+    else:
+        often = F.collect_list(F.when(level >= least, F.struct("gram", "n")))
+        found = top.groupBy(F.shiftrightunsigned("gram", 8).alias("context")).agg(F.sum("n").alias("total"), often.alias("often"))
+        found = found.select("total", F.explode("often").alias("g")).select("g.gram", "g.n", "total").toArrow()
+        frequent = (found["gram"].to_numpy().view(np.uint64), found["n"].to_numpy(), found["total"].to_numpy())
+    return Spread(order, parts, per_order, frequent)
 
 
-_MODELS: dict[str, Model] = {}
 _RUNS = "part int, key array<bigint>, docs array<bigint>, held array<boolean>, ints array<bigint>, sums array<double>, blob binary"
 _RUNS_ARROW = pa.schema([("part", pa.int32()), ("key", pa.list_(pa.int64())), ("docs", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())), ("ints", pa.list_(pa.int64())), ("sums", pa.list_(pa.float64())), ("blob", pa.binary())])
 
@@ -280,22 +368,34 @@ def _bucket(h: np.ndarray, n: int) -> np.ndarray:
     return (((h >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)).astype(np.int64)
 
 
+def _per_text(values: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct values of each text, with their text and how often they stand in it."""
+    order = np.argsort(values)
+    order = order[np.argsort(owner[order].astype(np.uint16), kind="stable")]
+    values, owner = values[order], owner[order]
+    at = np.flatnonzero(np.concatenate(([True], (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])))) if len(values) else np.zeros(0, np.int64)
+    return values[at], owner[at], np.diff(np.concatenate((at, [len(values)])))
+
+
 def _score(shared, parts: int):
-    """Of each text: its score and the frequent words' share of the base score; its other words go to buckets."""
+    """Of each text: what its frequent grams and words add to its scores; its other words and grams go to buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, frequent, logs = shared.value
-        model.prepare()
+        spread, frequent, logs = shared.value
+        spread.prepare()
         frequent = Table(frequent)
         held_words: list[tuple] = []
+        held_grams: list[tuple] = []
         heads: list[tuple] = []
         n_held = 0
 
         def flush() -> pa.RecordBatch:
             rows: list[tuple] = []
-            if held_words:
-                key, h, tf, test = (np.concatenate(x) for x in zip(*held_words, strict=True))
-                part = _bucket(h, parts)
+            for held, base in ((held_words, 0), (held_grams, 2 * parts)):
+                if not held:
+                    continue
+                key, h, tf, test = (np.concatenate(x) for x in zip(*held, strict=True))
+                part = spread.part(h) if base else _bucket(h, parts)
                 order = np.argsort(part.astype(np.uint16) if parts < 65536 else part, kind="stable")
                 bounds = np.searchsorted(part[order], np.arange(parts + 1))
                 for p in range(parts):
@@ -304,7 +404,7 @@ def _score(shared, parts: int):
                         k = key[at]
                         first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
                         size = np.diff(np.concatenate((first, [len(k)])))
-                        rows.append((p, k[first].view(np.int64), None, test[at][first], size, None, h[at].tobytes() + tf[at].astype("<u4").tobytes()))
+                        rows.append((base + p, k[first].view(np.int64), None, test[at][first], size, None, h[at].tobytes() + tf[at].astype("<u4").tobytes()))
             if heads:
                 key, docs, test, ints, sums = (list(x) for x in zip(*heads, strict=True))
                 part = _bucket(np.array(key, np.int64).view(np.uint64), parts)
@@ -312,6 +412,7 @@ def _score(shared, parts: int):
                     at = np.flatnonzero(part == p)
                     rows.append((parts + int(p), [key[i] for i in at], [docs[i] for i in at], [test[i] for i in at], [x for i in at for x in ints[i]], [x for i in at for x in sums[i]], None))
             held_words.clear()
+            held_grams.clear()
             heads.clear()
             return _rows(rows)
 
@@ -322,24 +423,25 @@ def _score(shared, parts: int):
             for first, data, offsets in text_blocks(batch.column(3)):
                 words = Words(data, offsets)
                 n = words.n_docs
-                stream, doc = normalised(words, model.order)
-                real = doc >= 0
-                score = np.bincount(doc[real], weights=model.log10(grams(stream, model.order)[real]), minlength=n)
+                own = keys[first : first + n]
+                stream, doc = normalised(words, spread.order)
+                gram, of = grams(stream, spread.order)[doc >= 0], doc[doc >= 0]
+                at = spread.table.find(gram)
+                often = at >= 0
+                score = np.bincount(of[often], weights=spread.logs[at[often]], minlength=n)
+                rare, owner, tf = _per_text(gram[~often], of[~often])
+                if len(rare):
+                    held_grams.append((own[owner].view(np.uint64), rare, tf, tests[first : first + n][owner]))
+                    n_held += len(rare)
                 h = words.hashes()
                 at = frequent.find(h)
                 often = at >= 0
                 known = np.bincount(words.doc[often], minlength=n)
                 base = np.bincount(words.doc[often], weights=logs[at[often]], minlength=n)
-                rare, owner = h[~often], words.doc[~often]
-                order = np.argsort(rare)
-                order = order[np.argsort(owner[order].astype(np.uint16), kind="stable")]
-                rare, owner = rare[order], owner[order]
-                at = np.flatnonzero(np.concatenate(([True], (rare[1:] != rare[:-1]) | (owner[1:] != owner[:-1])))) if len(rare) else np.zeros(0, np.int64)
-                tf = np.diff(np.concatenate((at, [len(rare)])))
-                own = keys[first : first + n]
-                if len(at):
-                    held_words.append((own[owner[at]].view(np.uint64), rare[at], tf, tests[first : first + n][owner[at]]))
-                    n_held += len(at)
+                rare, owner, tf = _per_text(h[~often], words.doc[~often])
+                if len(rare):
+                    held_words.append((own[owner].view(np.uint64), rare, tf, tests[first : first + n][owner]))
+                    n_held += len(rare)
                 for d in range(n):
                     heads.append((int(own[d]), docs[first + d], bool(tests[first + d]), (int(words.counts[d]) + 1, int(known[d])), (float(base[d]), float(score[d]))))
                 if n_held >= 1_000_000 or len(heads) >= 100_000:
@@ -350,12 +452,12 @@ def _score(shared, parts: int):
     return run
 
 
-def _look_up(parts: int):
-    """Of one bucket of words: what they add to the texts that hold them, sent on by text."""
+def _look_up(shared, parts: int):
+    """Of one bucket of words or grams: what they add to the texts that hold them, sent on by text."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         part = key[0].as_py()
-        if part >= parts:
+        if parts <= part < 2 * parts:
             return table.set_column(0, "part", pa.array(np.full(len(table), part - parts, np.int32)))
         owners, tests, hs, tfs = [], [], [], []
         for k, test, size, blob in zip(*(table[c].to_pylist() for c in ("key", "held", "ints", "blob")), strict=True):
@@ -365,12 +467,18 @@ def _look_up(parts: int):
             hs.append(np.frombuffer(blob, "<u8", m))
             tfs.append(np.frombuffer(blob, "<u4", m, 8 * m))
         owner, test, h, tf = (np.concatenate(x) for x in (owners, tests, hs, tfs))
-        _, word = np.unique(h, return_inverse=True)
-        c = np.bincount(word, weights=np.where(test, 0, tf))[word]
+        kinds, word = np.unique(h, return_inverse=True)
+        c = np.bincount(word, weights=np.where(test, 0, tf))
         text, at = np.unique(owner, return_inverse=True)
+        to = _bucket(text.view(np.uint64), parts)
+        if part >= 2 * parts:
+            seen, c = c > 0, c.astype(np.int64)
+            logs = shared.value[0].model(part - 2 * parts, kinds[seen], c[seen], kinds).log10(kinds)
+            score = np.bincount(at, weights=tf * logs[word])
+            return pa.Table.from_batches([_rows([(int(p), text[to == p], None, None, None, score[to == p], None) for p in np.unique(to)])])
+        c = c[word]
         known = np.bincount(at, weights=np.where(c > 0, tf, 0)).astype(np.int64)
         base = np.bincount(at, weights=tf * np.log10(c + 1))
-        to = _bucket(text.view(np.uint64), parts)
         return pa.Table.from_batches([_rows([(int(p), text[to == p], None, None, known[to == p], base[to == p], None) for p in np.unique(to)])])
 
     return run
@@ -380,24 +488,26 @@ _SCORES = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, bas
 
 
 def _gather(key: tuple, table: pa.Table) -> pa.Table:
-    """Of one bucket of texts: heads with what the word buckets add."""
-    heads, texts, known, base = [], [], [], []
+    """Of one bucket of texts: heads with what the word and gram buckets add."""
+    heads, of_words, of_grams = [], [], []
     for k, docs, test, ints, sums in zip(*(table[c].to_pylist() for c in ("key", "docs", "held", "ints", "sums")), strict=True):
         if docs is not None:
             heads += zip(k, docs, test, ints[::2], ints[1::2], sums[::2], sums[1::2], strict=True)
+        elif ints is not None:
+            of_words.append((np.array(k, np.int64), np.array(ints, np.int64), np.array(sums)))
         else:
-            texts.append(np.array(k, np.int64))
-            known.append(np.array(ints, np.int64))
-            base.append(np.array(sums))
+            of_grams.append((np.array(k, np.int64), np.array(sums)))
     order = np.argsort(np.array([r[0] for r in heads], np.int64), kind="stable")
-    head_key = np.array([r[0] for r in heads], np.int64)
-    more_known, more_base = np.zeros(len(heads)), np.zeros(len(heads))
-    if texts:
-        text, at, copies = np.unique(head_key, return_inverse=True, return_counts=True)
-        place = np.searchsorted(text, np.concatenate(texts))
-        # rows equal in id and text share a key: each added the same
-        more_known = (np.bincount(place, weights=np.concatenate(known), minlength=len(text)) / copies)[at]
-        more_base = (np.bincount(place, weights=np.concatenate(base), minlength=len(text)) / copies)[at]
+    # rows equal in id and text share a key: each added the same
+    text, at, copies = np.unique(np.array([r[0] for r in heads], np.int64), return_inverse=True, return_counts=True)
+
+    def added(parts: list[tuple], value: int) -> np.ndarray:
+        if not parts:
+            return np.zeros(len(heads))
+        place = np.searchsorted(text, np.concatenate([x[0] for x in parts]))
+        return (np.bincount(place, weights=np.concatenate([x[value] for x in parts]), minlength=len(text)) / copies)[at]
+
+    more_known, more_base, more_score = added(of_words, 1), added(of_words, 2), added(of_grams, 1)
     cols = list(zip(*[heads[i] for i in order], strict=True))
     return pa.table(
         {
@@ -406,7 +516,7 @@ def _gather(key: tuple, table: pa.Table) -> pa.Table:
             "n_tokens": pa.array(cols[3], pa.int64()),
             "n_known": pa.array(np.array(cols[4]) + np.rint(more_known[order]).astype(np.int64)),
             "base_sum": pa.array(np.array(cols[5]) + more_base[order]),
-            "score": pa.array(cols[6], pa.float64()),
+            "score": pa.array(np.array(cols[6]) + more_score[order]),
         }
     )
 
@@ -418,7 +528,8 @@ def score_documents(docs: DataFrame, held_out: Column, *, id_col: str = "doc_id"
     Tokens: words (runs of anything but ASCII white space, A-Z in lower case), then one end.
     ``base_score``: sum over tokens of log10((c + 1) / (N + V + 1)) with c the token's count, N
     all, V distinct tokens in training; ``n_known``: tokens with c > 0.  ``score``: log10 of the
-    model's probability of the normalised text and its end.
+    model's probability of the normalised text and its end, by contexts of up to ``max_order`` bytes;
+    ``max_grams`` bounds what travels and does not change it.
 
     Null and empty texts are the end alone.  Repeated rows are scored, and trained on, each on
     its own; a null id is kept.  Without training rows every symbol has probability 1 / 255.
@@ -435,9 +546,9 @@ def score_documents(docs: DataFrame, held_out: Column, *, id_col: str = "doc_id"
     v = totals.get(1, (0, 0))[1] + (texts > 0)
     frequent = counts.where((F.col("kind") == 1) & (F.col("n") >= max(1.0, n * FREQUENT_SHARE))).select("gram", "n").toArrow()  # at most 65536 words
     words, often = frequent["gram"].to_numpy().view(np.uint64), frequent["n"].to_numpy()
-    shared = spark.sparkContext.broadcast((_model(counts, max_order, max_grams), words, np.log10(often + 1.0)))
+    shared = spark.sparkContext.broadcast((_spread(counts, max_order, max_grams, parts), words, np.log10(often + 1.0)))
     runs = rows.select(F.xxhash64("doc_id", "text").alias("key"), "doc_id", "test", "text").mapInArrow(_score(shared, parts), _RUNS)
-    found = runs.groupBy("part").applyInArrow(_look_up(parts), _RUNS).groupBy("part").applyInArrow(_gather, _SCORES)
+    found = runs.groupBy("part").applyInArrow(_look_up(shared, parts), _RUNS).groupBy("part").applyInArrow(_gather, _SCORES)
     each = math.log10(n + v + 1)
     return found.select(
         "doc_id",

@@ -231,6 +231,21 @@ def test_op7_brute_force(spark):
         assert g.score == pytest.approx(log10(r["text"]), rel=1e-9)
 
 
+def test_op7_order_is_kept_however_many_grams(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    docs = docs.union(docs.where("doc_id < 9"))  # copies
+    held_out = F.col("doc_id") % 7 == 2
+
+    def scores(**options):
+        return sorted((r.doc_id, r.held_out, r.score) for r in ppm.score_documents(docs, held_out, **options).collect())
+
+    want = scores()
+    for max_grams in (0, 300):
+        got = scores(max_grams=max_grams)
+        assert [r[:2] for r in got] == [r[:2] for r in want]
+        assert [r[2] for r in got] == pytest.approx([r[2] for r in want], rel=1e-9)
+
+
 def test_op7_adaptive():
     assert ppm.adaptive_code_length("") == pytest.approx(math.log2(255))
     assert ppm.adaptive_code_length("abcabcabc" * 20) < 0.2 * ppm.adaptive_code_length("".join(chr(33 + (i * i * 7 + i) % 90) for i in range(180)))
