@@ -1,15 +1,20 @@
 """Line deduplication by pairwise alignment of overlapping documents.
 
+A line is deleted if it lies in a block of at least ``min_block_words`` words, consecutive lines
+of its document, that an earlier document holds as consecutive lines, anywhere and in any order.
+
 1. Every non-blank line becomes a (document, line number, hash, words) row; one partial
-   aggregate per hash keeps the lines held by several documents and their first holder.
-2. A document's lines that an earlier document holds form runs.  Only runs of at least
-   ``min_block_words`` words can hold a block to delete, so short repeated lines that stand
-   alone (a licence, a menu) lead to nothing, however frequent they are.
-3. Each such document is paired with the first holders of its lines: as many pairs as
-   shared lines at most, never all pairs of the documents that share one.
+   aggregate per hash keeps the lines held by several documents.
+2. A document's shared lines form runs.  Only runs of at least ``min_block_words`` words
+   can hold a block to delete, so short repeated lines that stand alone (a licence, a menu)
+   lead to nothing, however frequent they are.
+3. The least blocks of a run (``min_block_words`` reached, but not without the first or not
+   without the last line) cover all blocks it holds.  Each document is paired with the first
+   holder of each of its least blocks: never all pairs of the documents that share one.
 4. Each pair's whole line sequences are aligned by patience diff (lines unique on both sides,
    longest increasing subsequence, then the gaps between anchors).  Runs of aligned lines
-   of at least ``min_block_words`` words are deleted from the later document.
+   of at least ``min_block_words`` words are deleted from the later document.  Where shared
+   lines are left (repeated or moved blocks), their least blocks are looked up in the other side.
 
 A line deleted somewhere is held by an earlier document, and its first holder never
 loses it, so every distinct line stays in at least one document.
@@ -21,10 +26,12 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedlens.llm.bytetext import mix
 from feedlens.llm.storage import only, scratch, stored
 
 #: documents and lines in a broadcast list of lost lines (about 16 bytes each); a longer list is joined by a shuffle
@@ -77,7 +84,7 @@ def align(a: list[int], b: list[int]) -> list[tuple[int, int]]:
 
 
 def common_blocks(a: list[int], b: list[int], words: list[int], least: int) -> list[tuple[int, int]]:
-    """(first, last) positions in ``b`` of the aligned runs holding at least ``least`` words."""
+    """(first, last) positions in ``b`` of blocks of at least ``least`` words that ``a`` holds; together all such lines."""
     blocks, start = [], 0
     pairs = align(a, b)
     for k in range(1, len(pairs) + 1):
@@ -86,7 +93,76 @@ def common_blocks(a: list[int], b: list[int], words: list[int], least: int) -> l
             if sum(words[first : last + 1]) >= least:
                 blocks.append((first, last))
             start = k
-    return blocks
+    return blocks + _left_blocks(a, b, words, least, blocks)
+
+
+def _left_blocks(a: list[int], b: list[int], words: list[int], least: int, blocks: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The least blocks of ``b`` that ``a`` holds and that reach out of ``blocks``."""
+    left = np.ones(len(b) + 1, np.int64)
+    for first, last in blocks:
+        left[first : last + 1] = 0
+    left = np.cumsum(left) - left  # lines before each that no block has
+    in_a, wanted = set(a), []
+    for lo, hi in _runs([x in in_a for x in b]):
+        if left[hi] > left[lo]:
+            firsts, lasts = least_blocks(words[lo:hi], least)
+            wanted += [(lo + i, lo + j) for i, j in zip(firsts.tolist(), lasts.tolist(), strict=True) if left[lo + j + 1] > left[lo + i]]
+    if not wanted:
+        return []
+    size = {x: n for first, last in wanted for x, n in zip(b[first : last + 1], words[first : last + 1], strict=True)}
+    held = set()
+    for lo, hi in _runs([x in size for x in a]):
+        firsts, lasts = least_blocks([size[x] for x in a[lo:hi]], least)
+        held.update(tuple(a[lo + i : lo + j + 1]) for i, j in zip(firsts.tolist(), lasts.tolist(), strict=True))
+    return [(first, last) for first, last in wanted if tuple(b[first : last + 1]) in held]
+
+
+def _runs(flags: list[bool]) -> list[tuple[int, int]]:
+    """(start, end) of the runs of true flags."""
+    edges = np.flatnonzero(np.diff(np.concatenate(([0], np.array(flags, np.int8), [0]))))
+    return list(zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True))
+
+
+def least_blocks(words: list[int], least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first, last) of the blocks of ``least`` words that have fewer without their first or without their last line.
+
+    Every line of a run of ``least`` words is in one of them that lies in the run.
+    """
+    n, least = len(words), max(1, least)
+    total = np.concatenate(([0], np.cumsum(np.array(words, np.int64))))
+    first, last = np.arange(n), np.searchsorted(total, total[:-1] + least) - 1
+    first, last = first[last < n], last[last < n]
+    end, start = np.arange(n), np.searchsorted(total, total[1:] - least, side="right") - 1
+    end, start = end[start >= 0], start[start >= 0]
+    both = np.unique(np.concatenate((first * (n + 1) + last, start * (n + 1) + end)))
+    return both // (n + 1), both % (n + 1)
+
+
+def _block_hashes(h: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Hash of the lines of each block (order matters)."""
+    width = last - first + 1
+    out, factor = width.astype(np.uint64), np.ones(1, np.uint64)
+    for k in range(int(width.max(initial=0))):
+        factor = factor * np.uint64(0x9E3779B97F4A7C15)
+        at = width > k
+        out[at] += mix(h[first[at] + k]) * factor
+    return mix(out)
+
+
+_BLOCKS_ARROW = pa.schema([("last", pa.bool_()), ("id", pa.int64()), ("key", pa.int64()), ("block", pa.int64())])
+
+
+def _least(least: int):
+    """Of each run of shared lines: its least blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for last, id_, key, h, words in zip(*(batch[c].to_pylist() for c in ("last", "id", "key", "h", "words")), strict=True):
+                found = np.unique(_block_hashes(np.array(h, np.int64).view(np.uint64), *least_blocks(words, least)))
+                n = len(found)
+                yield pa.RecordBatch.from_arrays([pa.array([last] * n, pa.bool_()), pa.array([id_] * n, pa.int64()), pa.array([key] * n, pa.int64()), pa.array(found.view(np.int64))], schema=_BLOCKS_ARROW)
+
+    return run
 
 
 def _aligned(least: int):
@@ -124,14 +200,18 @@ def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     Null and empty texts, and empty tables, have no lines.
     """
     lines = stored(_lines(docs, id_col, text_col), "lines")
-    held = lines.groupBy("h").agg(F.min("age").alias("first"), F.max("age").alias("final")).where("first <> final").select("h", "first")
-    held = stored(held, "held")
-    later = lines.join(held, "h").where("age <> first").select(F.col("age.key").alias("key"), "line", "words", F.col("first.key").alias("holder"))
-    # gaps and islands: runs of lines that earlier documents hold
-    later = later.repartition("key").dropDuplicates(["key", "line"])
+    held = lines.groupBy("h").agg(F.min("age").alias("first"), F.max("age").alias("final")).where("first <> final").select("h")
+    shared = lines.join(stored(held, "held"), "h", "left_semi").select(F.col("age.key").alias("key"), "age", "line", "h", "words")
+    # gaps and islands: runs of lines that several documents hold
+    shared = shared.repartition("key").dropDuplicates(["key", "line"])
     run = F.col("line") - F.row_number().over(Window.partitionBy("key").orderBy("line"))
-    later = later.withColumn("run", run).withColumn("run_words", F.sum("words").over(Window.partitionBy("key", "run")))
-    pairs = stored(later.where(F.col("run_words") >= min_block_words).select("key", "holder").distinct(), "pairs")
+    shared = shared.withColumn("run", run).withColumn("run_words", F.sum("words").over(Window.partitionBy("key", "run"))).where(F.col("run_words") >= min_block_words)
+    runs = shared.groupBy("key", "run").agg(F.min("age").alias("age"), F.sort_array(F.collect_list(F.struct("line", "h", "words"))).alias("s"))
+    runs = runs.select("age.last", "age.id", "key", F.col("s.h").alias("h"), F.col("s.words").alias("words"))
+    blocks = stored(runs.mapInArrow(_least(min_block_words), "last boolean, id bigint, key bigint, block bigint"), "blocks")
+    age = F.struct("last", "id", "key")
+    holders = blocks.groupBy("block").agg(F.min(age).alias("first"), F.max(age).alias("final")).where("first <> final").select("block", F.col("first.key").alias("holder"))
+    pairs = stored(blocks.select("key", "block").join(stored(holders, "holders"), "block").where("key <> holder").select("key", "holder").distinct(), "pairs")
     needed = pairs.select(F.explode(F.array("key", "holder")).alias("key")).distinct()
     whole = lines.select(F.col("age.key").alias("key"), "line", "pos", "h", "words").join(stored(needed, "needed"), "key", "left_semi")
     parts = whole.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("line", "pos", "h", "words"))).alias("s"))

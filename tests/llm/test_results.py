@@ -295,6 +295,37 @@ def test_op10_alignment(a, b):
         assert len(pairs) == len(a)
 
 
+def shared_blocks(a, b, sizes, least):
+    """Lines of ``b`` in any run of ``least`` words that is a run of ``a`` too, by trying all runs."""
+    runs = {tuple(a[i:j]) for i in range(len(a)) for j in range(i + 1, len(a) + 1)}
+    found = set()
+    for i in range(len(b)):
+        for j in range(i + 1, len(b) + 1):
+            if tuple(b[i:j]) in runs and sum(sizes[x] for x in b[i:j]) >= least:
+                found |= set(range(i, j))
+    return found
+
+
+def test_op10_repeated_and_moved_blocks(spark):
+    rng = random.Random(5)
+    sizes = [3, 31, 8, 14, 20, 11, 16, 2, 9, 40, 13, 17]
+    line = [" ".join(f"w{k}" for _ in range(n)) for k, n in enumerate(sizes)]
+    p, q = [4, 6, 2], [3, 5, 10]
+    docs = [[0, *p, 7, *p, 8], [11, *p, 1], [0, *p], [*q, 0, *p], [*p, 7, *q], [8, *p, 0, *p, 11, *q, *q]]
+    docs += [[rng.randrange(len(sizes)) for _ in range(rng.randrange(14))] for _ in range(40)]
+    docs += [[100 + i, *docs[rng.randrange(len(docs))][:9], *docs[rng.randrange(len(docs))][3:]] for i in range(20)]  # a line of their own, then parts of others
+    sizes = dict(enumerate(sizes)) | {100 + i: 2 for i in range(20)}
+    texts = [(i, "\n".join(line[k] if k < 100 else f"own {k}" for k in d)) for i, d in enumerate(docs)]
+    for b in range(len(docs)):
+        for a in range(b):
+            got = {k for lo, hi in line_dedup.common_blocks(docs[a], docs[b], [sizes[x] for x in docs[b]], 30) for k in range(lo, hi + 1)}
+            assert got == shared_blocks(docs[a], docs[b], sizes, 30)
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    found = {r.doc_id: r.gone for r in line_dedup.remove_repeats(frame, removed_col="gone").collect()}
+    for b in range(len(docs)):
+        assert found[b] == sorted(set().union(*(shared_blocks(docs[a], docs[b], sizes, 30) for a in range(b))))
+
+
 def test_pipeline(spark):
     """The stages by their definitions, one after another, in plain Python."""
     from feedlens.llm.storage import stored
