@@ -1,7 +1,7 @@
 """Language identification by Bayesian fusion of evidence.
 
-Text: byte-trigram likelihoods of each language, learned from a bounded sample of rows with
-a declared language, and of a uniform background (``und``) for what is no language at all.  As
+Text: byte-trigram likelihoods of each language, learned from a bounded sample of each
+declared language, and of a uniform background (``und``) for what is no language at all.  As
 neighbouring trigrams are not independent, a text counts as at most ``max_trigrams`` of them.
 
 Declared language (markup), address suffix and host are evidence whose worth is measured on
@@ -25,6 +25,10 @@ from feedlens.llm.bytetext import text_blocks
 from feedlens.llm.storage import stored
 
 UNKNOWN = "und"
+#: rows that are enough for a language of its own, whatever their share
+ENOUGH_ROWS = 40
+#: distinct texts that a language's sample may have at least
+LEAST_SAMPLE = 500
 #: letters and blank as small codes; every other ASCII byte is a blank
 _CODE = np.zeros(256, dtype=np.int64)
 _CODE[97:123] = _CODE[65:91] = np.arange(1, 27)
@@ -89,19 +93,33 @@ class TextModel:
 
 
 def learn_text_model(labelled: DataFrame, *, text_col: str = "text", language_col: str = "lang", sample_rows: int = 8000, min_share: float = 0.005) -> TextModel:
-    """Trigram model from at most ``sample_rows`` distinct texts with a declared language (those of smallest hash).
+    """Trigram model from distinct texts with a declared language: of each language those of smallest hash.
 
-    Languages: declared values with at least ``min_share`` of the sample.
+    Languages: declared values with at least ``min_share`` of all such rows, or ``ENOUGH_ROWS``
+    of them.  Each has a sample of its own, of ``sample_rows`` divided by the languages, but at least
+    ``LEAST_SAMPLE`` texts.
     """
     rows = labelled.select(F.lower(F.btrim(F.col(f"`{language_col}`").cast("string"))).alias("language"), F.col(f"`{text_col}`").cast("string").alias("text")).where("text <> '' AND language <> ''")
     rows = rows.withColumn("h", F.xxhash64("text"))
-    # only hashes are ranked; copies of a text count once, so the texts taken are at most ``sample_rows``
-    cut = rows.select("h").distinct().orderBy("h").limit(sample_rows).agg(F.max("h")).first()[0]
-    sample = rows.where(F.col("h") <= F.lit(cut)) if cut is not None else rows.limit(0)
-    sample = stored(sample.groupBy("h").agg(F.min(F.struct("language", "text")).alias("one")).select("one.language", "one.text"), "sample")
-    sizes = {r["language"]: r["n"] for r in sample.groupBy("language").agg(F.count("*").alias("n")).collect()}  # at most sample_rows
-    languages = sorted(x for x, n in sizes.items() if n >= min_share * sum(sizes.values()) and x != UNKNOWN)
-    counted = sample.where(F.col("language").isin(languages)).mapInArrow(_count(languages), "language int, gram int, n bigint") if languages else None
+    declared = stored(rows.groupBy("language").agg(F.count("*").alias("n"), F.approx_count_distinct("h").alias("texts")), "declared")
+    total = declared.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    sizes = {r["language"]: r["texts"] for r in declared.where((F.col("n") >= min(min_share * total, ENOUGH_ROWS)) & (F.col("language") != UNKNOWN)).collect()}
+    languages = sorted(sizes)
+    each = max(LEAST_SAMPLE, sample_rows // max(1, len(languages)))
+
+    def under(frame: DataFrame, cuts: dict[str, int]) -> DataFrame:
+        cut = labelled.sparkSession.createDataFrame(list(cuts.items()), "language string, cut bigint")
+        return frame.join(F.broadcast(cut), "language").where("h <= cut").drop("cut")
+
+    # about twice the texts wanted, from the numbers of texts; then exactly those of smallest hash
+    near = under(rows, {x: min((1 << 63) - 1, (2 * each << 64) // max(1, n) - (1 << 63)) for x, n in sizes.items()})
+    near = stored(near.groupBy("language", "h").agg(F.min("text").alias("text")), "near")
+    ranked: dict[str, list[int]] = {}
+    held = near.select("language", "h").toArrow()  # bounded by the samples
+    for x, h in zip(held["language"].to_pylist(), held["h"].to_pylist(), strict=True):
+        ranked.setdefault(x, []).append(h)
+    sample = under(near, {x: sorted(h)[:each][-1] for x, h in ranked.items()})
+    counted = sample.select("language", "text").mapInArrow(_count(languages), "language int, gram int, n bigint") if languages else None
     empty = pa.table({"language": pa.array([], pa.int32()), "gram": pa.array([], pa.int32()), "n": pa.array([], pa.int64())})
     counts = counted.groupBy("language", "gram").agg(F.sum("n").alias("n")).toArrow() if languages else empty  # bounded by the sample
     return TextModel(languages, counts)
@@ -155,7 +173,8 @@ def identify(
     ``language`` has the largest posterior (ties: the first by name), ``confidence`` is that posterior,
     ``text_language`` goes by the text alone.  A document is rejected (kept = false) if it has no
     trigram of letters (null, empty, digits only), if the background explains it best, or if the
-    confidence is under ``min_confidence``.  Absent or null evidence says nothing; a null or
+    confidence is under ``min_confidence``.  The last two never reject a document whose declared
+    language is not in the model (too few rows to learn from): it keeps the declared one.  Absent or null evidence says nothing; a null or
     unseen host has its domain's, else the global prior.  Repeated rows are judged each, and each
     counts for its host.  A model without languages rejects everything; an empty table gives no rows.
     """
@@ -216,7 +235,7 @@ def identify(
             if evidence[value] is not None:
                 x = x + F.coalesce(F.col(f"{value}_{i}"), F.lit(0.0))
         logs.append(x.alias(f"p_{i}"))
-    scored = scored.select(*named, "text_key", "n_trigrams", *share, F.col(f"t_{m}"), *logs)
+    scored = scored.select("_declared", *named, "text_key", "n_trigrams", *share, F.col(f"t_{m}"), *logs)
     best = F.greatest(*[F.col(f"p_{i}") for i in range(m)]) if m > 1 else F.col("p_0")
     mass = sum((F.exp(F.col(f"p_{i}") - best) for i in range(1, m)), F.exp(F.col("p_0") - best))
     # the background keeps the share the text gave it
@@ -229,12 +248,14 @@ def identify(
         return out
 
     text_best = F.greatest(*share) if m > 1 else share[0]
-    kept = letters & (F.col(f"t_{m}") < 0.5) & (confidence >= min_confidence)
+    sure = (F.col(f"t_{m}") < 0.5) & (confidence >= min_confidence)
+    unlearned = F.coalesce(~F.col("_declared").isin(*model.languages, UNKNOWN, ""), F.lit(False))
+    kept = letters & (sure | unlearned)
     return scored.select(
         *named,
         "text_key",
         "n_trigrams",
-        first_at([F.col(f"p_{i}") for i in range(m)], best).alias("language"),
+        F.when(letters & unlearned & ~sure, F.col("_declared")).otherwise(first_at([F.col(f"p_{i}") for i in range(m)], best)).alias("language"),
         confidence.alias("confidence"),
         F.when(letters & (F.col(f"t_{m}") < text_best), first_at(share, text_best)).otherwise(F.lit(UNKNOWN)).alias("text_language"),
         kept.alias("kept"),

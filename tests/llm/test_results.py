@@ -105,6 +105,17 @@ def test_op2_evidence_decides_a_short_text(spark):
     assert [got[i].language for i in (200, 201, 202, 203)] == ["en", "de", "de", "en"] and not got[204].kept
 
 
+def test_op2_small_languages_stay(spark):
+    rows = [(i, "en", "h", f"the and of with from that this number{i % 500} " * 4) for i in range(12_000)]
+    rows += [(20_000 + i, "ja", "h", f"漢字仮名交じり文日本語{'一二三四五六七八九十'[i % 10]}{'春夏秋冬'[i % 4]} " * 9) for i in range(41)]
+    rows += [(30_000 + i, "th", "h", "ภาษาไทยเป็นภาษาที่ใช้ในประเทศ " * (9 + i)) for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, source string, text string")
+    assert language.learn_text_model(docs).languages == ["en", "ja"]  # 41 rows of 12,045 are under 0.5 %
+    got = {r.doc_id: r for r in language.identify_documents(docs).where("doc_id >= 20000").collect()}
+    assert {(got[i].language, got[i].kept) for i in range(20_000, 20_041)} == {("ja", True)}
+    assert {(got[i].language, got[i].kept) for i in range(30_000, 30_003)} == {("th", True)}
+
+
 def test_op4_brute_force(spark):
     rows = table(MEDIUM, "documents")
     random.seed(3)
