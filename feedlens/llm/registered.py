@@ -28,7 +28,10 @@ def op1_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return language.identify_documents(_table(spark, sf_dir, "documents")).drop("text_key")
+    """Both tables, each row with its ``doc_id`` or ``page_id``; pages have markup, address suffix, domain and host as evidence."""
+    docs = language.identify_documents(_table(spark, sf_dir, "documents")).drop("text_key").withColumn("table", F.lit("documents"))
+    pages = language.identify_pages(_table(spark, sf_dir, "pages")).drop("text_key").withColumn("table", F.lit("pages"))
+    return docs.unionByName(pages, allowMissingColumns=True)
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -105,6 +105,15 @@ def test_op2_evidence_decides_a_short_text(spark):
     assert [got[i].language for i in (200, 201, 202, 203)] == ["en", "de", "de", "en"] and not got[204].kept
 
 
+def test_op2_query_covers_pages(spark):
+    found = registered.op2_language_id(spark, SMALL).collect()
+    assert sorted(r.doc_id for r in found if r.table == "documents") == sorted(r["doc_id"] for r in table(SMALL, "documents"))
+    of = {r["page_id"]: r["url"] for r in table(SMALL, "pages")}
+    got = {r.page_id: r.language for r in found if r.table == "pages"}
+    assert got.keys() == of.keys()
+    assert sum(f"/{got[i]}/" not in url for i, url in of.items() if re.search("/(en|de|fr|es)/", url)) <= 0.02 * len(of)
+
+
 def test_op2_small_languages_stay(spark):
     rows = [(i, "en", "h", f"the and of with from that this number{i % 500} " * 4) for i in range(12_000)]
     rows += [(20_000 + i, "ja", "h", f"漢字仮名交じり文日本語{'一二三四五六七八九十'[i % 10]}{'春夏秋冬'[i % 4]} " * 9) for i in range(41)]
