@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.llm import ann, chat_format, decontaminate, language, line_dedup, ngram_join, packing, permuterm, ppm, toxicity, warc
+from feedlens.llm import ann, chat_format, decontaminate, language, line_dedup, minmax, ngram_join, packing, permuterm, ppm, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,12 +71,17 @@ def op10_line_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digests(_table(spark, sf_dir, "documents"))
 
 
+def op11_min_max_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its set size, the smallest id its links reach, and whether it is kept."""
+    return minmax.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op13_permuterm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every word of all documents with its near words' number, its form and the root its forms lead to."""
     return permuterm.spelling_variants(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = (op1_warc_revisits, op2_language_id, op3_decontamination, op4_ngram_jaccard_join, op5_toxicity_grammar, op6_packing, op7_ppm_scoring, op8_chat_windows, op9_one_bit_codes, op10_line_alignment, op13_permuterm)
+QUERIES = (op1_warc_revisits, op2_language_id, op3_decontamination, op4_ngram_jaccard_join, op5_toxicity_grammar, op6_packing, op7_ppm_scoring, op8_chat_windows, op9_one_bit_codes, op10_line_alignment, op11_min_max_hashing, op13_permuterm)
 
 
 def queries() -> dict[str, Query]:
@@ -90,5 +95,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_ngram_jaccard_join": ngram_join.ORACLE,
         "op8_chat_windows": chat_format.ORACLE,
         "op9_one_bit_codes": ann.ORACLE,
+        "op11_min_max_hashing": minmax.ORACLE,
         "op13_permuterm": permuterm.ORACLE,
     }
