@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.llm import ann, chat_format, decontaminate, language, line_dedup, minmax, ngram_join, packing, permuterm, ppm, toxicity, warc
+from feedlens.llm import ann, burst_trie, chat_format, decontaminate, language, line_dedup, minmax, ngram_join, packing, permuterm, ppm, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,12 +76,17 @@ def op11_min_max_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op12_burst_tries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of all rebuilt conversations."""
+    return burst_trie.conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
 def op13_permuterm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every word of all documents with its near words' number, its form and the root its forms lead to."""
     return permuterm.spelling_variants(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = (op1_warc_revisits, op2_language_id, op3_decontamination, op4_ngram_jaccard_join, op5_toxicity_grammar, op6_packing, op7_ppm_scoring, op8_chat_windows, op9_one_bit_codes, op10_line_alignment, op11_min_max_hashing, op13_permuterm)
+QUERIES = (op1_warc_revisits, op2_language_id, op3_decontamination, op4_ngram_jaccard_join, op5_toxicity_grammar, op6_packing, op7_ppm_scoring, op8_chat_windows, op9_one_bit_codes, op10_line_alignment, op11_min_max_hashing, op12_burst_tries, op13_permuterm)
 
 
 def queries() -> dict[str, Query]:
@@ -96,5 +101,6 @@ def oracle_sql() -> dict[str, str]:
         "op8_chat_windows": chat_format.ORACLE,
         "op9_one_bit_codes": ann.ORACLE,
         "op11_min_max_hashing": minmax.ORACLE,
+        "op12_burst_tries": burst_trie.ORACLE,
         "op13_permuterm": permuterm.ORACLE,
     }
