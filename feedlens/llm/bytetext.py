@@ -24,6 +24,8 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _POSITIONS = 64
 #: one random word for each (position in the word, byte): a word's hash is the sum of its bytes' values
 _ZOBRIST = np.random.default_rng(20240611).integers(0, 2**64, size=(_POSITIONS * 256,), dtype=np.uint64)
+#: another such table, for a second hash
+_CHECK = np.random.default_rng(20240612).integers(0, 2**64, size=(_POSITIONS * 256,), dtype=np.uint64)
 _MULTIPLIERS = np.random.default_rng(77).integers(0, 2**63, size=64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -58,13 +60,13 @@ def text_blocks(column: pa.Array, block_bytes: int = BLOCK_BYTES) -> Iterator[tu
 
 
 class Words:
-    """The words of a block: bounds in the lower-cased bytes, owner text, counts per text."""
+    """The words of a block: bounds in the (lower-cased) bytes, owner text, counts per text."""
 
     __slots__ = ("data", "starts", "ends", "doc", "counts", "n_docs")
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray) -> None:
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> None:
         self.n_docs = len(offsets) - 1
-        self.data = _LOWER[data]
+        self.data = _LOWER[data] if lower else data
         space = _SPACE[data]
         before = np.ones(len(data), dtype=bool)
         after = np.ones(len(data), dtype=bool)
@@ -83,17 +85,28 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """64-bit hash of every word."""
+        return self._hashes((_ZOBRIST,))[0]
+
+    def two_hashes(self) -> list[np.ndarray]:
+        """Two independent 64-bit hashes of every word."""
+        return self._hashes((_ZOBRIST, _CHECK))
+
+    def _hashes(self, tables: tuple[np.ndarray, ...]) -> list[np.ndarray]:
         if not len(self.starts):
-            return np.zeros(0, np.uint64)
+            return [np.zeros(0, np.uint64) for _ in tables]
         lengths = self.ends - self.starts
         firsts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
         position = np.arange(int(lengths.sum()), dtype=np.int64) - np.repeat(firsts, lengths)
         letters = self.data[position + np.repeat(self.starts, lengths)]
-        values = _ZOBRIST[((position & (_POSITIONS - 1)) << 8) | letters]
-        if lengths.max() > _POSITIONS:
-            turn = (position >> 6).astype(np.uint64)
-            values = np.where(turn > 0, mix(values + turn), values)
-        return mix(np.add.reduceat(values, firsts))
+        cell = ((position & (_POSITIONS - 1)) << 8) | letters
+        turn = (position >> 6).astype(np.uint64) if lengths.max() > _POSITIONS else None
+        out = []
+        for table in tables:
+            values = table[cell]
+            if turn is not None:
+                values = np.where(turn > 0, mix(values + turn), values)
+            out.append(mix(np.add.reduceat(values, firsts)))
+        return out
 
 
 def window_hashes(words: np.ndarray, width: int) -> np.ndarray:

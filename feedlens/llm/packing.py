@@ -16,52 +16,121 @@ import heapq
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedlens.llm.bytetext import text_blocks
+from feedlens.llm.bytetext import Words, text_blocks
 from feedlens.llm.storage import only, partitions, stored
 
-#: words kept with their ids by each Python worker
-CACHE_WORDS = 700_000
+#: words kept with their ids by each Python worker (about 50 bytes each, all told)
+CACHE_WORDS = 1 << 20
 #: bytes of text taken apart at a time
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 1 << 20
 
 _STATE: dict[str, "WordTokenizer"] = {}
 # letters that normalise to themselves or to one letter each, then a run of sentence marks: one or two pre-tokens
 _PLAIN = regex.compile("[A-Za-zÀ-ÖØ-öø-ÿ]{1,40}[.,;:!?]{0,4}")
 _LAST = "</w>"
+#: words that a tokenizer must code alike alone and among others
+_PROBE = ["the", "The", "naïve,", "don't", "x1", "42", "...", "<|endoftext|>", "日本語", "a", "(b)", "e\u0301", "\U0001f600", "#tag", "'s", "Über."]
+
+
+class WordIds:
+    """Token ids of words by two hashes of the word: an open hash table in flat arrays.
+
+    A word is found by a 64-bit hash and confirmed by 32 bits of another one.
+    """
+
+    def __init__(self, bits: int = 16) -> None:
+        self.n = self.used = 0
+        self._make(bits)
+        self.ids = np.zeros(1 << bits, "<u4")
+
+    def _make(self, bits: int) -> None:
+        self.mask = (1 << bits) - 1
+        self.key, self.check = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.uint32)
+        self.start, self.size = np.zeros(1 << bits, np.int32), np.zeros(1 << bits, np.int32)
+
+    def find(self, h: np.ndarray, check: np.ndarray) -> np.ndarray:
+        """The slot of each word, or -1."""
+        slot = (h & np.uint64(self.mask)).astype(np.int64)
+        out = np.full(len(h), -1, np.int64)
+        left = np.arange(len(h))
+        while len(left):
+            at = slot[left]
+            key = self.key[at]
+            hit = (key == h[left]) & (self.check[at] == check[left])
+            out[left[hit]] = at[hit]
+            left = left[~hit & (key != 0)]
+            slot[left] = (slot[left] + 1) & self.mask
+        return out
+
+    def _place(self, h: np.ndarray, *columns: np.ndarray) -> None:
+        slot = (h & np.uint64(self.mask)).astype(np.int64)
+        left = np.arange(len(h))
+        while len(left):
+            free = left[self.key[slot[left]] == 0]
+            at, first = np.unique(slot[free], return_index=True)
+            first = free[first]
+            self.key[at] = h[first]
+            for mine, new in zip((self.check, self.start, self.size), columns, strict=True):
+                mine[at] = new[first]
+            placed = np.zeros(len(h), dtype=bool)
+            placed[first] = True
+            left = left[~placed[left]]
+            slot[left] = (slot[left] + 1) & self.mask
+
+    def add(self, h: np.ndarray, check: np.ndarray, ids: list[bytes]) -> None:
+        """New words, each once."""
+        blob = np.frombuffer(b"".join(ids), "<u4")
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
+        if self.used + len(blob) > len(self.ids):
+            self.ids = np.concatenate((self.ids[: self.used], np.zeros(max(len(blob), len(self.ids)), "<u4")))
+        self.ids[self.used : self.used + len(blob)] = blob
+        start = (self.used + np.cumsum(size) - size).astype(np.int32)
+        self.used, self.n = self.used + len(blob), self.n + len(h)
+        if 2 * self.n > self.mask:
+            held = np.flatnonzero(self.key)
+            old = self.key[held], self.check[held], self.start[held], self.size[held]
+            self._make(int(2 * self.n).bit_length())
+            self._place(*old)
+        self._place(h, check, start, size.astype(np.int32))
 
 
 class WordTokenizer:
     """Ids of texts by a word-level tokenizer file, a word at a time.
 
-    No token spans white space, so a text's ids are its blank-separated words' ids in
-    order; each word's ids are kept, as little-endian unsigned 32-bit numbers.
+    A text's ids are the ids of its words (between ASCII white space) in order; each distinct word is
+    encoded once.  Raises for a tokenizer whose tokens span white space.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.kept: dict[str, bytes] = {"": b""}
         last = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), dtype=bool)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
             last[i] = token.endswith(_LAST)
         self.last = last
+        alone = [i for w in _PROBE for i in self._encode(w)]
+        if any(self._encode(blank.join(_PROBE)) != alone for blank in (" ", "\n", " \t\n ")) or self._encode(" \t\r\n"):
+            raise ValueError(f"{path}: tokens span white space; a text's ids are not its words' ids")
+        self.kept = WordIds()
+
+    def _encode(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, words: list[str]) -> list[bytes]:
+        """The ids of each word, as little-endian unsigned 32-bit numbers."""
+        known: dict[str, bytes] = {}
         plain = [w for w in words if _PLAIN.fullmatch(w)]
-        rest = set(words)
         for i in range(0, len(plain), 4096):
             some = plain[i : i + 4096]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
+            ids = np.array(self._encode_fast([" ".join(some)])[0].ids, dtype="<u4")
             ends = np.flatnonzero(self.last[ids]) + 1  # of the pre-tokens
             tokens = np.cumsum([1 if w[-1].isalpha() else 2 for w in some])
             if len(ends) != tokens[-1] or ends[-1] != len(ids):
@@ -69,34 +138,36 @@ class WordTokenizer:
             cuts = [0, *ends[tokens - 1].tolist()]
             blob = ids.tobytes()
             for w, a, b in zip(some, cuts, cuts[1:], strict=False):
-                self.kept[w] = blob[4 * a : 4 * b]
-            rest.difference_update(some)
-        rest = list(rest)
-        for w, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            self.kept[w] = array("I", e.ids).tobytes()
-
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts in a row, number of ids of each text)."""
-        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
-        coded = lists.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        missing = list(filterfalse(self.kept.__contains__, words))
-        if missing:
-            if len(self.kept) > CACHE_WORDS:
-                self.kept = {"": b""}
-                missing = words
-            self._learn(missing)
-        blobs = list(map(self.kept.__getitem__, words))
-        ids = np.frombuffer(b"".join(blobs), "<u4")
-        n_ids = np.fromiter(map(len, blobs), np.int64, len(blobs)) >> 2
-        first = np.cumsum(n_ids) - n_ids
-        word = coded.indices.to_numpy()
-        size = n_ids[word]
+                known[w] = blob[4 * a : 4 * b]
+        rest = [w for w in words if w not in known]
+        for w, e in zip(rest, self._encode_fast(rest), strict=True):
+            known[w] = array("I", e.ids).tobytes()
+        return [known[w] for w in words]
+
+    def _encode_fast(self, texts: list[str]) -> list:
+        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts of a block in a row, number of ids of each text)."""
+        words = Words(data, offsets, lower=False)
+        h, check = words.two_hashes()
+        h, check = np.maximum(h, np.uint64(1)), check.astype(np.uint32)  # 0 marks a free slot
+        at = self.kept.find(h, check)
+        missing = np.flatnonzero(at < 0)
+        if self.kept.n + len(missing) > CACHE_WORDS:
+            self.kept, missing = WordIds(), np.arange(len(h))
+        raw = data.tobytes() if len(missing) else b""
+        while len(missing):  # once, but for words equal in the first hash alone
+            new = missing[np.unique(h[missing], return_index=True)[1]]
+            spelled = [raw[a:b].decode() for a, b in zip(words.starts[new].tolist(), words.ends[new].tolist(), strict=True)]
+            self.kept.add(h[new], check[new], self._learn(spelled))
+            at[missing] = self.kept.find(h[missing], check[missing])
+            missing = missing[at[missing] < 0]
+        size = self.kept.size[at].astype(np.int64)
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
-        at = np.repeat(first[word] - (ends - size), size) + np.arange(total)
-        bounds = np.concatenate(([0], ends))[lists.offsets.to_numpy()]
-        return ids[at], np.diff(bounds)
+        ids = self.kept.ids[np.repeat(self.kept.start[at] - (ends - size), size) + np.arange(total)]
+        return ids, np.bincount(words.doc, weights=size, minlength=words.n_docs).astype(np.int64)
 
 
 _PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
@@ -115,7 +186,7 @@ def _cut(path: str, end_id: int, max_length: int, keep_ids: bool):
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.large_string()).fill_null("")
             for first, data, offsets in text_blocks(texts, BLOCK_BYTES):
-                ids, sizes = tok.encode(texts.slice(first, len(offsets) - 1))
+                ids, sizes = tok.encode(data, offsets)
                 ends, rows = np.cumsum(sizes), []
                 for k, (stop, size) in enumerate(zip(ends.tolist(), sizes.tolist(), strict=True), first):
                     blob = ids[stop - size : stop].tobytes() + end

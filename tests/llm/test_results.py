@@ -378,3 +378,63 @@ def test_pipeline(spark):
             assert {r.doc_id for r in out.collect()} == set(before)
     whole = corpus_pipeline.run(spark, SMALL)
     assert sorted(map(str, whole.collect())) == sorted(map(str, out.collect()))
+
+
+def test_op6_words_by_hash_alone():
+    """Words are found in the flat table whatever its load; equal first hashes are told apart by the second."""
+    import numpy as np
+
+    from feedlens.llm.packing import WordIds
+
+    rng = np.random.default_rng(1)
+    table = WordIds(bits=4)
+    h = rng.integers(1, 50, 3000, np.uint64)  # many share slot and first hash
+    check = rng.permutation(3000).astype(np.uint32)
+    ids = [np.arange(k % 5, dtype="<u4").tobytes() for k in range(3000)]
+    for lo in range(0, 3000, 100):
+        table.add(h[lo : lo + 100], check[lo : lo + 100], ids[lo : lo + 100])
+    at = table.find(h, check)
+    assert (at >= 0).all() and (table.size[at] == np.arange(3000) % 5).all() and len(set(at.tolist())) == 3000
+    assert [table.ids[table.start[i] : table.start[i] + table.size[i]].tolist() for i in at[:10]] == [list(range(k % 5)) for k in range(10)]
+    assert (table.find(h, check + np.uint32(5000)) == -1).all()
+
+
+def test_op6_tokenizer_across_blanks(tmp_path):
+    """A tokenizer whose tokens span white space is refused."""
+    import json
+
+    from feedlens.llm.packing import WordTokenizer
+
+    spec = json.loads(open(registered.tokenizer_path()).read())
+    spec["pre_tokenizer"] = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+    (tmp_path / "t.json").write_text(json.dumps(spec))
+    with pytest.raises(ValueError, match="white space"):
+        WordTokenizer(str(tmp_path / "t.json"))
+
+
+def test_op6_patterns_equal_a_document_at_a_time():
+    """The histogram's patterns are those of placing one document after another into the pack with the most room."""
+    import heapq
+
+    random.seed(8)
+    for trial in range(60):
+        longest = random.choice((8, 64, 100))
+        lengths = sorted((random.randint(1, longest) for _ in range(random.randint(1, 300))), reverse=True)
+        packs: list[list] = []  # (negated room, number of the pack), packs by number
+        rooms: list[tuple[int, int]] = []
+        for n in lengths:
+            if rooms and -rooms[0][0] >= n:
+                room, k = heapq.heappop(rooms)
+            else:
+                room, k = -longest, len(packs)
+                packs.append([])
+            packs[k].append(n)
+            heapq.heappush(rooms, (room + n, k))
+        counts = {n: lengths.count(n) for n in set(lengths)}
+        patterns = packing.pack_histogram(counts, longest)
+        used = {}
+        for pattern, n in patterns:
+            for x in pattern:
+                used[x] = used.get(x, 0) + n
+        assert used == counts and all(sum(p) <= longest for p, _ in patterns)
+        assert abs(sum(n for _, n in patterns) - len(packs)) <= max(1, len(packs) // 20)
