@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.storage import only
+from feedlens.llm.storage import fresh_names, only
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: what separates words once A-Z are lower case, and in the text as it is
@@ -110,15 +110,16 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, remove: str = "docum
     if remove not in ("documents", "spans"):
         raise ValueError(f"remove must be 'documents' or 'spans', not {remove!r}")
     found = find_contamination(docs, benchmark, id_col=id_col, text_col=text_col, **options).where("contaminated")
-    found = found.select(F.col("doc_id").alias("_hit_id"), F.col("text_key").alias("_hit_key"), F.col("spans").alias("_hit_spans")).dropDuplicates(["_hit_id", "_hit_key"])
-    same = docs[id_col].eqNullSafe(F.col("_hit_id")) & (F.xxhash64(docs[text_col]) == F.col("_hit_key"))
+    hit_id, hit_key, spans = fresh_names(docs, "hit_id", "hit_key", "hit_spans")
+    found = found.select(F.col("doc_id").alias(hit_id), F.col("text_key").alias(hit_key), F.col("spans").alias(spans)).dropDuplicates([hit_id, hit_key])
+    same = docs[id_col].eqNullSafe(found[hit_id]) & (F.xxhash64(docs[text_col]) == found[hit_key])
     if remove == "documents":
         return docs.join(found, same, "left_anti")
     text = docs[text_col].cast("string")
     pieces = F.regexp_extract_all(text, F.lit(f"{_RAW_SEPARATORS}*{_RAW_WORD}"), F.lit(0))
-    left = F.filter(pieces, lambda p, i: ~F.exists("_hit_spans", lambda s: (i >= s["first"]) & (i < s["first"] + s["length"])))
+    left = F.filter(pieces, lambda p, i: ~F.exists(found[spans], lambda s: (i >= s["first"]) & (i < s["first"] + s["length"])))
     tail = F.regexp_extract(text, f"{_RAW_SEPARATORS}*$", 0)
-    cut = F.when(F.col("_hit_id").isNull() & F.col("_hit_key").isNull(), docs[text_col]).otherwise(F.concat(F.array_join(left, ""), tail))
+    cut = F.when(found[hit_key].isNull(), docs[text_col]).otherwise(F.concat(F.array_join(left, ""), tail))
     return docs.join(found, same, "left").select(*[cut.alias(c) if c == text_col else docs[c] for c in docs.columns])
 
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlens.llm.bytetext import mix
-from feedlens.llm.storage import only, scratch, stored
+from feedlens.llm.storage import fresh_names, only, scratch, stored
 
 #: documents and lines in a broadcast list of lost lines (about 16 bytes each); a longer list is joined by a shuffle
 MAX_BROADCAST = 1_000_000
@@ -234,14 +234,15 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     size = lost.agg(F.count("*") + F.coalesce(F.sum(F.size("removed")), F.lit(0))).first()[0]
     if size <= MAX_BROADCAST:  # else the texts are shuffled to the lost lines
         lost = F.broadcast(lost)
-    lost = lost.select(F.col("key").alias("_lost_key"), F.col("removed").alias("_lost"))
-    joined = docs.join(lost, F.xxhash64(docs[id_col], docs[text_col]) == F.col("_lost_key"), "left")
-    kept = F.array_join(F.filter(F.split(docs[text_col].cast("string"), "\n"), lambda x, i: ~F.array_contains("_lost", i)), "\n")
+    lost_key, gone = fresh_names(docs, "lost_key", "gone")
+    lost = lost.select(F.col("key").alias(lost_key), F.col("removed").alias(gone))
+    joined = docs.join(lost, F.xxhash64(docs[id_col], docs[text_col]) == lost[lost_key], "left")
+    kept = F.array_join(F.filter(F.split(docs[text_col].cast("string"), "\n"), lambda x, i: ~F.array_contains(lost[gone], i)), "\n")
     blank = F.btrim(kept, F.lit(BLANKS + "\n")) == ""
-    text = F.when(F.col("_lost").isNull(), docs[text_col]).otherwise(F.when(blank, F.lit("")).otherwise(kept))
+    text = F.when(lost[gone].isNull(), docs[text_col]).otherwise(F.when(blank, F.lit("")).otherwise(kept))
     out = [text.alias(c) if c == text_col else docs[c] for c in docs.columns]
     if removed_col:
-        out.append(F.coalesce("_lost", F.array().cast("array<int>")).alias(removed_col))
+        out.append(F.coalesce(lost[gone], F.array().cast("array<int>")).alias(removed_col))
     return joined.select(*out)
 
 

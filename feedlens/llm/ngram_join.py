@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from feedlens.llm.bytetext import mix, shingle_sets, text_blocks
 from feedlens.llm.components import components
-from feedlens.llm.storage import only, partitions, scratch, stored, stored_rows
+from feedlens.llm.storage import fresh_names, only, partitions, scratch, stored, stored_rows
 
 #: ranges of the hash space whose counts bound a symmetric difference from below
 SUFFIX_RANGES = 16
@@ -352,11 +352,13 @@ def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     with scratch(docs.sparkSession):
         groups = stored(document_groups(docs, id_col=id_col, text_col=text_col, **options), "groups", keep=True)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "ref")).alias("first")
-    stay = groups.where("n_shingles > 0").groupBy("group").agg(first).select(F.col("first.doc_id").alias("_stay_id"), F.col("first.ref").alias("_stay_ref"))
-    kept = docs.withColumn("_ref", F.xxhash64(docs[text_col])).withColumn("_words", F.btrim(F.coalesce(docs[text_col].cast("string"), F.lit("")), F.lit(" \t\n\x0b\f\r")) != "")
-    same = kept[id_col].cast("bigint").eqNullSafe(F.col("_stay_id")) & (F.col("_ref") == F.col("_stay_ref"))
-    worded = kept.where("_words").join(stay, same, "left_semi").dropDuplicates([id_col, "_ref"])
-    return worded.unionByName(kept.where("NOT _words")).select(*docs.columns)
+    ref, words, stay_id, stay_ref = fresh_names(docs, "ref", "words", "stay_id", "stay_ref")
+    stay = groups.where("n_shingles > 0").groupBy("group").agg(first).select(F.col("first.doc_id").alias(stay_id), F.col("first.ref").alias(stay_ref))
+    blank = F.btrim(F.coalesce(docs[text_col].cast("string"), F.lit("")), F.lit(" \t\n\x0b\f\r")) == ""
+    rows = docs.withColumns({ref: F.xxhash64(docs[text_col]), words: ~blank})
+    same = rows[id_col].cast("bigint").eqNullSafe(stay[stay_id]) & (rows[ref] == stay[stay_ref])
+    worded = rows.where(F.col(words)).join(stay, same, "left_semi").dropDuplicates([id_col, ref])
+    return worded.unionByName(rows.where(~F.col(words))).drop(ref, words)
 
 
 #: DuckDB SQL of the registered query, from the definition (for small tables: it compares all pairs that share a shingle)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +16,8 @@ from feedlens.session import shared_dir
 ROWS_PER_TASK = 50_000
 
 
-#: the tables written since each open ``scratch``
-_OPEN: list[list[str]] = []
+#: the tables written since each open ``scratch``, outermost first; every thread has its own
+_OPEN: ContextVar[tuple[list[str], ...]] = ContextVar("open scratches", default=())
 
 
 @contextmanager
@@ -25,11 +26,13 @@ def scratch(spark: SparkSession) -> Iterator[None]:
 
     What outlives it must not read a removed table: store it with ``keep`` first.
     """
-    _OPEN.append([])
+    written: list[str] = []
+    token = _OPEN.set((*_OPEN.get(), written))
     try:
         yield
     finally:
-        for path in _OPEN.pop():
+        _OPEN.reset(token)
+        for path in written:
             at = spark._jvm.org.apache.hadoop.fs.Path(path)
             at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
@@ -43,7 +46,7 @@ def stored(df: DataFrame, name: str, rows: int | None = None, keep: bool = False
     """
     spark = df.sparkSession
     path = shared_dir(spark, "llm", name)
-    for scope in _OPEN[-2:-1] if keep else _OPEN[-1:]:  # what is kept belongs to the scratch around this one
+    for scope in _OPEN.get()[-2:-1] if keep else _OPEN.get()[-1:]:  # what is kept belongs to the scratch around this one
         scope.append(path)
     if rows is not None:
         df = df.coalesce(min(partitions(spark), rows // ROWS_PER_TASK + 1))
@@ -63,12 +66,16 @@ def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def fresh_name(df: DataFrame, name: str) -> str:
-    """``name``, or the first ``name_2``, ``name_3`` ... that no column of ``df`` has."""
+def fresh_names(df: DataFrame, *names: str) -> list[str]:
+    """Each name, or the first ``name_2``, ``name_3`` ... that no column of ``df`` and no name before it has."""
     taken = {c.lower() for c in df.columns}
-    out, k = name, 2
-    while out.lower() in taken:
-        out, k = f"{name}_{k}", k + 1
+    out = []
+    for name in names:
+        fresh, k = name, 2
+        while fresh.lower() in taken:
+            fresh, k = f"{name}_{k}", k + 1
+        taken.add(fresh.lower())
+        out.append(fresh)
     return out
 
 

@@ -11,6 +11,29 @@ from feedlens.llm.storage import stored
 LONG = "the and of " * 30_000
 
 
+#: names that the operators use inside, or used to
+INSIDE = """key words hash items n component line rank label ref ref_2 stay_id stay_ref lost_key gone lost removed hit_id hit_key hit_spans
+    rejected_id rejected_key doc h age pos block holder run spans win at length copies hits text_key n_trigrams language confidence kept host domain
+    suffix declared token comp bands sketch shingles group id least score place start sequence_id offset bucket value part
+    _text _ref _words _lost _lost_key _hit_id _hit_key _hit_spans _rejected_id _rejected_key _removed _declared _host _stay_id _stay_ref""".split()
+
+
+def clashing(frame):
+    """``frame`` with a column of every name used inside, each of its own value per row."""
+    have = {c.lower() for c in frame.columns}
+    return frame.select("*", *[F.concat(F.lit(f"{c} of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))).alias(c) for c in INSIDE if c not in have])
+
+
+def carried(out, docs, but=("text", "n_chars")):
+    """The rows of ``out``, all of which are rows of ``docs`` but for the columns named."""
+    names = [c for c in docs.columns if c not in but]
+    rows = {tuple(r) for r in docs.select(*names).collect()}
+    assert out.columns == docs.columns
+    got = out.collect()
+    assert {tuple(r[c] for c in names) for r in got} <= rows
+    return got
+
+
 @pytest.fixture(scope="module")
 def docs(spark):
     rows = [
@@ -26,10 +49,7 @@ def docs(spark):
         (5, "ein anderer Text mit 日本語 und <|endoftext|>", "de", "b", 2),
     ]
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
-    # names that the operators use inside
-    for c in ("key", "words", "hash", "items", "n", "component", "line", "rank", "_text", "label"):
-        frame = frame.withColumn(c, F.lit("x"))
-    return stored(frame, "edges")
+    return stored(clashing(frame), "edges")
 
 
 @pytest.fixture(scope="module")
@@ -57,10 +77,9 @@ def test_decontamination(spark, docs, bench):
     assert {r.n_words for r in rows if r.doc_id == 1} == {0} and max(r.n_words for r in rows) == 90_000
     assert decontaminate.find_contamination(docs.limit(0), bench).count() == 0
     assert decontaminate.find_contamination(docs, bench.limit(0)).where("contaminated").count() == 0
-    left = decontaminate.decontaminate(docs, bench)
-    assert left.columns == docs.columns and left.count() == 9
+    assert len(carried(decontaminate.decontaminate(docs, bench), docs, ())) == 9
     cut = decontaminate.decontaminate(docs, bench, remove="spans")
-    assert cut.columns == docs.columns and cut.where("doc_id = 3").first().text == " das ist nicht"
+    assert len(carried(cut, docs)) == 10 and cut.where("doc_id = 3").first().text == " das ist nicht"
     assert cut.where("text IS NULL").count() == 1 and cut.where(F.col("text") == LONG).count() == 1
     unbroadcast = decontaminate.find_contamination(docs, bench, max_broadcast=0)
     assert sorted(map(str, unbroadcast.collect())) == sorted(map(str, rows))
@@ -74,7 +93,7 @@ def test_near_duplicates(spark, docs):
     assert {r.n_shingles for r in rows if r.doc_id == 5} == {3}
     assert ngram_join.near_duplicates(docs.limit(0)).count() == 0
     one = ngram_join.one_of_each(docs)
-    assert one.columns == docs.columns and ids(one.collect()) == ids(docs.where("doc_id IS NOT NULL").collect())
+    assert ids(carried(one, docs, ())) == ids(docs.where("doc_id IS NOT NULL").collect())
     nulls = docs.where("doc_id IS NULL")
     assert {r.component_id for r in ngram_join.near_duplicates(nulls).collect()} == {None} and ngram_join.one_of_each(nulls).count() == 1
 
@@ -107,8 +126,8 @@ def test_scoring(spark, docs):
 
 
 def test_line_dedup(spark, docs):
-    found = line_dedup.remove_repeats(docs, removed_col="gone")
-    assert found.columns == [*docs.columns, "gone"] and ids(found.collect()) == ids(docs.collect())
+    found = line_dedup.remove_repeats(docs, removed_col="positions")
+    assert found.columns == [*docs.columns, "positions"] and ids(carried(found.drop("positions"), docs)) == ids(docs.collect())
     rows = [(1, "x " * 40 + "\nown"), (2, "other\n\n" + "x " * 40 + "\n \nown"), (None, "x " * 40), (3, "x"), (3, None)]
     small = spark.createDataFrame(rows, "doc_id long, text string")
     got = {(r.doc_id, r.text) for r in line_dedup.remove_repeats(small).collect()}
@@ -157,11 +176,39 @@ def test_warc(spark):
 
 def test_pipeline_stages(spark, docs, tmp_path):
     spark.createDataFrame([(1, "der und die das")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
-    base = docs.select("doc_id", "text", "lang", "source", "n_chars")
-    for rows in (base, base.limit(0)):
+    for rows in (docs.select("doc_id", "text", "lang", "source", "n_chars"), docs, docs.limit(0)):
         out = rows
         for name, stage in corpus_pipeline.STAGES:
             out = stored(stage(spark, out, str(tmp_path)), name)
             if name != "packing":
-                assert out.columns == base.columns
+                carried(out, rows)
         assert (out.count() > 0) == (rows.count() > 0)
+
+
+def test_scratch_of_two_threads(spark, docs):
+    """Tables of one thread's query outlive the end of another's."""
+    import threading
+
+    from feedlens.llm.storage import scratch
+
+    done, go = {}, [threading.Event(), threading.Event()]
+
+    def first():
+        with scratch(spark):
+            table = stored(spark.range(5), "first")
+            go[0].set()
+            go[1].wait(60)
+            done["rows"] = table.count()
+
+    def second():
+        go[0].wait(60)
+        with scratch(spark):
+            stored(spark.range(3), "second")
+        go[1].set()
+
+    threads = [threading.Thread(target=f) for f in (first, second)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert done == {"rows": 5}
