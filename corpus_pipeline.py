@@ -22,24 +22,25 @@ from pyspark.sql import functions as F
 
 from feedlens.llm import decontaminate, language, line_dedup, ngram_join, packing
 from feedlens.llm.registered import tokenizer_path
-from feedlens.llm.storage import scratch, stored
+from feedlens.llm.storage import fresh_names, scratch, stored
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified, unchanged."""
+    rejected_id, rejected_key = fresh_names(docs, "rejected_id", "rejected_key")
     with scratch(spark):
         found = language.identify_documents(docs).where(~F.col("kept"))
-        rejected = found.select(F.col("doc_id").alias("_rejected_id"), F.col("text_key").alias("_rejected_key")).distinct()
-        rejected = stored(rejected, "rejected", keep=True)
-    same = docs["doc_id"].eqNullSafe(F.col("_rejected_id")) & (F.xxhash64(docs["text"]) == F.col("_rejected_key"))
+        rejected = stored(found.select(F.col("doc_id").alias(rejected_id), F.col("text_key").alias(rejected_key)).distinct(), "rejected", keep=True)
+    same = docs["doc_id"].eqNullSafe(rejected[rejected_id]) & (F.xxhash64(docs["text"]) == rejected[rejected_key])
     return docs.join(rejected, same, "left_anti")
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the blocks that earlier documents hold; ``n_chars`` follows the text."""
-    cut = line_dedup.remove_repeats(docs, removed_col="_removed")
-    left = cut.where((F.size("_removed") == 0) | (F.col("text") != ""))
-    n_chars = F.when(F.size("_removed") == 0, F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType)
+    (removed,) = fresh_names(docs, "removed")
+    cut = line_dedup.remove_repeats(docs, removed_col=removed)
+    left = cut.where((F.size(removed) == 0) | (F.col("text") != ""))
+    n_chars = F.when(F.size(removed) == 0, F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType)
     return left.withColumn("n_chars", n_chars).select(*docs.columns)
 
 
