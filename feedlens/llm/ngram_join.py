@@ -17,7 +17,9 @@ number.  Steps:
    Whatever is left between different components of a group is compared in full at the
    end, so no link between components can be missed.
 5. A pair passes the length, positional and suffix filters before its sets are
-   intersected, once per pair.
+   intersected, once per pair.  The suffix filter bounds the difference of two sets from
+   below by their parity sketches; at the end it is part of the join, so that what cannot
+   link is no row.
 
 Shingles are compared by 48 bits of a 64-bit hash: within one pair of 1000-shingle
 documents a false match has probability below 1e-8.
@@ -29,17 +31,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.llm.bytetext import mix, shingle_sets, text_blocks
 from feedlens.llm.components import components
+from feedlens.llm.sketches import SKETCH_WORDS, apart, parity_sketches
 from feedlens.llm.storage import fresh_names, only, partitions, scratch, stored, stored_rows
 
-#: ranges of the hash space whose counts bound a symmetric difference from below
-SUFFIX_RANGES = 16
-#: the exact rest is compared once it has at most this many pairs a row of the groups concerned, before any filter
-REST_FACTOR = 200
+#: rounds of pivots before what is left is compared
+ROUNDS = 2
 #: a bucket's shingles are sorted in a Python worker's memory, this many slices one after another
 SLICES = 4
 #: shingles gathered by a task before it writes its runs
@@ -49,9 +50,9 @@ _RUNS = "part int, docs array<bigint>, refs array<bigint>, keys array<bigint>, c
 _RUNS_ARROW = pa.schema(
     [("part", pa.int32()), ("docs", pa.list_(pa.int64())), ("refs", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32())), ("hashes", pa.binary()), ("freqs", pa.binary())]
 )
-_SETS = "kind int, doc_id bigint, ref bigint, key bigint, n int, prefix int, unshared int, shared array<bigint>, ranges array<int>"
+_SETS = "kind int, doc_id bigint, ref bigint, key bigint, n int, prefix int, unshared int, shared array<bigint>, sketch array<bigint>"
 _SETS_ARROW = pa.schema(
-    [("kind", pa.int32()), ("doc_id", pa.int64()), ("ref", pa.int64()), ("key", pa.int64()), ("n", pa.int32()), ("prefix", pa.int32()), ("unshared", pa.int32()), ("shared", pa.list_(pa.int64())), ("ranges", pa.list_(pa.int32()))]
+    [("kind", pa.int32()), ("doc_id", pa.int64()), ("ref", pa.int64()), ("key", pa.int64()), ("n", pa.int32()), ("prefix", pa.int32()), ("unshared", pa.int32()), ("shared", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))]
 )
 
 
@@ -102,11 +103,11 @@ def _shingle_runs(width: int, parts: int):
                         k, c = _key_runs(key[at])
                         rows.append((p, None, None, k.view(np.int64), c.astype(np.int32), _pack(h[at]), None))
             if heads:
-                doc_ids, refs, keys, sizes, ranges = (list(x) for x in zip(*heads, strict=True))
+                doc_ids, refs, keys, sizes, sketches = (list(x) for x in zip(*heads, strict=True))
                 part = _bucket(np.array(keys, np.uint64), parts)
                 for p in np.unique(part):
                     at = np.flatnonzero(part == p)
-                    rows.append((parts + int(p), [doc_ids[i] for i in at], [refs[i] for i in at], np.array([keys[i] for i in at], np.uint64).view(np.int64), np.array([sizes[i] for i in at], np.int32), b"".join(ranges[i] for i in at), None))
+                    rows.append((parts + int(p), [doc_ids[i] for i in at], [refs[i] for i in at], np.array([keys[i] for i in at], np.uint64).view(np.int64), np.array([sizes[i] for i in at], np.int32), b"".join(sketches[i] for i in at), None))
             held.clear()
             heads.clear()
             return _rows(rows)
@@ -121,12 +122,13 @@ def _shingle_runs(width: int, parts: int):
                 keys = np.zeros(len(sizes), np.uint64)
                 if len(some):
                     keys[some] = mix(np.add.reduceat(mix(h ^ np.uint64(0x9E3779B97F4A7C15)), (ends - sizes)[some]) + sizes[some].astype(np.uint64))
-                spans = np.zeros((len(sizes), SUFFIX_RANGES), np.uint32)
-                np.add.at(spans, (doc, ((h >> np.uint64(44)) & np.uint64(SUFFIX_RANGES - 1)).astype(np.int64)), 1)
+                sketches = np.zeros((len(sizes), SKETCH_WORDS), "<u8")
+                if len(some):
+                    sketches[some] = parity_sketches(h, (ends - sizes)[some])
                 new = np.zeros(len(sizes), dtype=bool)
                 for d in range(len(sizes)):
                     k = int(keys[d])
-                    heads.append((ids[first + d], refs[first + d], k, int(sizes[d]), spans[d].astype("<u4").tobytes()))
+                    heads.append((ids[first + d], refs[first + d], k, int(sizes[d]), sketches[d].tobytes()))
                     if sizes[d] and k not in seen:
                         seen.add(k)
                         new[d] = True
@@ -196,7 +198,7 @@ def _order(num: int, den: int):
     """Of one bucket of classes: their documents, and the classes whose rare-first prefix holds a shared shingle."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        docs, refs, owners, sizes, spans = [], [], [], [], []
+        docs, refs, owners, sizes, sketches = [], [], [], [], []
         ent_key, ent_h, ent_f = [], [], []
         for d, r, k, c, h, f in zip(*(table[x].to_pylist() for x in ("docs", "refs", "keys", "counts", "hashes", "freqs")), strict=True):
             if d is not None:
@@ -204,7 +206,7 @@ def _order(num: int, den: int):
                 refs += r
                 owners.append(np.array(k, np.int64))
                 sizes.append(np.array(c, np.int64))
-                spans.append(np.frombuffer(h, "<u4").reshape(-1, SUFFIX_RANGES))
+                sketches.append(np.frombuffer(h, "<i8").reshape(-1, SKETCH_WORDS))
             else:
                 ent_key.append(np.repeat(np.array(k, np.int64), c))
                 ent_h.append(_unpack(h))
@@ -214,7 +216,7 @@ def _order(num: int, den: int):
         out = [_sets(len(docs), kind=np.zeros(len(docs), np.int32), doc_id=docs, ref=refs, key=owner, n=n)]
         if ent_key:
             cls, at = np.unique(owner, return_index=True)
-            cls_n, cls_span = n[at], np.concatenate(spans)[at]
+            cls_n, cls_sketch = n[at], np.concatenate(sketches)[at]
             k, h, f = np.concatenate(ent_key), np.concatenate(ent_h), np.concatenate(ent_f)
             order = np.lexsort((h, f, k))
             k, h = k[order], h[order]
@@ -225,8 +227,8 @@ def _order(num: int, den: int):
             live = size - m < prefix
             if live.any():
                 lists = pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(m[live]))).astype(np.int32), pa.array(h[np.repeat(live, m)].view(np.int64)))
-                ranges = pa.FixedSizeListArray.from_arrays(pa.array(cls_span[at][live].astype(np.int32).ravel()), SUFFIX_RANGES).cast(pa.list_(pa.int32()))
-                out.append(_sets(int(live.sum()), kind=np.ones(int(live.sum()), np.int32), key=ks[live], n=size[live], prefix=prefix[live], unshared=(size - m)[live], shared=lists, ranges=ranges))
+                sketch = pa.FixedSizeListArray.from_arrays(pa.array(cls_sketch[at][live].ravel(), pa.int64()), SKETCH_WORDS).cast(pa.list_(pa.int64()))
+                out.append(_sets(int(live.sum()), kind=np.ones(int(live.sum()), np.int32), key=ks[live], n=size[live], prefix=prefix[live], unshared=(size - m)[live], shared=lists, sketch=sketch))
         return pa.concat_tables(out)
 
     return run
@@ -242,64 +244,70 @@ def _sets(rows: int, **columns) -> pa.Table:
     return pa.Table.from_arrays([column(f) for f in _SETS_ARROW], schema=_SETS_ARROW)
 
 
+def _differ_little(num: int, den: int) -> Column:
+    """Suffix filter: the sketches do not exclude that (n, sketch) and (n_2, sketch_2) link."""
+    most = F.col("n") + F.col("n_2") - 2 * F.ceil(num * (F.col("n") + F.col("n_2")) / F.lit(num + den))
+    return apart("sketch", "sketch_2") <= most
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The (a, b) of ``pairs`` whose classes link: suffix filter, then one intersection per pair."""
-    side = lambda s: sets.select(F.col("key").alias(s), F.col("n").alias(f"n_{s}"), F.col("shared").alias(f"set_{s}"), F.col("ranges").alias(f"ranges_{s}"))
-    least_common = F.ceil(num * (F.col("n_a") + F.col("n_b")) / F.lit(num + den)).cast("long")
-    apart = F.expr("aggregate(zip_with(ranges_a, ranges_b, (x, y) -> abs(x - y)), 0, (s, x) -> s + x)")
+    narrow = sets.select("key", "n", "sketch")
+    near = pairs.join(narrow.withColumnRenamed("key", "a"), "a").join(_other(narrow).withColumnRenamed("key_2", "b"), "b").where(_differ_little(num, den)).select("a", "b")
+    near = stored(near, "near")
+    side = lambda s: sets.select(F.col("key").alias(s), F.col("n").alias(f"n_{s}"), F.col("shared").alias(f"set_{s}"))
     common = F.size(F.array_intersect("set_a", "set_b")).cast("long")
-    return (
-        pairs.join(side("a"), "a")
-        .join(side("b"), "b")
-        .where(F.when(apart <= F.col("n_a") + F.col("n_b") - 2 * least_common, common * (num + den) >= num * (F.col("n_a") + F.col("n_b"))))
-        .select("a", "b")
-    )
+    return near.join(side("a"), "a").join(side("b"), "b").where(common * (num + den) >= num * (F.col("n_a") + F.col("n_b"))).select("a", "b")
+
+
+def _other(members: DataFrame) -> DataFrame:
+    return members.select(*[F.col(c).alias(f"{c}_2") for c in members.columns])
 
 
-def _candidates(members: DataFrame, others: DataFrame, num: int, den: int) -> DataFrame:
+def _candidates(members: DataFrame, others: DataFrame, num: int, den: int, *also: Column) -> DataFrame:
     """Distinct (a, b) of members and others (columns with _2) that share a token and are in different components.
 
     Length and positional filters are part of the join: at the first shingle two classes share in the common
     order, what is left of the shorter rest bounds their overlap, so every linking pair passes there.
     """
     bound = F.least(F.col("n") - F.col("pos"), F.col("n_2") - F.col("pos_2")) * (num + den) >= num * (F.col("n") + F.col("n_2"))
-    sizes = den * F.least("n", "n_2") >= num * F.greatest("n", "n_2")
-    met = members.join(others, (members["token"] == others["token_2"]) & (F.col("comp") != F.col("comp_2")) & (F.col("key") != F.col("key_2")) & sizes & bound)
+    passes = (den * F.least("n", "n_2") >= num * F.greatest("n", "n_2")) & bound
+    for condition in also:
+        passes = passes & condition
+    met = members.join(others, (F.col("token") == F.col("token_2")) & (F.col("comp") != F.col("comp_2")) & passes)
     return met.select(F.least("key", "key_2").alias("a"), F.greatest("key", "key_2").alias("b")).distinct()
 
 
-def link_classes(sets: DataFrame, num: int, den: int, rounds: int = 2) -> DataFrame:
+def link_classes(sets: DataFrame, num: int, den: int) -> DataFrame:
     """(node, component) over the class keys in ``sets`` that have a link."""
-    index = sets.select("key", "n", F.col("unshared").alias("u"), F.posexplode(F.expr("slice(shared, 1, prefix - unshared)")).alias("j", "token")).select("key", "n", "u", (F.col("u") + F.col("j")).alias("pos"), "token", F.col("key").alias("comp"))
+    index = sets.select("key", "n", F.col("unshared").alias("u"), F.posexplode(F.expr("slice(shared, 1, prefix - unshared)")).alias("j", "token"))
+    index = index.select("token", "key", "n", "u", (F.col("u") + F.col("j")).alias("pos"), F.col("key").alias("comp"))
     now, rows = stored_rows(index, "index")
-    labels = links = None
-    for r in range(rounds + 1):
-        if labels is not None:
-            named = labels.withColumnRenamed("node", "key")
-            now = stored(now.drop("comp").join(named, "key", "left").withColumn("comp", F.coalesce("component", "key")).drop("component"), "index", rows)
-        # per token: the largest component and what is outside it
-        sizes = now.groupBy("token").agg(F.count("*").alias("g"), F.max(F.struct(F.lit(1).cast("bigint").alias("c"), "comp")).alias("m"), F.lit(2).alias("comps")) if labels is None else (
-            now.groupBy("token", "comp").agg(F.count("*").alias("c")).groupBy("token").agg(F.sum("c").alias("g"), F.max(F.struct("c", "comp")).alias("m"), F.count("*").alias("comps"))
-        )
-        sizes = sizes.where("comps > 1 AND g > 1").select("token", F.col("m.comp").alias("main"), "g", (F.col("g") - F.col("m.c")).alias("minor"))
-        mains = stored(sizes, "mains", rows)
-        cost, size = mains.agg(F.sum(F.col("minor").cast("double") * F.col("g")), F.sum("g")).first()
-        if r == rounds or (cost or 0) <= REST_FACTOR * (size or 0):
+    links = None
+    for r in range(ROUNDS + 1):
+        if links is not None:  # groups of one component are done
+            labels = components(links).withColumnRenamed("node", "key")
+            now = stored(now.drop("comp").join(labels, "key", "left").withColumn("comp", F.coalesce("component", "key")).drop("component"), "index", rows)
+        # per token: the largest component, outside which members are left to compare
+        sizes = now.groupBy("token", "comp").agg(F.count("*").alias("c")).groupBy("token").agg(F.max(F.struct("c", "comp")).alias("m"), F.count("*").alias("comps"))
+        mains, left = stored_rows(sizes.where("comps > 1").select("token", F.col("m.comp").alias("main")), "mains", rows)
+        if not left:
             break
-        # pivots: the members with the fewest unshared shingles, as they are nearest to what the group has in common
-        near_common = F.struct("u", F.xxhash64("key", F.lit(r)).alias("h"), "key", "n", "pos", "comp")
-        pool = now.join(mains.select("token", "main"), "token")
-        if r:
-            pool = pool.where("comp <> main")
-        pivots = pool.groupBy("token").agg(F.min(near_common).alias("p"))
-        pivots = stored(pivots.select(F.col("token").alias("token_2"), *[F.col(f"p.{c}").alias(f"{c}_2") for c in ("key", "n", "pos", "comp")]), "pivots", rows)
-        near = stored(_verified(_candidates(now, pivots, num, den), sets, num, den), "links", rows)
-        links = near if links is None else links.unionByName(near)
-        labels = components(links)
-    # the exact rest: members outside their group's largest component, against the group's other components
-    minor = now.join(mains, "token").where("comp <> main").select(F.col("token").alias("token_2"), *[F.col(c).alias(f"{c}_2") for c in ("key", "n", "pos", "comp")])
-    rest = _verified(_candidates(now, stored(minor, "minor", rows), num, den), sets, num, den)
-    return components(rest if links is None else links.unionByName(rest))
+        now = now.join(mains, "token")
+        now = stored(now, "open", rows)
+        outside = now.where("comp <> main").drop("main")
+        now = now.drop("main")
+        if r < ROUNDS:  # pivots: the members with the fewest unshared shingles, as they are nearest to what the group has in common
+            near_common = F.struct("u", F.xxhash64("key", F.lit(r)).alias("h"), "key", "n", "pos", "comp")
+            pivots = (now if r == 0 else outside).groupBy("token").agg(F.min(near_common).alias("p"))
+            pivots = stored(pivots.select(F.col("token").alias("token_2"), *[F.col(f"p.{c}").alias(f"{c}_2") for c in ("key", "n", "pos", "comp")]), "pivots", rows)
+            pairs = _candidates(now, pivots, num, den)
+        else:  # the exact rest: members outside their group's largest component, against the group's other components
+            sketch = sets.select("key", "sketch")
+            pairs = _candidates(now.join(sketch, "key"), _other(outside.join(sketch, "key")), num, den, _differ_little(num, den))
+        found = stored(_verified(stored(pairs, "pairs", rows), sets, num, den), "links", rows)
+        links = found if links is None else links.unionByName(found)
+    return components(links if links is not None else sets.select(F.col("key").alias("a"), F.col("key").alias("b")).limit(0))
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: tuple[int, int] = (80, 100)) -> DataFrame:
