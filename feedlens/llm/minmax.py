@@ -7,8 +7,8 @@ key is a 64-bit hash of the set), so copies meet once whatever their number.
    on each shingle and retains both the minimum and the maximum under each: two signature values
    an evaluation, each an unbiased estimate of the similarity, their mean of lower variance than
    as many minima.  ``rows`` minima (and likewise maxima) of different permutations make a band.
-   With 80 permutations and 5 rows, 32 bands: a pair at 0.85 meets in none of them with
-   probability 7e-9, at 0.9 with 1e-12.
+   With 48 permutations and 4 rows, 24 bands: a pair at 0.85 meets in none of them with
+   probability 2e-8, at 0.9 with 8e-12.
 2. Bands of one class alone cannot give a candidate; what is left is the index.  Classes of one
    band's bucket are candidates.  In place of all pairs of a bucket, each round compares its
    members with one pivot (linear in the bucket; the most connected member, which is nearest to
@@ -25,7 +25,6 @@ Shingles are compared by a 64-bit hash.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,15 +33,14 @@ from pyspark.sql import functions as F
 
 from feedlens.llm.bytetext import mix, shingle_sets, text_blocks
 from feedlens.llm.components import components
+from feedlens.llm.sketches import apart, parity_sketches
 from feedlens.llm.storage import only, scratch, stored, stored_rows
 
-#: 64-bit words of a parity sketch
-SKETCH_WORDS = 16
 #: rounds of pivots before what is left is compared
-ROUNDS = 3
+ROUNDS = 2
 
-_ROWS = "doc_id bigint, ref bigint, key bigint, n int, bands array<bigint>, sketch array<bigint>, shingles array<bigint>"
-_ARROW = pa.schema([("doc_id", pa.int64()), ("ref", pa.int64()), ("key", pa.int64()), ("n", pa.int32()), ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64())), ("shingles", pa.list_(pa.int64()))])
+_ROWS = "doc_id bigint, ref bigint, key bigint, n int, bands array<bigint>, sketch array<bigint>"
+_ARROW = pa.schema([("doc_id", pa.int64()), ("ref", pa.int64()), ("key", pa.int64()), ("n", pa.int32()), ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))])
 
 
 def permuted(permutations: int, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
@@ -67,13 +65,6 @@ def band_keys(low: np.ndarray, high: np.ndarray, rows: int) -> np.ndarray:
     return np.stack([mix((mix(b) * factors).sum(axis=0) + np.uint64(k)) for k, b in enumerate(bands)], axis=1)
 
 
-def parity_sketches(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """One row of ``SKETCH_WORDS`` words per set: bit i is the parity of the elements that hash to i."""
-    bit = np.uint64(1) << ((h >> np.uint64(20)) & np.uint64(63))
-    word = (h >> np.uint64(26)) & np.uint64(SKETCH_WORDS - 1)
-    return np.stack([np.bitwise_xor.reduceat(np.where(word == w, bit, np.uint64(0)), starts) for w in range(SKETCH_WORDS)], axis=1)
-
-
 def _lists(values: np.ndarray, lengths: np.ndarray, present: np.ndarray) -> pa.Array:
     """Lists of the present rows, null for the others."""
     ends = np.cumsum(np.where(present, lengths, 0))
@@ -91,7 +82,7 @@ def _signed(width: int, permutations: int, rows: int):
                 if len(some):
                     starts = (np.cumsum(sizes) - sizes)[some]
                     keys[some] = mix(np.add.reduceat(mix(h ^ np.uint64(0x9E3779B97F4A7C15)), starts) + sizes[some].astype(np.uint64))
-                # a task gives each class's bands and set once
+                # a task gives each class's bands once
                 new = np.zeros(len(sizes), dtype=bool)
                 for d in some.tolist():
                     k = int(keys[d])
@@ -112,17 +103,16 @@ def _signed(width: int, permutations: int, rows: int):
                     pa.array(sizes.astype(np.int32)),
                     _lists(bands.ravel(), np.full(m, bands.shape[1]), new),
                     _lists(sketch.ravel(), np.full(m, sketch.shape[1]), new),
-                    _lists(h, sizes, new),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, schema=_ARROW)
 
     return run
 
 
-def signatures(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, permutations: int = 80, rows: int = 5) -> DataFrame:
-    """(doc_id, ref, key, n, bands, sketch, shingles) per row; ``ref`` is xxhash64 of the text, ``key`` its class (0: no shingles).
+def signatures(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, permutations: int = 48, rows: int = 4) -> DataFrame:
+    """(doc_id, ref, key, n, bands, sketch) per row; ``ref`` is xxhash64 of the text, ``key`` its class (0: no shingles).
 
-    bands, sketch and shingles are null where the same task has already given them for the class.
+    bands and sketch are null where the same task has already given them for the class.
     """
     if permutations % rows:
         raise ValueError("signatures: permutations must be a multiple of rows")
@@ -130,17 +120,39 @@ def signatures(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     return texts.mapInArrow(_signed(width, permutations, rows), _ROWS)
 
 
-def apart(a: str, b: str) -> Column:
-    """Bits in which two sketch columns differ."""
-    return reduce(Column.__add__, [F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(SKETCH_WORDS)])
+def _full_sets(width: int):
+    schema = pa.schema([("key", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, data, offsets in text_blocks(batch.column(1)):
+                _, h, sizes = shingle_sets(data, offsets, width)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(sizes)), _lists(h, sizes, np.ones(len(sizes), dtype=bool))], schema=schema)
 
-def _met(members: DataFrame, others: DataFrame, num: int, den: int) -> DataFrame:
-    """Distinct (a, b) of members and others (columns with _2) of one bucket and of different components that may link."""
+    return run
+
+
+def _may_link(num: int, den: int) -> Column:
+    """Length filter and sketches of two classes (n, sketch and n_2, sketch_2)."""
     most = F.col("n") + F.col("n_2") - 2 * F.ceil(num * (F.col("n") + F.col("n_2")) / F.lit(num + den))
-    sizes = den * F.least("n", "n_2") >= num * F.greatest("n", "n_2")
-    pairs = members.join(others, (F.col("token") == F.col("token_2")) & (F.col("comp") != F.col("comp_2")) & sizes & (apart("sketch", "sketch_2") <= most))
-    return pairs.select(F.least("key", "key_2").alias("a"), F.greatest("key", "key_2").alias("b")).distinct()
+    return (den * F.least("n", "n_2") >= num * F.greatest("n", "n_2")) & (apart("sketch", "sketch_2") <= most)
+
+
+def _other(members: DataFrame) -> DataFrame:
+    return members.select(*[F.col(c).alias(f"{c}_2") for c in members.columns])
+
+
+def _met(members: DataFrame, others: DataFrame, *also: Column) -> DataFrame:
+    """Distinct (a, b) of members and others (columns with _2) of one bucket and of different components."""
+    same = (F.col("token") == F.col("token_2")) & (F.col("comp") != F.col("comp_2"))
+    for condition in also:
+        same = same & condition
+    return members.join(others, same).select(F.least("key", "key_2").alias("a"), F.greatest("key", "key_2").alias("b")).distinct()
+
+
+def _filtered(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    side = classes.select("key", "n", "sketch")
+    return pairs.join(side.withColumnRenamed("key", "a"), "a").join(_other(side).withColumnRenamed("key_2", "b"), "b").where(_may_link(num, den)).select("a", "b")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -151,35 +163,36 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFra
     return pairs.join(side("a"), "a").join(side("b"), "b").where(common * (num + den) >= num * both).select("a", "b")
 
 
-def _other(members: DataFrame) -> DataFrame:
-    return members.select(*[F.col(c).alias(f"{c}_2") for c in ("token", "key", "n", "sketch", "comp")])
-
-
-def link_classes(index: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(node, component) of the classes of ``index`` (token, key, n, sketch, score) that link; ``sets`` has their shingles."""
-    now = index.withColumn("comp", F.col("key"))
+def link_classes(index: DataFrame, classes: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(node, component) of the classes that link: ``index`` (token, key), ``classes`` (key, n, sketch, score), ``sets`` (key, shingles)."""
+    now = index.join(classes.select("key", "score"), "key").withColumn("comp", F.col("key"))
     links = None
     for r in range(ROUNDS + 1):
-        if links is not None:
+        if links is not None:  # buckets of one component are done
             labels = components(links).withColumnRenamed("node", "key")
-            now = stored(index.join(labels, "key", "left").withColumn("comp", F.coalesce("component", "key")).drop("component"), "members")
-        # of each bucket with several components the largest one, the members outside it are left to compare
+            now = now.drop("comp").join(labels, "key", "left").withColumn("comp", F.coalesce("component", "key")).drop("component")
+        now = stored(now, "members")
+        # of each bucket with several components the largest one; the members outside it are left to compare
         sizes = now.groupBy("token", "comp").agg(F.count("*").alias("c")).groupBy("token").agg(F.max(F.struct("c", "comp")).alias("m"), F.count("*").alias("comps"))
         mains, left = stored_rows(sizes.where("comps > 1").select("token", F.col("m.comp").alias("main")), "mains")
         if not left:
             break
-        outside = now.join(mains, "token").where("comp <> main").drop("main")
+        now = stored(now.join(mains, "token"), "open")
+        outside = now.where("comp <> main")
         if r < ROUNDS:  # at first the pivot of all, then of those outside
-            pivot = (now if r == 0 else outside).groupBy("token").agg(F.min(F.struct((-F.col("score")).alias("minus"), "key", "n", "comp", "sketch")).alias("p"))
-            others = pivot.select(F.col("token").alias("token_2"), *[F.col(f"p.{c}").alias(f"{c}_2") for c in ("key", "n", "sketch", "comp")])
+            pivot = (now if r == 0 else outside).groupBy("token").agg(F.min(F.struct((-F.col("score")).alias("minus"), "key", "comp")).alias("p"))
+            pivot = stored(pivot.select(F.col("token").alias("token_2"), F.col("p.key").alias("key_2"), F.col("p.comp").alias("comp_2")), "pivots")
+            pairs = _filtered(stored(_met(now, pivot), "met"), classes, num, den)
         else:
-            others = _other(outside)
-        found = stored(_confirmed(stored(_met(now, stored(others, "others"), num, den), "pairs"), sets, num, den), "links")
+            full = classes.select("key", "n", "sketch")
+            pairs = _met(now.join(full, "key"), _other(outside.select("token", "key", "comp").join(full, "key")), _may_link(num, den))
+        now = now.drop("main")
+        found = stored(_confirmed(stored(pairs, "pairs"), sets, num, den), "links")
         links = found if links is None else links.unionByName(found)
     return components(links if links is not None else index.select(F.col("key").alias("a"), F.col("key").alias("b")).limit(0))
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: tuple[int, int] = (85, 100), permutations: int = 80, rows: int = 5) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: tuple[int, int] = (85, 100), permutations: int = 48, rows: int = 4) -> DataFrame:
     """One row per row of ``docs``: (doc_id, n_shingles, component_id, kept).
 
     Words are runs of anything but ASCII white space, after lower-casing A-Z; a set holds the
@@ -199,17 +212,22 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         once = signed.where("bands IS NOT NULL")
         banded = once.select("key", F.explode("bands").alias("token"))
         shared = banded.groupBy("token").agg(F.min("key").alias("least"), F.max("key").alias("most")).where("least < most").select("token")
-        buckets = stored(banded.join(shared, "token").distinct(), "buckets")
-        weight = buckets.groupBy("token").agg(F.count("*").alias("g"))
-        scores = stored(buckets.join(weight, "token").groupBy("key").agg(F.sum("g").alias("score")), "scores")
-        sets = stored(once.join(scores, "key").dropDuplicates(["key"]).select("key", "n", "score", "sketch", "shingles"), "sets")
-        index = stored(buckets.join(sets.drop("shingles"), "key").select("token", "key", "n", "score", "sketch"), "index")
-        linked = stored(link_classes(index, sets, num, den), "linked")
+        index = stored(banded.join(shared.hint("merge"), "token").distinct(), "index")
+        weight = index.groupBy("token").agg(F.count("*").alias("g"))
+        scores = index.join(weight, "token").groupBy("key").agg(F.sum("g").alias("score"))
+        first = F.min(F.struct("ref", "doc_id", "n", "sketch")).alias("f")
+        classes = stored(once.join(scores, "key").groupBy("key").agg(first, F.max("score").alias("score")).select("key", "f.*", "score"), "classes")
+        # full sets of the classes that meet another: the text of one document each is read again
+        texts = only(docs, id=id_col, text=text_col).select(F.col("id").cast("bigint"), F.xxhash64("text").alias("h"), F.col("text").cast("string"))
+        same = (F.col("h") == F.col("ref")) & F.col("id").eqNullSafe(F.col("doc_id"))
+        read = texts.join(classes.select("key", "ref", "doc_id").hint("merge"), same).select("key", "text").mapInArrow(_full_sets(width), "key bigint, shingles array<bigint>")
+        sets = stored(read.dropDuplicates(["key"]), "sets")
+        linked = stored(link_classes(index, classes, sets, num, den), "linked")
 
         least = signed.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("least"))
-        classes = stored(least.join(linked.withColumnRenamed("node", "key"), "key", "left").select("key", "least", F.coalesce("component", "key").alias("component")), "classes")
-        ids = classes.groupBy("component").agg(F.min("least").alias("id"))
-        named = classes.join(ids, "component").select("key", "id")
+        grouped = stored(least.join(linked.withColumnRenamed("node", "key"), "key", "left").select("key", "least", F.coalesce("component", "key").alias("component")), "grouped")
+        ids = grouped.groupBy("component").agg(F.min("least").alias("id"))
+        named = grouped.join(ids, "component").select("key", "id")
         component = F.when(F.col("n") > 0, F.col("id")).otherwise(F.col("doc_id"))
         found = signed.select("doc_id", "key", "n").join(named, "key", "left").select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), component.alias("component_id"))
         return stored(found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))), "near", keep=True)
