@@ -211,6 +211,64 @@ def user_activity_day(
     )
 
 
+# ---- co-located form ---------------------------------------------------------------
+#
+# The day's rollups as tables bucketed and sorted by user: written once, every join by user of
+# theirs reads its buckets side by side, without a shuffle.
+
+USER_TABLES = ("feed", "sent", "received", "message_users")
+
+
+def write_user_tables(feed: DataFrame, messages: DataFrame, day: dt.date | str, path: str, prefix: str, buckets: int) -> dict[str, str]:
+    """Write the feed, sent and received rollups of ``day``, and the users with messages, each bucketed by user.
+
+    Returns the table names ("<prefix>_feed" ...) in the session's catalog; the files lie under ``path``.
+    """
+    sent, received = messages_sent(messages, day), messages_received(messages, day)
+    sent = sent.where(F.col("users").isNotNull())  # as in ``message_user_day``: nobody's messages have receivers only
+    frames = {"feed": feed_user_day(feed, day), "sent": sent, "received": received}
+    frames["message_users"] = sent.select("users").unionByName(received.select("users")).distinct()
+    names = {}
+    for name in USER_TABLES:
+        names[name] = f"{prefix}_{name}"
+        frames[name].write.bucketBy(buckets, "users").sortBy("users").option("path", f"{path}/{name}").format("parquet").mode("overwrite").saveAsTable(names[name])
+    return names
+
+
+def message_user_day_from_tables(users: DataFrame, sent: DataFrame, received: DataFrame) -> DataFrame:
+    """``message_user_day`` as joins of the bucketed tables, from the users with messages out (no Exchange)."""
+    zero = F.lit(0).cast("bigint")
+    s = sent.withColumnRenamed("users", "sender")
+    r = received.select(F.col("users").alias("receiver"), "messages_received", "users_received")
+    j = users.join(s, F.col("users") == F.col("sender"), "left").join(r, F.col("users") == F.col("receiver"), "left")
+    sends = F.col("sender").isNotNull()
+    defaults = {"event_date": F.lit(dt.date(1970, 1, 1)), "gender": zero, "age": zero, "os": F.lit("")}
+    return j.select(
+        "users",
+        *[F.when(sends, F.col(c)).otherwise(d).alias(c) for c, d in defaults.items()],
+        *[F.coalesce(F.col(c), zero).alias(c) for c in MESSAGE_MEASURES],
+    )
+
+
+def user_activity_from_tables(feed_day: DataFrame, message_day: DataFrame) -> DataFrame:
+    """``user_activity_day`` from bucketed rollups: the sides meet by user, the other keys are compared in the join.
+
+    (As further join keys they would ask for a shuffle by all keys.)
+    """
+    rest = USER_DAY_KEYS[1:]
+    m = message_day.select(*[F.col(c).alias(f"m_{c}") if c in USER_DAY_KEYS else F.col(c) for c in message_day.columns])
+    same = F.col("users") == F.col("m_users")
+    for c in rest:
+        same = same & (F.col(c) <= F.col(f"m_{c}")) & (F.col(c) >= F.col(f"m_{c}"))
+    j = feed_day.join(m, same, "full")
+    zero = F.lit(0).cast("bigint")
+    side = F.col("m_users").isNotNull() & F.col("likes").isNull()  # a row of the messages alone
+    return j.select(
+        *[F.when(side, F.col(f"m_{c}")).otherwise(F.col(c)).alias(c) for c in USER_DAY_KEYS],
+        *[F.coalesce(F.col(c), zero).cast("bigint").alias(c) for c in FEED_MEASURES + MESSAGE_MEASURES],
+    )
+
+
 def _measure_sums() -> list[Column]:
     return [F.sum(c).cast("bigint").alias(c) for c in CUBE_MEASURES]
 

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.functions.hashing import md5_mod, split_key
+from feedlens.functions.hashing import md5_mod, split_key, unsigned_mod, xxhash64_plain
 from feedlens.functions.numeric import count_where
 from feedlens.functions.ranking import running_totals
 from feedlens.functions.time import day_range
@@ -109,13 +109,12 @@ def linearized_likes_pairs(uc: DataFrame, pairs) -> DataFrame:
 def with_bucket(uc: DataFrame, n_buckets: int = 50, salt: str = "bucket", hash_fn: str = "md5") -> DataFrame:
     """Adds the user's bucket.
 
-    ``hash_fn="md5"``: md5("<user_id>-<salt>") mod n_buckets (re-computable in
-    any SQL engine).  ``hash_fn="xxhash64"``: pmod(xxhash64(user_id), n) - the
-    same role as a 64-bit xxHash bucket, but Spark's xxhash64 is seeded, so the
-    bucket numbers differ from other engines'.
+    ``hash_fn="md5"``: md5("<user_id>-<salt>") mod n_buckets.  ``hash_fn="xxhash64"``: the
+    seed-0 xxHash64 of the user id's eight bytes as an unsigned integer, mod n_buckets
+    (``salt`` plays no part).  Both can be computed again in any SQL engine.
     """
     if hash_fn == "xxhash64":
-        return uc.withColumn("bucket", F.pmod(F.xxhash64("user_id"), F.lit(n_buckets)))
+        return uc.withColumn("bucket", unsigned_mod(xxhash64_plain(F.col("user_id")), n_buckets))
     if hash_fn != "md5":
         raise ValueError(f"unknown hash_fn {hash_fn!r}")
     return uc.withColumn("bucket", md5_mod(split_key("user_id", salt), n_buckets))

@@ -105,3 +105,60 @@ def _count_status(st: DataFrame) -> DataFrame:
     return st.groupBy("this_week", "prev_week", "user_status").agg(
         F.when(F.col("user_status") == "lost", -n).otherwise(n).cast("bigint").alias("num_users")
     ).orderBy("this_week", "user_status")
+
+
+# ---- bit-set form -------------------------------------------------------------------
+#
+# A user's active weeks as bits: one row per user and span of SPAN weeks.  Bit 1 .. SPAN are
+# the span's weeks, bit 0 and bit SPAN + 1 the weeks before and after it, which the neighbouring
+# spans hold too.  So each row tells by shifts and masks what its user's weeks are, and a daily load is
+# a bit-or with the table so far.
+
+SPAN = 60
+_FIRST_MONDAY = dt.date(1970, 1, 5)
+_OWN_WEEKS = ((1 << SPAN) - 1) << 1
+
+WEEK_BITS_SCHEMA = "user_id bigint, span bigint, weeks bigint"
+
+
+def week_bits(active: DataFrame, time_col: str = "time") -> DataFrame:
+    """(user_id, span, weeks): the bit set of each user's active weeks, from rows of (user_id, ``time_col``)."""
+    number = F.floor(F.date_diff(F.to_date(time_col), F.lit(_FIRST_MONDAY)) / 7)
+    span, place = F.floor(number / SPAN), F.pmod(number, F.lit(SPAN)) + 1
+    bit = lambda at: F.expr(f"shiftleft(1L, cast({at} as int))")
+    rows = active.where(F.col("user_id").isNotNull() & F.col(time_col).isNotNull()).select("user_id", span.alias("span"), place.alias("place"))
+    own = F.struct(F.col("span").alias("span"), bit("place").alias("weeks"))
+    before = F.when(F.col("place") == 1, F.struct((F.col("span") - 1).alias("span"), bit(f"{SPAN + 1}").alias("weeks")))
+    after = F.when(F.col("place") == SPAN, F.struct((F.col("span") + 1).alias("span"), bit("0").alias("weeks")))
+    spread = rows.select("user_id", F.explode(F.array(own, before, after)).alias("s")).where("s IS NOT NULL")
+    return merge_week_bits(spread.select("user_id", "s.span", "s.weeks"))
+
+
+def merge_week_bits(*parts: DataFrame) -> DataFrame:
+    """One bit set per (user_id, span) from any number of them (a daily load: the table so far and the day's)."""
+    rows = parts[0]
+    for more in parts[1:]:
+        rows = rows.unionByName(more)
+    return rows.groupBy("user_id", "span").agg(F.bit_or("weeks").alias("weeks"))
+
+
+def retention_from_week_bits(bits: DataFrame, as_of: dt.date | str) -> DataFrame:
+    """``retention`` (in no order) from the bit sets: no window, no sort, no raw events."""
+    weeks, mask = F.col("weeks"), F.lit(_OWN_WEEKS)
+    week_before = F.shiftleft(weeks, 1)  # bit i: active in the week before week i
+    masks = {
+        "retained": weeks.bitwiseAND(week_before),
+        "new": weeks.bitwiseAND(F.bitwise_not(week_before)),
+        "lost": F.bitwise_not(weeks).bitwiseAND(week_before),
+    }
+    marks = F.array(*[F.struct(F.lit(name).alias("user_status"), m.bitwiseAND(mask).alias("bits")) for name, m in masks.items()])
+    each = bits.select("span", F.explode(marks).alias("m")).where("m.bits <> 0")
+    # users of one span with equal bits are counted together before the bits are taken apart
+    each = each.groupBy("span", "m.user_status", "m.bits").agg(F.count(F.lit(1)).alias("users"))
+    at = F.explode(F.filter(F.sequence(F.lit(1), F.lit(SPAN)), lambda i: F.call_function("getbit", F.col("bits"), i) == 1))
+    per = each.select("span", "user_status", "users", at.alias("at"))
+    counts = per.groupBy("span", "at", "user_status").agg(F.sum("users").alias("users"))
+    this_week = F.date_add(F.lit(_FIRST_MONDAY), ((F.col("span") * SPAN + F.col("at") - 1) * 7).cast("int"))
+    next_week = monday_py(as_date(as_of)) + dt.timedelta(days=7)
+    out = counts.select(this_week.alias("this_week"), F.date_sub(this_week, 7).alias("prev_week"), "user_status", F.when(F.col("user_status") == "lost", -F.col("users")).otherwise(F.col("users")).alias("num_users"))
+    return out.where((F.col("user_status") != "lost") | (F.col("this_week") != F.lit(next_week)))

@@ -8,13 +8,15 @@ places (p-values included) so results compare exactly with the SQL oracle.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlens.functions.numeric import round_doubles
-from feedlens.operators import activity, alerts, audience, retention
+from feedlens.functions.time import day_range, to_monday
+from feedlens.operators import activity, alerts, audience, retention, uniques
 from feedlens.operators.experiments import distribution, metrics, resample, split, twosample
 from feedlens.plans.params import DEFAULT, DIGITS, Params
 from feedlens.session import shared_dir
@@ -76,6 +78,22 @@ def build(p: Params = DEFAULT) -> dict[str, Query]:
     def _(feed, msgs, spark):
         return activity.user_activity_day(feed, msgs, y)
 
+    def _user_tables(feed, msgs, spark):
+        path = shared_dir(spark, "user_tables")
+        prefix = "user_tables_" + path.rsplit("/", 1)[-1]
+        names = activity.write_user_tables(feed, msgs, y, path, prefix, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        return [spark.table(names[n]) for n in activity.USER_TABLES]
+
+    @reg("message_user_day_bucketed")
+    def _(feed, msgs, spark):
+        _, sent, received, users = _user_tables(feed, msgs, spark)
+        return activity.message_user_day_from_tables(users, sent, received)
+
+    @reg("user_activity_day_bucketed")
+    def _(feed, msgs, spark):
+        feed_day, sent, received, users = _user_tables(feed, msgs, spark)
+        return activity.user_activity_from_tables(feed_day, activity.message_user_day_from_tables(users, sent, received))
+
     @reg("metrics_cube")
     def _(feed, msgs, spark):
         return activity.daily_metrics_cube(feed, msgs, y)
@@ -133,6 +151,51 @@ def build(p: Params = DEFAULT) -> dict[str, Query]:
         retention.write_user_days(feed, path)
         return retention.retention_from_user_days(retention.read_user_days(spark, path), p.as_of)
 
+    @reg("retention_bitmap")
+    def _(feed, msgs, spark):
+        # the bit sets of the weeks before as_of's, then the later days merged into them, as a daily load does
+        path = shared_dir(spark, "week_bits")
+        start = F.lit(p.as_of - dt.timedelta(days=7))
+        retention.week_bits(feed.where(F.col("time") < start)).write.parquet(path + "/old")
+        old = spark.read.schema(retention.WEEK_BITS_SCHEMA).parquet(path + "/old")
+        retention.merge_week_bits(old, retention.week_bits(feed.where(F.col("time") >= start))).write.parquet(path + "/new")
+        return retention.retention_from_week_bits(spark.read.schema(retention.WEEK_BITS_SCHEMA).parquet(path + "/new"), p.as_of)
+
+    @reg("uniques_by_week_sketches")
+    def _(feed, msgs, spark):
+        path = shared_dir(spark, "daily_sketches")
+        uniques.write_daily_sketches(feed, path)
+        approx = uniques.merged_uniques(uniques.read_daily_sketches(spark, path), to_monday("event_date").alias("week"), "os")
+        exact = feed.where(F.col("user_id").isNotNull()).groupBy(to_monday("time").alias("week"), "os").agg(F.count_distinct("user_id").alias("users_exact"))
+        return uniques.sketch_check(exact, approx, ["week", "os"])
+
+    @reg("uniques_window_sketches")
+    def _(feed, msgs, spark):
+        # the report window, by gender, merged from its days
+        path = shared_dir(spark, "daily_sketches")
+        first, last = p.window
+        uniques.write_daily_sketches(feed, path, first, last)
+        approx = uniques.merged_uniques(uniques.read_daily_sketches(spark, path), "gender")
+        rows = feed.where(day_range(feed, first, last) & F.col("user_id").isNotNull())
+        return uniques.sketch_check(rows.groupBy("gender").agg(F.count_distinct("user_id").alias("users_exact")), approx, ["gender"])
+
+    def _bitmaps(feed, msgs, spark):
+        first, last = p.window
+        stored = []
+        for name, table in (("feed", feed), ("messages", msgs)):
+            path = shared_dir(spark, "daily_bitmaps", name)
+            uniques.write_daily_bitmaps(table, path, first, last)
+            stored.append(uniques.read_daily_bitmaps(spark, path))
+        return uniques.audience_from_bitmaps(*stored)
+
+    @reg("dau_total_bitmaps")
+    def _(feed, msgs, spark):
+        return _bitmaps(feed, msgs, spark).select("date", "users")
+
+    @reg("dau_both_bitmaps")
+    def _(feed, msgs, spark):
+        return _bitmaps(feed, msgs, spark).where("both_users > 0").select("date", F.col("both_users").alias("DAU"))
+
     # ---- alerts ----------------------------------------------------------------
     @reg("feed_15min")
     def _(feed, msgs, spark):
@@ -201,6 +264,10 @@ def build(p: Params = DEFAULT) -> dict[str, Query]:
     def _(feed, msgs, spark):
         return resample.poisson_bootstrap(_uc(feed, p, p.ab_groups), A, B, p.n_bootstrap, p.boot_salt)
 
+    @reg("poisson_bootstrap_classes")
+    def _(feed, msgs, spark):
+        return resample.poisson_bootstrap_classes(_uc(feed, p, p.ab_groups), A, B, p.n_bootstrap, p.boot_salt)
+
     @reg("bootstrap_diff")
     def _(feed, msgs, spark):
         boot = resample.poisson_bootstrap(_uc(feed, p, p.ab_groups), A, B, p.n_bootstrap, p.boot_salt)
@@ -210,9 +277,11 @@ def build(p: Params = DEFAULT) -> dict[str, Query]:
     def _(feed, msgs, spark):
         return metrics.bucket_ctr(_uc(feed, p, p.ab_groups), p.n_buckets, p.bucket_salt, p.bucket_q)
 
-    @reg("bucket_tests")
+    @reg("bucket_ctr_xxhash")
     def _(feed, msgs, spark):
-        b = metrics.bucket_sums(_uc(feed, p, p.ab_groups), p.n_buckets, p.bucket_salt)
+        return metrics.bucket_ctr(_uc(feed, p, p.ab_groups), p.n_buckets, q=p.bucket_q, hash_fn="xxhash64")
+
+    def _bucket_tests(b):
         w = twosample.welch_ttest(b, "exp_group", "bucket_ctr", A, B).select(
             F.lit("welch").alias("test"), "group_a", "group_b", "n_a", "n_b",
             F.col("t_stat").alias("statistic"), "p_value",
@@ -223,6 +292,14 @@ def build(p: Params = DEFAULT) -> dict[str, Query]:
         )
         return w.unionByName(m)
 
+    @reg("bucket_tests")
+    def _(feed, msgs, spark):
+        return _bucket_tests(metrics.bucket_sums(_uc(feed, p, p.ab_groups), p.n_buckets, p.bucket_salt))
+
+    @reg("bucket_tests_xxhash")
+    def _(feed, msgs, spark):
+        return _bucket_tests(metrics.bucket_sums(_uc(feed, p, p.ab_groups), p.n_buckets, hash_fn="xxhash64"))
+
     @reg("linearized_likes")
     def _(feed, msgs, spark):
         groups = sorted({g for pair in p.lin_pairs for g in pair})
@@ -264,7 +341,7 @@ def build(p: Params = DEFAULT) -> dict[str, Query]:
         return distribution.histogram(b, "bucket_ctr", p.hist_bins, ["exp_group"])
 
     def _aa(feed):
-        return resample.aa_test(_uc(feed, p, p.aa_groups), AA, AB, p.n_sims, p.k, p.aa_salt)
+        return resample.aa_test(_uc(feed, p, p.aa_groups), AA, AB, p.n_sims, p.k, p.aa_salt, fit=True)
 
     def _p_values(feed, spark):
         """The p-values of the A/A test, one row per simulation, computed once: what follows reads them several times."""

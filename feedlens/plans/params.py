@@ -33,10 +33,9 @@ class Params:
     aa_groups: tuple[int, int] = (2, 3)
     lin_pairs: tuple[tuple[int, int], ...] = ((0, 3), (1, 2))
     alpha_smooth: float = SMOOTHING_ALPHA
-    # the analysed notebooks' sizes; only the sample per group is smaller: the smallest
-    # experiment group of the small test tables has few users with a defined CTR
+    # the analysed notebooks' sizes; where a group has fewer than 2 k users, half of the smaller one is drawn
     n_sims: int = 10_000
-    k: int = 10
+    k: int = 500
     aa_salt: str = "aa"
     n_bootstrap: int = 2_000
     boot_salt: str = "boot"

@@ -69,7 +69,8 @@ def check_columns(df: DataFrame, schema: T.StructType, name: str) -> DataFrame:
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    """The generic events table; its schema is declared, so building a query reads no footers."""
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
 def _load(spark: SparkSession, path: str | None, fmt: str, options: dict) -> DataFrame:

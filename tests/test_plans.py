@@ -98,7 +98,9 @@ TWO_TABLES = {
 }
 # the A/A draws count the users of a group beside numbering them; the sketch has an aggregate of its own
 TWO_BRANCHES = {"aa_test", "aa_false_positive_rate", "approx_uniques"}
-WRITES = {"pvalue_histogram", "pvalue_qq", "pvalue_qq_fit", "metrics_cube_sink", "retention_incremental", "feed_15min_stream", "anomaly_alerts_stream"}
+WRITES = {"pvalue_histogram", "pvalue_qq", "pvalue_qq_fit", "metrics_cube_sink", "retention_incremental", "feed_15min_stream", "feed_15min_corrected_stream", "anomaly_alerts_stream",
+          "retention_bitmap", "uniques_by_week_sketches", "uniques_window_sketches", "dau_total_bitmaps", "dau_both_bitmaps",
+          "message_user_day_bucketed", "user_activity_day_bucketed"}
 
 
 def test_each_table_is_read_once(spark, qs):
@@ -108,3 +110,14 @@ def test_each_table_is_read_once(spark, qs):
         plan = _plan(spark, q(spark, SF))
         scans = len(re.findall(r"FileScan parquet", plan))
         assert scans == (2 if name in TWO_TABLES | TWO_BRANCHES else 1), (name, scans)
+
+
+def test_bucketed_joins_have_no_exchange(spark, qs):
+    """J1 and J2 over tables bucketed by user: both joins read their buckets side by side."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, joins in (("message_user_day_bucketed", 2), ("user_activity_day_bucketed", 3)):
+            plan = _plan(spark, qs[name](spark, SF))
+            assert "Exchange" not in plan and len(re.findall(r"SortMergeJoin", plan)) >= joins, plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -88,12 +88,6 @@ def test_t_tail_with_many_degrees_of_freedom(nu):
         assert abs(t_sf2(np.array([t]), np.array([nu]))[0] - (1 - 2 * inside)) < 1e-9
 
 
-def test_xxhash_buckets(spark):
-    users = spark.range(20_000).select(F.lit(1).alias("exp_group"), F.col("id").alias("user_id"), F.lit(1).cast("long").alias("likes"), F.lit(2).cast("long").alias("views"), F.lit(0.5).alias("ctr"))
-    sums = metrics.bucket_sums(users, 10, "s", hash_fn="xxhash64").collect()
-    assert sorted(r.bucket for r in sums) == list(range(10))
-
-
 def test_checkpoint_dir_is_needed_on_a_cluster(spark, monkeypatch):
     from feedlens import session
 

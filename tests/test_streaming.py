@@ -105,3 +105,39 @@ def test_replayed_batch_is_idempotent(spark, tmp_path):
     alert_batch(spark, per_user, 0, series, out)  # replay after a failure
     again = (spark.read.schema(SERIES_SCHEMA).parquet(series).count(), spark.read.parquet(out).count())
     assert first == again == (12 * 6, 12 * 6)
+
+
+def test_late_file_corrects_exactly_its_buckets(spark, tmp_path):
+    from feedlens.streaming import corrections
+    from feedlens.streaming.alerts_stream import read_event_stream
+
+    t0 = dt.datetime(2024, 1, 29, 22)
+    names = [f.name for f in ev.EVENTS_SCHEMA]
+
+    def write(rows, first):
+        full = [tuple(({n: None for n in names} | {"event_id": first + i, "user_id": u, "ts": t0 + dt.timedelta(minutes=m), "event_type": kind, "props": "7"})[n] for n in names) for i, (u, m, kind) in enumerate(rows)]
+        spark.createDataFrame(full, ev.EVENTS_SCHEMA).coalesce(1).write.mode("append").parquet(src)
+
+    src, base = str(tmp_path / "events"), str(tmp_path / "out")
+
+    def run():
+        corrections.start_corrected_15min(spark, read_event_stream(spark, src), base).awaitTermination()
+        return {(r.date_time, r.source): tuple(r)[2:] for r in corrections.current_buckets(spark, base).collect()}
+
+    kinds = ("view", "click", "signup")
+    write([(k % 5, 7 * k, kinds[k % 3]) for k in range(60)], 0)
+    first = run()
+    late = [(1, 3, "view"), (99, 4, "click"), (2, 200, "signup"), (None, 100, "view")]  # after buckets of minute 413 are written
+    write(late, 1000)
+    second = run()
+    assert {k for k in second if second[k] != first.get(k)} == {(t0, "feed"), (t0 + dt.timedelta(minutes=195), "messages")}
+    versions = corrections.read_versions(spark, base).groupBy("date_time", "source").count().where("count > 1").collect()
+    assert {(r.date_time, r.source) for r in versions} == {(t0, "feed"), (t0 + dt.timedelta(minutes=195), "messages")}
+    # the whole history: the batch result with the late rows
+    e = spark.read.schema(ev.EVENTS_SCHEMA).parquet(src)
+    batch = {r.date_time: r for r in alerts.feed_15min(ev.feed_actions(e), t0 + dt.timedelta(hours=12)).collect()}
+    got = {r.date_time: r for r in corrections.corrected_feed_15min(spark, base).collect()}
+    assert got.keys() == {t for t in batch if batch[t].users_feed} and all(got[t] == batch[t] for t in got)
+    before = sorted(map(str, corrections.read_versions(spark, base).collect()))
+    corrections.correct_batch(spark, spark.read.schema(corrections.USERS_SCHEMA).parquet(f"{base}/users").where("batch_id = 1").drop("date", "batch_id"), 1, base)
+    assert sorted(map(str, corrections.read_versions(spark, base).collect())) == before  # a replayed batch replaces its own
