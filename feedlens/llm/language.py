@@ -9,6 +9,11 @@ the corpus: grouped aggregation sums the texts' posterior shares per declared va
 suffix, per domain and per host.  Declared values and suffixes enter as P(value | language); the
 host enters as prior, smoothed towards its domain, that towards all documents, and without the
 document's own share.  Texts are read once; everything else works on narrow rows.
+
+Shares travel as sparse lists (language, share), so plans, rows and sums do not widen with the
+number of languages; a share under ``LEAST_SHARE`` is none.  A declared language is a well-formed
+tag's primary subtag; whatever else is declared says nothing.  Every declared language is learned,
+however few its texts.
 """
 
 from __future__ import annotations
@@ -17,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -25,10 +31,10 @@ from feedlens.llm.bytetext import text_blocks
 from feedlens.llm.storage import stored
 
 UNKNOWN = "und"
-#: rows that are enough for a language of its own, whatever their share
-ENOUGH_ROWS = 40
 #: distinct texts that a language's sample may have at least
-LEAST_SAMPLE = 500
+LEAST_SAMPLE = 100
+#: smaller posterior shares of a text count as none
+LEAST_SHARE = 1e-9
 #: letters and blank as small codes; every other ASCII byte is a blank
 _CODE = np.zeros(256, dtype=np.int64)
 _CODE[97:123] = _CODE[65:91] = np.arange(1, 27)
@@ -47,63 +53,76 @@ def _trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return doc[:-2][keep], ((c[:-2] * _BASE + c[1:-1]) * _BASE + c[2:])[keep]
 
 
+def declared_language(tag: Column) -> Column:
+    """The primary subtag of a well-formed language tag, lower case; null for anything else and for ``und``."""
+    found = F.regexp_extract(F.lower(F.btrim(tag.cast("string"))), r"^([a-z]{2,8})([-_][a-z0-9]{1,8})*$", 1)
+    return F.when((found != "") & (found != UNKNOWN), found)
+
+
 def _count(languages: list[str]):
     schema = pa.schema([("language", pa.int32()), ("gram", pa.int32()), ("n", pa.int64())])
+    place = {x: i for i, x in enumerate(languages)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = [np.zeros(0, np.int64)] * len(languages)
-        place = {x: i for i, x in enumerate(languages)}
         for batch in batches:
             own = np.array([place[x] for x in batch.column(0).to_pylist()], np.int64)
             for first, data, offsets in text_blocks(batch.column(1)):
                 doc, gram = _trigrams(data, offsets)
-                of = own[first + doc]
-                for i in range(len(languages)):
-                    n = np.bincount(gram[of == i], minlength=len(total[i]))
-                    n[: len(total[i])] += total[i]
-                    total[i] = n
-        for i, n in enumerate(total):
-            at = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), i, np.int32)), pa.array(at.astype(np.int32)), pa.array(n[at])], schema=schema)
+                both, n = np.unique(own[first + doc] * _BASE**3 + gram, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array((both // _BASE**3).astype(np.int32)), pa.array((both % _BASE**3).astype(np.int32)), pa.array(n)], schema=schema)
 
     return run
 
 
 class TextModel:
-    """log likelihood of a trigram per language, the background last."""
+    """Smoothed log likelihoods of trigrams per language, by what a trigram adds to an unseen one."""
 
     def __init__(self, languages: list[str], counts: pa.Table, smoothing: float = 0.1) -> None:
         self.languages = languages
-        gram = counts["gram"].to_numpy()
-        self.grams, at = np.unique(gram, return_inverse=True)
-        n = np.zeros((len(self.grams) + 1, len(languages)))
-        np.add.at(n, (at, counts["language"].to_numpy()), counts["n"].to_numpy())
-        kinds = len(self.grams) + 1
-        self.logs = np.log((n + smoothing) / (n.sum(axis=0) + smoothing * kinds))
+        gram, language, n = (counts[c].to_numpy() for c in ("gram", "language", "n"))
+        order = np.lexsort((language, gram))
+        gram, self.language, n = gram[order], language[order].astype(np.int64), n[order]
+        self.grams, self.start = np.unique(gram, return_index=True)
+        self.size = np.diff(np.concatenate((self.start, [len(gram)])))
+        total = np.bincount(self.language, weights=n, minlength=len(languages)) + smoothing * (len(self.grams) + 1)
+        self.unseen = np.log(smoothing / total)
+        self.adds = np.log((n + smoothing) / total[self.language]) - self.unseen[self.language]
         # the background spreads itself over all letter pairs with a blank or letter: 27 ASCII codes at least
-        self.logs = np.column_stack((self.logs, np.full(kinds, -np.log(max(kinds, 27.0**3)))))
+        self.background = -np.log(max(len(self.grams) + 1, 27.0**3))
+
+    def index(self) -> np.ndarray:
+        """Per code of a trigram its place among the grams, or one behind the last."""
+        out = np.full(_BASE**3, len(self.grams), np.int32)
+        out[self.grams] = np.arange(len(self.grams))
+        return out
 
     def sums(self, data: np.ndarray, offsets: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(number of trigrams, log likelihood per language and background) of each text."""
-        n = len(offsets) - 1
+        """(number of trigrams, log likelihood per language, the background last) of each text."""
+        n_docs, m = len(offsets) - 1, len(self.languages)
         doc, gram = _trigrams(data, offsets)
-        rows = index[gram]
-        out = np.column_stack([np.bincount(doc, weights=self.logs[rows, i], minlength=n) for i in range(self.logs.shape[1])])
-        return np.bincount(doc, minlength=n), out
-
-
-def learn_text_model(labelled: DataFrame, *, text_col: str = "text", language_col: str = "lang", sample_rows: int = 8000, min_share: float = 0.005) -> TextModel:
+        n = np.bincount(doc, minlength=n_docs)
+        at = index[gram]
+        seen = at < len(self.grams)
+        at, doc = at[seen], doc[seen]
+        size = self.size[at]
+        ends = np.cumsum(size)
+        entry = np.repeat(self.start[at] - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)
+        out = np.empty((n_docs, m + 1))
+        out[:, :m] = np.bincount(np.repeat(doc, size) * m + self.language[entry], weights=self.adds[entry], minlength=n_docs * m).reshape(n_docs, m)
+        out[:, :m] += n[:, None] * self.unseen
+        out[:, m] = n * self.background
+        return n, out
+
+
+def learn_text_model(labelled: DataFrame, *, text_col: str = "text", language_col: str = "lang", sample_rows: int = 8000) -> TextModel:
     """Trigram model from distinct texts with a declared language: of each language those of smallest hash.
 
-    Languages: declared values with at least ``min_share`` of all such rows, or ``ENOUGH_ROWS``
-    of them.  Each has a sample of its own, of ``sample_rows`` divided by the languages, but at least
-    ``LEAST_SAMPLE`` texts.
+    Every language that a text declares is learned.  Each has a sample of its own, of ``sample_rows``
+    divided by the languages, but ``LEAST_SAMPLE`` texts at least, if it has them.
     """
-    rows = labelled.select(F.lower(F.btrim(F.col(f"`{language_col}`").cast("string"))).alias("language"), F.col(f"`{text_col}`").cast("string").alias("text")).where("text <> '' AND language <> ''")
+    rows = labelled.select(declared_language(F.col(f"`{language_col}`")).alias("language"), F.col(f"`{text_col}`").cast("string").alias("text")).where("text <> '' AND language IS NOT NULL")
     rows = rows.withColumn("h", F.xxhash64("text"))
-    declared = stored(rows.groupBy("language").agg(F.count("*").alias("n"), F.approx_count_distinct("h").alias("texts")), "declared")
-    total = declared.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    sizes = {r["language"]: r["texts"] for r in declared.where((F.col("n") >= min(min_share * total, ENOUGH_ROWS)) & (F.col("language") != UNKNOWN)).collect()}
+    sizes = {r["language"]: r["texts"] for r in rows.groupBy("language").agg(F.approx_count_distinct("h").alias("texts")).collect()}  # one row per language
     languages = sorted(sizes)
     each = max(LEAST_SAMPLE, sample_rows // max(1, len(languages)))
 
@@ -125,17 +144,100 @@ def learn_text_model(labelled: DataFrame, *, text_col: str = "text", language_co
     return TextModel(languages, counts)
 
 
-def _likelihoods(model: TextModel, columns: int, schema: pa.Schema):
+def _sparse(shares: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """Lists of the languages with a share, and of the shares, of each row."""
+    row, language = np.nonzero(shares)
+    ends = pa.array(np.concatenate(([0], np.cumsum(np.bincount(row, minlength=len(shares))))), pa.int32())
+    return pa.ListArray.from_arrays(ends, pa.array(language.astype(np.int32))), pa.ListArray.from_arrays(ends, pa.array(shares[row, language]))
+
+
+def _dense(languages: pa.Array, shares: pa.Array, m: int) -> np.ndarray:
+    """The rows of two list columns as a matrix; null lists are zeros."""
+    out = np.zeros((len(languages), m))
+    size = pc.list_value_length(languages).fill_null(0).to_numpy(zero_copy_only=False)
+    out[np.repeat(np.arange(len(out)), size), languages.flatten().to_numpy(zero_copy_only=False)] = shares.flatten().to_numpy(zero_copy_only=False)
+    return out
+
+
+def text_shares(n: np.ndarray, ll: np.ndarray, max_trigrams: int, background_prior: float) -> np.ndarray:
+    """Posterior of each language, the background last, from a text's own trigrams; all alike for a text without."""
+    m = ll.shape[1] - 1
+    temper = np.minimum(1.0, max_trigrams / np.maximum(n, 1))
+    prior = np.append(np.full(m, (1 - background_prior) / max(1, m)), background_prior)
+    w = np.where(n[:, None] > 0, np.exp((ll - ll.max(axis=1, keepdims=True)) * temper[:, None]) * prior, 1.0)
+    return w / w.sum(axis=1, keepdims=True)
+
+
+def _read_texts(model: TextModel, fields: list[pa.Field], max_trigrams: int, background_prior: float):
+    lists = [("n_trigrams", pa.int64()), ("languages", pa.list_(pa.int32())), ("shares", pa.list_(pa.float64())), ("background", pa.float64())]
+    schema = pa.schema([*fields, *[pa.field(*x) for x in lists]])
+    m = len(model.languages)
+    block_bytes = max(1 << 15, (8 << 20) // max(4, m))  # a block's matrix and entries widen with the languages
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = np.full(_BASE**3, len(model.grams), np.int32)
-        index[model.grams] = np.arange(len(model.grams))
+        index = model.index()
         for batch in batches:
-            n = np.zeros(batch.num_rows, np.int64)
-            ll = np.zeros((batch.num_rows, model.logs.shape[1]))
-            for first, data, offsets in text_blocks(batch.column(columns)):
-                stop = first + len(offsets) - 1
-                n[first:stop], ll[first:stop] = model.sums(data, offsets, index)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:columns], pa.array(n), *[pa.array(x) for x in ll.T]], schema=schema)
+            for first, data, offsets in text_blocks(batch.column(len(fields)), block_bytes):
+                n, ll = model.sums(data, offsets, index)
+                t = text_shares(n, ll, max_trigrams, background_prior)
+                shares = np.where((n[:, None] > 0) & (t[:, :m] >= LEAST_SHARE), t[:, :m], 0.0)
+                own = [c.slice(first, len(n)) for c in batch.columns[: len(fields)]]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(n.astype(np.int64)), *_sparse(shares), pa.array(t[:, m])], schema=schema)
+
+    return run
+
+
+def fuse(
+    shares: np.ndarray,
+    background: np.ndarray,
+    letters: np.ndarray,
+    everywhere: np.ndarray,
+    priors: list[tuple[np.ndarray, np.ndarray]],
+    evidence: list[np.ndarray],
+    smoothing: float,
+) -> tuple[np.ndarray, np.ndarray]:
+    """(place of the best language, its posterior) of each row.
+
+    ``priors``: per level, from the widest, (summed shares of the row's value, whether it is known);
+    ``evidence``: log likelihoods to add.
+    """
+    own = np.where(letters[:, None], shares, 0.0)
+    p = np.broadcast_to(everywhere, shares.shape)
+    for summed, known in priors:
+        others = np.where(known[:, None], summed - own, 0.0)
+        p = (np.maximum(others, 0.0) + smoothing * p) / (np.maximum(others.sum(axis=1), 0.0) + smoothing)[:, None]
+    logs = np.log(np.maximum(shares, 1e-300)) + np.log(p) + sum(evidence)
+    best = logs.argmax(axis=1)
+    mass = np.exp(logs - logs.max(axis=1, keepdims=True)).sum(axis=1)
+    return best, (1 - background) / mass
+
+
+def _fused(model: TextModel, fields: list[pa.Field], everywhere: np.ndarray, totals: np.ndarray, kinds: dict[str, int], levels: list[str], smoothing: float, min_confidence: float):
+    names = list(model.languages)
+    m = len(names)
+    added = [("text_key", pa.int64()), ("n_trigrams", pa.int64()), ("language", pa.string()), ("confidence", pa.float64()), ("text_language", pa.string()), ("kept", pa.bool_())]
+    schema = pa.schema([*fields, *[pa.field(*x) for x in added]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = np.array(names, object)
+        rows = max(1, (1 << 20) // m)
+        for whole in batches:
+            for first in range(0, whole.num_rows, rows):
+                batch = whole.slice(first, rows)
+                n, background = batch["n_trigrams"].to_numpy(), batch["background"].to_numpy()
+                letters = n > 0
+                t = np.where(letters[:, None], _dense(batch["languages"], batch["shares"], m), 1.0 / (m + 1))
+                summed = {v: (_dense(batch[f"{v}_languages"], batch[f"{v}_shares"], m), batch[f"{v}_languages"].is_valid().to_numpy(zero_copy_only=False)) for v in [*levels, *kinds]}
+                evidence = [np.where(summed[v][1][:, None], np.log((summed[v][0] + 1.0 / k) / (totals + 1.0)), 0.0) for v, k in kinds.items()]
+                best, confidence = fuse(t, background, letters, everywhere, [summed[v] for v in levels], evidence, smoothing)
+                sure = (background < 0.5) & (confidence >= min_confidence)
+                declared = np.array(batch["declared"].to_pylist(), object)
+                unlearned = np.array([x is not None and x not in names for x in declared], dtype=bool)
+                language = np.where(letters & unlearned & ~sure, declared, place[best])
+                text = np.where(letters & (background < t.max(axis=1)), place[t.argmax(axis=1)], UNKNOWN)
+                own = [batch[f.name] for f in fields]
+                out = [batch["text_key"], batch["n_trigrams"], pa.array(language, pa.string()), pa.array(confidence), pa.array(text, pa.string()), pa.array(letters & (sure | unlearned))]
+                yield pa.RecordBatch.from_arrays([*own, *out], schema=schema)
 
     return run
 
@@ -174,102 +276,72 @@ def identify(
     ``text_language`` goes by the text alone.  A document is rejected (kept = false) if it has no
     trigram of letters (null, empty, digits only), if the background explains it best, or if the
     confidence is under ``min_confidence``.  The last two never reject a document whose declared
-    language is not in the model (too few rows to learn from): it keeps the declared one.  Absent or null evidence says nothing; a null or
-    unseen host has its domain's, else the global prior.  Repeated rows are judged each, and each
-    counts for its host.  A model without languages rejects everything; an empty table gives no rows.
+    language is not in the model (none of its texts was there to learn from): it keeps the declared
+    one.  Absent, null or ill-formed evidence says nothing; a null or unseen host has its domain's,
+    else the global prior.  Repeated rows are judged each, and each counts for its host.  A model
+    without languages rejects everything; an empty table gives no rows.  ``keep`` may name any column
+    but those added here.
     """
+    added = {"text_key", "n_trigrams", "language", "confidence", "text_language", "kept"}
+    if added & {c.lower() for c in keep}:
+        raise ValueError(f"identify: the columns {sorted(added)} are added, keep cannot hold them")
     none = F.lit(None).cast("string")
+    trimmed = lambda c: F.lower(F.btrim((none if c is None else c).cast("string")))
     evidence = {"declared": declared, "suffix": suffix, "domain": domain, "host": host}
-    named = [F.col(f"`{c}`") for c in keep]
-    rows = docs.select(*named, F.xxhash64(text).alias("text_key"), *[F.lower(F.btrim((none if c is None else c).cast("string"))).alias(f"_{k}") for k, c in evidence.items()], text.cast("string").alias("_text"))
-    m = len(model.languages)
-    width = len(rows.columns) - 1
-    out_fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1]] + ["n_trigrams bigint"] + [f"ll_{i} double" for i in range(m + 1)]
-    arrow = to_arrow_schema(rows.select(*[F.col(f"`{c}`") for c in rows.columns[:-1]], F.lit(0).cast("bigint").alias("n_trigrams"), *[F.lit(0.0).alias(f"ll_{i}") for i in range(m + 1)]).schema)
-    arrow = pa.schema([pa.field(f.name, f.type) for f in arrow])
-    read = rows.mapInArrow(_likelihoods(model, width, arrow), ", ".join(out_fields))
-    temper = F.least(F.lit(1.0), F.lit(float(max_trigrams)) / F.col("n_trigrams"))
-    top = F.greatest(*[F.col(f"ll_{i}") for i in range(m + 1)]) if m else F.col("ll_0")
-    weight = [F.exp((F.col(f"ll_{i}") - top) * temper) * F.lit(background_prior if i == m else (1 - background_prior) / max(1, m)) for i in range(m + 1)]
-    read = read.select("*", *[F.when(F.col("n_trigrams") > 0, w).otherwise(F.lit(1.0 / (m + 1))).alias(f"w_{i}") for i, w in enumerate(weight)])
-    total = sum((F.col(f"w_{i}") for i in range(1, m + 1)), F.col("w_0"))
-    read = stored(read.select(*[c for c in read.columns if not c.startswith(("ll_", "w_"))], *[(F.col(f"w_{i}") / total).alias(f"t_{i}") for i in range(m + 1)]), "likelihoods")
-
-    if not m:
-        return read.select(*named, "text_key", "n_trigrams", F.lit(UNKNOWN).alias("language"), F.lit(0.0).alias("confidence"), F.lit(UNKNOWN).alias("text_language"), F.lit(False).alias("kept"))
-    share = [F.col(f"t_{i}") for i in range(m)]
-    letters = F.col("n_trigrams") > 0
-    sums = read.where(letters).agg(*[F.coalesce(F.sum(s), F.lit(0.0)).alias(f"g_{i}") for i, s in enumerate(share)], F.approx_count_distinct("_declared").alias("declared"), F.approx_count_distinct("_suffix").alias("suffix")).first()
-    all_n = [float(sums[f"g_{i}"]) for i in range(m)]
-    everywhere = [(n + smoothing / max(1, m)) / (sum(all_n) + smoothing) for n in all_n]
-
-    def per(value: str) -> DataFrame:
-        """Summed shares of each value (partial aggregates, so a hot value is one row per task)."""
-        return stored(read.where(letters & F.col(f"_{value}").isNotNull()).groupBy(f"_{value}").agg(*[F.sum(s).alias(f"{value}_{i}") for i, s in enumerate(share)]), value)
+    values = [declared_language(none if c is None else c) if k == "declared" else trimmed(c) for k, c in evidence.items()]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("keep"), F.xxhash64(text).alias("text_key"), *[v.alias(k) for v, k in zip(values, evidence, strict=True)], text.cast("string").alias("text"))
+    narrow = rows.drop("text").schema
+    fields = [pa.field(f.name, f.type) for f in to_arrow_schema(narrow)]
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow)
+    read = rows.mapInArrow(_read_texts(model, fields, max_trigrams, background_prior), ddl + ", n_trigrams bigint, languages array<int>, shares array<double>, background double")
+    read = stored(read, "likelihoods")
+    if not model.languages:
+        unknown = [F.lit(UNKNOWN).alias("language"), F.lit(0.0).alias("confidence"), F.lit(UNKNOWN).alias("text_language"), F.lit(False).alias("kept")]
+        return read.select("keep.*", "text_key", "n_trigrams", *unknown)
 
+    m = len(model.languages)
+    letters = read.where("n_trigrams > 0")
+    each = letters.select(*evidence, F.explode(F.arrays_zip("languages", "shares")).alias("s")).select(*evidence, F.col("s.languages").alias("of"), F.col("s.shares").alias("share"))
+    totals = np.zeros(m)
+    for r in each.groupBy("of").agg(F.sum("share").alias("n")).collect():  # one row per language
+        totals[r["of"]] = r["n"]
+    everywhere = (totals + smoothing / m) / (totals.sum() + smoothing)
+    counted = letters.agg(*[F.approx_count_distinct(k).alias(k) for k in ("declared", "suffix")]).first()
+    kinds = {k: int(counted[k]) + 1 for k in ("declared", "suffix") if evidence[k] is not None}
+    levels = [k for k in ("domain", "host") if evidence[k] is not None]
     scored = read
-    for value in ("declared", "suffix"):
-        if evidence[value] is not None:
-            kinds = int(sums[value]) + 1
-            table = per(value).select(f"_{value}", *[F.log((F.col(f"{value}_{i}") + 1.0 / kinds) / F.lit(all_n[i] + 1.0)).alias(f"{value}_{i}") for i in range(m)])
-            scored = scored.join(table, f"_{value}", "left")
-    for value in ("domain", "host"):
-        if evidence[value] is not None:
-            scored = scored.join(per(value), f"_{value}", "left")
-
-    def prior(i: int) -> Column:
-        """Host counts without the document's own share, smoothed to the domain's, those to all."""
-        p = F.lit(everywhere[i])
-        for value in ("domain", "host"):
-            if evidence[value] is not None:
-                own = F.when(letters, share[i]).otherwise(0.0)
-                n = F.greatest(F.coalesce(F.col(f"{value}_{i}"), own) - own, F.lit(0.0))
-                others = sum((F.coalesce(F.col(f"{value}_{j}"), F.lit(0.0)) - F.when(letters & F.col(f"{value}_{j}").isNotNull(), share[j]).otherwise(0.0) for j in range(m)), F.lit(0.0))
-                p = (n + F.lit(smoothing) * p) / (F.greatest(others, F.lit(0.0)) + F.lit(smoothing))
-        return p
-
-    logs = []
-    for i in range(m):
-        x = F.log(F.greatest(F.col(f"t_{i}"), F.lit(1e-300))) + F.log(prior(i))
-        for value in ("declared", "suffix"):
-            if evidence[value] is not None:
-                x = x + F.coalesce(F.col(f"{value}_{i}"), F.lit(0.0))
-        logs.append(x.alias(f"p_{i}"))
-    scored = scored.select("_declared", *named, "text_key", "n_trigrams", *share, F.col(f"t_{m}"), *logs)
-    best = F.greatest(*[F.col(f"p_{i}") for i in range(m)]) if m > 1 else F.col("p_0")
-    mass = sum((F.exp(F.col(f"p_{i}") - best) for i in range(1, m)), F.exp(F.col("p_0") - best))
-    # the background keeps the share the text gave it
-    confidence = (1 - F.col(f"t_{m}")) / mass
-
-    def first_at(cols: list[Column], top_value: Column) -> Column:
-        out = F.lit(model.languages[-1])
-        for i in range(m - 2, -1, -1):
-            out = F.when(cols[i] == top_value, F.lit(model.languages[i])).otherwise(out)
-        return out
-
-    text_best = F.greatest(*share) if m > 1 else share[0]
-    sure = (F.col(f"t_{m}") < 0.5) & (confidence >= min_confidence)
-    unlearned = F.coalesce(~F.col("_declared").isin(*model.languages, UNKNOWN, ""), F.lit(False))
-    kept = letters & (sure | unlearned)
-    return scored.select(
-        *named,
-        "text_key",
-        "n_trigrams",
-        F.when(letters & unlearned & ~sure, F.col("_declared")).otherwise(first_at([F.col(f"p_{i}") for i in range(m)], best)).alias("language"),
-        confidence.alias("confidence"),
-        F.when(letters & (F.col(f"t_{m}") < text_best), first_at(share, text_best)).otherwise(F.lit(UNKNOWN)).alias("text_language"),
-        kept.alias("kept"),
+    for value in [*levels, *kinds]:
+        # summed shares of each value (partial aggregates, so a hot value is few rows per task)
+        sums = each.where(F.col(value).isNotNull()).groupBy(value, "of").agg(F.sum("share").alias("n"))
+        lists = sums.groupBy(value).agg(F.sort_array(F.collect_list(F.struct("of", "n"))).alias("s"))  # one entry per language at most
+        table = stored(lists.select(F.col(value).alias("value"), F.col("s.of").alias(f"{value}_languages"), F.col("s.n").alias(f"{value}_shares")), value)
+        spread = F.coalesce(F.col(value), F.concat(F.lit("\x00"), F.pmod("text_key", F.lit(4096)).cast("string")))  # nulls match nothing, in no one task
+        scored = scored.withColumn("at", spread).join(table, F.col("at") == F.col("value"), "left").drop("at", "value")
+    out = scored.drop("suffix", "domain", "host").mapInArrow(
+        _fused(model, fields[:1], everywhere, totals, kinds, levels, smoothing, min_confidence),
+        f"keep {narrow['keep'].dataType.simpleString()}, text_key bigint, n_trigrams bigint, language string, confidence double, text_language string, kept boolean",
     )
+    return out.select("keep.*", "text_key", "n_trigrams", "language", "confidence", "text_language", "kept")
 
 
 def identify_documents(docs: DataFrame, **options) -> DataFrame:
-    """The languages of a ``documents`` table: ``lang`` is the declared language, ``source`` the host."""
+    """The languages of a ``documents`` table: ``lang`` is the declared language, ``source`` the host.
+
+    One row per row, by the rules of ``identify``.  Other columns play no part.
+    """
     model = learn_text_model(docs)
     return identify(docs, model, text=F.col("text"), declared=F.col("lang"), host=F.col("source"), **options)
 
 
 def identify_pages(pages: DataFrame, **options) -> DataFrame:
-    """The languages of a ``pages`` table, by body text, ``<html lang>``, address suffix, domain and host."""
+    """The languages of a ``pages`` table, by body text, ``<html lang>``, address suffix, domain and host.
+
+    One row per row, by the rules of ``identify``.  The text is the page without scripts, styles, comments,
+    tags and entities; a null or empty page has none and is rejected.  A page that declares no
+    language, or no well-formed one, and a null, empty or hostless address are no evidence.
+    Rows that repeat count each; a null page_id is kept as null.  Other columns play no part.
+    An empty table gives no rows.
+    """
     body = F.regexp_replace(F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1>|<!--.*?-->", " "), r"(?s)<[^>]*>|&[a-zA-Z#0-9]+;", " ")
     host, domain, suffix = address_parts(F.col("url"))
     rows = pages.select(F.col("page_id"), body.alias("text"), markup_language(F.col("html")).alias("lang"), host.alias("host"), domain.alias("domain"), suffix.alias("suffix"))
