@@ -1,24 +1,29 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
 A clause is a run of words between sentence marks or line ends.  Its words become symbols:
-insult (with a weight), threat, target, negation, report, or other.  Small transducers read
-the symbols - negation opens a scope of a few words, a reporting verb frames the rest of its
-clause, a target marks the clause from both sides - and their product tags every insult
-and threat with the state it is met in.  A document is scored by what its matched clauses
-amount to per tag, so "not an idiot", "she called it trash" and "you idiot" can weigh
-differently; how differently is learned.
-
-Learned from a bounded, documented sample of labelled rows: the insult stems (whole words
-and word beginnings whose document counts differ between the labels beyond chance) with
-their log-odds as weights, and a logistic regression on the five clause features.  The
-function-word classes are fixed lists in four languages.  Everything is matched by 64-bit
-hashes over Arrow bytes, whole texts, block by block.
+insult, opening and closing word of an insult of two words (with weights), threat verb, modal,
+target, negation, report, or other.  Five transducers read the symbols:
+
+* insult gives the weight of an insult word, or of an opening word followed by its closing one;
+* threat gives a weight where a threat verb meets its target, more if a modal announced it;
+* target marks the clause from both sides;
+* negation opens a scope of a few words;
+* report: a reporting verb frames the rest of its clause.
+
+Their composition, one machine, tags every insult and threat with the state it is met in.  A
+document is scored by what its matched clauses amount to per tag, so "not an idiot", "she called
+it trash" and "you idiot" can weigh differently; how differently is learned.
+
+Learned from a bounded, documented sample of labelled rows: the insults (whole words, word
+beginnings and pairs of words whose document counts differ between the labels beyond chance)
+with their log-odds as weights, and a logistic regression on the clause features.  The
+function-word classes and threat verbs are fixed lists in four languages.  Everything is matched
+by 64-bit hashes over Arrow bytes, whole texts, block by block.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -30,16 +35,21 @@ from feedlens.llm.bytetext import mix, text_blocks
 from feedlens.llm.ppm import Table
 from feedlens.llm.storage import only, stored
 
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
+OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, MODAL, OPEN, CLOSE = SYMBOLS = range(9)
 #: fixed word classes
 CLASSES = {
-    TARGET: "you your yours he she they them him her du dich dir ihr euch er sie tu te toi vous il elle ils elles tú usted ustedes él ella ellos".split(),
+    TARGET: "you your yours he she they him them her du dich dir ihr euch er sie tu te toi vous il elle ils elles tú usted ustedes él ella ellos".split(),
     NEGATION: "not no never none nicht kein keine nie ne pas jamais non nunca".split(),
     REPORT: "said says say called calls quoted wrote told sagte sagt nannte schrieb dit disait écrit dijo dice llamó escribió".split(),
-    THREAT: "kill hurt destroy beat shoot töten schlagen tuer frapper matar golpear".split(),
+    MODAL: "will ll gonna going shall must should want hope werde wird werden soll muss vais va allons veux doit voy vamos quiero debe".split(),
+    THREAT: """kill kills killed killing hurt hurts hurting destroy destroys destroyed destroying beat beats beaten beating shoot shoots shot shooting
+        töten töte tötet getötet schlagen schlage schlägt geschlagen tuer tue tues tuerai tué frapper frappe frapperai frappé
+        matar mato mata mataré matado golpear golpeo golpea golpearé""".split(),
 }
-#: weight of a threat word in a targeted clause
+#: weight of a threat that a modal announces; without one it is half
 THREAT_WEIGHT = 4.0
+#: words from a modal to its verb, and between a verb and its target
+THREAT_REACH = 3
 #: word beginnings of these many bytes are stems
 STEM_BYTES = (4, 5, 6, 7)
 #: words a negation reaches
@@ -54,42 +64,93 @@ _CLAUSE_END[[10, 13, 33, 46, 58, 59, 63]] = True
 
 
 class Transducer:
-    """Deterministic: arcs[state][symbol] is the next state; ``tags[state]`` is what a match met there is given."""
+    """Deterministic: from ``state`` a symbol leads to arcs[state][symbol] and writes out[state][symbol]."""
 
-    def __init__(self, arcs: list[list[int]], tags: list[tuple[bool, ...]]) -> None:
-        self.arcs, self.tags = arcs, tags
+    def __init__(self, arcs: list[list[int]], out: list[list[tuple]]) -> None:
+        self.arcs, self.out = arcs, out
 
     def compose(self, other: Transducer) -> Transducer:
-        """The product: both read the same symbols, a match gets both tags."""
-        m = len(other.arcs)
-        states = list(product(range(len(self.arcs)), range(m)))
-        arcs = [[self.arcs[a][s] * m + other.arcs[b][s] for s in range(6)] for a, b in states]
-        return Transducer(arcs, [self.tags[a] + other.tags[b] for a, b in states])
-
-    def run(self, symbols: list[int]) -> list[tuple[bool, ...]]:
-        """The tags of each symbol, by the state before it."""
+        """Both read the same symbols, what they write is put together; of the product the states reached from the start."""
+        place, arcs, out = {(0, 0): 0}, [], []
+        for a, b in iter_growing(place):
+            row = [(self.arcs[a][s], other.arcs[b][s]) for s in SYMBOLS]
+            arcs.append([place.setdefault(pair, len(place)) for pair in row])
+            out.append([self.out[a][s] + other.out[b][s] for s in SYMBOLS])
+        return Transducer(arcs, out)
+
+    def run(self, symbols: list[int]) -> list[tuple]:
+        """What each symbol writes."""
         state, out = 0, []
         for s in symbols:
-            out.append(self.tags[state])
+            out.append(self.out[state][s])
             state = self.arcs[state][s]
         return out
 
 
+def iter_growing(states: dict[tuple, int]) -> Iterator[tuple]:
+    """The keys in order, those added meanwhile too."""
+    done = 0
+    while done < len(states):
+        yield list(states)[done]
+        done += 1
+
+
+def machine(start: tuple, step) -> Transducer:
+    """The transducer of ``step(state, symbol) -> (next state, what is written)`` from ``start`` on."""
+    place, arcs, out = {start: 0}, [], []
+    for state in iter_growing(place):
+        row = [step(state, s) for s in SYMBOLS]
+        arcs.append([place.setdefault(after, len(place)) for after, _ in row])
+        out.append([written for _, written in row])
+    return Transducer(arcs, out)
+
+
 def negation(scope: int = NEGATION_SCOPE) -> Transducer:
-    arcs = [[max(0, left - 1)] * 6 for left in range(scope + 1)]
-    for row in arcs:
-        row[NEGATION] = scope
-    return Transducer(arcs, [(left > 0,) for left in range(scope + 1)])
+    """Writes whether a negation lies at most ``scope`` words before."""
+    return machine((0,), lambda state, s: ((scope if s == NEGATION else max(0, state[0] - 1),), (state[0] > 0,)))
 
 
 def seen(symbol: int) -> Transducer:
-    """Tags whatever follows ``symbol`` in the clause."""
-    start = [0] * 6
-    start[symbol] = 1
-    return Transducer([start, [1] * 6], [(False,), (True,)])
+    """Writes whether ``symbol`` came before in the clause."""
+    return machine((False,), lambda state, s: ((state[0] or s == symbol,), state))
+
 
+def insult() -> Transducer:
+    """Writes whether an insult ends here: an insult word, or a closing word right behind its opening one."""
+    return machine((False,), lambda state, s: ((s in (OPEN, CLOSE),), (s == INSULT or (s == CLOSE and state[0]),)))
+
+
+def threat(reach: int = THREAT_REACH) -> Transducer:
+    """Writes the weight of a threat that ends here.
+
+    A threat is a threat verb and a target at most ``reach`` words behind it, or a modal, a target and a verb, each at
+    most ``reach`` words behind the one before; a modal at most ``reach`` words before the verb makes it announced.
+    """
 
-GRAMMAR = negation().compose(seen(REPORT)).compose(seen(TARGET))
+    def step(state: tuple, s: int) -> tuple:
+        modal, aimed, verb, announced = state  # words left of each reach
+        weight = 0.0
+        after = (max(0, modal - 1), max(0, aimed - 1), max(0, verb - 1), announced and verb > 1)
+        if s == MODAL:
+            after = (reach, 0, *after[2:])
+        elif s == TARGET:
+            if verb:
+                weight = THREAT_WEIGHT if announced else THREAT_WEIGHT / 2
+                after = (after[0], after[1], 0, False)
+            if modal:
+                after = (after[0], reach, *after[2:])
+        elif s == THREAT:
+            if aimed:
+                weight = THREAT_WEIGHT
+                after = (0, 0, 0, False)
+            else:
+                after = (0, 0, reach, modal > 0)
+        return after, (weight,)
+
+    return machine((0, 0, 0, False), step)
+
+
+GRAMMAR = negation().compose(seen(REPORT)).compose(seen(TARGET)).compose(insult()).compose(threat())
 _BACKWARD = seen(TARGET)
 
 
@@ -97,17 +158,17 @@ def clause_features(symbols: list[int], weights: list[float]) -> list[float]:
     """What the matches of one clause amount to: (plain, targeted, negated, reported, threat)."""
     out = [0.0] * len(FEATURES)
     behind = _BACKWARD.run(symbols[::-1])[::-1]
-    for s, w, (negated, reported, ahead), (after,) in zip(symbols, weights, GRAMMAR.run(symbols), behind, strict=True):
-        if s == INSULT:
+    for w, (negated, reported, ahead, insulting, threatening), (after,) in zip(weights, GRAMMAR.run(symbols), behind, strict=True):
+        if insulting:
             tag = 3 if reported else 2 if negated else 1 if ahead or after else 0
             out[tag] += w
-        elif s == THREAT and (ahead or after) and not negated and not reported:
-            out[4] += THREAT_WEIGHT
+        if threatening and not negated and not reported:
+            out[4] += threatening
     return out
 
 
 class _Block:
-    """Letter runs of a block of texts with their clause, hash and stem hashes."""
+    """Letter runs of a block of texts with their clause, hash, stem hashes and the hashes of neighbours in a clause."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray) -> None:
         self.n_docs = len(offsets) - 1
@@ -136,6 +197,8 @@ class _Block:
         for size in STEM_BYTES:
             at = np.flatnonzero(self.lens > size)
             self.stems.append((at, mix(sums[firsts[at] + size] - sums[firsts[at]] + np.uint64(1000 + size))))
+        at = np.flatnonzero(self.clause[1:] == self.clause[:-1]) + 1
+        self.pairs = at, mix(self.word[at - 1] * np.uint64(0x9E3779B97F4A7C15) + self.word[at])
 
 
 def _hash(words: list[str]) -> np.ndarray:
@@ -162,8 +225,8 @@ def _count(width: int):
             labels = batch.column(0).to_numpy()
             for first, data, offsets in text_blocks(batch.column(1)):
                 b = _Block(data, offsets)
-                h = np.concatenate([b.word, *[x for _, x in b.stems]])
-                doc = np.concatenate([b.doc, *[b.doc[at] for at, _ in b.stems]])
+                h = np.concatenate([b.word, *[x for _, x in (*b.stems, b.pairs)]])
+                doc = np.concatenate([b.doc, *[b.doc[at] for at, _ in (*b.stems, b.pairs)]])
                 order = np.argsort(h)
                 order = order[np.argsort(doc[order].astype(np.uint16), kind="stable")]
                 h, doc = h[order], doc[order]
@@ -198,7 +261,17 @@ def _featured(lexicon: tuple[np.ndarray, np.ndarray], columns: int, names: list[
                     weight[at[hit]] = np.maximum(weight[at[hit]], weights[found[hit]])
                 kind = classes.find(b.word)
                 symbol = np.where(weight > 0, INSULT, np.where(kind >= 0, class_of[kind], OTHER))
-                matched = np.unique(b.clause[(symbol == INSULT) | (symbol == THREAT)])
+                at, h = b.pairs
+                found = table.find(h)
+                both = np.where(found >= 0, weights[found] if len(weights) else 0.0, 0.0)
+                closes = both > weight[at]
+                at = at[closes]
+                weight[at], symbol[at] = both[closes], CLOSE
+                opens = at[symbol[at - 1] == OTHER] - 1
+                symbol[opens] = OPEN
+                closes = at[~np.isin(symbol[at - 1], (OPEN, CLOSE))]  # its first word is a symbol of its own
+                symbol[closes] = INSULT
+                matched = np.unique(b.clause[np.isin(symbol, (INSULT, CLOSE, THREAT))])
                 lo, hi = np.searchsorted(b.clause, matched), np.searchsorted(b.clause, matched, side="right")
                 for a, z in zip(lo.tolist(), hi.tolist(), strict=True):
                     out[first + b.doc[a]] += clause_features(symbol[a:z].tolist(), weight[a:z].tolist())
@@ -214,11 +287,11 @@ def clause_scores(docs: DataFrame, lexicon: tuple[np.ndarray, np.ndarray], keep:
     return rows.mapInArrow(_featured(lexicon, len(keep), [*keep, *FEATURES]), schema + "".join(f", {x} double" for x in FEATURES))
 
 
-def learn_lexicon(labelled: DataFrame, max_entries: int = 4096) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, weights) of words and stems held by more toxic documents than chance explains.
+def learn_lexicon(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, weights) of words, stems and pairs of words held by more toxic documents than chance explains.
 
     ``labelled``: (label 0/1, text).  Kept: G-squared of the document counts over 2 ln(10 m) for m
-    distinct words and stems, at least 1 in log-odds less one standard error; the heaviest ``max_entries``.
+    distinct words, stems and pairs, at least 1 in log-odds less one standard error.
     """
     counts = labelled.select(F.col("label").cast("int"), F.col("text").cast("string")).mapInArrow(_count(2_000_000), "h bigint, toxic bigint, clean bigint")
     counts = stored(counts.groupBy("h").agg(F.sum("toxic").alias("a"), F.sum("clean").alias("b")), "stems")
@@ -233,7 +306,7 @@ def learn_lexicon(labelled: DataFrame, max_entries: int = 4096) -> tuple[np.ndar
     both = a + b
     g2 = 2 * (part(a, both * share) + part(b, both * (1 - share)))
     weight = F.log((a + 0.5) / (n1 + 1)) - F.log((b + 0.5) / (n0 + 1)) - F.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
-    top = counts.where((a > both * share) & (g2 >= float(2 * np.log(10.0 * max(1, m))))).select("h", weight.alias("w")).where("w >= 1").orderBy(F.desc("w"), "h").limit(max_entries).toArrow()
+    top = counts.where((a > both * share) & (g2 >= float(2 * np.log(10.0 * max(1, m))))).select("h", weight.alias("w")).where("w >= 1").orderBy("h").toArrow()  # bounded by the sample
     return top["h"].to_numpy().view(np.uint64), top["w"].to_numpy()
 
 
