@@ -1,7 +1,9 @@
 """Chat formatting in token-budgeted windows, with DataFrame functions only.
 
 A conversation is cut into windows of whole turns.  Prefix sums of the turns' tokens choose
-the spans: turns whose prefix sum ends in the same stride share a window.  Each window
+the spans: turns whose prefix sum ends in the same stride share a window.  A large turn (over
+half of what a window has for new turns) is a window of its own, and the prefix sums start
+again behind it, so the strides of the other turns do not depend on it.  Each window
 retains the leading system turn, repeats limited history from the window before it, and
 carries a loss mask over its new assistant turns; what is repeated is marked and masked.
 
@@ -62,15 +64,20 @@ def format_chat(turns: DataFrame, *, conv_col: str = "conv_id", turn_col: str =
     seen = seen.withColumn("system", (F.col("i") == 1) & (F.col("role") == "system"))
     body = F.when(F.col("system"), 0).otherwise(F.col("tokens"))
     seen = seen.withColumn("ends", F.sum(body).over(conv.orderBy("i").rowsBetween(Window.unboundedPreceding, 0)))
-    seen = seen.withColumn("kept", F.max(F.when(F.col("system"), F.col("tokens")).otherwise(0)).over(conv)).withColumn("largest", F.max(body).over(conv))
+    seen = seen.withColumn("kept", F.max(F.when(F.col("system"), F.col("tokens")).otherwise(0)).over(conv))
+    room = F.greatest(F.lit(budget - history) - F.col("kept"), F.lit(1))  # for the new turns of a window
+    seen = seen.withColumn("large", body * 2 > room)
+    large_before = F.coalesce(F.sum(F.col("large").cast("int")).over(conv.orderBy("i").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    seen = seen.withColumn("stretch", 2 * large_before + F.col("large").cast("int")).withColumn("largest", F.max(F.when(~F.col("large"), body)).over(conv))
     # a span is at most a stride and the part of its first turn that lies before it
-    stride = F.greatest(F.lit(budget - history) - F.col("kept") - F.col("largest"), F.lit(1))
-    cell = F.floor(F.greatest(F.col("ends") - 1, F.lit(0)) / stride)
-    seen = seen.withColumn("cell", F.when(F.col("system"), F.lit(0)).otherwise(cell)).withColumn("window", F.dense_rank().over(conv.orderBy("cell")))
+    stride = F.greatest(room - F.coalesce("largest", F.lit(0)), F.lit(1))
+    within = F.sum(body).over(Window.partitionBy("conv_id", "stretch").orderBy("i").rowsBetween(Window.unboundedPreceding, 0))
+    cell = F.floor(F.greatest(within - 1, F.lit(0)) / stride)
+    seen = seen.withColumn("cell", F.when(F.col("system") | F.col("large"), F.lit(0)).otherwise(cell)).withColumn("window", F.dense_rank().over(conv.orderBy("stretch", "cell")))
     following = conv.orderBy("window").rangeBetween(1, 1)
     seen = seen.withColumn("windows", F.max("window").over(conv)).withColumn("next_start", F.min(F.col("ends") - body).over(following)).withColumn("next_tokens", F.sum(body).over(following))
-    room = F.least(F.lit(history), F.lit(budget) - F.col("kept") - F.col("next_tokens"))
-    again = ~F.col("system") & (F.col("next_start") - (F.col("ends") - F.col("tokens")) <= room)
+    spare = F.least(F.lit(history), F.lit(budget) - F.col("kept") - F.col("next_tokens"))
+    again = ~F.col("system") & (F.col("next_start") - (F.col("ends") - F.col("tokens")) <= spare)
     copy = lambda window, new: F.struct(window.alias("window"), new.alias("new"))
     copies = (
         F.when(F.col("system"), F.transform(F.sequence(F.lit(1), F.col("windows")), lambda w: copy(w, w == 1)))
@@ -147,12 +154,15 @@ WITH c AS (
 ), b AS (
   SELECT *, i = 1 AND role = 'system' AS sys, CASE WHEN i = 1 AND role = 'system' THEN 0 ELSE tokens END AS body FROM a
 ), d AS (
-  SELECT *, sum(body) OVER (PARTITION BY conv_id ORDER BY i) AS ends, max(CASE WHEN sys THEN tokens ELSE 0 END) OVER (PARTITION BY conv_id) AS kept,
-    max(body) OVER (PARTITION BY conv_id) AS largest FROM b
+  SELECT *, sum(body) OVER (PARTITION BY conv_id ORDER BY i) AS ends, greatest(1024 - 256 - max(CASE WHEN sys THEN tokens ELSE 0 END) OVER (PARTITION BY conv_id), 1) AS room,
+    max(CASE WHEN sys THEN tokens ELSE 0 END) OVER (PARTITION BY conv_id) AS kept FROM b
+), l AS (
+  SELECT *, body * 2 > room AS large, 2 * count(*) FILTER (body * 2 > room) OVER (PARTITION BY conv_id ORDER BY i) - CASE WHEN body * 2 > room THEN 1 ELSE 0 END AS stretch,
+    coalesce(max(body) FILTER (body * 2 <= room) OVER (PARTITION BY conv_id), 0) AS largest FROM d
 ), e AS (
-  SELECT *, CASE WHEN sys THEN 0 ELSE CAST(greatest(ends - 1, 0) AS BIGINT) // CAST(greatest(1024 - 256 - kept - largest, 1) AS BIGINT) END AS cell FROM d
+  SELECT *, CASE WHEN sys OR large THEN 0 ELSE CAST(greatest(sum(body) OVER (PARTITION BY conv_id, stretch ORDER BY i) - 1, 0) AS BIGINT) // CAST(greatest(room - largest, 1) AS BIGINT) END AS cell FROM l
 ), f AS (
-  SELECT *, dense_rank() OVER (PARTITION BY conv_id ORDER BY cell) AS w FROM e
+  SELECT *, dense_rank() OVER (PARTITION BY conv_id ORDER BY stretch, cell) AS w FROM e
 ), g AS (
   SELECT conv_id, w, min(ends - body) AS start, sum(body) AS total FROM f GROUP BY conv_id, w
 ), h AS (
