@@ -54,6 +54,15 @@ def stored(df: DataFrame, name: str, rows: int | None = None, keep: bool = False
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_parts(df: DataFrame, name: str, part: str) -> str:
+    """Write ``df`` under ``spark.checkpoint.dir`` with a folder per value of the column ``part``; returns the path."""
+    path = shared_dir(df.sparkSession, "llm", name)
+    for scope in _OPEN.get()[-1:]:
+        scope.append(path)
+    df.write.partitionBy(part).parquet(path)
+    return path
+
+
 def stored_rows(df: DataFrame, name: str, rows: int | None = None, keep: bool = False) -> tuple[DataFrame, int]:
     """``stored``, and the number of rows (counted while they are written)."""
     seen = Observation()

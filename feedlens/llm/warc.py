@@ -1,14 +1,16 @@
 """WARC archives without repeated payloads: revisit resolution.
 
-Only headers (digest, id) are shuffled to find repeats: one partial aggregate by payload
-digest gives the smallest id of each payload that occurs more than once, and records
-are joined to that.  The deduplicated archives are then written with fresh headers: the
-smallest id keeps its payload as a ``response`` record, the others become ``revisit``
-records that refer to it.
+Only headers (digest, id) are shuffled by digest: one partial aggregate gives the smallest id of
+each payload that occurs more than once, and the headers joined to that are the revisits.  The
+records, payloads and all, meet their header by id and digest, so a payload that a third of
+all records share is dealt over all tasks.  The deduplicated archives are then written with
+fresh headers: the smallest id keeps its payload as a ``response`` record, the others become
+``revisit`` records that refer to it.
 
 Archives are written by Spark's own writer into any folder Spark can reach (a record ends
-with CR LF CR LF, which is the writer's record separator) and are read as whole files of
-bounded size, record by record by Content-Length.
+with CR LF CR LF, which is the writer's record separator).  Records of a like size share a
+file, as many as fit, so a file holds ``file_bytes`` or one record.  Archives are read as whole
+files, record by record by Content-Length.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.llm.storage import stored
+from feedlens.llm.storage import scratch, stored, stored_parts
 from feedlens.session import shared_dir
 
 CRLF = "\r\n"
@@ -45,22 +47,16 @@ def sha1_base32(payload: Column) -> Column:
     return F.concat(*parts)
 
 
-def resolve_revisits(records: DataFrame) -> DataFrame:
-    """``records`` (id, digest, ...) with record_type and refers_to.
+def revisits(headers: DataFrame) -> DataFrame:
+    """(id, digest, refers_to): which of the records (id, digest) repeat a payload, and of which id.
 
     Of the records with equal digest, those with the smallest id are responses, all
     others revisits of that id.  A null id is never the smallest; if all ids of a digest
     are null its records are all responses.
     """
-    repeats = records.groupBy("digest").agg(F.min("id").alias("first_id"), F.count("*").alias("n")).where("n > 1 AND first_id IS NOT NULL")
-    repeats = stored(repeats.select("digest", "first_id"), "repeats")
-    first = F.col("first_id").isNull() | F.col("id").eqNullSafe(F.col("first_id"))
-    return (
-        records.join(repeats, "digest", "left")
-        .withColumn("record_type", F.when(first, "response").otherwise("revisit"))
-        .withColumn("refers_to", F.when(~first, F.col("first_id")))
-        .drop("first_id")
-    )
+    repeats = headers.groupBy("digest").agg(F.min("id").alias("refers_to"), F.count("*").alias("n")).where("n > 1 AND refers_to IS NOT NULL")
+    repeats = stored(repeats.select("digest", "refers_to"), "repeats")
+    return headers.join(repeats, "digest").where(~F.col("id").eqNullSafe(F.col("refers_to"))).select("id", "digest", "refers_to").distinct()
 
 
 def record_text(date: str) -> Column:
@@ -89,13 +85,27 @@ def write_archives(pages: DataFrame, path: str, *, id_col: str = "page_id", url_
     """Write ``pages`` as deduplicated archives into the new folder ``path``.
 
     A null payload is empty.  Rows with the smallest id of their payload keep it, repeated
-    rows of that id included.
+    rows of that id included.  A file holds about ``file_bytes`` before compression, or one record.
     """
     records = pages.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{url_col}`").cast("string").alias("url"), F.coalesce(F.col(f"`{payload_col}`").cast("string"), F.lit("")).alias("payload"))
-    mean = records.agg(F.avg(F.octet_length("payload"))).first()[0] or 0.0
-    per_file = max(1, int(file_bytes / (mean + 600)))
-    resolved = resolve_revisits(records.withColumn("digest", sha1_base32(F.col("payload"))))
-    resolved.select(record_text(date).alias("value")).write.option("lineSep", CRLF * 2).option("compression", compression).option("maxRecordsPerFile", per_file).text(path)
+    records = records.withColumn("digest", sha1_base32(F.col("payload")))
+    spark = pages.sparkSession
+    with scratch(spark):
+        repeated = stored(revisits(records.select("id", "digest")), "revisits")
+        repeated = repeated.select(F.col("id").alias("to_id"), F.col("digest").alias("to_digest"), "refers_to")
+        resolved = records.join(repeated, F.col("id").eqNullSafe(F.col("to_id")) & (F.col("digest") == F.col("to_digest")), "left")
+        resolved = resolved.withColumn("record_type", F.when(F.col("to_digest").isNull(), "response").otherwise("revisit"))
+        texts = resolved.select(record_text(date).alias("value"))
+        # records of up to 4, 16, 64 ... bytes
+        texts = texts.withColumn("size", F.ceil(F.log2(F.octet_length("value").cast("double")) / 2).cast("int"))
+        at = stored_parts(texts, "records", "size")
+        sizes = [r["size"] for r in spark.read.schema("value string, size int").parquet(at).select("size").distinct().collect()]  # sixteen at most
+        for size in sorted(sizes):
+            per_file = max(1, file_bytes // 4**size)
+            same = spark.read.schema("value string").parquet(f"{at}/size={size}")
+            same.write.mode("append").option("lineSep", CRLF * 2).option("compression", compression).option("maxRecordsPerFile", per_file).text(path)
+        if not sizes:
+            texts.select("value").limit(0).write.mode("append").text(path)
 
 
 def _records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
