@@ -11,10 +11,11 @@ of its document, that an earlier document holds as consecutive lines, anywhere a
 3. The least blocks of a run (``min_block_words`` reached, but not without the first or not
    without the last line) cover all blocks it holds.  Each document is paired with the first
    holder of each of its least blocks: never all pairs of the documents that share one.
-4. Each pair's whole line sequences are aligned by patience diff (lines unique on both sides,
-   longest increasing subsequence, then the gaps between anchors).  Runs of aligned lines
-   of at least ``min_block_words`` words are deleted from the later document.  Where shared
-   lines are left (repeated or moved blocks), their least blocks are looked up in the other side.
+4. Each pair, the document and the stretch of its holder that has their common blocks, is
+   aligned by patience diff (lines unique on both sides, longest increasing subsequence, then the
+   gaps between anchors).  Runs of aligned lines of at least ``min_block_words`` words are deleted
+   from the later document.  Where shared lines are left (repeated or moved blocks), their least
+   blocks are looked up in the other side.
 
 A line deleted somewhere is held by an earlier document, and its first holder never
 loses it, so every distinct line stays in at least one document.
@@ -149,18 +150,22 @@ def _block_hashes(h: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndar
     return mix(out)
 
 
-_BLOCKS_ARROW = pa.schema([("last", pa.bool_()), ("id", pa.int64()), ("key", pa.int64()), ("block", pa.int64())])
+_BLOCKS = "last boolean, id bigint, key bigint, block bigint, at int, to int"
+_BLOCKS_ARROW = pa.schema([("last", pa.bool_()), ("id", pa.int64()), ("key", pa.int64()), ("block", pa.int64()), ("at", pa.int32()), ("to", pa.int32())])
 
 
 def _least(least: int):
-    """Of each run of shared lines: its least blocks."""
+    """Of each run of shared lines: its least blocks, each with the lines of one occurrence."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for last, id_, key, h, words in zip(*(batch[c].to_pylist() for c in ("last", "id", "key", "h", "words")), strict=True):
-                found = np.unique(_block_hashes(np.array(h, np.int64).view(np.uint64), *least_blocks(words, least)))
+            for last, id_, key, line, h, words in zip(*(batch[c].to_pylist() for c in ("last", "id", "key", "line", "h", "words")), strict=True):
+                first, final = least_blocks(words, least)
+                found, one = np.unique(_block_hashes(np.array(h, np.int64).view(np.uint64), first, final), return_index=True)
                 n = len(found)
-                yield pa.RecordBatch.from_arrays([pa.array([last] * n, pa.bool_()), pa.array([id_] * n, pa.int64()), pa.array([key] * n, pa.int64()), pa.array(found.view(np.int64))], schema=_BLOCKS_ARROW)
+                same = [pa.array([last] * n, pa.bool_()), pa.array([id_] * n, pa.int64()), pa.array([key] * n, pa.int64())]
+                place = [pa.array((line + x[one]).astype(np.int32)) for x in (first, final)]
+                yield pa.RecordBatch.from_arrays([*same, pa.array(found.view(np.int64)), *place], schema=_BLOCKS_ARROW)
 
     return run
 
@@ -207,16 +212,20 @@ def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     run = F.col("line") - F.row_number().over(Window.partitionBy("key").orderBy("line"))
     shared = shared.withColumn("run", run).withColumn("run_words", F.sum("words").over(Window.partitionBy("key", "run"))).where(F.col("run_words") >= min_block_words)
     runs = shared.groupBy("key", "run").agg(F.min("age").alias("age"), F.sort_array(F.collect_list(F.struct("line", "h", "words"))).alias("s"))
-    runs = runs.select("age.last", "age.id", "key", F.col("s.h").alias("h"), F.col("s.words").alias("words"))
-    blocks = stored(runs.mapInArrow(_least(min_block_words), "last boolean, id bigint, key bigint, block bigint"), "blocks")
-    age = F.struct("last", "id", "key")
-    holders = blocks.groupBy("block").agg(F.min(age).alias("first"), F.max(age).alias("final")).where("first <> final").select("block", F.col("first.key").alias("holder"))
-    pairs = stored(blocks.select("key", "block").join(stored(holders, "holders"), "block").where("key <> holder").select("key", "holder").distinct(), "pairs")
+    runs = runs.select("age.last", "age.id", "key", F.array_min("s.line").alias("line"), F.col("s.h").alias("h"), F.col("s.words").alias("words"))
+    blocks = stored(runs.mapInArrow(_least(min_block_words), _BLOCKS), "blocks")
+    age = F.struct("last", "id", "key", "at", "to")
+    holders = blocks.groupBy("block").agg(F.min(age).alias("first"), F.max(age).alias("final")).where("first.key <> final.key").select("block", F.col("first.key").alias("holder"), "first.at", "first.to")
+    # of the holder only the stretch that has the pair's blocks is sent to the other side
+    pairs = blocks.select("key", "block").join(stored(holders, "holders"), "block").where("key <> holder").groupBy("key", "holder").agg(F.min("at").alias("at"), F.max("to").alias("to"))
+    pairs = stored(pairs, "pairs")
     needed = pairs.select(F.explode(F.array("key", "holder")).alias("key")).distinct()
     whole = lines.select(F.col("age.key").alias("key"), "line", "pos", "h", "words").join(stored(needed, "needed"), "key", "left_semi")
     parts = whole.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("line", "pos", "h", "words"))).alias("s"))
     parts = stored(parts.select("key", F.col("s.h").alias("h"), F.col("s.pos").alias("pos"), F.col("s.words").alias("words")), "sequences")
-    sides = pairs.join(parts.select(F.col("key").alias("holder"), F.col("h").alias("a")), "holder").join(parts.select("key", F.col("h").alias("b"), "words"), "key")
+    stretch = F.slice("a", F.col("at") + 1, F.col("to") - F.col("at") + 1)
+    held_by = pairs.join(parts.select(F.col("key").alias("holder"), F.col("h").alias("a")), "holder").select("key", stretch.alias("a"))
+    sides = held_by.join(parts.select("key", F.col("h").alias("b"), "words"), "key")
     lost = sides.select("key", "a", "b", "words").mapInArrow(_aligned(min_block_words), "key bigint, line int")
     lost = lost.groupBy("key").agg(F.collect_set("line").alias("gone"))
     return lost.join(parts.select("key", "pos"), "key").select("key", F.sort_array(F.transform("gone", lambda i: F.get("pos", i))).alias("removed"))
@@ -250,3 +259,35 @@ def digests(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_removed (lines), kept_chars, kept_sha256 of the remaining text."""
     out = remove_repeats(only(docs, doc_id="doc_id", text="text"), removed_col="removed")
     return out.select("doc_id", F.size("removed").cast("bigint").alias("n_removed"), F.coalesce(F.length("text"), F.lit(0)).cast("bigint").alias("kept_chars"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+#: DuckDB SQL of the registered query, from the definition: least blocks of lines that an earlier document holds as well
+ORACLE = r"""
+WITH split AS (
+  SELECT doc_id, "text", string_split("text", chr(10)) AS lines FROM documents
+), numbered AS (
+  SELECT doc_id, unnest(range(len(lines))) AS pos, trim(unnest(lines), E' \t\r\f\x0b') AS line FROM split
+), line AS (
+  SELECT doc_id, pos, line, row_number() OVER w AS nth, sum(length(line) - length(replace(line, ' ', '')) + 1) OVER w AS total
+  FROM numbered WHERE line <> '' WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
+), listed AS (
+  SELECT doc_id, list(line ORDER BY nth) AS lines, list(pos ORDER BY nth) AS places, list_prepend(0::HUGEINT, list(total ORDER BY nth)) AS total FROM line GROUP BY doc_id
+), bounds AS (
+  SELECT doc_id, i, len(list_filter(total, lambda t: t < total[i] + 30)) AS j FROM (SELECT doc_id, total, unnest(range(1, len(lines) + 1)) AS i FROM listed)
+  UNION SELECT doc_id, len(list_filter(total, lambda t: t <= total[j + 1] - 30)) AS i, j FROM (SELECT doc_id, total, unnest(range(1, len(lines) + 1)) AS j FROM listed)
+), block AS (
+  SELECT b.doc_id, i, j, lines[i:j] AS block FROM bounds b JOIN listed USING (doc_id) WHERE i >= 1 AND j <= len(lines)
+), lost AS (
+  SELECT DISTINCT doc_id, unnest(places[i:j]) AS pos
+  FROM (SELECT *, min(doc_id) OVER (PARTITION BY block) AS first_id FROM block) JOIN listed USING (doc_id) WHERE first_id < doc_id
+), gone AS (
+  SELECT doc_id, list(pos) AS gone FROM lost GROUP BY doc_id
+), kept AS (
+  SELECT doc_id, coalesce(len(gone), 0) AS n_removed, CASE WHEN gone IS NULL THEN coalesce("text", '')
+    ELSE array_to_string(list_transform(list_filter(range(len(lines)), lambda k: NOT list_contains(gone, k)), lambda k: lines[k + 1]), chr(10)) END AS kept
+  FROM split LEFT JOIN gone USING (doc_id)
+), result AS (
+  SELECT doc_id, n_removed, CASE WHEN n_removed > 0 AND trim(kept, E' \t\r\f\x0b\n') = '' THEN '' ELSE kept END AS kept FROM kept
+)
+SELECT doc_id, CAST(n_removed AS BIGINT) AS n_removed, CAST(length(kept) AS BIGINT) AS kept_chars, sha256(kept) AS kept_sha256 FROM result
+"""
