@@ -69,6 +69,23 @@ def test_language(spark, docs):
     assert language.identify_documents(docs.limit(0)).count() == 0
 
 
+def test_pages_language(spark):
+    english = "<html lang='EN-gb'><p>the and of with from that this is</p>"
+    rows = [(1, "http://a.example.org/x", english)] * 30 + [(2, None, None), (2, None, ""), (3, "", "<html lang=''><script>der und</script>"), (None, "not an address", english), (4, "//user@h.de:80?q", "<html lang='de'>der und die das ist nicht &amp; " + "x" * 200_000), (5, "http://", "<html lang=\"??\">123")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for c in ("text", "lang", "host", "domain", "suffix", "keep", "doc_id", "declared", "n_trigrams", "languages", "shares"):
+        pages = pages.withColumn(c, F.lit("x"))
+    got = language.identify_pages(pages).collect()
+    assert len(got) == len(rows) and {(r.language, r.kept) for r in got if r.page_id in (1, None)} == {("en", True)}
+    assert {r.kept for r in got if r.page_id in (2, 3, 5)} == {False} and {r.text_language for r in got if r.page_id in (2, 3, 5)} == {"und"}
+    assert [(r.language, r.kept) for r in got if r.page_id == 4] == [("de", True)]
+    assert language.identify_pages(pages.limit(0)).count() == 0
+    nothing = language.identify_pages(pages.where("page_id = 2")).collect()
+    assert len(nothing) == 2 and not any(r.kept for r in nothing)
+    with pytest.raises(ValueError, match="keep"):
+        language.identify(pages, language.learn_text_model(pages), keep=("language",), text=F.col("text"))
+
+
 def test_decontamination(spark, docs, bench):
     rows = decontaminate.find_contamination(docs, bench).collect()
     assert ids(rows) == ids(docs.collect())
@@ -161,8 +178,12 @@ def test_ann(spark):
     vectors = [(0, [1.0, 0.0]), (20, [0.0, 0.0]), (1, None), (2, [float("nan"), 1.0]), (3, [None, 1.0]), (4, [1.0, 0.0]), (5, [2.0, 0.0]), (5, [2.0, 0.0]), (None, [1.0, 1.0]), (6, [1.0, 2.0, 3.0]), (7, [inf, 1.0]), (8, []), (40, [0.0, 1.0])]
     table = spark.createDataFrame(vectors, "vec_id long, embedding array<float>").withColumn("query", F.lit("x")).withColumn("block", F.lit("x"))
     got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in ann.nearest(table, F.col("vec_id") % 20 == 0).collect()}
-    assert got == {(0, 1): (5, 2.0), (0, 2): (4, 1.0), (0, 3): (40, 0.0), (40, 1): (0, 0.0), (40, 2): (4, 0.0), (40, 3): (5, 0.0)}
+    assert got == {(0, 1): (5, 2.0), (0, 2): (5, 2.0), (0, 3): (4, 1.0), (0, 4): (40, 0.0), (40, 1): (0, 0.0), (40, 2): (4, 0.0), (40, 3): (5, 0.0), (40, 4): (5, 0.0)}
     assert ann.nearest(table.limit(0), F.lit(True)).count() == 0 and ann.nearest(table, F.lit(False)).count() == 0
+    # every length among its own, rows of one id each
+    vectors = [(0, [1.0, 0.0]), (4, [1.0, 1.0]), (4, [5.0, 0.0]), (20, [1.0, 2.0, 3.0]), (6, [1.0, 2.0, 4.0]), (7, [1.0]), (60, [2.0]), (60, [3.0])]
+    found = ann.nearest(spark.createDataFrame(vectors, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0).collect()
+    assert sorted(tuple(r) for r in found) == [(0, 1, 4, 5.0), (0, 2, 4, 1.0), (20, 1, 6, 17.0), (60, 1, 60, 6.0), (60, 1, 60, 6.0), (60, 2, 7, 2.0), (60, 2, 7, 3.0)]
 
 
 def test_warc(spark):
