@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from feedlens.llm.bytetext import text_blocks
+from feedlens.llm.bytetext import releasing, text_blocks
 from feedlens.llm.storage import stored
 
 UNKNOWN = "und"
@@ -138,7 +138,7 @@ def learn_text_model(labelled: DataFrame, *, text_col: str = "text", language_co
     for x, h in zip(held["language"].to_pylist(), held["h"].to_pylist(), strict=True):
         ranked.setdefault(x, []).append(h)
     sample = under(near, {x: sorted(h)[:each][-1] for x, h in ranked.items()})
-    counted = sample.select("language", "text").mapInArrow(_count(languages), "language int, gram int, n bigint") if languages else None
+    counted = sample.select("language", "text").mapInArrow(releasing(_count(languages)), "language int, gram int, n bigint") if languages else None
     empty = pa.table({"language": pa.array([], pa.int32()), "gram": pa.array([], pa.int32()), "n": pa.array([], pa.int64())})
     counts = counted.groupBy("language", "gram").agg(F.sum("n").alias("n")).toArrow() if languages else empty  # bounded by the sample
     return TextModel(languages, counts)
@@ -172,7 +172,7 @@ def _read_texts(model: TextModel, fields: list[pa.Field], max_trigrams: int, bac
     lists = [("n_trigrams", pa.int64()), ("languages", pa.list_(pa.int32())), ("shares", pa.list_(pa.float64())), ("background", pa.float64())]
     schema = pa.schema([*fields, *[pa.field(*x) for x in lists]])
     m = len(model.languages)
-    block_bytes = max(1 << 15, (8 << 20) // max(4, m))  # a block's matrix and entries widen with the languages
+    block_bytes = max(1 << 15, (1 << 20) // max(4, m))  # a block's matrix and entries widen with the languages
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = model.index()
@@ -293,7 +293,7 @@ def identify(
     narrow = rows.drop("text").schema
     fields = [pa.field(f.name, f.type) for f in to_arrow_schema(narrow)]
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow)
-    read = rows.mapInArrow(_read_texts(model, fields, max_trigrams, background_prior), ddl + ", n_trigrams bigint, languages array<int>, shares array<double>, background double")
+    read = rows.mapInArrow(releasing(_read_texts(model, fields, max_trigrams, background_prior)), ddl + ", n_trigrams bigint, languages array<int>, shares array<double>, background double")
     read = stored(read, "likelihoods")
     if not model.languages:
         unknown = [F.lit(UNKNOWN).alias("language"), F.lit(0.0).alias("confidence"), F.lit(UNKNOWN).alias("text_language"), F.lit(False).alias("kept")]
@@ -318,7 +318,7 @@ def identify(
         spread = F.coalesce(F.col(value), F.concat(F.lit("\x00"), F.pmod("text_key", F.lit(4096)).cast("string")))  # nulls match nothing, in no one task
         scored = scored.withColumn("at", spread).join(table, F.col("at") == F.col("value"), "left").drop("at", "value")
     out = scored.drop("suffix", "domain", "host").mapInArrow(
-        _fused(model, fields[:1], everywhere, totals, kinds, levels, smoothing, min_confidence),
+        releasing(_fused(model, fields[:1], everywhere, totals, kinds, levels, smoothing, min_confidence)),
         f"keep {narrow['keep'].dataType.simpleString()}, text_key bigint, n_trigrams bigint, language string, confidence double, text_language string, kept boolean",
     )
     return out.select("keep.*", "text_key", "n_trigrams", "language", "confidence", "text_language", "kept")

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedlens.llm.bytetext import mix
+from feedlens.llm.bytetext import mix, releasing
 from feedlens.llm.storage import fresh_names, only, scratch, stored
 
 #: documents and lines in a broadcast list of lost lines (about 16 bytes each); a longer list is joined by a shuffle
@@ -213,7 +213,7 @@ def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     shared = shared.withColumn("run", run).withColumn("run_words", F.sum("words").over(Window.partitionBy("key", "run"))).where(F.col("run_words") >= min_block_words)
     runs = shared.groupBy("key", "run").agg(F.min("age").alias("age"), F.sort_array(F.collect_list(F.struct("line", "h", "words"))).alias("s"))
     runs = runs.select("age.last", "age.id", "key", F.array_min("s.line").alias("line"), F.col("s.h").alias("h"), F.col("s.words").alias("words"))
-    blocks = stored(runs.mapInArrow(_least(min_block_words), _BLOCKS), "blocks")
+    blocks = stored(runs.mapInArrow(releasing(_least(min_block_words)), _BLOCKS), "blocks")
     age = F.struct("last", "id", "key", "at", "to")
     holders = blocks.groupBy("block").agg(F.min(age).alias("first"), F.max(age).alias("final")).where("first.key <> final.key").select("block", F.col("first.key").alias("holder"), "first.at", "first.to")
     # of the holder only the stretch that has the pair's blocks is sent to the other side
@@ -226,7 +226,7 @@ def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     stretch = F.slice("a", F.col("at") + 1, F.col("to") - F.col("at") + 1)
     held_by = pairs.join(parts.select(F.col("key").alias("holder"), F.col("h").alias("a")), "holder").select("key", stretch.alias("a"))
     sides = held_by.join(parts.select("key", F.col("h").alias("b"), "words"), "key")
-    lost = sides.select("key", "a", "b", "words").mapInArrow(_aligned(min_block_words), "key bigint, line int")
+    lost = sides.select("key", "a", "b", "words").mapInArrow(releasing(_aligned(min_block_words)), "key bigint, line int")
     lost = lost.groupBy("key").agg(F.collect_set("line").alias("gone"))
     return lost.join(parts.select("key", "pos"), "key").select("key", F.sort_array(F.transform("gone", lambda i: F.get("pos", i))).alias("removed"))
 
