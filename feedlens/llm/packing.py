@@ -13,6 +13,7 @@ that a third of all documents share is still dealt over all buckets.
 from __future__ import annotations
 
 import heapq
+import os
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -23,13 +24,15 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedlens.llm.bytetext import Words, text_blocks
+from feedlens.llm.bytetext import Words, releasing, text_blocks
 from feedlens.llm.storage import only, partitions, stored
 
-#: words kept with their ids by each Python worker (about 50 bytes each, all told)
-CACHE_WORDS = 1 << 20
+#: words kept with their ids by each Python worker, three quarters of 2^20 slots (about 40 bytes a word, all told)
+CACHE_WORDS = 3 << 18
 #: bytes of text taken apart at a time
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
+#: words encoded at a time
+LEARN_WORDS = 2048
 
 _STATE: dict[str, "WordTokenizer"] = {}
 # letters that normalise to themselves or to one letter each, then a run of sentence marks: one or two pre-tokens
@@ -89,14 +92,14 @@ class WordIds:
         blob = np.frombuffer(b"".join(ids), "<u4")
         size = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
         if self.used + len(blob) > len(self.ids):
-            self.ids = np.concatenate((self.ids[: self.used], np.zeros(max(len(blob), len(self.ids)), "<u4")))
+            self.ids = np.concatenate((self.ids[: self.used], np.zeros(max(len(blob), len(self.ids) // 2), "<u4")))
         self.ids[self.used : self.used + len(blob)] = blob
         start = (self.used + np.cumsum(size) - size).astype(np.int32)
         self.used, self.n = self.used + len(blob), self.n + len(h)
-        if 2 * self.n > self.mask:
+        if 4 * self.n > 3 * (self.mask + 1):
             held = np.flatnonzero(self.key)
             old = self.key[held], self.check[held], self.start[held], self.size[held]
-            self._make(int(2 * self.n).bit_length())
+            self._make((4 * self.n // 3).bit_length())
             self._place(*old)
         self._place(h, check, start, size.astype(np.int32))
 
@@ -109,6 +112,7 @@ class WordTokenizer:
     """
 
     def __init__(self, path: str) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -128,8 +132,8 @@ class WordTokenizer:
         """The ids of each word, as little-endian unsigned 32-bit numbers."""
         known: dict[str, bytes] = {}
         plain = [w for w in words if _PLAIN.fullmatch(w)]
-        for i in range(0, len(plain), 4096):
-            some = plain[i : i + 4096]
+        for i in range(0, len(plain), LEARN_WORDS):
+            some = plain[i : i + LEARN_WORDS]
             ids = np.array(self._encode_fast([" ".join(some)])[0].ids, dtype="<u4")
             ends = np.flatnonzero(self.last[ids]) + 1  # of the pre-tokens
             tokens = np.cumsum([1 if w[-1].isalpha() else 2 for w in some])
@@ -140,8 +144,10 @@ class WordTokenizer:
             for w, a, b in zip(some, cuts, cuts[1:], strict=False):
                 known[w] = blob[4 * a : 4 * b]
         rest = [w for w in words if w not in known]
-        for w, e in zip(rest, self._encode_fast(rest), strict=True):
-            known[w] = array("I", e.ids).tobytes()
+        for i in range(0, len(rest), LEARN_WORDS):
+            some = rest[i : i + LEARN_WORDS]
+            for w, e in zip(some, self._encode_fast(some), strict=True):
+                known[w] = array("I", e.ids).tobytes()
         return [known[w] for w in words]
 
     def _encode_fast(self, texts: list[str]) -> list:
@@ -184,8 +190,8 @@ def _cut(path: str, end_id: int, max_length: int, keep_ids: bool):
             tok = _STATE[path] = WordTokenizer(path)
         step = 4 * max_length
         for batch in batches:
-            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.large_string()).fill_null("")
-            for first, data, offsets in text_blocks(texts, BLOCK_BYTES):
+            doc_ids = batch.column(0).to_pylist()
+            for first, data, offsets in text_blocks(batch.column(1), BLOCK_BYTES):
                 ids, sizes = tok.encode(data, offsets)
                 ends, rows = np.cumsum(sizes), []
                 for k, (stop, size) in enumerate(zip(ends.tolist(), sizes.tolist(), strict=True), first):
@@ -206,7 +212,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", tex
     empty text has the end id alone.
     """
     rows = only(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    return rows.mapInArrow(_cut(tokenizer, end_id, max_length, keep_ids), _PIECES + (", ids binary" if keep_ids else ""))
+    return rows.mapInArrow(releasing(_cut(tokenizer, end_id, max_length, keep_ids)), _PIECES + (", ids binary" if keep_ids else ""))
 
 
 def pack_histogram(counts: dict[int, int], max_length: int) -> list[tuple[list[int], int]]:
@@ -294,7 +300,7 @@ def pack_pieces(pieces: DataFrame, max_length: int = 4096) -> DataFrame:
     ranked = dealt.withColumn("row", row).join(first, ["length", "bucket"]).withColumn("rank", F.col("first") + F.col("row") - 1)
     ranked = ranked.select(*pieces.columns, "rank")
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema)
-    return ranked.mapInArrow(_place(slots), schema + ", sequence_id bigint, offset bigint")
+    return ranked.mapInArrow(releasing(_place(slots)), schema + ", sequence_id bigint, offset bigint")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, max_length: int = 4096, keep_ids: bool = False) -> DataFrame:
