@@ -7,7 +7,10 @@ number.  Steps:
 1. One pass over the texts (NumPy over Arrow bytes) makes each class's shingle hashes
    and sends them to hash buckets, as compact runs (class key, 6 bytes per shingle).
 2. Each bucket counts in how many classes a shingle occurs.  A shingle of one class
-   cannot give a candidate, so only shared shingles go back to their classes.
+   cannot give a candidate, so only shared shingles go back to their classes.  Buckets are as
+   many as the bytes of the texts ask for.  A shingle that a bounded sample of the texts shows
+   to be very frequent would be one bucket's load: it counts as most frequent and goes to its
+   classes directly (any one order of the shingles serves the prefixes).
 3. Each class orders its shingles rare first (unshared ones come first, ties by hash)
    and takes the prefix that any partner must meet: n - ceil(t n) + 1 shingles.  A class
    whose prefix is all unshared is finished here; nearly all of them are.
@@ -34,13 +37,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.bytetext import mix, shingle_sets, text_blocks
+from feedlens.llm.bytetext import mix, release_memory, releasing, shingle_sets, text_blocks
 from feedlens.llm.components import components
 from feedlens.llm.sketches import SKETCH_WORDS, apart, parity_sketches
 from feedlens.llm.storage import fresh_names, only, partitions, scratch, stored, stored_rows
 
 #: rounds of pivots before what is left is compared
 ROUNDS = 2
+#: distinct texts in the sample that finds very frequent shingles, and the share of them, and least number, that makes one
+SAMPLE_TEXTS = 20_000
+FREQUENT_SHARE, FREQUENT_LEAST = 0.02, 64
+#: bytes of text per bucket
+BUCKET_BYTES = 64 << 20
 #: a bucket's shingles are sorted in a Python worker's memory, this many slices one after another
 SLICES = 4
 #: shingles gathered by a task before it writes its runs
@@ -56,6 +64,10 @@ _SETS_ARROW = pa.schema(
 )
 
 
+#: the frequency that the most frequent shingles are given
+_FREQ_MOST = np.array([65535], "<u2")
+
+
 def _bucket(h: np.ndarray, n: int) -> np.ndarray:
     return (((h >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)).astype(np.int64)
 
@@ -76,13 +88,46 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _RUNS_ARROW, strict=True)], schema=_RUNS_ARROW)
 
 
+def _runs_by(part: np.ndarray, key: np.ndarray, h: np.ndarray) -> Iterator[tuple]:
+    """Per value of ``part``: (it, classes, shingles of each, their hashes packed), in the order given."""
+    if not len(part):
+        return
+    order = np.argsort(part.astype(np.uint16) if part.max() < 65536 else part, kind="stable")
+    values, at = np.unique(part[order], return_index=True)
+    for p, rows in zip(values.tolist(), np.split(order, at[1:]), strict=True):
+        k, c = _key_runs(key[rows])
+        yield p, k.view(np.int64), c.astype(np.int32), _pack(h[rows])
+
+
 def _key_runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Runs of equal neighbours: (value, length)."""
     at = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
     return keys[at], np.diff(np.concatenate((at, [len(keys)])))
 
 
-def _shingle_runs(width: int, parts: int):
+def _listed(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, data, offsets in text_blocks(batch.column(0)):
+                h, n = np.unique(shingle_sets(data, offsets, width)[1], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["h", "n"])
+
+    return run
+
+
+def frequent_shingles(texts: DataFrame, width: int) -> tuple[np.ndarray, int]:
+    """(hashes of the shingles that many of a sample of (ref, text) hold, bytes of all texts).
+
+    At most the mean size of a set divided by ``FREQUENT_SHARE`` shingles can be that frequent.
+    """
+    n, size = texts.agg(F.approx_count_distinct("ref"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    sample = texts.where(F.pmod("ref", F.lit(max(1, n // SAMPLE_TEXTS))) == 0).groupBy("ref").agg(F.min("text").alias("text"))
+    held = stored(sample.select("text").mapInArrow(releasing(_listed(width)), "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT_LEAST), "frequent")
+    found = held.where(F.col("n") >= FREQUENT_SHARE * min(n, SAMPLE_TEXTS)).select("h").toArrow()["h"].to_numpy()
+    return np.sort(found.view(np.uint64)), int(size)
+
+
+def _shingle_runs(width: int, parts: int, frequent: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -94,14 +139,11 @@ def _shingle_runs(width: int, parts: int):
             if held:
                 key = np.concatenate([k for k, _ in held])
                 h = np.concatenate([x for _, x in held])
-                part = _bucket(h, parts)
-                order = np.argsort(part.astype(np.uint16) if parts < 65536 else part, kind="stable")
-                bounds = np.searchsorted(part[order], np.arange(parts + 1))
-                for p in range(parts):
-                    at = order[bounds[p] : bounds[p + 1]]
-                    if len(at):
-                        k, c = _key_runs(key[at])
-                        rows.append((p, None, None, k.view(np.int64), c.astype(np.int32), _pack(h[at]), None))
+                if len(frequent):
+                    straight = frequent[np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)] == h
+                    rows += [(parts + p, None, None, *run, _FREQ_MOST.tobytes() * int(run[1].sum())) for p, *run in _runs_by(_bucket(key[straight], parts), key[straight], h[straight])]
+                    key, h = key[~straight], h[~straight]
+                rows += [(p, None, None, *run, None) for p, *run in _runs_by(_bucket(h, parts), key, h)]
             if heads:
                 doc_ids, refs, keys, sizes, sketches = (list(x) for x in zip(*heads, strict=True))
                 part = _bucket(np.array(keys, np.uint64), parts)
@@ -179,6 +221,7 @@ def _share(parts: int):
         if part >= parts:  # which documents belong to which class: on to the class's bucket
             return table.set_column(0, "part", pa.array(np.full(len(table), part - parts, np.int32)))
         runs = [(np.array(k, np.int64), np.array(c), b) for k, c, b in zip(*(table[x].to_pylist() for x in ("keys", "counts", "hashes")), strict=True)]
+        release_memory()
         found = [_several(runs, low) for low in range(SLICES)]
         h, owner, freq = (np.concatenate(x) for x in zip(*found, strict=True))
         order = np.argsort(owner, kind="stable")
@@ -220,6 +263,9 @@ def _order(num: int, den: int):
             k, h, f = np.concatenate(ent_key), np.concatenate(ent_h), np.concatenate(ent_f)
             order = np.lexsort((h, f, k))
             k, h = k[order], h[order]
+            new = np.ones(len(k), dtype=bool)  # a class's frequent shingles can come from several tasks
+            new[1:] = (k[1:] != k[:-1]) | (h[1:] != h[:-1])
+            k, h = k[new], h[new]
             ks, m = _key_runs(k)
             at = np.searchsorted(cls, ks)
             size = cls_n[at]
@@ -332,10 +378,11 @@ def document_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     documents of one component share (null for texts without shingles)."""
     spark = docs.sparkSession
     num, den = threshold
-    parts = partitions(spark)
     texts = only(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("ref"), F.col("text").cast("string"))
-    runs = texts.mapInArrow(_shingle_runs(width, parts), _RUNS)
     with scratch(spark):
+        frequent, size = frequent_shingles(texts.select("ref", "text"), width)
+        parts = max(partitions(spark), -(-size // BUCKET_BYTES))
+        runs = texts.mapInArrow(releasing(_shingle_runs(width, parts, frequent)), _RUNS)
         shared = runs.groupBy("part").applyInArrow(_share(parts), _RUNS)
         table, rows = stored_rows(shared.groupBy("part").applyInArrow(_order(num, den), _SETS), "sets", keep=True)
         owned = table.where("kind = 0").select("doc_id", "ref", "key", "n")

@@ -221,6 +221,28 @@ def test_op4_brute_force(spark):
     assert again == got
 
 
+def test_op4_frequent_shingles_go_straight(spark):
+    """Shingles that most texts hold pass no bucket; the result is that of the plain way."""
+    random.seed(12)
+    common = " ".join(f"c{k}" for k in range(30))
+    rows = [(k, " ".join([common] * (k % 3) + [f"w{random.randrange(40)}" for _ in range(random.choice((3, 40, 90)))] + [common])) for k in range(300)]
+    rows += [(1000 + k, rows[k][1] + " end") for k in range(0, 300, 3)] + [(2000, common), (2001, common + " x"), (2002, common)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    frequent, size = ngram_join.frequent_shingles(docs.selectExpr("xxhash64(text) AS ref", "text"), 5)
+    assert len(frequent) >= 26 and size == sum(len(t) for _, t in rows)
+    sets = {i: shingles(t) for i, t in rows}
+    want = brute_components(sets)
+    before = ngram_join.FREQUENT_LEAST, ngram_join.BUCKET_BYTES
+    got = []
+    try:
+        for least, bucket in ((64, 1000), (2, 64 << 20), (10**9, 64 << 20)):  # some, most, none; many buckets
+            ngram_join.FREQUENT_LEAST, ngram_join.BUCKET_BYTES = least, bucket
+            got.append({r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(docs).collect()})
+    finally:
+        ngram_join.FREQUENT_LEAST, ngram_join.BUCKET_BYTES = before
+    assert got[0] == got[1] == got[2] == {i: (len(s), want[i]) for i, s in sets.items()}
+
+
 def test_op4_large_group_makes_few_rows(spark):
     """A group of near copies: the members meet pivots, not each other."""
     random.seed(2)
