@@ -27,12 +27,12 @@ from pyspark.sql import functions as F
 from feedlens.llm.bytetext import Words, releasing, text_blocks
 from feedlens.llm.storage import only, partitions, stored
 
-#: words kept with their ids by each Python worker, three quarters of 2^20 slots (about 40 bytes a word, all told)
-CACHE_WORDS = 3 << 18
+#: words kept with their ids by each Python worker, three quarters of 2^21 slots (about 40 bytes a word, all told)
+CACHE_WORDS = 3 << 19
 #: bytes of text taken apart at a time
-BLOCK_BYTES = 1 << 18
+BLOCK_BYTES = 1 << 19
 #: words encoded at a time
-LEARN_WORDS = 2048
+LEARN_WORDS = 4096
 
 _STATE: dict[str, "WordTokenizer"] = {}
 # letters that normalise to themselves or to one letter each, then a run of sentence marks: one or two pre-tokens
@@ -131,7 +131,7 @@ class WordTokenizer:
     def _learn(self, words: list[str]) -> list[bytes]:
         """The ids of each word, as little-endian unsigned 32-bit numbers."""
         known: dict[str, bytes] = {}
-        plain = [w for w in words if _PLAIN.fullmatch(w)]
+        plain = [w for w in words if (w.isascii() and w.isalpha() and len(w) <= 40) or _PLAIN.fullmatch(w)]
         for i in range(0, len(plain), LEARN_WORDS):
             some = plain[i : i + LEARN_WORDS]
             ids = np.array(self._encode_fast([" ".join(some)])[0].ids, dtype="<u4")
