@@ -13,6 +13,7 @@ that a third of all documents share is still dealt over all buckets.
 from __future__ import annotations
 
 import heapq
+import json
 import os
 import zlib
 from array import array
@@ -38,14 +39,19 @@ _STATE: dict[str, "WordTokenizer"] = {}
 # letters that normalise to themselves or to one letter each, then a run of sentence marks: one or two pre-tokens
 _PLAIN = regex.compile("[A-Za-zÀ-ÖØ-öø-ÿ]{1,40}[.,;:!?]{0,4}")
 _LAST = "</w>"
+_ASCII_LETTER = np.zeros(256, dtype=bool)
+_ASCII_LETTER[65:91] = _ASCII_LETTER[97:123] = True
+_MARK = np.zeros(256, dtype=bool)
+_MARK[list(b".,;:!?")] = True
 #: words that a tokenizer must code alike alone and among others
 _PROBE = ["the", "The", "naïve,", "don't", "x1", "42", "...", "<|endoftext|>", "日本語", "a", "(b)", "e\u0301", "\U0001f600", "#tag", "'s", "Über."]
 
 
 class WordIds:
-    """Token ids of words by two hashes of the word: an open hash table in flat arrays.
+    """Token ids of words by a hash of the word: an open hash table in flat arrays.
 
-    A word is found by a 64-bit hash and confirmed by 32 bits of another one.
+    A word is found by its 64-bit hash and its length (modulo 512); an entry's place packs the start of
+    its ids, their number and the length.
     """
 
     def __init__(self, bits: int = 16) -> None:
@@ -55,60 +61,56 @@ class WordIds:
 
     def _make(self, bits: int) -> None:
         self.mask = (1 << bits) - 1
-        self.key, self.check = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.uint32)
-        self.start, self.size = np.zeros(1 << bits, np.int32), np.zeros(1 << bits, np.int32)
+        self.key, self.place = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.int64)
 
-    def find(self, h: np.ndarray, check: np.ndarray) -> np.ndarray:
-        """The slot of each word, or -1."""
+    def find(self, h: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """The place of each word, or -1."""
         slot = (h & np.uint64(self.mask)).astype(np.int64)
         out = np.full(len(h), -1, np.int64)
         left = np.arange(len(h))
         while len(left):
             at = slot[left]
-            key = self.key[at]
-            hit = (key == h[left]) & (self.check[at] == check[left])
-            out[left[hit]] = at[hit]
+            key, place = self.key[at], self.place[at]
+            hit = (key == h[left]) & ((place & 511) == (length[left] & 511))
+            out[left[hit]] = place[hit]
             left = left[~hit & (key != 0)]
             slot[left] = (slot[left] + 1) & self.mask
         return out
 
-    def _place(self, h: np.ndarray, *columns: np.ndarray) -> None:
+    def _place(self, h: np.ndarray, place: np.ndarray) -> None:
         slot = (h & np.uint64(self.mask)).astype(np.int64)
         left = np.arange(len(h))
         while len(left):
             free = left[self.key[slot[left]] == 0]
             at, first = np.unique(slot[free], return_index=True)
             first = free[first]
-            self.key[at] = h[first]
-            for mine, new in zip((self.check, self.start, self.size), columns, strict=True):
-                mine[at] = new[first]
+            self.key[at], self.place[at] = h[first], place[first]
             placed = np.zeros(len(h), dtype=bool)
             placed[first] = True
             left = left[~placed[left]]
             slot[left] = (slot[left] + 1) & self.mask
 
-    def add(self, h: np.ndarray, check: np.ndarray, ids: list[bytes]) -> None:
-        """New words, each once."""
-        blob = np.frombuffer(b"".join(ids), "<u4")
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
-        if self.used + len(blob) > len(self.ids):
-            self.ids = np.concatenate((self.ids[: self.used], np.zeros(max(len(blob), len(self.ids) // 2), "<u4")))
-        self.ids[self.used : self.used + len(blob)] = blob
-        start = (self.used + np.cumsum(size) - size).astype(np.int32)
-        self.used, self.n = self.used + len(blob), self.n + len(h)
+    def add(self, h: np.ndarray, length: np.ndarray, size: np.ndarray, ids: np.ndarray) -> None:
+        """New words, each once: the number of ids of each, and all ids."""
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate((self.ids[: self.used], np.zeros(max(len(ids), len(self.ids) // 2), "<u4")))
+        self.ids[self.used : self.used + len(ids)] = ids
+        place = ((self.used + np.cumsum(size) - size) << 33) | (size << 9) | (length & 511)
+        self.used, self.n = self.used + len(ids), self.n + len(h)
         if 4 * self.n > 3 * (self.mask + 1):
             held = np.flatnonzero(self.key)
-            old = self.key[held], self.check[held], self.start[held], self.size[held]
+            old = self.key[held], self.place[held]
             self._make((4 * self.n // 3).bit_length())
             self._place(*old)
-        self._place(h, check, start, size.astype(np.int32))
+        self._place(h, place)
 
 
 class WordTokenizer:
     """Ids of texts by a word-level tokenizer file, a word at a time.
 
-    A text's ids are the ids of its words (between ASCII white space) in order; each distinct word is
-    encoded once.  Raises for a tokenizer whose tokens span white space.
+    A text's ids are the ids of its words (between ASCII white space, and cut where a sentence mark
+    follows an ASCII letter) in order; each distinct word is encoded once.  Raises for a tokenizer
+    whose tokens span white space or such a cut.
     """
 
     def __init__(self, path: str) -> None:
@@ -116,39 +118,62 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # ASCII letters need no normalisation but lower case, and no patterns to be cut by
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f) | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}}
+        self.plain = Tokenizer.from_str(json.dumps(spec))
+        known = sorted(t.removesuffix(_LAST) for t in self.tokenizer.get_vocab())
+        sample = [t for t in known if t.isascii() and t.isalpha()][::40]
+        sample = " ".join(sample + [a + b.capitalize() for a, b in zip(sample, reversed(sample), strict=True)])
+        if self._encode(sample) != self.plain.encode(sample.lower(), add_special_tokens=False).ids:
+            self.plain = None
         last = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), dtype=bool)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
             last[i] = token.endswith(_LAST)
         self.last = last
         alone = [i for w in _PROBE for i in self._encode(w)]
-        if any(self._encode(blank.join(_PROBE)) != alone for blank in (" ", "\n", " \t\n ")) or self._encode(" \t\r\n"):
+        marks = [".", ",", "!?", ".b", ":-)"]
+        cut = any(self._encode(f"Word{m}") != self._encode("Word") + self._encode(m) for m in marks)
+        if cut or any(self._encode(blank.join(_PROBE)) != alone for blank in (" ", "\n", " \t\n ")) or self._encode(" \t\r\n"):
             raise ValueError(f"{path}: tokens span white space; a text's ids are not its words' ids")
         self.kept = WordIds()
 
     def _encode(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _learn(self, words: list[str]) -> list[bytes]:
-        """The ids of each word, as little-endian unsigned 32-bit numbers."""
-        known: dict[str, bytes] = {}
-        plain = [w for w in words if (w.isascii() and w.isalpha() and len(w) <= 40) or _PLAIN.fullmatch(w)]
-        for i in range(0, len(plain), LEARN_WORDS):
-            some = plain[i : i + LEARN_WORDS]
-            ids = np.array(self._encode_fast([" ".join(some)])[0].ids, dtype="<u4")
-            ends = np.flatnonzero(self.last[ids]) + 1  # of the pre-tokens
-            tokens = np.cumsum([1 if w[-1].isalpha() else 2 for w in some])
-            if len(ends) != tokens[-1] or ends[-1] != len(ids):
-                continue
-            cuts = [0, *ends[tokens - 1].tolist()]
-            blob = ids.tobytes()
-            for w, a, b in zip(some, cuts, cuts[1:], strict=False):
-                known[w] = blob[4 * a : 4 * b]
-        rest = [w for w in words if w not in known]
+    def _many(self, text: str, tokens: np.ndarray, plain: bool) -> tuple[np.ndarray, np.ndarray] | None:
+        """(number of ids of each word, all ids) of the words of ``text``; ``tokens``: pre-tokens up to and with each."""
+        if plain and self.plain is not None:
+            found = self.plain.encode_batch_fast([text.lower()], add_special_tokens=False)
+        else:
+            found = self._encode_fast([text])
+        ids = np.array(found[0].ids, dtype="<u4")
+        ends = np.flatnonzero(self.last[ids]) + 1  # of the pre-tokens
+        if len(ends) != tokens[-1] or ends[-1] != len(ids):
+            return None
+        return np.diff(ends[tokens - 1], prepend=0), ids
+
+    def _learn(self, h: np.ndarray, length: np.ndarray, spelled: list[bytes]) -> None:
+        """Keeps the ids of new words."""
+        letters = [w.isalpha() and len(w) <= 40 for w in spelled]  # of bytes: ASCII letters
+        others = [k for k, plain in enumerate(letters) if not plain]
+        marked = [k for k in others if _PLAIN.fullmatch(spelled[k].decode())]
+        groups = [[k for k, plain in enumerate(letters) if plain], marked]
+        rest = sorted(set(others).difference(marked))
+        for group in groups:
+            for i in range(0, len(group), LEARN_WORDS):
+                some = group[i : i + LEARN_WORDS]
+                text, plain = b" ".join([spelled[k] for k in some]).decode(), group is groups[0]
+                tokens = np.arange(1, len(some) + 1) if plain else np.cumsum([1 if w[-1].isalpha() else 2 for w in text.split(" ")])
+                found = self._many(text, tokens, plain)
+                if found is None:
+                    rest += some
+                else:
+                    self.kept.add(h[some], length[some], *found)
         for i in range(0, len(rest), LEARN_WORDS):
             some = rest[i : i + LEARN_WORDS]
-            for w, e in zip(some, self._encode_fast(some), strict=True):
-                known[w] = array("I", e.ids).tobytes()
-        return [known[w] for w in words]
+            ids = [np.array(e.ids, "<u4") for e in self._encode_fast([spelled[k].decode() for k in some])]
+            self.kept.add(h[some], length[some], np.array([len(x) for x in ids], np.int64), np.concatenate(ids))
 
     def _encode_fast(self, texts: list[str]) -> list:
         return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -156,23 +181,28 @@ class WordTokenizer:
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts of a block in a row, number of ids of each text)."""
         words = Words(data, offsets, lower=False)
-        h, check = words.two_hashes()
-        h, check = np.maximum(h, np.uint64(1)), check.astype(np.uint32)  # 0 marks a free slot
-        at = self.kept.find(h, check)
+        cut = _MARK[data[1:]] & _ASCII_LETTER[data[:-1]]
+        inner = offsets[(offsets > 0) & (offsets < len(data))]
+        cut[inner - 1] = False  # between texts
+        cut = np.flatnonzero(cut) + 1
+        words.starts, words.ends = np.sort(np.concatenate((words.starts, cut))), np.sort(np.concatenate((words.ends, cut)))
+        words.doc = np.repeat(np.arange(words.n_docs), np.diff(np.searchsorted(words.starts, offsets)))
+        h, length = np.maximum(words.hashes(), np.uint64(1)), words.ends - words.starts  # 0 marks a free slot
+        at = self.kept.find(h, length)
         missing = np.flatnonzero(at < 0)
         if self.kept.n + len(missing) > CACHE_WORDS:
             self.kept, missing = WordIds(), np.arange(len(h))
         raw = data.tobytes() if len(missing) else b""
-        while len(missing):  # once, but for words equal in the first hash alone
+        while len(missing):  # once, but for words equal in the hash and not in length
             new = missing[np.unique(h[missing], return_index=True)[1]]
-            spelled = [raw[a:b].decode() for a, b in zip(words.starts[new].tolist(), words.ends[new].tolist(), strict=True)]
-            self.kept.add(h[new], check[new], self._learn(spelled))
-            at[missing] = self.kept.find(h[missing], check[missing])
+            spelled = [raw[a:b] for a, b in zip(words.starts[new].tolist(), words.ends[new].tolist(), strict=True)]
+            self._learn(h[new], length[new], spelled)
+            at[missing] = self.kept.find(h[missing], length[missing])
             missing = missing[at[missing] < 0]
-        size = self.kept.size[at].astype(np.int64)
+        size = (at >> 9) & 0xFFFFFF
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
-        ids = self.kept.ids[np.repeat(self.kept.start[at] - (ends - size), size) + np.arange(total)]
+        ids = self.kept.ids[np.repeat((at >> 33) - (ends - size), size) + np.arange(total)]
         return ids, np.bincount(words.doc, weights=size, minlength=words.n_docs).astype(np.int64)
 
 

@@ -549,22 +549,23 @@ def test_pipeline(spark):
 
 
 def test_op6_words_by_hash_alone():
-    """Words are found in the flat table whatever its load; equal first hashes are told apart by the second."""
-    import numpy as np
-
+    """Words are found in the flat table whatever its load; equal hashes are told apart by the length."""
     from feedlens.llm.packing import WordIds
 
     rng = np.random.default_rng(1)
     table = WordIds(bits=4)
-    h = rng.integers(1, 50, 3000, np.uint64)  # many share slot and first hash
-    check = rng.permutation(3000).astype(np.uint32)
-    ids = [np.arange(k % 5, dtype="<u4").tobytes() for k in range(3000)]
+    h = rng.integers(1, 50, 3000, np.uint64)  # many share slot and hash
+    length = np.zeros(3000, np.int64)
+    for x in np.unique(h):
+        length[h == x] = np.arange((h == x).sum())
+    size = np.arange(3000) % 5
     for lo in range(0, 3000, 100):
-        table.add(h[lo : lo + 100], check[lo : lo + 100], ids[lo : lo + 100])
-    at = table.find(h, check)
-    assert (at >= 0).all() and (table.size[at] == np.arange(3000) % 5).all() and len(set(at.tolist())) == 3000
-    assert [table.ids[table.start[i] : table.start[i] + table.size[i]].tolist() for i in at[:10]] == [list(range(k % 5)) for k in range(10)]
-    assert (table.find(h, check + np.uint32(5000)) == -1).all()
+        some = slice(lo, lo + 100)
+        table.add(h[some], length[some], size[some], np.concatenate([np.arange(n) for n in size[some]]).astype("<u4"))
+    at = table.find(h, length)
+    assert (at >= 0).all() and ((at >> 9 & 0xFFFFFF) == size).all() and len(set(at.tolist())) == 3000
+    assert all(table.ids[(x >> 33) : (x >> 33) + n].tolist() == list(range(n)) for x, n in zip(at[:50].tolist(), size[:50].tolist()))
+    assert (table.find(h, length + 300) == -1).all()
 
 
 def test_op6_tokenizer_across_blanks(tmp_path):
