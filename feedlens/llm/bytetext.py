@@ -57,6 +57,18 @@ def releasing(run):
     return wrapped
 
 
+def releasing_groups(run):
+    """The function ``run`` of a key and its group's table, releasing memory after every group."""
+
+    def wrapped(key: tuple, table: pa.Table) -> pa.Table:
+        try:
+            return run(key, table)
+        finally:
+            release_memory()
+
+    return wrapped
+
+
 def text_blocks(column: pa.Array, block_bytes: int = BLOCK_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets) of consecutive texts; a null text has no bytes."""
     if isinstance(column, pa.ChunkedArray):

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from feedlens.llm.bytetext import releasing, text_blocks
-from feedlens.llm.storage import stored
+from feedlens.llm.storage import stored, text_batches
 
 UNKNOWN = "und"
 #: distinct texts that a language's sample may have at least
@@ -294,7 +294,8 @@ def identify(
     fields = [pa.field(f.name, f.type) for f in to_arrow_schema(narrow)]
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow)
     read = rows.mapInArrow(releasing(_read_texts(model, fields, max_trigrams, background_prior)), ddl + ", n_trigrams bigint, languages array<int>, shares array<double>, background double")
-    read = stored(read, "likelihoods")
+    with text_batches(docs.sparkSession):
+        read = stored(read, "likelihoods")
     if not model.languages:
         unknown = [F.lit(UNKNOWN).alias("language"), F.lit(0.0).alias("confidence"), F.lit(UNKNOWN).alias("text_language"), F.lit(False).alias("kept")]
         return read.select("keep.*", "text_key", "n_trigrams", *unknown)

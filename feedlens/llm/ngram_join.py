@@ -37,10 +37,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.bytetext import mix, release_memory, releasing, shingle_sets, text_blocks
+from feedlens.llm.bytetext import mix, release_memory, releasing, releasing_groups, shingle_sets, text_blocks
 from feedlens.llm.components import components
 from feedlens.llm.sketches import SKETCH_WORDS, apart, parity_sketches
-from feedlens.llm.storage import fresh_names, only, partitions, scratch, stored, stored_rows
+from feedlens.llm.storage import fresh_names, only, partitions, scratch, stored, stored_rows, text_batches
 
 #: rounds of pivots before what is left is compared
 ROUNDS = 2
@@ -51,8 +51,10 @@ FREQUENT_SHARE, FREQUENT_LEAST = 0.02, 64
 BUCKET_BYTES = 64 << 20
 #: a bucket's shingles are sorted in a Python worker's memory, this many slices one after another
 SLICES = 4
-#: shingles gathered by a task before it writes its runs
-FLUSH_SHINGLES = 1_000_000
+#: shingles gathered by a task before it writes its runs: sorting them takes some 150 bytes each
+FLUSH_SHINGLES = 250_000
+#: bytes of text that are hashed at a time: their words and shingles take some 50 times as much
+HASHED_BYTES = 256 << 10
 
 _RUNS = "part int, docs array<bigint>, refs array<bigint>, keys array<bigint>, counts array<int>, hashes binary, freqs binary"
 _RUNS_ARROW = pa.schema(
@@ -108,7 +110,7 @@ def _key_runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _listed(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, data, offsets in text_blocks(batch.column(0)):
+            for _, data, offsets in text_blocks(batch.column(0), HASHED_BYTES):
                 h, n = np.unique(shingle_sets(data, offsets, width)[1], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["h", "n"])
 
@@ -122,7 +124,8 @@ def frequent_shingles(texts: DataFrame, width: int) -> tuple[np.ndarray, int]:
     """
     n, size = texts.agg(F.approx_count_distinct("ref"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     sample = texts.where(F.pmod("ref", F.lit(max(1, n // SAMPLE_TEXTS))) == 0).groupBy("ref").agg(F.min("text").alias("text"))
-    held = stored(sample.select("text").mapInArrow(releasing(_listed(width)), "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT_LEAST), "frequent")
+    with text_batches(texts.sparkSession):
+        held = stored(sample.select("text").mapInArrow(releasing(_listed(width)), "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT_LEAST), "frequent")
     found = held.where(F.col("n") >= FREQUENT_SHARE * min(n, SAMPLE_TEXTS)).select("h").toArrow()["h"].to_numpy()
     return np.sort(found.view(np.uint64)), int(size)
 
@@ -156,7 +159,7 @@ def _shingle_runs(width: int, parts: int, frequent: np.ndarray):
 
         for batch in batches:
             ids, refs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for first, data, offsets in text_blocks(batch.column(2)):
+            for first, data, offsets in text_blocks(batch.column(2), HASHED_BYTES):
                 doc, h, sizes = shingle_sets(data, offsets, width)
                 ends = np.cumsum(sizes)
                 some = np.flatnonzero(sizes)
@@ -234,7 +237,7 @@ def _share(parts: int):
             rows.append((int(p), None, None, k.view(np.int64), c.astype(np.int32), _pack(h[lo:hi]), freq[lo:hi].astype("<u2").tobytes()))
         return pa.Table.from_batches([_rows(rows)])
 
-    return run
+    return releasing_groups(run)
 
 
 def _order(num: int, den: int):
@@ -277,7 +280,7 @@ def _order(num: int, den: int):
                 out.append(_sets(int(live.sum()), kind=np.ones(int(live.sum()), np.int32), key=ks[live], n=size[live], prefix=prefix[live], unshared=(size - m)[live], shared=lists, sketch=sketch))
         return pa.concat_tables(out)
 
-    return run
+    return releasing_groups(run)
 
 
 def _sets(rows: int, **columns) -> pa.Table:
@@ -384,7 +387,8 @@ def document_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         parts = max(partitions(spark), -(-size // BUCKET_BYTES))
         runs = texts.mapInArrow(releasing(_shingle_runs(width, parts, frequent)), _RUNS)
         shared = runs.groupBy("part").applyInArrow(_share(parts), _RUNS)
-        table, rows = stored_rows(shared.groupBy("part").applyInArrow(_order(num, den), _SETS), "sets", keep=True)
+        with text_batches(spark):
+            table, rows = stored_rows(shared.groupBy("part").applyInArrow(_order(num, den), _SETS), "sets", keep=True)
         owned = table.where("kind = 0").select("doc_id", "ref", "key", "n")
         sets = table.where("kind = 1").drop("kind", "doc_id", "ref")
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlens.llm.bytetext import Words, releasing, text_blocks
-from feedlens.llm.storage import only, partitions, stored
+from feedlens.llm.storage import only, partitions, stored, text_batches
 
 #: words kept with their ids by each Python worker, three quarters of 2^21 slots (about 40 bytes a word, all told)
 CACHE_WORDS = 3 << 19
@@ -343,7 +343,9 @@ def pack_documents(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", t
     than the two named play no part.  An empty table gives no rows.
     """
     pieces = token_pieces(docs, tokenizer, id_col=id_col, text_col=text_col, end_id=end_id, max_length=max_length, keep_ids=keep_ids)
-    return pack_pieces(stored(pieces, "pieces"), max_length)
+    with text_batches(docs.sparkSession):
+        pieces = stored(pieces, "pieces")
+    return pack_pieces(pieces, max_length)
 
 
 def sequences(packed: DataFrame, max_length: int = 4096, pad_id: int = 0) -> DataFrame:
